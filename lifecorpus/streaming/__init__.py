@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference processes finished exports in batch; it has no stream source,
+watermark or stateful operator, so there is nothing to re-express here. Every
+job in this package is a batch DataFrame job.
+"""
