@@ -42,17 +42,27 @@ REDACTIONS = [
 LINE_BREAKS = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
 # Whitespace stripped by Python's str.strip(): Java's Unicode \s plus \x1c-\x1f.
 PY_SPACE = r"[\s\x{1c}-\x{1f}]"
+PY_SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                  + "".join(chr(c) for c in range(0x2000, 0x200B))
+                  + "\u2028\u2029\u202f\u205f\u3000")
 # End of fixed values
 # ---------------------------------------------------------------------------
 
-REPLY_RE = "(?dimU)(?:" + "|".join(REPLY_HEADERS) + ")"
+# Every header pattern is anchored at a line start; checking the anchor once
+# before the alternation lets the engine skip non-line-start positions fast.
+assert all(p.startswith("^") for p in REPLY_HEADERS)
+REPLY_RE = "(?dimU)^(?:" + "|".join(p[1:] for p in REPLY_HEADERS) + ")"
 SIGNATURE_RE = "(?dmU)" + SIGNATURE
+# A line whose first non-blank character is '>' (blanks: Python whitespace that
+# is not a line break), with its line break.
+QUOTED_LINE = r"(?dmU)^[[\s\x{1f}]&&[^\n]]*>.*(?:\n|\z)"
 REDACTION_RULES = {name: ("(?U)" + pat, repl) for name, pat, repl in REDACTIONS}
 
 
 def py_strip(c: Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(c, f"(?U)^{PY_SPACE}+|{PY_SPACE}+\\z", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (a character-set trim, no regex)."""
+    return F.trim(c, F.lit(PY_SPACE_CHARS))
 
 
 def splitlines(c: Column) -> Column:
@@ -72,8 +82,11 @@ def cut_at(c: Column, pattern: str) -> Column:
 def strip_quotes(c: Column) -> Column:
     """Keep only the newly written part of a mail body."""
     head = cut_at(cut_at(c, REPLY_RE), SIGNATURE_RE)
-    kept = F.filter(splitlines(head), lambda line: ~line.rlike("(?U)^" + PY_SPACE + "*>"))
-    return py_strip(F.array_join(kept, "\n"))
+    # splitlines + drop '>' lines + join('\n') in two passes: every line break
+    # becomes '\n', then whole quoted lines (with their break) are removed.
+    unix = F.regexp_replace(head, LINE_BREAKS, "\n")
+    kept = F.regexp_replace(unix, QUOTED_LINE, "")
+    return py_strip(kept)
 
 
 def redact_one(c: Column, rule: str) -> Column:
