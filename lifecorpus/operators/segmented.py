@@ -82,3 +82,16 @@ def boundary_carry(df: DataFrame, keys: list[str], summary: list[Column],
 def attach_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     """Left-join the bounded carry table onto the rows (broadcast: <= 2 rows per segment)."""
     return df.join(F.broadcast(carry), [SEG, *keys], "left")
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str], flag: str, out: str,
+                segments: int | None = None) -> DataFrame:
+    """``out`` = running sum of the integer column ``flag`` over each group in
+    ``order`` (inclusive), computed per segment plus the carried prefix."""
+    x = add_segments(df, keys, order, segments)
+    w = local_window(keys, [POS]).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_rs", F.sum(flag).over(w))
+    c = boundary_carry(x, keys, [F.sum(flag).alias("_s")],
+                       {"_c": lambda prev, all_: F.sum("_s").over(prev)})
+    x = attach_carry(x, c, keys)
+    return x.withColumn(out, (F.col("_rs") + F.coalesce(F.col("_c"), F.lit(0))).cast("long")).drop("_rs", "_c")

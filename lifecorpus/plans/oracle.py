@@ -369,3 +369,44 @@ o AS (SELECT *, sum(plen) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDE
 SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS span_no,
        CAST(off + 22 AS BIGINT) AS span_start, CAST(off + 22 + length(text) AS BIGINT) AS span_end
 FROM o WHERE role = 'assistant'"""
+
+
+# --- round trips --------------------------------------------------------------
+
+def _redact_chain(expr):
+    for name, pat, repl in REDACTIONS:
+        expr = f"regexp_replace({expr}, '{pat}', '{_re2_repl(repl)}', 'g')"
+    return expr
+
+
+def _normalize(expr):
+    e = f"replace(replace({expr}, chr(13) || chr(10), chr(10)), chr(160), ' ')"
+    e = f"regexp_replace(regexp_replace({e}, '[ \\t]+\\n', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    return f"regexp_replace({e}, '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g')"
+
+
+CHAT_TURNS = """
+ct AS (SELECT conv_id, turn,
+              CASE WHEN role = 'assistant' THEN 'Owner' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
+              TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 86400 + turn * 420 + (turn // 3) * 18000) AS ts,
+              regexp_replace(text, '[^\\x00-\\x7f]', 'x', 'g') AS text
+       FROM conversations WHERE role <> 'system')"""
+
+SQL["parse_whatsapp"] = f"""
+WITH {CHAT_TURNS.strip()},
+parts AS (SELECT conv_id, array_to_string(list_sort(list(DISTINCT sender)), ', ') AS participants
+          FROM (SELECT conv_id, sender FROM ct UNION ALL SELECT conv_id, 'Owner' FROM ct WHERE turn = 1)
+          GROUP BY conv_id),
+m AS (SELECT conv_id, sender, text,
+             CASE WHEN conv_id % 3 = 2 AND day(ts) <= 12
+                  THEN make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), 0) ELSE ts END AS pts
+      FROM ct)
+SELECT 'whatsapp' AS source, 'Conv ' || CAST(conv_id AS VARCHAR) AS thread_id,
+       strftime(pts, {ISO}) AS timestamp, sender, lower(sender) = 'owner' AS is_me,
+       {_normalize(_redact_chain('text'))} AS text,
+       'Conv ' || CAST(conv_id AS VARCHAR) AS thread_title, participants
+FROM m JOIN parts USING (conv_id)
+WHERE NOT (text LIKE '%<Media omitted>%' OR text LIKE '%<Multimedia pominięte>%' OR text LIKE '%image omitted%'
+           OR text LIKE '%video omitted%' OR text LIKE '%sticker omitted%' OR text LIKE '%audio omitted%'
+           OR text LIKE '%This message was deleted%' OR text LIKE '%Ta wiadomość została usunięta%'
+           OR text LIKE '%<attached:%')"""

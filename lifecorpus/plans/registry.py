@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from lifecorpus.functions.text import REDACTIONS
 from lifecorpus.plans import queries as q
+from lifecorpus.plans import roundtrip as rt
 from lifecorpus.plans.oracle import SQL
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "unknown_senders": q.q_unknown_senders,
     "render_chat": q.q_render_chat,
     "loss_spans": q.q_loss_spans,
+    "parse_whatsapp": rt.q_parse_whatsapp,
 }
 
 
