@@ -410,3 +410,29 @@ WHERE NOT (text LIKE '%<Media omitted>%' OR text LIKE '%<Multimedia pominięte>%
            OR text LIKE '%video omitted%' OR text LIKE '%sticker omitted%' OR text LIKE '%audio omitted%'
            OR text LIKE '%This message was deleted%' OR text LIKE '%Ta wiadomość została usunięta%'
            OR text LIKE '%<attached:%')"""
+
+
+SQL["parse_messenger"] = f"""
+WITH ct AS (SELECT conv_id, turn,
+              CASE WHEN role = 'assistant' THEN 'Owner' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
+              TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 86400 + turn * 420 + (turn // 3) * 18000) AS ts,
+              text AS text
+       FROM conversations WHERE role <> 'system'),
+parts AS (SELECT conv_id, array_to_string(list_sort(list(DISTINCT sender)), ', ') AS participants FROM ct
+          GROUP BY conv_id)
+SELECT 'messenger' AS source,
+       CASE WHEN conv_id % 2 = 0 THEN 'conv_' ELSE 'e2ee/conv_' END || CAST(conv_id AS VARCHAR) AS thread_id,
+       strftime(ts, {ISO}) AS timestamp, sender, lower(sender) = 'owner' AS is_me,
+       {_normalize(_redact_chain('text'))} AS text,
+       'Conv ' || CAST(conv_id AS VARCHAR) AS thread_title, participants
+FROM ct JOIN parts USING (conv_id)
+WHERE text <> '' AND NOT text LIKE '% sent an attachment.' AND NOT text LIKE '% to your message%'"""
+
+
+SQL["parse_telegram"] = f"""
+WITH {CHAT_TURNS.strip()}
+SELECT 'telegram' AS source, CAST(conv_id AS VARCHAR) AS thread_id, strftime(ts, {ISO}) AS timestamp,
+       CASE WHEN sender = 'Owner' AND conv_id % 2 = 0 THEN 'Me Alias' ELSE sender END AS sender,
+       sender = 'Owner' AS is_me, {_normalize(_redact_chain('text'))} AS text,
+       'Conv ' || CAST(conv_id AS VARCHAR) AS thread_title, '' AS participants
+FROM ct WHERE text <> ''"""

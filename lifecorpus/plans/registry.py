@@ -31,6 +31,8 @@ QUERIES = {
     "render_chat": q.q_render_chat,
     "loss_spans": q.q_loss_spans,
     "parse_whatsapp": rt.q_parse_whatsapp,
+    "parse_messenger": rt.q_parse_messenger,
+    "parse_telegram": rt.q_parse_telegram,
 }
 
 

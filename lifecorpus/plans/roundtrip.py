@@ -17,14 +17,14 @@ def message_output(m: DataFrame) -> DataFrame:
                     F.array_join("participants", ", ").alias("participants"))
 
 
-def chat_turns(spark: SparkSession, d: str) -> DataFrame:
-    """Non-system conversation turns with sender, time and ASCII-folded text."""
+def chat_turns(spark: SparkSession, d: str, fold: bool = True) -> DataFrame:
+    """Non-system conversation turns with sender, time and (by default ASCII-folded) text."""
     c = table(spark, d, "conversations").where(F.col("role") != "system")
     secs = F.lit(BASE_EPOCH) + F.col("conv_id") * 86400 + F.col("turn") * 420 + F.floor(F.col("turn") / 3) * 18000
     sender = F.when(F.col("role") == "assistant", F.lit(OWNER.name)) \
         .when(F.col("turn") % 4 == 0, F.lit("Ana")).otherwise(F.lit("Ben"))
     return c.select("conv_id", "turn", sender.alias("sender"), F.timestamp_seconds(secs).alias("ts"),
-                    ascii_fold(F.col("text")).alias("text"))
+                    (ascii_fold(F.col("text")) if fold else F.col("text")).alias("text"))
 
 
 def _wa_header(style, ts, sender):
@@ -57,3 +57,93 @@ def render_whatsapp(spark: SparkSession, d: str) -> DataFrame:
 
 def q_parse_whatsapp(spark, d):
     return message_output(whatsapp.parse_whatsapp(render_whatsapp(spark, d), OWNER))
+
+
+def mojibake(c):
+    """UTF-8 bytes read back as Latin-1, as Meta exports store text."""
+    return F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+
+
+def render_messenger(spark: SparkSession, d: str) -> DataFrame:
+    """One JSON file per conversation, newest message first. Even conversations
+    use the classic shape under inbox/<thread>/message_1.json, odd ones the E2EE
+    shape at e2ee/<conv>.json. Each file also holds an unsent message and an
+    attachment notice, which the parser must drop."""
+    t = chat_turns(spark, d, fold=False).withColumn("ms", F.unix_millis("ts"))
+    raw_text = F.col("text")
+    msgs_classic = F.struct(F.col("sender").alias("sender_name"), F.col("ms").alias("timestamp_ms"),
+                            mojibake(raw_text).alias("content"))
+    msgs_e2ee = F.struct(F.col("sender").alias("senderName"), F.col("ms").alias("timestamp"),
+                         mojibake(raw_text).alias("text"), F.lit(False).alias("isUnsent"))
+    g = t.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("turn")).alias("k"), msgs_classic.alias("m")))).alias("c"),
+        F.array_sort(F.collect_list(F.struct((-F.col("turn")).alias("k"), msgs_e2ee.alias("m")))).alias("e"),
+        F.array_sort(F.collect_set("sender")).alias("senders"), F.max("ms").alias("last_ms"))
+    extra_c = F.array(
+        F.struct(F.lit("Ana").alias("sender_name"), F.col("last_ms").alias("timestamp_ms"),
+                 F.lit("gone").alias("content"), F.lit(True).alias("is_unsent")),
+        F.struct(F.lit("Ben").alias("sender_name"), F.col("last_ms").alias("timestamp_ms"),
+                 F.lit("Ben sent an attachment.").alias("content"), F.lit(False).alias("is_unsent")))
+    classic = F.to_json(F.struct(
+        F.transform("senders", lambda n: F.struct(n.alias("name"))).alias("participants"),
+        F.concat(F.lit("Conv "), F.col("conv_id").cast("string")).alias("title"),
+        F.concat(extra_c, F.transform("c", lambda x: x["m"].withField("is_unsent", F.lit(False)))).alias("messages")))
+    extra_e = F.array(F.struct(F.lit("Ana").alias("senderName"), F.col("last_ms").alias("timestamp"),
+                               F.lit("reacted to your message").alias("text"), F.lit(False).alias("isUnsent")))
+    e2ee = F.to_json(F.struct(
+        F.concat(F.lit("Conv "), F.col("conv_id").cast("string")).alias("threadName"),
+        F.col("senders").alias("participants"),
+        F.concat(extra_e, F.transform("e", lambda x: x["m"])).alias("messages")))
+    even = F.col("conv_id") % 2 == 0
+    path = F.when(even, F.concat(F.lit("/exports/facebook/your_activity/messages/inbox/conv_"),
+                                 F.col("conv_id").cast("string"), F.lit("/message_1.json"))) \
+        .otherwise(F.concat(F.lit("/exports/facebook/e2ee/conv_"), F.col("conv_id").cast("string"), F.lit(".json")))
+    return g.select(path.alias("path"), F.when(even, classic).otherwise(e2ee).alias("content"))
+
+
+def q_parse_messenger(spark, d):
+    from lifecorpus.sources.meta_chats import parse_meta_chats
+    return message_output(parse_meta_chats(render_messenger(spark, d), OWNER, "messenger", "/exports/facebook"))
+
+
+def json_str(c):
+    """A JSON string literal for ``c`` (quoted and escaped)."""
+    j = F.to_json(F.array(c))
+    return F.substring(j, F.lit(2), F.length(j) - 2)
+
+
+def render_telegram(spark: SparkSession, d: str) -> DataFrame:
+    """One result.json per conversation. Even conversations: a full export with
+    personal_information (user_id 42) and the owner shown as 'Me Alias', so the
+    owner is recognised by id; odd ones: a single-chat file, owner named 'Owner'.
+    Multi-line texts become [first line, {type: bold, text: rest}]; each chat
+    also carries a service message."""
+    t = chat_turns(spark, d)
+    even = F.col("conv_id") % 2 == 0
+    lines = F.split("text", "\n", 2)
+    text_json = F.when(F.size(lines) > 1, F.concat(
+        F.lit("["), json_str(lines[0]), F.lit(',{"type":"bold","text":'),
+        json_str(F.concat(F.lit("\n"), lines[1])), F.lit("}]"))).otherwise(json_str(F.col("text")))
+    owner = F.col("sender") == OWNER.name
+    frm = F.when(owner & even, F.lit("Me Alias")).otherwise(F.col("sender"))
+    from_id = F.when(owner, F.lit("user42")).otherwise(F.concat(F.lit("user"), (F.col("turn") % 4 + 7).cast("string")))
+    msg = F.concat(
+        F.lit('{"type":"message","from":'), json_str(frm),
+        F.lit(',"from_id":"'), from_id, F.lit('","date":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+        F.lit('","date_unixtime":"'), F.unix_timestamp("ts").cast("string"), F.lit('","text":'), text_json,
+        F.lit("}"))
+    g = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", msg.alias("j")))).alias("ms"))
+    service = F.lit('{"type":"service","action":"create_group","text":""}')
+    msgs = F.concat(F.lit("["), F.array_join(F.concat(F.array(service), F.transform("ms", lambda x: x["j"])), ","),
+                    F.lit("]"))
+    chat = F.concat(F.lit('{"id":'), F.col("conv_id").cast("string"), F.lit(',"name":"Conv '),
+                    F.col("conv_id").cast("string"), F.lit('","messages":'), msgs, F.lit("}"))
+    doc = F.when(even, F.concat(F.lit('{"personal_information":{"user_id":42},"chats":{"list":['), chat,
+                                F.lit("]}}"))).otherwise(chat)
+    path = F.concat(F.lit("/exports/telegram/conv_"), F.col("conv_id").cast("string"), F.lit("/result.json"))
+    return g.select(path.alias("path"), doc.alias("content"))
+
+
+def q_parse_telegram(spark, d):
+    from lifecorpus.sources.telegram import parse_telegram
+    return message_output(parse_telegram(render_telegram(spark, d), OWNER))
