@@ -436,3 +436,53 @@ SELECT 'telegram' AS source, CAST(conv_id AS VARCHAR) AS thread_id, strftime(ts,
        sender = 'Owner' AS is_me, {_normalize(_redact_chain('text'))} AS text,
        'Conv ' || CAST(conv_id AS VARCHAR) AS thread_title, '' AS participants
 FROM ct WHERE text <> ''"""
+
+
+DOC_ROWS = """
+dr AS (SELECT doc_id, lang, text, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 3600) AS ts FROM documents)"""
+
+SQL["parse_tweets"] = f"""
+WITH {DOC_ROWS.strip()}
+SELECT 'twitter' AS source, CAST(doc_id AS VARCHAR) AS doc_id, strftime(ts, {ISO}) AS timestamp, 'Tweet' AS title,
+       {_normalize('text')} AS text, true AS authored_by_me,
+       'reply_to=' || CASE WHEN lang = 'de' THEN 'someone' ELSE '<null>' END AS meta
+FROM dr WHERE lang <> 'es' AND NOT starts_with(text, 'RT @')"""
+
+SQL["parse_x_dm"] = f"""
+WITH {CHAT_TURNS.strip()}
+SELECT 'twitter_dm' AS source, 'dm-' || CAST(conv_id AS VARCHAR) AS thread_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.000Z') AS timestamp,
+       CASE WHEN sender = 'Owner' THEN '42' WHEN sender = 'Ana' THEN '1001' ELSE '1002' END AS sender,
+       sender = 'Owner' AS is_me, {_normalize(_redact_chain('text'))} AS text, '' AS thread_title,
+       '' AS participants
+FROM ct"""
+
+SQL["parse_reddit"] = f"""
+WITH {DOC_ROWS.strip()},
+r AS (SELECT doc_id, lang, ts, CASE WHEN lang = 'de' THEN '[deleted]' ELSE text END AS body,
+             CASE WHEN lang = 'en' THEN '' ELSE 'Doc ' || CAST(doc_id AS VARCHAR) END AS title0 FROM dr),
+t AS (SELECT *, CASE WHEN title0 <> '' THEN title0
+                     ELSE 'r/' || lang || CASE WHEN lang = 'fr' THEN ' post' ELSE ' comment' END END AS title
+      FROM r)
+SELECT 'reddit' AS source, 't1_' || CAST(doc_id AS VARCHAR) AS doc_id, strftime(ts, '%Y-%m-%d %H:%M:%S UTC') AS timestamp,
+       title, {_normalize("CASE WHEN lang = 'fr' THEN title || chr(10) || chr(10) || body ELSE body END")} AS text,
+       true AS authored_by_me,
+       'kind=' || CASE WHEN lang = 'fr' THEN 'post' ELSE 'comment' END || ';subreddit=' || lang AS meta
+FROM t WHERE lang = 'fr' OR body NOT IN ('', '[deleted]', '[removed]')"""
+
+SQL["parse_facebook"] = f"""
+WITH {DOC_ROWS.strip()}
+SELECT 'facebook' AS source,
+       CASE WHEN doc_id % 2 = 0 THEN 'post-' ELSE 'comment-' END || CAST(epoch(ts) AS BIGINT) AS doc_id,
+       strftime(ts, {ISO}) AS timestamp, 'Doc ' || CAST(doc_id AS VARCHAR) AS title, {_normalize('text')} AS text,
+       true AS authored_by_me, 'kind=' || CASE WHEN doc_id % 2 = 0 THEN 'post' ELSE 'comment' END AS meta
+FROM dr WHERE text <> ''"""
+
+SQL["parse_linkedin"] = f"""
+WITH {CHAT_TURNS.strip()}
+SELECT 'linkedin' AS source, 'li-' || CAST(conv_id AS VARCHAR) AS thread_id,
+       strftime(ts, '%Y-%m-%d %H:%M:%S UTC') AS timestamp, sender, lower(sender) = 'owner' AS is_me,
+       {_normalize(_redact_chain('text'))} AS text,
+       CASE WHEN conv_id % 2 = 0 THEN 'Conv ' || CAST(conv_id AS VARCHAR) ELSE 'Hello' END AS thread_title,
+       '' AS participants
+FROM ct"""

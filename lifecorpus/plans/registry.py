@@ -33,6 +33,11 @@ QUERIES = {
     "parse_whatsapp": rt.q_parse_whatsapp,
     "parse_messenger": rt.q_parse_messenger,
     "parse_telegram": rt.q_parse_telegram,
+    "parse_tweets": rt.q_parse_tweets,
+    "parse_x_dm": rt.q_parse_x_dm,
+    "parse_reddit": rt.q_parse_reddit,
+    "parse_facebook": rt.q_parse_facebook,
+    "parse_linkedin": rt.q_parse_linkedin,
 }
 
 

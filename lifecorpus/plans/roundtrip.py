@@ -147,3 +147,123 @@ def render_telegram(spark: SparkSession, d: str) -> DataFrame:
 def q_parse_telegram(spark, d):
     from lifecorpus.sources.telegram import parse_telegram
     return message_output(parse_telegram(render_telegram(spark, d), OWNER))
+
+
+def doc_output(d: DataFrame) -> DataFrame:
+    meta = F.array_join(F.transform(F.array_sort(F.map_entries("meta")),
+                                    lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("<null>")))),
+                        ";")
+    return d.select("source", "doc_id", "timestamp", "title", "text", "authored_by_me", meta.alias("meta"))
+
+
+def doc_rows(spark: SparkSession, d: str, fold: bool = False) -> DataFrame:
+    x = table(spark, d, "documents").select("doc_id", "lang", "text")
+    if fold:
+        x = x.withColumn("text", ascii_fold(F.col("text")))
+    return x.withColumn("ts", F.timestamp_seconds(F.lit(BASE_EPOCH) + F.col("doc_id") * 3600))
+
+
+def render_tweets(spark: SparkSession, d: str) -> DataFrame:
+    """One tweet*.js per document; Spanish documents become retweets ('RT @...');
+    even ids use the {tweet: {...}} wrapper; German ones reply to someone."""
+    x = doc_rows(spark, d)
+    text = F.when(F.col("lang") == "es", F.concat(F.lit("RT @someone: "), F.col("text"))).otherwise(F.col("text"))
+    t = F.struct(F.col("doc_id").cast("string").alias("id_str"), text.alias("full_text"),
+                 F.date_format("ts", "EEE MMM dd HH:mm:ss +0000 yyyy").alias("created_at"),
+                 F.when(F.col("lang") == "de", F.lit("someone")).alias("in_reply_to_screen_name"))
+    item = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.array(F.struct(t.alias("tweet"))))) \
+        .otherwise(F.to_json(F.array(t)))
+    path = F.concat(F.lit("/exports/twitter/data/tweets-"), F.col("doc_id").cast("string"), F.lit(".js"))
+    return x.select(path.alias("path"), F.concat(F.lit("window.YTD.tweets.part0 = "), item).alias("content"))
+
+
+def q_parse_tweets(spark, d):
+    from lifecorpus.sources.social import parse_tweets
+    return doc_output(parse_tweets(render_tweets(spark, d)))
+
+
+def render_x_dms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    t = chat_turns(spark, d)
+    sid = F.when(F.col("sender") == OWNER.name, F.lit("42")).otherwise(
+        F.when(F.col("sender") == "Ana", F.lit("1001")).otherwise(F.lit("1002")))
+    mc = F.struct(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("createdAt"),
+                           sid.alias("senderId"), F.col("text").alias("text")).alias("messageCreate"))
+    g = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", mc.alias("m")))).alias("ms"))
+    conv = F.struct(F.struct(F.concat(F.lit("dm-"), F.col("conv_id").cast("string")).alias("conversationId"),
+                             F.transform("ms", lambda x: x["m"]).alias("messages")).alias("dmConversation"))
+    dms = g.select(F.concat(F.lit("/exports/twitter/data/direct-messages-"), F.col("conv_id").cast("string"),
+                            F.lit(".js")).alias("path"),
+                   F.concat(F.lit("window.YTD.direct_messages.part0 = "), F.to_json(F.array(conv))).alias("content"))
+    # reactions are not messages; one per conversation, spliced into the JSON
+    dms = dms.withColumn("content", F.regexp_replace("content", r'"messages":\[', '"messages":[{"reactionCreate":{}},'))
+    acc = g.limit(1).select(F.lit("/exports/twitter/data/account.js").alias("path"),
+                            F.lit('window.YTD.account.part0 = [{"account":{"accountId":"42"}}]').alias("content"))
+    return dms, acc
+
+
+def q_parse_x_dm(spark, d):
+    from lifecorpus.sources.social import parse_x_dms
+    dms, acc = render_x_dms(spark, d)
+    return message_output(parse_x_dms(dms, acc, OWNER))
+
+
+def q_parse_reddit(spark, d):
+    """Documents as Reddit rows: French ones as posts, the rest as comments; a
+    German document's body is replaced by '[deleted]' (dropped as a comment);
+    English ones have no title (fallback 'r/<sub> <kind>')."""
+    from lifecorpus.sources.social import parse_reddit
+    x = doc_rows(spark, d)
+    rows = x.select(F.lit("/exports/reddit/export.csv").alias("path"), F.col("doc_id").alias("row"),
+                    F.concat(F.lit("t1_"), F.col("doc_id").cast("string")).alias("id"),
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("date"),
+                    F.col("lang").alias("subreddit"),
+                    F.when(F.col("lang") == "en", F.lit("")).otherwise(F.concat(F.lit("Doc "), F.col("doc_id")))
+                    .alias("title"),
+                    F.when(F.col("lang") == "de", F.lit("[deleted]")).otherwise(F.col("text")).alias("body"),
+                    "lang")
+    return doc_output(parse_reddit(rows.where(F.col("lang") != "fr").drop("lang"),
+                                   rows.where(F.col("lang") == "fr").drop("lang")))
+
+
+def render_facebook_posts(spark: SparkSession, d: str) -> DataFrame:
+    """Even documents as posts (your_posts_<id>.json, a list), odd ones as
+    comments (comments_<id>.json, {comments_v2: [...]}), text as mojibake; one
+    extra file under a messages folder must be ignored."""
+    x = doc_rows(spark, d).withColumn("sec", F.unix_timestamp("ts"))
+    post = F.to_json(F.array(F.struct(F.col("sec").alias("timestamp"),
+                                      F.concat(F.lit("Doc "), F.col("doc_id")).alias("title"),
+                                      F.array(F.create_map(F.lit("post"), mojibake(F.col("text")))).alias("data"))))
+    com = F.to_json(F.struct(F.array(F.struct(
+        F.col("sec").alias("timestamp"), F.concat(F.lit("Doc "), F.col("doc_id")).alias("title"),
+        F.array(F.struct(F.struct(mojibake(F.col("text")).alias("comment"),
+                                  F.lit("Owner").alias("author")).alias("comment"))).alias("data"))
+    ).alias("comments_v2")))
+    even = F.col("doc_id") % 2 == 0
+    path = F.when(even, F.concat(F.lit("/exports/facebook/your_activity/posts/your_posts_"),
+                                 F.col("doc_id").cast("string"), F.lit(".json"))) \
+        .otherwise(F.concat(F.lit("/exports/facebook/your_activity/comments/comments_"),
+                            F.col("doc_id").cast("string"), F.lit(".json")))
+    files = x.select(path.alias("path"), F.when(even, post).otherwise(com).alias("content"))
+    decoy = x.limit(1).select(F.lit("/exports/facebook/messages/inbox/a/your_posts_1.json").alias("path"),
+                              F.lit('[{"timestamp": 1, "data": [{"post": "not a post"}]}]').alias("content"))
+    return files.unionByName(decoy)
+
+
+def q_parse_facebook(spark, d):
+    from lifecorpus.sources.social import parse_facebook_posts
+    return doc_output(parse_facebook_posts(render_facebook_posts(spark, d), "/exports/facebook"))
+
+
+def q_parse_linkedin(spark, d):
+    """Conversations as LinkedIn message rows (even ones titled, odd ones with a
+    subject only)."""
+    from lifecorpus.sources.social import parse_linkedin_messages
+    t = chat_turns(spark, d)
+    rows = t.select(F.lit("/exports/linkedin/messages.csv").alias("path"),
+                    (F.col("conv_id") * 1000 + F.col("turn")).alias("row"),
+                    F.concat(F.lit("li-"), F.col("conv_id").cast("string")).alias("CONVERSATION ID"),
+                    F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("Conv "), F.col("conv_id").cast("string")))
+                    .otherwise(F.lit("")).alias("CONVERSATION TITLE"),
+                    F.col("sender").alias("FROM"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("DATE"),
+                    F.lit("Hello").alias("SUBJECT"), F.col("text").alias("CONTENT"))
+    return message_output(parse_linkedin_messages(rows, OWNER))
