@@ -486,3 +486,22 @@ SELECT 'linkedin' AS source, 'li-' || CAST(conv_id AS VARCHAR) AS thread_id,
        CASE WHEN conv_id % 2 = 0 THEN 'Conv ' || CAST(conv_id AS VARCHAR) ELSE 'Hello' END AS thread_title,
        '' AS participants
 FROM ct"""
+
+
+SQL["html_text"] = f"""
+WITH a AS (SELECT page_id,
+             regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+               '(?is)<script\\b[^>]*>.*?</script\\s*>', chr(1), 'g'),
+               '(?is)<style\\b[^>]*>.*?</style\\s*>', chr(1), 'g'),
+               '(?is)<head\\b[^>]*>.*?</head\\s*>', chr(1), 'g'),
+               '(?s)<!--.*?-->|<![^>]*>|<[^>]*>', chr(1), 'g') AS h
+           FROM pages),
+b AS (SELECT page_id, list_filter(list_transform(string_split(h, chr(1)),
+               lambda x: CASE WHEN regexp_full_match(x, '[ \\t\\n\\r\\f]+')
+                              THEN CASE WHEN strpos(x, chr(10)) > 0 THEN chr(10) ELSE ' ' END ELSE x END),
+               lambda x: x <> '') AS parts FROM a),
+c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(array_to_string(parts, chr(10)),
+               '&quot;', '"'), '&middot;', chr(183)), '&copy;', chr(169)), '&lt;', '<'), '&gt;', '>'),
+               '&amp;', '&') AS t FROM b)
+SELECT page_id, regexp_replace(regexp_replace(t, '\\n{{3,}}', chr(10) || chr(10), 'g'),
+                               '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') AS text FROM c"""

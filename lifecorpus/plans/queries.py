@@ -261,3 +261,9 @@ def q_loss_spans(spark, d):
     return sp.select("conv_id", F.col("span_no").cast("long").alias("span_no"),
                      F.col("s.start").cast("long").alias("span_start"),
                      F.col("s.end").cast("long").alias("span_end"))
+
+
+def q_html_text(spark, d):
+    from lifecorpus.functions.html import html_to_text
+    p = table(spark, d, "pages").select("page_id", "html")
+    return p.select("page_id", html_to_text(F.col("html")).alias("text"))

@@ -30,6 +30,7 @@ QUERIES = {
     "unknown_senders": q.q_unknown_senders,
     "render_chat": q.q_render_chat,
     "loss_spans": q.q_loss_spans,
+    "html_text": q.q_html_text,
     "parse_whatsapp": rt.q_parse_whatsapp,
     "parse_messenger": rt.q_parse_messenger,
     "parse_telegram": rt.q_parse_telegram,
