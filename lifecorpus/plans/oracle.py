@@ -505,3 +505,73 @@ c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(array_to_s
                '&amp;', '&') AS t FROM b)
 SELECT page_id, regexp_replace(regexp_replace(t, '\\n{{3,}}', chr(10) || chr(10), 'g'),
                                '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') AS text FROM c"""
+
+
+_FOLDED_DOCS = """
+dr AS (SELECT doc_id, lang, regexp_replace(text, '[^\\x00-\\x7f]', 'x', 'g') AS text,
+              TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 3600) AS ts FROM documents)"""
+
+
+def _files_sql(source, authored, prefix_case):
+    body = ("CASE WHEN lang = 'de' THEN " + "regexp_replace(regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g'), "
+            f"'^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') ELSE text END")
+    return f"""
+WITH {_FOLDED_DOCS.strip()},
+f AS (SELECT doc_id, lang, ts, substr({_normalize(_redact_chain(body))}, 1, 200000) AS text FROM dr)
+SELECT '{source}' AS source,
+       {prefix_case}lang || '/doc_' || CAST(doc_id AS VARCHAR)
+         || CASE lang WHEN 'en' THEN '.md' WHEN 'fr' THEN '.txt' WHEN 'es' THEN '.org' ELSE '.html' END AS doc_id,
+       strftime(ts, {ISO}) AS timestamp, 'doc_' || CAST(doc_id AS VARCHAR) AS title, text,
+       {authored} AS authored_by_me, '' AS meta
+FROM f WHERE length(text) >= 20"""
+
+
+SQL["parse_notes"] = _files_sql("notes", "true", "")
+_PAGE = ("'<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><p>' || "
+         "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p><!-- end --></body></html>'")
+SQL["parse_drive"] = _files_sql("drive", "false", "") + f"""
+UNION ALL
+SELECT 'drive', 'archive/drive/kept.md', strftime(ts, {ISO}), 'kept', t, false, ''
+FROM (SELECT ts, substr({_normalize(_redact_chain("raw"))}, 1, 200000) AS t
+      FROM (SELECT ts, CASE WHEN lang = 'de' THEN {_PAGE} ELSE text END AS raw FROM dr WHERE doc_id = 0))
+WHERE length(t) >= 20"""
+
+SQL["parse_ics"] = f"""
+WITH e AS (SELECT event_id, user_id, event_type, props, ts FROM events)
+SELECT 'calendar' AS source, 'ev' || CAST(event_id AS VARCHAR) AS doc_id,
+       strftime(CASE WHEN event_type = 'view' THEN date_trunc('day', ts) ELSE ts END, {ISO}) AS timestamp,
+       CASE WHEN event_type = 'click' THEN 'click, tap ' || props ELSE event_type || ' ' || props END AS title,
+       CASE WHEN event_type = 'click' THEN 'click, tap ' || props ELSE event_type || ' ' || props END
+       || CASE event_type
+            WHEN 'purchase' THEN chr(10) || 'Location: Shop ' || CAST(user_id AS VARCHAR)
+            WHEN 'signup' THEN chr(10) || 'Description: Signed up as user ' || CAST(user_id AS VARCHAR)
+                               || ' after a long walk through the onboarding flow'
+            WHEN 'error' THEN chr(10) || 'With: user' || CAST(user_id AS VARCHAR) || '@example.com, MAILTO:ops@example.com'
+            ELSE '' END AS text,
+       false AS authored_by_me, 'calendar=user_' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS meta
+FROM e"""
+
+SQL["parse_commits"] = f"""
+WITH {DOC_ROWS.strip()},
+c AS (SELECT doc_id, lang, ts, regexp_replace(text, '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') AS body FROM dr
+      WHERE lang <> 'es')
+SELECT 'git' AS source, sha1(CAST(doc_id AS VARCHAR)) AS doc_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00' AS timestamp,
+       'Commit in repo-' || lang AS title, body AS text, true AS authored_by_me, 'repo=repo-' || lang AS meta
+FROM c WHERE body <> ''"""
+
+SQL["parse_lifelog"] = """
+WITH e AS (SELECT *, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2
+                                     WHEN 'signup' THEN 3 ELSE 4 END AS feed,
+                  row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS idx
+           FROM events),
+f AS (SELECT strftime(ts, '%Y-%m-%d') AS day,
+             CASE event_type WHEN 'view' THEN 'Watched on YouTube' WHEN 'click' THEN 'Searched YouTube'
+                             WHEN 'purchase' THEN 'Browsed' ELSE 'Visited' END AS kind,
+             props AS item, feed, user_id, idx FROM e),
+d AS (SELECT day, kind, item, min((feed, user_id, idx)) AS seq FROM f GROUP BY day, kind, item),
+r AS (SELECT *, row_number() OVER (PARTITION BY day, kind ORDER BY seq, item) AS rn FROM d),
+k AS (SELECT day, kind, min(seq) AS kseq, string_agg(item, '; ' ORDER BY seq) AS items FROM r WHERE rn <= 60
+      GROUP BY day, kind)
+SELECT day AS doc_id, day || 'T00:00:00+00:00' AS timestamp, 'Activity on ' || day AS title,
+       string_agg(kind || ': ' || items, chr(10) ORDER BY kseq) AS text
+FROM k GROUP BY day"""

@@ -39,6 +39,11 @@ QUERIES = {
     "parse_reddit": rt.q_parse_reddit,
     "parse_facebook": rt.q_parse_facebook,
     "parse_linkedin": rt.q_parse_linkedin,
+    "parse_notes": rt.q_parse_notes,
+    "parse_drive": rt.q_parse_drive,
+    "parse_ics": rt.q_parse_ics,
+    "parse_commits": rt.q_parse_commits,
+    "parse_lifelog": rt.q_parse_lifelog,
 }
 
 

@@ -267,3 +267,150 @@ def q_parse_linkedin(spark, d):
                     F.col("sender").alias("FROM"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("DATE"),
                     F.lit("Hello").alias("SUBJECT"), F.col("text").alias("CONTENT"))
     return message_output(parse_linkedin_messages(rows, OWNER))
+
+
+def _ext(lang):
+    return (F.when(lang == "en", F.lit(".md")).when(lang == "fr", F.lit(".txt"))
+            .when(lang == "es", F.lit(".org")).otherwise(F.lit(".html")))
+
+
+def _html_page(text):
+    esc = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                    F.lit(">"), F.lit("&gt;"))
+    return F.concat(F.lit("<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><p>"), esc,
+                    F.lit("</p><!-- end --></body></html>"))
+
+
+def render_files(spark: SparkSession, d: str, base: str) -> DataFrame:
+    """Documents as files <base>/<lang>/doc_<id>.<ext> (English .md, French .txt,
+    Spanish .org, German .html), mtime 2024-01-01 + id hours, plus a hidden file
+    and a PDF that must not produce documents."""
+    x = doc_rows(spark, d, fold=True)
+    ext = _ext(F.col("lang"))
+    body = F.when(F.col("lang") == "de", _html_page(F.col("text"))).otherwise(F.col("text"))
+    files = x.select(F.concat(F.lit(base + "/"), F.col("lang"), F.lit("/doc_"), F.col("doc_id").cast("string"), ext)
+                     .alias("path"), F.col("ts").alias("modificationTime"), F.encode(body, "UTF-8").alias("content"))
+    decoys = x.limit(1).select(
+        F.explode(F.array(F.lit(base + "/.obsidian/workspace.md"), F.lit(base + "/scan.pdf"))).alias("path"),
+        F.col("ts").alias("modificationTime"),
+        F.encode(F.lit("a hidden or undecodable file with enough characters"), "UTF-8").alias("content"))
+    return files.unionByName(decoys)
+
+
+def q_parse_notes(spark, d):
+    from lifecorpus.sources.files import parse_files
+    return doc_output(parse_files(render_files(spark, d, "/exports/notes"), "/exports/notes", "notes", True))
+
+
+def q_parse_drive(spark, d):
+    """Even documents under Takeout/Drive, odd ones under Takeout/Dysk; one more
+    folder level named drive inside must not shift ids (outermost wins), and
+    files outside any drive folder are ignored."""
+    from lifecorpus.sources.files import parse_files
+    f = render_files(spark, d, "/exports/google/Takeout/X")
+    did = F.regexp_extract("path", r"doc_(\d+)\.", 1).try_cast("long")
+    top = F.when(did % 2 == 0, F.lit("Drive")).otherwise(F.lit("Dysk"))
+    f = f.withColumn("path", F.when(did.isNull(), F.col("path")).otherwise(
+        F.concat(F.lit("/exports/google/Takeout/"), top, F.lit("/"),
+                 F.regexp_replace("path", "^/exports/google/Takeout/X/", ""))))
+    nested = f.where(did == 0).withColumn("path", F.lit("/exports/google/Takeout/Drive/archive/drive/kept.md"))
+    return doc_output(parse_files(f.unionByName(nested), "/exports/google", "drive", False, drive=True))
+
+
+def render_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """Events as VEVENT records (what a BEGIN:VEVENT-split scan yields), one
+    calendar file per user: all-day dates for views, floating times for clicks
+    (with an escaped comma), UTC otherwise; purchases have a location, signups a
+    folded description, errors two attendees."""
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "props", "ts")
+    ts = F.col("ts").cast("timestamp")
+    uid = F.lpad(F.col("user_id").cast("string"), 4, "0")
+    dt = (F.when(F.col("event_type") == "view", F.concat(F.lit("DTSTART;VALUE=DATE:"), F.date_format(ts, "yyyyMMdd")))
+          .when(F.col("event_type") == "click", F.concat(F.lit("DTSTART:"), F.date_format(ts, "yyyyMMdd'T'HHmmss")))
+          .otherwise(F.concat(F.lit("DTSTART:"), F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))))
+    summary = F.when(F.col("event_type") == "click", F.concat(F.lit("click\\, tap "), F.col("props"))) \
+        .otherwise(F.concat(F.col("event_type"), F.lit(" "), F.col("props")))
+    desc = F.concat(F.lit("DESCRIPTION:Signed up as user "), F.col("user_id").cast("string"),
+                    F.lit(" after a long walk through the onboarding flow"))
+    desc = F.concat(F.substring(desc, 1, 30), F.lit("\r\n "), F.substring(desc, 31, 1 << 20))
+    extra = (F.when(F.col("event_type") == "purchase", F.concat(F.lit("LOCATION:Shop "), F.col("user_id").cast("string"),
+                                                                 F.lit("\r\n")))
+             .when(F.col("event_type") == "signup", F.concat(desc, F.lit("\r\n")))
+             .when(F.col("event_type") == "error", F.concat(
+                 F.lit('ATTENDEE;CN="Ops: Team":mailto:user'), F.col("user_id").cast("string"),
+                 F.lit("@example.com\r\nATTENDEE:MAILTO:ops@example.com\r\n")))
+             .otherwise(F.lit("")))
+    value = F.concat(F.lit("\r\nUID:ev"), F.col("event_id").cast("string"), F.lit("\r\n"), dt, F.lit("\r\nSUMMARY:"),
+                     summary, F.lit("\r\n"), extra, F.lit("END:VEVENT\r\n"))
+    path = F.concat(F.lit("/exports/google/Takeout/Calendar/user_"), uid, F.lit(".ics"))
+    ev = e.select(path.alias("path"), F.lit(0).cast("long").alias("block"), F.col("event_id").alias("pos"),
+                  value.alias("value"))
+    head = e.select(path.alias("path")).distinct().select(
+        "path", F.lit(0).cast("long").alias("block"), F.lit(-1).cast("long").alias("pos"),
+        F.lit("BEGIN:VCALENDAR\r\nVERSION:2.0\r\n").alias("value"))
+    return ev.unionByName(head)
+
+
+def q_parse_ics(spark, d):
+    from lifecorpus.sources.calendar import parse_calendar
+    return doc_output(parse_calendar(render_calendar(spark, d)))
+
+
+def q_parse_commits(spark, d):
+    """Documents as commit records of repo-<lang>.gitlog; Spanish ones have a
+    blank body and are skipped."""
+    from lifecorpus.sources.commits import parse_commits
+    x = doc_rows(spark, d)
+    body = F.when(F.col("lang") == "es", F.lit("   \n")).otherwise(F.col("text"))
+    rec = F.concat(F.lit("\n"), F.sha1(F.col("doc_id").cast("string")), F.lit("\x1f"),
+                   F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00\x1f"), body, F.lit("\n"))
+    raw = x.select(F.concat(F.lit("/exports/git/repo-"), F.col("lang"), F.lit(".gitlog")).alias("path"),
+                   F.lit(0).cast("long").alias("block"), F.col("doc_id").alias("pos"), rec.alias("value"))
+    return doc_output(parse_commits(raw))
+
+
+def render_feeds(spark: SparkSession, d: str) -> dict:
+    """Events as lifelog feeds, one file per user and feed: views -> watch
+    history, clicks -> search history, purchases -> Chrome history, signups ->
+    new Timeline, errors -> legacy Timeline."""
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "props", "ts")
+    ts = F.col("ts").cast("timestamp")
+    uid = F.lpad(F.col("user_id").cast("string"), 4, "0")
+    base = "/exports/google/Takeout"
+
+    def files(kind, path, item, wrap):
+        x = e.where(F.col("event_type") == kind)
+        g = x.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(ts.alias("ts"), "event_id", item.alias("it"))))
+                                     .alias("xs"))
+        return g.select(F.concat(F.lit(base), F.lit(path), F.lpad(F.col("user_id").cast("string"), 4, "0"),
+                                 F.lit(".json") if "Semantic" in path else F.lit("")).alias("path"),
+                        wrap(F.transform("xs", lambda r: r["it"])).alias("content"))
+
+    iso_t = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    watch = files("view", "/YouTube/watch/", F.struct(F.concat(F.lit("Watched "), F.col("props")).alias("title"),
+                                                     iso_t.alias("time")), F.to_json)
+    search = files("click", "/YouTube/search/", F.struct(F.concat(F.lit("search "), F.col("props")).alias("title"),
+                                                        iso_t.alias("time")), F.to_json)
+    chrome = files("purchase", "/Chrome/", F.struct(F.col("props").alias("title"),
+                                                   F.unix_micros(ts).alias("time_usec")),
+                   lambda a: F.to_json(F.struct(a.alias("Browser History"))))
+    timeline = files("signup", "/Timeline/", F.struct(iso_t.alias("startTime"), F.struct(F.struct(
+        F.col("props").alias("semanticType")).alias("topCandidate")).alias("visit")),
+        lambda a: F.to_json(F.struct(a.alias("semanticSegments"))))
+    legacy = files("error", "/Location History/Semantic Location History/2024/user_", F.struct(F.struct(
+        F.struct(F.col("props").alias("name")).alias("location"),
+        F.struct(iso_t.alias("startTimestamp")).alias("duration")).alias("placeVisit")),
+        lambda a: F.to_json(F.struct(a.alias("timelineObjects"))))
+
+    def named(df, leaf):
+        return df.withColumn("path", F.concat("path", F.lit("/" + leaf)))
+    return {"watch": named(watch, "watch-history.json"), "search": named(search, "search-history.json"),
+            "chrome": named(chrome, "History.json"), "timeline": named(timeline, "Timeline.json"),
+            "legacy": legacy}
+
+
+def q_parse_lifelog(spark, d):
+    from lifecorpus.operators.lifelog import daily_rollup
+    from lifecorpus.sources.lifelog import parse_feeds
+    return daily_rollup(parse_feeds(render_feeds(spark, d), "/exports/google")) \
+        .select("doc_id", "timestamp", "title", "text")

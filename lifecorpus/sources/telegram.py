@@ -53,7 +53,7 @@ def parse_telegram(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
     m = m.withColumn("flat", text).where((F.col("m.type") == "message") & (F.col("flat") != ""))
     sender = F.coalesce(F.col("m.from"), F.lit(""))
     unix = F.col("m.date_unixtime")
-    ts = F.when(F.coalesce(unix, F.lit("")) != "", iso_epoch(unix.cast("long"))) \
+    ts = F.when(F.coalesce(unix, F.lit("")) != "", iso_epoch(unix.try_cast("long"))) \
         .otherwise(F.coalesce(F.col("m.date"), F.lit("")))
     title = F.coalesce(F.when(F.col("cname") != "", F.col("cname")), _vstr(F.col("cid")))
     rel = relative(F.col("path"), root) if root else F.col("path")

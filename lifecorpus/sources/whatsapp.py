@@ -62,11 +62,11 @@ def _date_parts(fmt: str, d: Column) -> tuple[Column, Column, Column, Column]:
     pat += "$"
     grp = {tok: F.regexp_extract(d, pat, k + 1) for k, tok in enumerate(order)}
     if "%Y" in grp:
-        year = grp["%Y"].cast("int")
+        year = grp["%Y"].try_cast("int")
     else:
-        yy = grp["%y"].cast("int")
+        yy = grp["%y"].try_cast("int")
         year = F.when(yy <= 68, yy + 2000).otherwise(yy + 1900)
-    return d.rlike(pat), year, grp["%m"].cast("int"), grp["%d"].cast("int")
+    return d.rlike(pat), year, grp["%m"].try_cast("int"), grp["%d"].try_cast("int")
 
 
 def parse_chat_datetime(d: Column, t: Column) -> Column:
@@ -76,12 +76,12 @@ def parse_chat_datetime(d: Column, t: Column) -> Column:
     pm_form = tt.endswith("M")
     hms = F.regexp_extract(tt, r"^(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(AM|PM)?$", 0)
     h = F.regexp_extract(tt, r"^(\d{1,2}):", 1)
-    mi = F.regexp_extract(tt, r"^\d{1,2}:(\d{1,2})", 1).cast("int")
+    mi = F.regexp_extract(tt, r"^\d{1,2}:(\d{1,2})", 1).try_cast("int")
     sec_s = F.regexp_extract(tt, r"^\d{1,2}:\d{1,2}:(\d{1,2})", 1)
-    sec = F.when(sec_s == "", F.lit(0)).otherwise(sec_s.cast("int"))
-    h24 = F.when(~pm_form & h.rlike(r"^(2[0-3]|[0-1]\d|\d)$"), h.cast("int"))
+    sec = F.when(sec_s == "", F.lit(0)).otherwise(sec_s.try_cast("int"))
+    h24 = F.when(~pm_form & h.rlike(r"^(2[0-3]|[0-1]\d|\d)$"), h.try_cast("int"))
     h12 = F.when(pm_form & h.rlike(r"^(1[0-2]|0[1-9]|[1-9])$") & tt.rlike("(AM|PM)$"),
-                 h.cast("int") % 12 + F.when(tt.endswith("PM"), 12).otherwise(0))
+                 h.try_cast("int") % 12 + F.when(tt.endswith("PM"), 12).otherwise(0))
     hour = F.when(hms != "", F.coalesce(h24, h12))
     ok_time = hour.isNotNull() & (mi < 60) & (sec < 60)
     candidates = []
