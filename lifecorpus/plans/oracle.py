@@ -575,3 +575,32 @@ k AS (SELECT day, kind, min(seq) AS kseq, string_agg(item, '; ' ORDER BY seq) AS
 SELECT day AS doc_id, day || 'T00:00:00+00:00' AS timestamp, 'Activity on ' || day AS title,
        string_agg(kind || ': ' || items, chr(10) ORDER BY kseq) AS text
 FROM k GROUP BY day"""
+
+
+
+def _strip_quotes(x):
+    lines = (f"regexp_split_to_array(regexp_replace(regexp_replace({x}, '{_REPLY}', ''), '(?m)^-- ?$(?s:.*)', ''), "
+             "'\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e]')")
+    kept = f"list_filter({lines}, lambda s: NOT regexp_matches(s, '^{_STRIP_CLASS}*>'))"
+    return f"regexp_replace(array_to_string({kept}, chr(10)), '^{_STRIP_CLASS}+|{_STRIP_CLASS}+$', '', 'g')"
+
+
+SQL["parse_mbox"] = f"""
+WITH {CHAT_TURNS.strip()},
+b AS (SELECT *, CASE
+        WHEN sender <> 'Owner' THEN text || chr(10) || chr(10)
+             || 'On Mon, 1 Jan 2024 at 00:00, Owner <owner@example.com> wrote:' || chr(10) || '> earlier message'
+             || chr(10) || '> more'
+        WHEN conv_id % 2 = 0 THEN text || chr(10) || '-- ' || chr(10) || 'Owner' || chr(10) || 'Sent with care'
+        ELSE regexp_replace(regexp_replace(text, '\\n{{3,}}', chr(10) || chr(10), 'g'),
+                            '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') END AS body
+      FROM ct),
+m AS (SELECT *, {_normalize(_redact_chain(_strip_quotes('body')))} AS clean FROM b)
+SELECT 'gmail' AS source, CAST(conv_id AS VARCHAR) AS thread_id, strftime(ts, {ISO}) AS timestamp, sender,
+       sender = 'Owner' AS is_me, clean AS text, 'Conv ' || CAST(conv_id AS VARCHAR) AS thread_title,
+       CASE WHEN sender = 'Owner' THEN
+              CASE WHEN conv_id % 2 = 0 THEN 'ana@example.com, ben@example.com, owner@example.com'
+                   ELSE 'ana@example.com, owner@example.com' END
+            WHEN sender = 'Ana' THEN 'ana@example.com, owner@example.com'
+            ELSE 'ben@example.com, owner@example.com' END AS participants
+FROM m WHERE length(clean) >= 2"""

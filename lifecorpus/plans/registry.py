@@ -44,6 +44,7 @@ QUERIES = {
     "parse_ics": rt.q_parse_ics,
     "parse_commits": rt.q_parse_commits,
     "parse_lifelog": rt.q_parse_lifelog,
+    "parse_mbox": rt.q_parse_mbox,
 }
 
 

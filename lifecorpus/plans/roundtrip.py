@@ -414,3 +414,61 @@ def q_parse_lifelog(spark, d):
     from lifecorpus.sources.lifelog import parse_feeds
     return daily_rollup(parse_feeds(render_feeds(spark, d), "/exports/google")) \
         .select("doc_id", "timestamp", "title", "text")
+
+
+MAIL_OWNER = "owner@example.com"
+MAIL_SETTINGS = OWNER.__class__.make("Owner", emails=[MAIL_OWNER], names=["Owner"], skip_senders=["noreply"])
+
+
+def render_mbox(spark: SparkSession, d: str) -> DataFrame:
+    """Conversation turns as mbox records (what a '\\nFrom '-split scan yields).
+    User mails quote the previous mail; owner mails in even conversations end
+    with a signature, in odd ones they are multipart/alternative with an empty
+    plain part (so the HTML part is used). Each thread also gets a newsletter,
+    a spam-labelled mail and one from a skip-listed sender."""
+    t = chat_turns(spark, d)
+    owner = F.col("sender") == OWNER.name
+    even = F.col("conv_id") % 2 == 0
+    addr = F.when(owner, F.lit(MAIL_OWNER)).when(F.col("sender") == "Ana", F.lit("ana@example.com")) \
+        .otherwise(F.lit("ben@example.com"))
+    disp = F.when(F.col("sender") == "Ben", F.lit("=?utf-8?q?Ben?=")).otherwise(F.col("sender"))
+    frm = F.concat(disp, F.lit(" <"), addr, F.lit(">"))
+    to = F.when(owner, F.lit("Ana <ana@example.com>")).otherwise(F.lit("Owner <owner@example.com>"))
+    cc = F.when(owner & even, F.lit("Cc: ben@example.com\n")).otherwise(F.lit(""))
+    date = F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss '+0000'")
+    subj = F.concat(F.lit("Conv "), F.col("conv_id").cast("string"))
+
+    def head(frm_, labels, extra):
+        return F.concat(F.lit("X-GM-THRID: "), F.col("conv_id").cast("string"), F.lit("\nX-Gmail-Labels: "), labels,
+                        F.lit("\nFrom: "), frm_, F.lit("\nTo: "), to, F.lit("\n"), cc, F.lit("Subject: "), subj,
+                        F.lit("\nDate: "), date, F.lit("\n"), extra)
+
+    plain_ct = F.lit("Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: 8bit\n\n")
+    quoted = F.concat(F.col("text"), F.lit("\n\nOn Mon, 1 Jan 2024 at 00:00, Owner <owner@example.com> wrote:\n"
+                                            "> earlier message\n> more"))
+    signed = F.concat(F.col("text"), F.lit("\n-- \nOwner\nSent with care"))
+    esc = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                    F.lit(">"), F.lit("&gt;"))
+    alt = F.concat(F.lit('Content-Type: multipart/alternative; boundary="b1"\n\n--b1\n'
+                         'Content-Type: text/plain; charset=utf-8\n\n\n--b1\n'
+                         'Content-Type: text/html; charset=utf-8\n\n<html><body><p>'), esc,
+                   F.lit("</p></body></html>\n--b1--\n"))
+    body = F.when(~owner, F.concat(plain_ct, quoted)).when(even, F.concat(plain_ct, signed)).otherwise(alt)
+    env = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("@mail Mon Jan 01 00:00:00 2024\n"))
+    real = F.concat(env, head(frm, F.lit("Inbox,Important"), F.lit("")), body)
+    decoys = F.array(
+        F.concat(env, head(F.lit("Shop <news@shop.example>"), F.lit("Inbox"),
+                           F.lit("List-Unsubscribe: <mailto:u@shop.example>\n")), plain_ct, F.lit("Big sale today")),
+        F.concat(env, head(frm, F.lit(" Spam , Inbox"), F.lit("")), plain_ct, F.lit("Win a prize now")),
+        F.concat(env, head(F.lit("Service <noreply@service.example>"), F.lit("Inbox"), F.lit("")), plain_ct,
+                 F.lit("Your code was used")))
+    recs = F.when(F.col("turn") == 1, F.concat(F.array(real), decoys)).otherwise(F.array(real))
+    path = F.concat(F.lit("/exports/google/Takeout/Mail/conv_"), F.col("conv_id").cast("string"), F.lit(".mbox"))
+    return t.select(path.alias("path"), F.lit(0).cast("long").alias("block"), "turn",
+                    F.posexplode(recs).alias("i", "value")) \
+        .select("path", "block", (F.col("turn") * 10 + F.col("i")).alias("pos"), "value")
+
+
+def q_parse_mbox(spark, d):
+    from lifecorpus.sources.mail import parse_mail
+    return message_output(parse_mail(render_mbox(spark, d), MAIL_SETTINGS))
