@@ -604,3 +604,11 @@ SELECT 'gmail' AS source, CAST(conv_id AS VARCHAR) AS thread_id, strftime(ts, {I
             WHEN sender = 'Ana' THEN 'ana@example.com, owner@example.com'
             ELSE 'ben@example.com, owner@example.com' END AS participants
 FROM m WHERE length(clean) >= 2"""
+
+
+SQL["reingest_only"] = f"""
+WITH {MSGS}
+SELECT source, count(*) AS n_messages FROM msgs WHERE source NOT IN ('whatsapp', 'twitter', 'twitter_dm')
+GROUP BY source
+UNION ALL
+SELECT 'whatsapp', count(*) FROM ({SQL["parse_whatsapp"]})"""

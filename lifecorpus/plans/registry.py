@@ -45,6 +45,7 @@ QUERIES = {
     "parse_commits": rt.q_parse_commits,
     "parse_lifelog": rt.q_parse_lifelog,
     "parse_mbox": rt.q_parse_mbox,
+    "reingest_only": rt.q_reingest_only,
 }
 
 

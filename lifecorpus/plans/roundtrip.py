@@ -472,3 +472,16 @@ def render_mbox(spark: SparkSession, d: str) -> DataFrame:
 def q_parse_mbox(spark, d):
     from lifecorpus.sources.mail import parse_mail
     return message_output(parse_mail(render_mbox(spark, d), MAIL_SETTINGS))
+
+
+def q_reingest_only(spark, d):
+    """IO6/A12: previous chat messages (all sources) merged with a fresh
+    WhatsApp ingest run as `--only whatsapp twitter`: WhatsApp, twitter and the
+    twitter-owned twitter_dm rows are replaced; counts per source."""
+    from lifecorpus.plans.adapters import conversation_messages
+    from lifecorpus.sources.store import retain_for_reingest
+    from lifecorpus.sources import whatsapp as wa
+    old = conversation_messages(table(spark, d, "conversations"))
+    new = wa.parse_whatsapp(render_whatsapp(spark, d), OWNER)
+    merged = retain_for_reingest(old, ["whatsapp", "twitter"]).unionByName(new)
+    return merged.groupBy("source").agg(F.count(F.lit(1)).alias("n_messages"))
