@@ -84,65 +84,84 @@ def scan_threads(prepared: DataFrame, segments: int | None = None) -> DataFrame:
     """W1-W4 numbering: order each thread by (timestamp string, ord), keep threads
     with the owner (P4), and number sessions (W2) and turns (W4) thread-wide.
 
+    One scan per segment plus one carry table: a segment's rows only depend on
+    earlier segments through the last known time and the last speaker, which
+    change the outcome of at most two rows (the first row and the first row with
+    a known time), so segment totals are corrected on the small carry table.
+
     Adds: grp (group chat), thread_first (first-seen ord), session_no (0-based),
     turn_no (1-based, consecutive over the thread), plus the segment keys."""
     order = ["timestamp", "ord"]
     df = sg.add_segments(prepared, KEYS, order, segments)
     w = sg.local_window(KEYS, [sg.POS])
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(sg.SEG, *KEYS)
     other = F.when(~F.col("is_me"), F.col("sender"))
     me_int = F.col("is_me").cast("int")
+    t, gap = F.col("t"), session_gap_us(F.col("source"))
     df = (df.withColumn("_t_prev", F.last("t", ignorenulls=True).over(before))
           .withColumn("_me_prev", F.lag("is_me").over(w))
           .withColumn("_has_me", F.max(me_int).over(whole))
           .withColumn("_omin", F.min(other).over(whole))
           .withColumn("_omax", F.max(other).over(whole))
           .withColumn("_first", F.min("ord").over(whole)))
-
-    carry1 = sg.boundary_carry(df, KEYS, [
-        F.max(F.struct(F.when(F.col("t").isNotNull(), F.col(sg.POS)).alias("p"), F.col("t"))
-              )["t"].alias("s_last_t"),
-        F.max_by("is_me", sg.POS).alias("s_last_me"),
-        F.max(me_int).alias("s_has_me"),
-        F.min(other).alias("s_omin"),
-        F.max(other).alias("s_omax"),
-        F.min("ord").alias("s_first"),
-    ], {
-        "c_t": lambda prev, all_: F.last("s_last_t", ignorenulls=True).over(prev),
-        "c_me": lambda prev, all_: F.last("s_last_me").over(prev),
-        "c_has_me": lambda prev, all_: F.max("s_has_me").over(all_),
-        "c_omin": lambda prev, all_: F.min("s_omin").over(all_),
-        "c_omax": lambda prev, all_: F.max("s_omax").over(all_),
-        "c_first": lambda prev, all_: F.min("s_first").over(all_),
-    })
-    df = sg.attach_carry(df, carry1, KEYS)
-    t_prev = F.coalesce(F.col("_t_prev"), F.col("c_t"))
-    me_prev = F.when(F.col(sg.POS) == 1, F.col("c_me")).otherwise(F.col("_me_prev"))
+    ns = t.isNotNull() & F.col("_t_prev").isNotNull() & ((t - F.col("_t_prev")) > gap)
+    df = (df.withColumn("_ns", F.coalesce(ns, F.lit(False)).cast("int"))
+          .withColumn("_fk", (t.isNotNull() & F.col("_t_prev").isNull()).cast("int"))
+          .withColumn("_rc", F.coalesce(F.col("is_me") != F.col("_me_prev"), F.lit(False)).cast("int")))
+    df = df.withColumn("_nt", F.greatest(F.col("_ns"), F.col("_rc"), F.col("_me_prev").isNull().cast("int")))
+    df = (df.withColumn("_S", F.sum("_ns").over(run)).withColumn("_U", F.sum("_nt").over(run))
+          .withColumn("_K", F.max("_fk").over(run)))
+
+    big = F.lit(1 << 62)
+    edge = sg.boundary_summaries(df, KEYS, [
+        F.max(F.struct(F.when(t.isNotNull(), F.col(sg.POS)).alias("p"), t))["t"].alias("last_t"),
+        F.min(F.struct(F.coalesce(F.when(t.isNotNull(), F.col(sg.POS)), big).alias("p"), t))["t"].alias("fk_t"),
+        F.min(F.when(F.col("_fk") == 1, F.col(sg.POS))).alias("fk_pos"),
+        F.max(F.when(F.col("_fk") == 1, F.col("_rc"))).alias("fk_rc"),
+        F.max_by("is_me", sg.POS).alias("last_me"),
+        F.min_by("is_me", sg.POS).alias("first_me"),
+        F.sum("_ns").alias("s_loc"), F.sum("_nt").alias("u_loc"),
+        F.max(me_int).alias("s_has_me"), F.min(other).alias("s_omin"), F.max(other).alias("s_omax"),
+        F.min("ord").alias("s_first"), F.first(gap).alias("gap"),
+    ])
+    prev, all_ = sg.carry_windows(KEYS)
+    c = (edge.withColumn("c_t", F.last("last_t", ignorenulls=True).over(prev))
+         .withColumn("c_me", F.last("last_me").over(prev))
+         .withColumn("c_has_me", F.max("s_has_me").over(all_))
+         .withColumn("c_omin", F.min("s_omin").over(all_))
+         .withColumn("c_omax", F.max("s_omax").over(all_))
+         .withColumn("c_first", F.min("s_first").over(all_)))
+    corr_s = F.coalesce(F.col("fk_t").isNotNull() & F.col("c_t").isNotNull()
+                        & ((F.col("fk_t") - F.col("c_t")) > F.col("gap")), F.lit(False))
+    c = c.withColumn("corr_s", corr_s.cast("int"))
+    fk_first = F.coalesce(F.col("fk_pos") == 1, F.lit(False))
+    nt_first = ((fk_first & (F.col("corr_s") == 1)) | F.col("c_me").isNull()
+                | (F.col("first_me") != F.col("c_me")))
+    c = (c.withColumn("corr_u1", nt_first.cast("int") - 1)
+         .withColumn("corr_uk", (F.col("fk_pos").isNotNull() & ~fk_first & (F.col("corr_s") == 1)
+                                 & (F.coalesce(F.col("fk_rc"), F.lit(0)) == 0)).cast("int")))
+    c = (c.withColumn("c_sess", F.sum(F.col("s_loc") + F.col("corr_s")).over(prev))
+         .withColumn("c_turn", F.sum(F.col("u_loc") + F.col("corr_u1") + F.col("corr_uk")).over(prev)))
+    carry = c.select(sg.SEG, *KEYS, "corr_s", "corr_u1", "corr_uk", "c_sess", "c_turn",
+                     "c_has_me", "c_omin", "c_omax", "c_first")
+    df = sg.attach_carry(df, carry, KEYS)
     omin = F.coalesce(F.col("c_omin"), F.col("_omin"))
     omax = F.coalesce(F.col("c_omax"), F.col("_omax"))
-    new_sess = (F.col("t").isNotNull() & t_prev.isNotNull()
-                & ((F.col("t") - t_prev) > session_gap_us(F.col("source"))))
-    df = (df.where(F.coalesce(F.col("c_has_me"), F.col("_has_me")) == 1)
-          .withColumn("grp", F.coalesce(omin != omax, F.lit(False)))
-          .withColumn("thread_first", F.coalesce(F.col("c_first"), F.col("_first")))
-          .withColumn("_new_sess", F.coalesce(new_sess, F.lit(False)).cast("int"))
-          .withColumn("_new_turn", (F.col("_new_sess").cast("boolean") | me_prev.isNull()
-                                    | (F.col("is_me") != me_prev)).cast("int")))
-    df = df.drop("_t_prev", "_me_prev", "_has_me", "_omin", "_omax", "_first",
-                 *carry1.columns[len(KEYS) + 1:])
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    df = (df.withColumn("_s", F.sum("_new_sess").over(run))
-          .withColumn("_u", F.sum("_new_turn").over(run)))
-    carry2 = sg.boundary_carry(df, KEYS, [
-        F.sum("_new_sess").alias("s_sess"), F.sum("_new_turn").alias("s_turn")], {
-        "c_sess": lambda prev, all_: F.sum("s_sess").over(prev),
-        "c_turn": lambda prev, all_: F.sum("s_turn").over(prev),
-    })
-    df = sg.attach_carry(df, carry2, KEYS)
-    return (df.withColumn("session_no", (F.col("_s") + F.coalesce(F.col("c_sess"), F.lit(0))).cast("long"))
-            .withColumn("turn_no", (F.col("_u") + F.coalesce(F.col("c_turn"), F.lit(0))).cast("long"))
-            .drop("_s", "_u", "c_sess", "c_turn", "_new_sess", "_new_turn"))
+    after_fk = F.col("_K") == 1
+    z = F.lit(0)
+    session_no = (F.coalesce(F.col("c_sess"), z) + F.col("_S")
+                  + F.when(after_fk, F.coalesce(F.col("corr_s"), z)).otherwise(z))
+    turn_no = (F.coalesce(F.col("c_turn"), z) + F.col("_U") + F.coalesce(F.col("corr_u1"), z)
+               + F.when(after_fk, F.coalesce(F.col("corr_uk"), z)).otherwise(z))
+    out = (df.where(F.coalesce(F.col("c_has_me"), F.col("_has_me")) == 1)
+           .withColumn("grp", F.coalesce(omin != omax, F.lit(False)))
+           .withColumn("thread_first", F.coalesce(F.col("c_first"), F.col("_first")))
+           .withColumn("session_no", session_no.cast("long"))
+           .withColumn("turn_no", turn_no.cast("long")))
+    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in (sg.SEG, sg.POS)],
+                    *carry.columns[len(KEYS) + 1:])
 
 
 def collapse_turns(scanned: DataFrame) -> DataFrame:

@@ -59,23 +59,34 @@ def local_window(keys: list[str], order: list[str]) -> WindowSpec:
     return Window.partitionBy(SEG, *keys).orderBy(*order)
 
 
-def boundary_carry(df: DataFrame, keys: list[str], summary: list[Column],
-                   carry: dict[str, Callable[[WindowSpec, WindowSpec], Column]]) -> DataFrame:
-    """Carry values for the (segment, group) pairs that sit on a segment boundary.
+def boundary_summaries(df: DataFrame, keys: list[str], summary: list[Column]) -> DataFrame:
+    """One summary row per (segment, group) that sits on a segment boundary.
 
-    ``summary`` aggregates one (segment, group); ``carry[name](prev, whole)``
-    combines those summaries over the group's earlier segments (``prev``) or over
-    all of its segments (``whole``). Returns (segment, keys..., carry columns),
-    at most two rows per segment."""
+    ``summary`` aggregates one (segment, group) in the same pass that serves the
+    row-level scan's partitioning (no exchange); whether a group is the first or
+    last of its segment is decided on that summary table, so the rows are read
+    once more and no further. At most two rows per segment remain."""
     summ = df.groupBy(SEG, *keys).agg(*summary)
-    bounds = df.groupBy(SEG).agg(F.min(F.struct(*keys)).alias("_lo"),
-                                 F.max(F.struct(*keys)).alias("_hi"))
     k = F.struct(*[F.col(c) for c in keys])
-    edge = (summ.join(F.broadcast(bounds), SEG)
-            .where((k == F.col("_lo")) | (k == F.col("_hi")))
-            .drop("_lo", "_hi"))
-    prev = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    per_seg = Window.partitionBy(SEG)
+    return (summ.withColumn("_lo", F.min(k).over(per_seg)).withColumn("_hi", F.max(k).over(per_seg))
+            .where((k == F.col("_lo")) | (k == F.col("_hi"))).drop("_lo", "_hi"))
+
+
+def carry_windows(keys: list[str]) -> tuple[WindowSpec, WindowSpec]:
+    """(earlier segments of the group, all segments of the group) over boundary summaries."""
+    return (Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1),
+            Window.partitionBy(*keys))
+
+
+def boundary_carry(df: DataFrame, keys: list[str], summary: list[Column],
+                   carry: dict[str, Callable[[WindowSpec, WindowSpec], Column]]) -> DataFrame:
+    """Carry values for the (segment, group) pairs on a segment boundary:
+    ``carry[name](prev, whole)`` combines the summaries of the group's earlier
+    segments (``prev``) or of all its segments (``whole``). Returns (segment,
+    keys..., carry columns), at most two rows per segment."""
+    edge = boundary_summaries(df, keys, summary)
+    prev, whole = carry_windows(keys)
     return edge.select(SEG, *keys, *[fn(prev, whole).alias(name) for name, fn in carry.items()])
 
 
