@@ -27,7 +27,7 @@ def _msgs(spark, d):
 
 
 def _docs(spark, d):
-    return document_docs(table(spark, d, "documents"))
+    return document_docs(table(spark, d, "documents", True))
 
 
 # --- flagship -----------------------------------------------------------------
@@ -173,7 +173,7 @@ def secrets_suffix(doc_id):
 
 
 def _redact_input(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents", True).select("doc_id", "text")
     return docs.select("doc_id", F.concat(ascii_fold(F.col("text")), secrets_suffix(F.col("doc_id"))).alias("text"))
 
 
@@ -194,7 +194,7 @@ def quote_wrapped(doc_id, text):
 
 
 def q_strip_quotes(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents", True).select("doc_id", "text")
     x = docs.select("doc_id", quote_wrapped(F.col("doc_id"), ascii_fold(F.col("text"))).alias("text"))
     return x.select("doc_id", tx.strip_quotes(F.col("text")).alias("text"))
 
@@ -207,14 +207,14 @@ def messy(text):
 
 
 def q_normalize_text(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents", True).select("doc_id", "text")
     return docs.select("doc_id", tx.normalize(messy(F.col("text"))).alias("text"))
 
 
 def q_fix_mojibake(spark, d):
     """Each document read back as Latin-1 (mojibake) and repaired; the untouched
     text is passed through the repair too (it must come back unchanged)."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents", True).select("doc_id", "text")
     broken = F.decode(F.encode(F.col("text"), "UTF-8"), "ISO-8859-1")
     return docs.select("doc_id", tx.fix_mojibake(broken).alias("repaired"),
                        tx.fix_mojibake(F.col("text")).alias("untouched"))
@@ -265,5 +265,5 @@ def q_loss_spans(spark, d):
 
 def q_html_text(spark, d):
     from lifecorpus.functions.html import html_to_text
-    p = table(spark, d, "pages").select("page_id", "html")
+    p = table(spark, d, "pages", True).select("page_id", "html")
     return p.select("page_id", html_to_text(F.col("html")).alias("text"))

@@ -157,7 +157,7 @@ def doc_output(d: DataFrame) -> DataFrame:
 
 
 def doc_rows(spark: SparkSession, d: str, fold: bool = False) -> DataFrame:
-    x = table(spark, d, "documents").select("doc_id", "lang", "text")
+    x = table(spark, d, "documents", True).select("doc_id", "lang", "text")
     if fold:
         x = x.withColumn("text", ascii_fold(F.col("text")))
     return x.withColumn("ts", F.timestamp_seconds(F.lit(BASE_EPOCH) + F.col("doc_id") * 3600))

@@ -8,6 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Inputs smaller than this are left as they are (spreading them costs more than it gains).
+SPREAD_MIN_BYTES = 1 << 20
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+def _size(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def spread(df: DataFrame, spark: SparkSession, nbytes: int) -> DataFrame:
+    """Text operators are CPU-bound per row. When a table arrives in fewer splits
+    than there are cores (a file written as one row group), spread its rows
+    round-robin first; large inputs already have many splits and are untouched."""
+    cores = spark.sparkContext.defaultParallelism
+    if nbytes >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """``spread_rows`` for narrow, CPU-heavy text work; jobs that shuffle right
+    away (grouping, range segments) get their parallelism from that shuffle."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    return spread(df, spark, _size(spark, path)) if spread_rows else df

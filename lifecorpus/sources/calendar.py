@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lifecorpus.functions.text import py_strip
 from lifecorpus.functions.times import iso
+from lifecorpus.operators.filters import keep_if
 from lifecorpus.schema import SOURCE_RANK, conform_docs, make_ord
 from lifecorpus.sources.common import file_lines, relative, stem
 
@@ -65,7 +66,7 @@ def parse_calendar(raw: DataFrame, root: str = "") -> DataFrame:
         "ev", F.regexp_replace(F.split("value", "END:VEVENT", 2)[0], r"\r?\n[ \t]", ""))
     e = F.col("ev")
     summary = py_strip(F.coalesce(unescape(_prop(e, "SUMMARY")), F.lit("")))
-    x = ev.withColumn("summary", summary).where(F.col("summary") != "")
+    x = keep_if(ev.withColumn("summary", summary), F.col("summary") != "")
     parts = [F.col("summary")]
     for name, label in TEXT_PROPERTIES:
         v = unescape(_prop(e, name))

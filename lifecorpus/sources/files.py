@@ -19,6 +19,7 @@ from pyspark.sql.utils import AnalysisException
 from lifecorpus.functions.html import html_to_text_py
 from lifecorpus.functions.text import normalize, redact
 from lifecorpus.functions.times import iso
+from lifecorpus.operators.filters import keep_if
 from lifecorpus.schema import SOURCE_RANK, conform_docs, make_ord
 from lifecorpus.sources.common import exists_nonempty, file_path, relative
 
@@ -131,7 +132,7 @@ def parse_files(raw: DataFrame, root: str, source: str, authored_by_me: bool, dr
     d = decode(x)
     ok = d.where(F.col("error").isNull())
     text = F.substring(normalize(redact(F.col("text"))), 1, MAX_CHARS)
-    ok = ok.withColumn("text", text).where(F.length("text") >= MIN_DOC_CHARS)
+    ok = keep_if(ok.withColumn("text", text), F.length("text") >= MIN_DOC_CHARS)
     name = F.element_at(F.split("rel", "/"), -1)
     title = F.when(name.rlike(r"[^.]\.[^.]*$"), F.regexp_replace(name, r"\.[^.]*$", "")).otherwise(name)
     return conform_docs(ok.select(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lifecorpus.functions.identity import is_me
 from lifecorpus.functions.text import clean_chat, fix_mojibake
 from lifecorpus.functions.times import iso_epoch
+from lifecorpus.operators.filters import keep_if
 from lifecorpus.schema import SOURCE_RANK, conform_messages, make_ord
 from lifecorpus.settings import Settings
 from lifecorpus.sources.common import relative, stem, whole_files
@@ -75,7 +76,7 @@ def parse_meta_chats(raw: DataFrame, s: Settings, source: str, root: str) -> Dat
     x = th.where((text != "") & ~unsent).select(
         "path", "thread_id", "thread_title", "participants", "i",
         fix_mojibake(text).alias("text"), fix_mojibake(sender).alias("sender"), ts.alias("ts"))
-    x = x.where(~F.col("text").endswith(ATTACHMENT_SUFFIX) & ~F.col("text").contains(REACTION_MARK))
+    x = keep_if(x, ~F.col("text").endswith(ATTACHMENT_SUFFIX) & ~F.col("text").contains(REACTION_MARK))
     return conform_messages(x.select(
         F.lit(source).alias("source"), "thread_id",
         F.when(F.col("ts").isNull(), F.lit("")).otherwise(iso_epoch(F.col("ts"))).alias("timestamp"),

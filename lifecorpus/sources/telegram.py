@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lifecorpus.functions.identity import is_me
 from lifecorpus.functions.text import clean_chat
 from lifecorpus.functions.times import iso_epoch
+from lifecorpus.operators.filters import keep_if
 from lifecorpus.schema import SOURCE_RANK, conform_messages, make_ord
 from lifecorpus.settings import Settings
 from lifecorpus.sources.common import relative, whole_files
@@ -50,7 +51,7 @@ def parse_telegram(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
     m = c.select("path", "me_id", "ci", F.col("chat.id").alias("cid"), F.col("chat.name").alias("cname"),
                  F.posexplode("chat.messages").alias("mi", "m"))
     text = flatten_text(F.col("m.text"))
-    m = m.withColumn("flat", text).where((F.col("m.type") == "message") & (F.col("flat") != ""))
+    m = keep_if(m.withColumn("flat", text), (F.col("m.type") == "message") & (F.col("flat") != ""))
     sender = F.coalesce(F.col("m.from"), F.lit(""))
     unix = F.col("m.date_unixtime")
     ts = F.when(F.coalesce(unix, F.lit("")) != "", iso_epoch(unix.try_cast("long"))) \
