@@ -6,6 +6,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from lifecorpus.operators import conversations, examples, report
+from lifecorpus.session import ensure_checkpoint_dir
 from lifecorpus.settings import Settings
 from lifecorpus.sources import store
 
@@ -34,8 +35,7 @@ def build(spark: SparkSession, processed: str, s: Settings, val_fraction: float
           seed: int = 0) -> tuple[int, int, DataFrame]:
     """Write sft_train/ and sft_val/ JSON lines; returns counts and per-source counts."""
     ex = build_examples(spark, processed, s, val_fraction)
-    ckpt = spark.sparkContext.getCheckpointDir()
-    if ckpt:
-        ex = ex.checkpoint()   # one computation feeds both sinks and the counts
+    ensure_checkpoint_dir(spark)   # the cluster's shared spark.checkpoint.dir
+    ex = ex.checkpoint()           # one computation feeds both sinks and the counts
     n_train, n_val = store.write_sft(ex, processed, seed)
     return n_train, n_val, examples.per_source_counts(ex)
