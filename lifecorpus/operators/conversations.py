@@ -181,57 +181,26 @@ def collapse_turns(scanned: DataFrame) -> DataFrame:
     )
 
 
-def chunk_cuts(turn_list: Column, max_turns: int, max_chars: int) -> Column:
-    """W5 as a fold over a session's (turn_no, is_me, len) list, in order.
-
-    A cut goes before a turn when the open chunk is full (>= max_turns turns, or
-    adding the turn would exceed max_chars) and its last turn is the owner's.
-    Returns the turn numbers that start a new chunk (after the first)."""
-    init = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("size"),
-                    F.lit(None).cast("boolean").alias("last_me"),
-                    F.array().cast("array<long>").alias("cuts"))
-
-    def step(acc, x):
-        cut = ((acc["n"] > 0)
-               & ((acc["n"] >= max_turns) | (acc["size"] + x["len"] > max_chars))
-               & F.coalesce(acc["last_me"], F.lit(False)))
-        return F.struct(
-            F.when(cut, F.lit(1)).otherwise(acc["n"] + 1).alias("n"),
-            F.when(cut, x["len"].cast("long")).otherwise(acc["size"] + x["len"]).alias("size"),
-            x["is_me"].alias("last_me"),
-            F.when(cut, F.concat(acc["cuts"], F.array(x["turn_no"]))).otherwise(acc["cuts"]).alias("cuts"),
-        )
-
-    return F.aggregate(turn_list, init, step, lambda acc: acc["cuts"])
-
-
-def assign_chunks(turns: DataFrame, s: Settings) -> DataFrame:
-    """Chunk number for every turn. Each session is folded over a compact
-    (turn_no, is_me, length) list; chunk ranges are then expanded back to turn
-    numbers and joined to the turn texts on (thread, turn_no)."""
-    tl = F.array_sort(F.collect_list(F.struct(
-        F.col("turn_no"), F.col("is_me"), F.length("text").alias("len"))))
-    sess = turns.groupBy(*KEYS, "session_no").agg(
-        tl.alias("tl"), F.min("first_msg").alias("first_msg"), F.min("thread_first").alias("thread_first"))
-    sess = sess.withColumn("starts", F.concat(F.array(F.col("tl")[0]["turn_no"]),
-                                               chunk_cuts(F.col("tl"), s.max_turns, s.max_chars_per_example)))
-    sess = sess.withColumn("last_turn", F.element_at("tl", -1)["turn_no"])
-    ranges = sess.select(*KEYS, "session_no", "first_msg", "thread_first", "last_turn",
-                         F.posexplode("starts").alias("chunk_no", "start"), "starts")
-    nxt = F.try_element_at(F.col("starts"), (F.col("chunk_no") + 2).cast("int"))
-    ranges = ranges.withColumn("end", F.coalesce(nxt - 1, F.col("last_turn")))
-    cmap = ranges.select(*KEYS, "session_no", "chunk_no", "first_msg", "thread_first",
-                         F.explode(F.sequence("start", "end")).alias("turn_no"))
-    return turns.drop("session_no", "first_msg", "thread_first").join(cmap, [*KEYS, "turn_no"])
+def assign_chunks(turns: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
+    """Chunk number (0-based within the session) for every turn; the
+    chunking automaton runs on range segments (see ``chunking``), so a huge
+    session is spread over many tasks."""
+    from lifecorpus.operators.chunking import assign_chunk_numbers
+    nums = assign_chunk_numbers(turns, s, segments)
+    return turns.join(nums.drop("session_no"), [*KEYS, "turn_no"])
 
 
 def assemble_examples(chunked: DataFrame, others: DataFrame, s: Settings) -> DataFrame:
     """One example per chunk that contains an owner turn, with
     trailing user turns trimmed and a placeholder user turn when the owner starts."""
     ts = F.array_sort(F.collect_list(F.struct("turn_no", "is_me", "text")))
-    ch = chunked.groupBy(*KEYS, "session_no", "chunk_no").agg(
-        ts.alias("ts"), F.min("first_msg").alias("first_msg"), F.min("thread_first").alias("thread_first"))
+    ch = chunked.groupBy(*KEYS, "session_no", "chunk_no").agg(ts.alias("ts"))
     ch = ch.where(F.exists("ts", lambda t: t["is_me"]))
+    # Every chunk carries its session's first message (date, title); a
+    # decomposable min per session, joined at chunk level.
+    sess = chunked.groupBy(*KEYS, "session_no").agg(
+        F.min("first_msg").alias("first_msg"), F.min("thread_first").alias("thread_first"))
+    ch = ch.join(sess, [*KEYS, "session_no"])
     ch = ch.withColumn("ts", F.when(~F.element_at("ts", -1)["is_me"],
                                     F.slice("ts", 1, F.size("ts") - 1)).otherwise(F.col("ts")))
     ch = ch.join(others, KEYS, "left")
@@ -261,5 +230,5 @@ def conversation_examples(msgs: DataFrame, s: Settings, segments: int | None = N
     prepared = prepare_messages(msgs, s)
     scanned = scan_threads(prepared, segments)
     turns = collapse_turns(scanned)
-    chunked = assign_chunks(turns, s)
+    chunked = assign_chunks(turns, s, segments)
     return assemble_examples(chunked, thread_others(prepared), s)
