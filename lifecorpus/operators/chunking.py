@@ -30,31 +30,75 @@ from lifecorpus.settings import Settings
 GROUP = ["source", "thread_id", "session_no"]
 
 
-def _run(is_me: np.ndarray, lens: np.ndarray, n0: np.ndarray, halo: list[int], max_turns: int,
-         max_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Run the chunk automaton over one group from each start state in ``n0``.
-
-    Returns (end states, cut counts, per-row chunk index for the first start
-    state). State 0 means the session starts at the first row."""
-    hl = np.asarray(halo, dtype=np.int64)
-    n = n0.astype(np.int64).copy()
-    size = np.array([hl[max(len(hl) - k, 0):].sum() if k > 0 else 0 for k in n], dtype=np.int64)
-    cuts = np.zeros_like(n)
-    rows = np.empty(len(lens), dtype=np.int64)
-    for i in range(len(lens)):
-        L = int(lens[i])
-        cut = (n > 0) & (~is_me[i]) & ((n >= max_turns) | (size + L > max_chars))
-        grow = ~cut
-        cuts += cut
-        n = np.where(cut, 1, n + 1)
-        size = np.where(grow, size + L, L)
-        rows[i] = cuts[0]
-    return n, cuts, rows
-
-
-TRANSFER = T.StructType([T.StructField(c, T.LongType()) for c in ("_seg",)] + [
-    T.StructField("source", T.StringType()), T.StructField("thread_id", T.StringType()),
-    T.StructField("session_no", T.LongType()),
+def _halo_size(halo, n: int) -> int:
+    if n <= 0 or halo is None:
+        return 0
+    h = list(halo)
+    return int(sum(h[max(len(h) - n, 0):]))
+
+
+def _scan_groups(batches, max_turns: int, max_chars: int, n_states: int | None):
+    """Walk rows sorted by (segment, session, position), one group after the other.
+
+    With ``n_states`` set, run every start state 0..n_states-1 and yield one
+    transfer row per group; otherwise run from the group's carried start state
+    and yield the chunk number of every row."""
+    cur, n, size, cuts, off = None, None, None, None, 0
+    starts = np.arange(n_states, dtype=np.int64) if n_states else None
+    pending = None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        seg = pdf[sg.SEG].to_numpy()
+        src, tid = pdf["source"].to_numpy(), pdf["thread_id"].to_numpy()
+        sess, turn = pdf["session_no"].to_numpy(np.int64), pdf["turn_no"].to_numpy(np.int64)
+        me, lens = pdf["is_me"].to_numpy(bool), pdf["len"].to_numpy(np.int64)
+        c_state, c_chunk, halo = pdf["c_state"].to_numpy(), pdf["c_chunk"].to_numpy(), pdf["halo"].to_numpy()
+        chunk = np.empty(len(pdf), dtype=np.int64)
+        out = []
+        for i in range(len(pdf)):
+            key = (seg[i], src[i], tid[i], sess[i])
+            if key != cur:
+                if n_states and cur is not None:
+                    out.append(pending + (n.tolist(), cuts.tolist()))
+                cur = key
+                if n_states:
+                    n = starts.copy()
+                    size = np.array([_halo_size(halo[i], k) for k in starts], dtype=np.int64)
+                    cuts = np.zeros(n_states, dtype=np.int64)
+                    pending = (int(seg[i]), src[i], tid[i], int(sess[i]))
+                else:
+                    st = c_state[i]
+                    n = 0 if st is None or pd.isna(st) else int(st)
+                    off = 0 if c_chunk[i] is None or pd.isna(c_chunk[i]) else int(c_chunk[i])
+                    size = _halo_size(halo[i], n)
+                    cuts = 0
+            L = int(lens[i])
+            if n_states:
+                cut = (n > 0) & (not me[i]) & ((n >= max_turns) | (size + L > max_chars))
+                cuts += cut
+                n = np.where(cut, 1, n + 1)
+                size = np.where(cut, L, size + L)
+            else:
+                if n > 0 and not me[i] and (n >= max_turns or size + L > max_chars):
+                    cuts, n, size = cuts + 1, 1, L
+                else:
+                    n, size = n + 1, size + L
+                chunk[i] = off + cuts
+        if n_states:
+            if out:
+                yield pd.DataFrame(out, columns=[sg.SEG, "source", "thread_id", "session_no", "t_state", "t_cuts"])
+        else:
+            yield pd.DataFrame({"source": src, "thread_id": tid, "session_no": sess, "turn_no": turn,
+                                "chunk_no": chunk})
+    if n_states and cur is not None:
+        yield pd.DataFrame([pending + (n.tolist(), cuts.tolist())],
+                           columns=[sg.SEG, "source", "thread_id", "session_no", "t_state", "t_cuts"])
+
+
+TRANSFER = T.StructType([
+    T.StructField(sg.SEG, T.IntegerType()), T.StructField("source", T.StringType()),
+    T.StructField("thread_id", T.StringType()), T.StructField("session_no", T.LongType()),
     T.StructField("t_state", T.ArrayType(T.LongType())), T.StructField("t_cuts", T.ArrayType(T.LongType()))])
 
 CHUNKED = T.StructType([T.StructField("source", T.StringType()), T.StructField("thread_id", T.StringType()),
@@ -67,66 +111,47 @@ def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = N
     ``turns`` needs is_me and text (or len)."""
     M, X = s.max_turns, s.max_chars_per_example
     H = M + 1
-    states = np.arange(0, M + 2, dtype=np.int64)
     lens = F.col("len") if "len" in turns.columns else F.length("text").cast("long")
     compact = turns.select(*GROUP, "turn_no", "is_me", lens.alias("len"))
     x = sg.add_segments(compact, GROUP, ["turn_no"], segments)
-
-    # Lengths of the last H turns of every group, for boundary groups only.
-    whole = Window.partitionBy(sg.SEG, *GROUP)
-    tails = (x.withColumn("_mx", F.max(sg.POS).over(whole)).where(F.col(sg.POS) > F.col("_mx") - H)
-             .groupBy(sg.SEG, *GROUP)
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct(sg.POS, "len"))), lambda e: e["len"]).alias("tail")))
-    edge = sg.boundary_summaries(x, GROUP, [F.count(F.lit(1)).alias("n_rows")]).join(tails, [sg.SEG, *GROUP])
+    first_row = F.when(F.col(sg.POS) == 1, F.lit(1))
+    order = [sg.SEG, *GROUP, sg.POS]
+    cols = [sg.SEG, *GROUP, "turn_no", "is_me", "len"]
+
+    # Boundary groups with the lengths of their last H turns (bounded collect).
+    x = x.withColumn("_mx", F.max(sg.POS).over(Window.partitionBy(sg.SEG, *GROUP)))
+    last = F.when(F.col(sg.POS) > F.col("_mx") - H, F.struct(sg.POS, "len"))
+    edge = sg.boundary_summaries(x, GROUP, [
+        F.transform(F.array_sort(F.collect_list(last)), lambda e: e["len"]).alias("tail")])
     prev, _ = sg.carry_windows(GROUP)
     empty = F.array().cast("array<long>")
-    # halo = last H lengths of the session before this segment (a bounded fold)
+
     def last_h(a):
         return F.slice(a, F.greatest(F.size(a) - H + 1, F.lit(1)), H)
 
+    # halo = last H lengths of the session before this segment (a bounded fold)
     edge = edge.withColumn("halo", F.aggregate(F.collect_list("tail").over(prev), empty,
                                                lambda acc, t: last_h(F.concat(acc, t))))
-    edge = edge.withColumn("has_prev", F.count(F.lit(1)).over(prev) > 0)
 
-    # 1. transfer of every boundary group with a successor or predecessor
-    bkeys = edge.select(sg.SEG, *GROUP, "halo")
-    brows = x.join(F.broadcast(bkeys), [sg.SEG, *GROUP])
-
-    def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sg.POS)
-        halo = list(pdf["halo"].iloc[0]) if len(pdf) else []
-        end, cuts, _ = _run(pdf["is_me"].to_numpy(bool), pdf["len"].to_numpy(np.int64), states, halo, M, X)
-        first = pdf.iloc[0]
-        return pd.DataFrame([{sg.SEG: int(first[sg.SEG]), "source": first["source"],
-                              "thread_id": first["thread_id"], "session_no": int(first["session_no"]),
-                              "t_state": end.tolist(), "t_cuts": cuts.tolist()}])
-
-    tr = brows.groupBy(sg.SEG, *GROUP).applyInPandas(transfer, TRANSFER)
+    # 1. transfer of every boundary group, for every start state
+    bkeys = F.broadcast(edge.select(sg.SEG, *GROUP, "halo"))
+    brows = (x.join(bkeys, [sg.SEG, *GROUP])
+             .withColumn("halo", F.when(F.col(sg.POS) == 1, F.col("halo")))
+             .withColumn("c_state", F.lit(None).cast("long")).withColumn("c_chunk", F.lit(None).cast("long"))
+             .select(*cols, sg.POS, "c_state", "c_chunk", "halo").sortWithinPartitions(*order))
+    tr = brows.mapInPandas(lambda it: _scan_groups(it, M, X, M + 2), TRANSFER)
 
     # 2. compose transfers along the session: start state and chunk offset per group
-    c = edge.join(tr, [sg.SEG, *GROUP])
+    c = tr.join(F.broadcast(edge.select(sg.SEG, *GROUP, "halo")), [sg.SEG, *GROUP])
     comp = F.aggregate(
         F.collect_list(F.struct("t_state", "t_cuts")).over(prev),
         F.struct(F.lit(0).cast("long").alias("st"), F.lit(0).cast("long").alias("ck")),
         lambda acc, t: F.struct(F.element_at(t["t_state"], (acc["st"] + 1).cast("int")).alias("st"),
                                 (acc["ck"] + F.element_at(t["t_cuts"], (acc["st"] + 1).cast("int"))).alias("ck")))
     carry = c.withColumn("_c", comp).select(sg.SEG, *GROUP, F.col("_c.st").alias("c_state"),
-                                            F.col("_c.ck").alias("c_chunk"), "halo")
-
-    # 3. one run per group from its start state
-    runs = sg.attach_carry(x, carry, GROUP)
-
-    def number(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sg.POS)
-        st = pdf["c_state"].iloc[0]
-        n0 = 0 if pd.isna(st) else int(st)
-        off = 0 if pd.isna(pdf["c_chunk"].iloc[0]) else int(pdf["c_chunk"].iloc[0])
-        h = pdf["halo"].iloc[0]
-        halo = [] if h is None or (isinstance(h, float) and np.isnan(h)) else list(h)
-        _, _, rows = _run(pdf["is_me"].to_numpy(bool), pdf["len"].to_numpy(np.int64),
-                          np.array([n0], dtype=np.int64), halo, M, X)
-        return pd.DataFrame({"source": pdf["source"], "thread_id": pdf["thread_id"],
-                             "session_no": pdf["session_no"].astype("int64"),
-                             "turn_no": pdf["turn_no"].astype("int64"), "chunk_no": rows + off})
-
-    return runs.groupBy(sg.SEG, *GROUP).applyInPandas(number, CHUNKED)
+                                            F.col("_c.ck").alias("c_chunk"), "halo", F.lit(1).alias("_one"))
+
+    # 3. one pass over every group from its start state (carry on first rows only)
+    runs = (x.withColumn("_one", first_row).join(F.broadcast(carry), [sg.SEG, *GROUP, "_one"], "left")
+            .select(*cols, sg.POS, "c_state", "c_chunk", "halo").sortWithinPartitions(*order))
+    return runs.mapInPandas(lambda it: _scan_groups(it, M, X, None), CHUNKED)
