@@ -190,20 +190,28 @@ def assign_chunks(turns: DataFrame, s: Settings, segments: int | None = None) ->
     return turns.join(nums.drop("session_no"), [*KEYS, "turn_no"])
 
 
-def assemble_examples(chunked: DataFrame, others: DataFrame, s: Settings) -> DataFrame:
+def chunk_info(turns: DataFrame, others: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
+    """Compact per-turn map: chunk number plus what every chunk of the session
+    shares (W8: the session's first message; the thread's first-seen order and
+    other speakers). All joins here are on small rows, not on texts."""
+    from lifecorpus.operators.chunking import assign_chunk_numbers
+    nums = assign_chunk_numbers(turns, s, segments)
+    sess = turns.groupBy(*KEYS, "session_no").agg(
+        F.min("first_msg").alias("first_msg"), F.min("thread_first").alias("thread_first"))
+    return nums.join(sess, [*KEYS, "session_no"]).join(others, KEYS, "left")
+
+
+def assemble_examples(chunked: DataFrame, s: Settings) -> DataFrame:
     """One example per chunk that contains an owner turn, with
-    trailing user turns trimmed and a placeholder user turn when the owner starts."""
+    trailing user turns trimmed and a placeholder user turn when the owner starts.
+    ``chunked``: turns with chunk_no, first_msg, thread_first and others."""
     ts = F.array_sort(F.collect_list(F.struct("turn_no", "is_me", "text")))
-    ch = chunked.groupBy(*KEYS, "session_no", "chunk_no").agg(ts.alias("ts"))
+    ch = chunked.groupBy(*KEYS, "session_no", "chunk_no").agg(
+        ts.alias("ts"), F.first("first_msg").alias("first_msg"), F.first("thread_first").alias("thread_first"),
+        F.first("others").alias("others"))
     ch = ch.where(F.exists("ts", lambda t: t["is_me"]))
-    # Every chunk carries its session's first message (date, title); a
-    # decomposable min per session, joined at chunk level.
-    sess = chunked.groupBy(*KEYS, "session_no").agg(
-        F.min("first_msg").alias("first_msg"), F.min("thread_first").alias("thread_first"))
-    ch = ch.join(sess, [*KEYS, "session_no"])
     ch = ch.withColumn("ts", F.when(~F.element_at("ts", -1)["is_me"],
                                     F.slice("ts", 1, F.size("ts") - 1)).otherwise(F.col("ts")))
-    ch = ch.join(others, KEYS, "left")
     title = F.col("first_msg")["thread_title"]
     topic = F.when((F.col("source") == "gmail") & (F.coalesce(title, F.lit("")) != ""),
                    F.concat(F.lit(' Subject: "'), title, F.lit('"'))).otherwise(F.lit(""))
@@ -226,9 +234,16 @@ def assemble_examples(chunked: DataFrame, others: DataFrame, s: Settings) -> Dat
 
 
 def conversation_examples(msgs: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
-    """Messages -> chat examples (source, example_key, messages, priority)."""
+    """Messages -> chat examples (source, example_key, messages, priority).
+
+    Text moves through three shuffles: the thread segments, the turn
+    aggregation and the chunk aggregation (the turn texts are kept, and the chunk
+    map is joined to them on their own partitioning)."""
     prepared = prepare_messages(msgs, s)
     scanned = scan_threads(prepared, segments)
-    turns = collapse_turns(scanned)
-    chunked = assign_chunks(turns, s, segments)
-    return assemble_examples(chunked, thread_others(prepared), s)
+    # turns feed both the chunk numbering and the chunk assembly: keep them
+    # rather than repeat the thread scan and the text shuffle
+    turns = sg.keep(collapse_turns(scanned))
+    info = chunk_info(turns, thread_others(prepared), s, segments)
+    chunked = turns.select(*KEYS, "turn_no", "is_me", "text").join(info, [*KEYS, "turn_no"])
+    return assemble_examples(chunked, s)

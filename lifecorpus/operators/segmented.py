@@ -46,6 +46,14 @@ def add_segments(df: DataFrame, keys: list[str], order: list[str], n: int | None
     return out
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persist an intermediate that several branches consume (released with
+    the segment tables by ``release``)."""
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
 def release(spark=None) -> int:
     """Unpersist the segment tables built so far (call after the job's action)."""
     n = 0
