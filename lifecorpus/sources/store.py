@@ -53,8 +53,11 @@ def write_table(spark: SparkSession, df: DataFrame, path: str, only: list[str] |
         df.write.mode("overwrite").partitionBy("source").parquet(path)
         return
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy("source").parquet(path)
-    present = {r.source for r in df.select("source").distinct().collect()}  # <= number of sources
+    # the sources present are observed while writing (a set bounded by the registry)
+    obs = Observation("sources")
+    df.observe(obs, F.collect_set("source").alias("present")) \
+        .write.mode("overwrite").partitionBy("source").parquet(path)
+    present = set(obs.get["present"])
     fs, _ = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     for src in owned_sources(only):
