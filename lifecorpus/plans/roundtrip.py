@@ -19,7 +19,7 @@ def message_output(m: DataFrame) -> DataFrame:
 
 def chat_turns(spark: SparkSession, d: str, fold: bool = True) -> DataFrame:
     """Non-system conversation turns with sender, time and (by default ASCII-folded) text."""
-    c = table(spark, d, "conversations").where(F.col("role") != "system")
+    c = table(spark, d, "conversations", True).where(F.col("role") != "system")
     secs = F.lit(BASE_EPOCH) + F.col("conv_id") * 86400 + F.col("turn") * 420 + F.floor(F.col("turn") / 3) * 18000
     sender = F.when(F.col("role") == "assistant", F.lit(OWNER.name)) \
         .when(F.col("turn") % 4 == 0, F.lit("Ana")).otherwise(F.lit("Ben"))
