@@ -132,6 +132,8 @@ def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = N
     # halo = last H lengths of the session before this segment (a bounded fold)
     edge = edge.withColumn("halo", F.aggregate(F.collect_list("tail").over(prev), empty,
                                                lambda acc, t: last_h(F.concat(acc, t))))
+    # small (<= 2 rows per segment) and read by two joins: kept, not recomputed
+    edge = sg.keep(edge)
 
     # 1. transfer of every boundary group, for every start state
     bkeys = F.broadcast(edge.select(sg.SEG, *GROUP, "halo"))

@@ -113,9 +113,12 @@ def parse_whatsapp(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
         F.max(F.when(hdr, F.regexp_extract("line", HEADER_RE, 3))).alias("sender_raw"),
         F.min(F.struct("block", "pos", "sub")).alias("first"))
     msgs = msgs.withColumn("sender", F.trim(F.col("sender_raw"), F.lit(SENDER_STRIP)))
-    # A10: participants = sorted distinct senders of the file, before system lines go.
-    parts = msgs.select("path", "sender").distinct().groupBy("path") \
-        .agg(F.array_sort(F.collect_list("sender")).alias("participants"))
+    # A10: participants = sorted distinct senders of the file, before system
+    # lines go; taken from the header lines (distinct, combined map-side) so
+    # the per-message texts are aggregated only once.
+    senders = numbered.where(hdr).select(
+        "path", F.trim(F.regexp_extract("line", HEADER_RE, 3), F.lit(SENDER_STRIP)).alias("sender")).distinct()
+    parts = senders.groupBy("path").agg(F.array_sort(F.collect_list("sender")).alias("participants"))
     system = reduce(lambda a, b: a | b, [F.col("text").contains(x) for x in SYSTEM])
     msgs = msgs.where(~system).join(parts, "path")
     thread = stem(F.col("path"))
