@@ -10,6 +10,7 @@ from lifecorpus.functions import text as tx
 from lifecorpus.functions.hashing import md5_mod_1000
 from lifecorpus.functions.times import iso, parse_iso_micros
 from lifecorpus.operators import chatml, conversations as cv, examples as exm, report
+from lifecorpus.operators import segmented as sg
 from lifecorpus.operators.lifelog import daily_rollup
 from lifecorpus.operators.sessions import number_sessions
 from lifecorpus.plans.adapters import OWNER, conversation_messages, document_docs
@@ -94,7 +95,7 @@ def q_collapse_turns(spark, d):
 
 def q_chunk_turns(spark, d):
     s = SMALL_CHUNKS
-    ch = cv.assign_chunks(_turns(spark, d, s), s)
+    ch = cv.assign_chunks(sg.keep(_turns(spark, d, s)), s)
     ts = F.array_sort(F.collect_list(F.struct("turn_no", "is_me", F.length("text").alias("len"))))
     g = ch.groupBy("source", "thread_id", "session_no", "chunk_no").agg(ts.alias("ts"))
     last_me = F.element_at("ts", -1)["is_me"]
