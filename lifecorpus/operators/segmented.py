@@ -22,10 +22,6 @@ POS = "_pos"
 _PERSISTED: list[DataFrame] = []
 
 
-def segment_count(df: DataFrame, n: int | None = None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def add_segments(df: DataFrame, keys: list[str], order: list[str], n: int | None = None) -> DataFrame:
@@ -38,8 +34,11 @@ def add_segments(df: DataFrame, keys: list[str], order: list[str], n: int | None
     would sample with another seed and draw other bounds, so the branches share
     this one materialisation instead. Blocks lost with an executor are rebuilt
     through the same shuffle dependency, hence with the same bounds."""
-    n = segment_count(df, n)
-    out = df.repartitionByRange(n, *keys, *order).withColumn(SEG, F.spark_partition_id())
+    # Without an explicit count the range exchange is sized by adaptive
+    # execution (spark.sql.adaptive.advisoryPartitionSizeInBytes): adjacent ranges
+    # are merged, which keeps every segment a contiguous range.
+    ranged = df.repartitionByRange(n, *keys, *order) if n else df.repartitionByRange(*keys, *order)
+    out = ranged.withColumn(SEG, F.spark_partition_id())
     w = Window.partitionBy(SEG, *keys).orderBy(*order)
     out = out.withColumn(POS, F.row_number().over(w)).persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(out)
