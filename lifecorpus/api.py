@@ -5,14 +5,17 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lifecorpus.operators import conversations, examples, report
+from lifecorpus.operators import conversations, examples, report, segmented
 from lifecorpus.session import ensure_checkpoint_dir
 from lifecorpus.settings import Settings
 from lifecorpus.sources import store
 
 
 def ingest(spark: SparkSession, raw_root: str, processed: str, s: Settings, only: list[str] | None = None):
-    return store.ingest(spark, raw_root, processed, s, only)
+    try:
+        return store.ingest(spark, raw_root, processed, s, only)
+    finally:
+        segmented.release()
 
 
 def stats(spark: SparkSession, processed: str) -> dict[str, DataFrame]:
@@ -37,5 +40,6 @@ def build(spark: SparkSession, processed: str, s: Settings, val_fraction: float
     ex = build_examples(spark, processed, s, val_fraction)
     ensure_checkpoint_dir(spark)   # the cluster's shared spark.checkpoint.dir
     ex = ex.checkpoint()           # one computation feeds both sinks and the counts
+    segmented.release()            # the checkpoint holds the examples now
     n_train, n_val = store.write_sft(ex, processed, seed)
     return n_train, n_val, examples.per_source_counts(ex)
