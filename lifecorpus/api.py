@@ -1,7 +1,6 @@
 """The three data commands of the reference as functions: ingest, stats, build."""
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 

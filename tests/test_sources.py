@@ -7,7 +7,6 @@ import os
 import zipfile
 from pathlib import Path
 
-import pytest
 
 from lifecorpus.sources import calendar, commits, files, lifelog, mail, meta_chats, social, whatsapp
 from lifecorpus.sources.registry import run_sources
