@@ -42,6 +42,10 @@ def main():
         run_once(spark, QUERIES[n], sf_dir)
         out[n] = round(statistics.median(run_once(spark, QUERIES[n], sf_dir) for _ in range(runs)), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     print(json.dumps({"metric": "total_median_sec", "value": round(sum(out.values()), 3), "unit": "sec",
                       "queries": out, "sf": sf, "cpus": cpus, "runs": runs}))
 
