@@ -244,6 +244,7 @@ def conversation_examples(msgs: DataFrame, s: Settings, segments: int | None = N
     # turns feed both the chunk numbering and the chunk assembly: keep them
     # rather than repeat the thread scan and the text shuffle
     turns = sg.keep(collapse_turns(scanned))
-    info = chunk_info(turns, thread_others(prepared), s, segments)
+    # other speakers from the scanned rows (cached), not a second read of the source
+    info = chunk_info(turns, thread_others(scanned), s, segments)
     chunked = turns.select(*KEYS, "turn_no", "is_me", "text").join(info, [*KEYS, "turn_no"])
     return assemble_examples(chunked, s)
