@@ -178,9 +178,19 @@ def collapse_turns(scanned: DataFrame) -> DataFrame:
         F.min(F.struct(F.col(sg.SEG), F.col(sg.POS), F.col("timestamp"), F.col("thread_title"))
               ).alias("first_msg"),
         F.min("thread_first").alias("thread_first"),
+        F.array_sort(F.collect_set(F.when(~F.col("is_me"), F.col("sender")))).alias("senders"),
     )
 
 
+def others_from_turns(turns: DataFrame, limit: int = PROMPT_OTHERS) -> DataFrame:
+    """A1 from collapsed turns (each carries its distinct non-owner senders):
+    the thread's first ``limit`` sorted distinct other speakers."""
+    pairs = turns.where(~F.col("is_me")).select(*KEYS, F.explode("senders").alias("sender")).distinct()
+    w = Window.partitionBy(*KEYS).orderBy("sender")
+    pairs = pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit)
+    return pairs.groupBy(*KEYS).agg(F.array_sort(F.collect_list("sender")).alias("others"))
+
+
 def assign_chunks(turns: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
     """Chunk number (0-based within the session) for every turn; the
     chunking automaton runs on range segments (see ``chunking``), so a huge
@@ -244,7 +254,7 @@ def conversation_examples(msgs: DataFrame, s: Settings, segments: int | None = N
     # turns feed both the chunk numbering and the chunk assembly: keep them
     # rather than repeat the thread scan and the text shuffle
     turns = sg.keep(collapse_turns(scanned))
-    # other speakers from the scanned rows (cached), not a second read of the source
-    info = chunk_info(turns, thread_others(scanned), s, segments)
+    # other speakers from the kept turns: no second read of the source or the scan
+    info = chunk_info(turns, others_from_turns(turns), s, segments)
     chunked = turns.select(*KEYS, "turn_no", "is_me", "text").join(info, [*KEYS, "turn_no"])
     return assemble_examples(chunked, s)
