@@ -133,7 +133,7 @@ def links(fps: DataFrame, most: int) -> DataFrame:
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
             most: int = 3) -> DataFrame:
-    """One row per document: doc_id, fp (signed long), component_id."""
+    """One row per document: doc_id, fp (signed long), component_id, root (the component's smallest fp)."""
     prepare(docs.sparkSession)
     rows = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
@@ -141,8 +141,8 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     known = (nodes.join(roots, nodes["fp"] == roots["node"], "left")
              .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))).checkpoint()
     smallest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    table = known.join(smallest, "root").select("fp", "component_id")
-    return rows.join(table, "fp").select("doc_id", "fp", "component_id")
+    table = known.join(smallest, "root").select("fp", "component_id", "root")
+    return rows.join(table, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def with_hex(found: DataFrame) -> DataFrame:
@@ -160,6 +160,7 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = classes(docs, id_col=id_col, text_col=text_col, **how)
     ids = stored(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max((F.col("doc_id") == F.col("component_id"))
                                              .cast("int")).alias("stays")), "simhash-stays")
+    nameless = found.where("component_id is null").groupBy("fp").agg(F.min("root").alias("root")).checkpoint()
     rows = docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(id_col).alias("doc_id"))
     drop = ids.where("n > 1 or stays is null or stays = 0").select("doc_id")
     out = rows.join(bounded(drop), rows["doc_id"].eqNullSafe(drop["doc_id"]), "left_anti").select("row")
@@ -167,4 +168,9 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     if (n := several.count()):
         more = rows.join(bounded(several, n), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row"))
         out = out.unionByName(more.select("row"))
+    if (n := nameless.count()):
+        own = F.pandas_udf(lambda s: s.map(lambda t: int(np.uint64(fingerprint(t, how.get("shingle", 3))).astype(np.int64))), "long")
+        lost = rows.where("doc_id is null").select("row", own(F.coalesce(F.col("row")[text_col], F.lit(""))).alias("fp"))
+        one = lost.join(bounded(nameless, n), "fp").groupBy("root").agg(F.min("row").alias("row"))
+        out = out.unionByName(one.select("row"))
     return out.select(*[F.col("row")[c].alias(c) for c in names])
