@@ -10,9 +10,10 @@ Copies never meet as pairs. Documents of one fingerprint are one node. Under a
 variant with two fingerprints the pair is checked at once. Under one with more, each
 is checked against the smallest, which makes a star; components of these links are
 formed, and then only fingerprints of one variant that are still in different
-components are compared, after the other segment has been cut and indexed in the
-same way (two halves of 16 bits, one within a bit). A pair in one component needs no
-comparison: nothing is added by its link. So no link between components is lost.
+components are compared. Where a variant still has more than ``CUT_AGAIN``, their other
+segment is first cut and indexed in the same way (two halves of 16 bits, one within a
+bit). A pair in one component needs no comparison: nothing is added by its link. So no
+link between components is lost.
 
 Words are runs of anything but space and tab to carriage return, shingles are
 ``shingle`` words with repeats, and a bit is set if it is set in over half of the
@@ -38,6 +39,8 @@ from lifecorpus.llm.components import components
 
 SEED = 42
 SEGMENT = 32
+#: Fingerprints still to be compared under one variant beyond which their other segment is indexed as well.
+CUT_AGAIN = 64
 #: Bytes of words hashed at once: bounds the memory of a very long text.
 BLOCK = 1 << 18
 SPREAD = np.array([[(v >> (7 - k)) & 1 for k in range(8)] for v in range(256)], dtype=np.int64)
@@ -121,13 +124,16 @@ def links(fps: DataFrame, most: int) -> DataFrame:
     roots = components(first)
     joined = (members.select("key", "fp").join(roots, members["fp"] == roots["node"], "left")
               .select("key", "fp", F.coalesce("root", "fp").alias("root")))
-    split = joined.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
-    fine = (joined.join(split, "key").select("key", "fp", "root", F.explode(_other_half_variants()).alias("sub"))).checkpoint()
-    apart = fine.groupBy("key", "sub").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
-    fine = fine.join(apart.select("key", "sub"), ["key", "sub"])
+    split = (joined.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
+             .where("r0 != r1").select("key", "n"))
+    open_ = joined.join(split, "key").checkpoint()
+    whole = open_.where(F.col("n") <= CUT_AGAIN).select("key", F.lit(0).cast("long").alias("sub"), "fp", "root")
+    cut = open_.where(F.col("n") > CUT_AGAIN).select("key", F.explode(_other_half_variants()).alias("sub"), "fp", "root")
+    fine = whole.unionByName(cut)
     left = fine.select("key", "sub", F.col("fp").alias("a"), F.col("root").alias("ra"))
-    right = fine.select("key", "sub", F.col("fp").alias("b"), F.col("root").alias("rb"))
-    late = left.join(right, ["key", "sub"]).where((F.col("ra") < F.col("rb")) & close).select("a", "b").distinct()
+    right = fine.select(F.col("key").alias("k"), F.col("sub").alias("s"), F.col("fp").alias("b"), F.col("root").alias("rb"))
+    near = (F.col("key") == F.col("k")) & (F.col("sub") == F.col("s")) & (F.col("ra") < F.col("rb")) & close
+    late = left.join(right, near).select("a", "b").distinct()
     return first.unionByName(late)
 
 

@@ -692,3 +692,9 @@ def test_word_blocks_cut_no_word():
     data = b" aa bbb\x0bcc\x1cd  " + b"e" * 50 + b" f"
     for size in (1, 3, 10, 1000):
         assert [w for b in common.word_blocks(data, size) for w in b] == [w.encode() for w in words(data.decode())]
+
+
+@pytest.mark.parametrize("cut_again", [2, 1000])
+def test_large_variants_are_cut_again(spark, monkeypatch, cut_again):
+    monkeypatch.setattr(simhash, "CUT_AGAIN", cut_again)
+    test_links_join_what_brute_force_joins(spark)
