@@ -143,7 +143,8 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     prepare(docs.sparkSession)
     rows = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(nodes.select("fp").checkpoint(), most)).checkpoint()
+    spread = nodes.select("fp").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    roots = components(links(spread.checkpoint(), most)).checkpoint()
     known = (nodes.join(roots, nodes["fp"] == roots["node"], "left")
              .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))).checkpoint()
     smallest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
