@@ -100,10 +100,26 @@ class Vocabulary:
         return len(self.counts)
 
 
+def common_words(counts: DataFrame) -> list[tuple[bytes, int, int]]:
+    """(word, tail, c) of the words that occur at least so often that no more than COMMON do.
+
+    The level is found on the number of words by count, so no task sends more than its share."""
+    level, total = None, 0
+    for r in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(COMMON).collect():
+        total += r["n"]
+        if total > COMMON:
+            break
+        level = r["c"]
+    if level is None:
+        return []
+    rows = counts.where(F.col("c") >= level).select("word", "tail", "c").collect()
+    return sorted(((bytes(r["word"]), r["tail"], r["c"]) for r in rows), key=lambda x: (-x[2], x[0]))
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """Collects COMMON words and one sum per tail class."""
+    """Collects up to COMMON words and one sum per tail class."""
     sums = {r["tail"]: r for r in counts.groupBy("tail").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    top = [(bytes(r["word"]), r["tail"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(COMMON).collect()]
+    top = common_words(counts)
     end = next((c for w, _, c in top if w == END), 0)
     if not end and sums:
         end = counts.where(F.col("word") == F.lit(END)).agg(F.sum("c")).first()[0] or 0
