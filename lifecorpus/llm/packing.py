@@ -45,6 +45,12 @@ SPACE_BEFORE_SPACE = re.compile(r"\s(?:\s|\Z)")
 LOOK_AHEAD = r"|\s+(?!\S)"
 
 
+def id_type(ranks: bytes) -> np.dtype:
+    """The narrowest unsigned integers that hold the vocabulary's ids (``ranks``: token and id a line)."""
+    most = max(int(line.rpartition(b" ")[2]) for line in ranks.splitlines() if line)
+    return np.dtype("<u2") if most < 1 << 16 else np.dtype("<u4")
+
+
 class Encoder:
     """Texts to ids, packed as little-endian integers of ``dtype``."""
 
@@ -56,7 +62,7 @@ class Encoder:
         # matches; without it the pattern is a plain automaton, twice as fast
         self.plain = tiktoken.Encoding("plain", pat_str=pattern.replace(LOOK_AHEAD, ""), mergeable_ranks=table,
                                        special_tokens={})
-        self.dtype = np.dtype("<u2") if max(table.values()) < 1 << 16 else np.dtype("<u4")
+        self.dtype = id_type(ranks)
 
     def encode(self, text: str) -> bytes:
         how = self.full if SPACE_BEFORE_SPACE.search(text) else self.plain
@@ -125,7 +131,7 @@ def tokens(docs: DataFrame, ranks: bytes, pattern: str, end_id: int, id_col: str
         queue = F.concat(F.lit("#"), F.pmod(F.xxhash64(queue), F.lit(MOST_QUEUES)).cast("string"))
     src = docs.select(col(id_col).alias("doc_id"), queue.alias("queue"), col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    dtype = Encoder(ranks, pattern).dtype
+    dtype = id_type(ranks)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
