@@ -1,5 +1,5 @@
 """Daily lifelog rollup (S10, A9): one Doc per day listing, per activity kind
-in first-seen order, the first 60 distinct items joined by '; '."""
+in first-seen order, its distinct items joined by '; ' (all of them, or the first ``max_items``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
@@ -7,22 +7,17 @@ from pyspark.sql import functions as F
 
 from lifecorpus.schema import conform_docs, make_ord
 
-# ---------------------------------------------------------------------------
-# FIXED VALUES (must equal the reference)
-MAX_ITEMS_PER_KIND = 60
-# End of fixed values
-# ---------------------------------------------------------------------------
 
-
-def daily_rollup(feed: DataFrame, rank: int = 3) -> DataFrame:
+def daily_rollup(feed: DataFrame, rank: int = 3, max_items: int | None = None) -> DataFrame:
     """feed: (day string, kind string, item string, seq) with seq the feed order.
 
     Distinct (day, kind, item) keep their first seq (pre-aggregated map-side);
-    the 60-item cap is a rank limit applied per partition before the shuffle;
-    a day's text is assembled from at most 60 items per kind."""
+    nothing is cut by default. With ``max_items`` a rank limit, applied per
+    partition before the shuffle, keeps that many items per day and kind."""
     first = feed.groupBy("day", "kind", "item").agg(F.min("seq").alias("seq"))
     w = Window.partitionBy("day", "kind").orderBy("seq", "item")
-    capped = first.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= MAX_ITEMS_PER_KIND)
+    capped = first if max_items is None else (
+        first.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_items))
     kinds = capped.groupBy("day", "kind").agg(
         F.min("seq").alias("kseq"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "item"))),

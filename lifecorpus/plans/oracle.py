@@ -327,7 +327,7 @@ SQL["lifelog_daily"] = """
 WITH f AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS kind, props AS item, event_id AS seq FROM events),
 d AS (SELECT day, kind, item, min(seq) AS seq FROM f GROUP BY day, kind, item),
 r AS (SELECT *, row_number() OVER (PARTITION BY day, kind ORDER BY seq, item) AS rn FROM d),
-k AS (SELECT day, kind, min(seq) AS kseq, string_agg(item, '; ' ORDER BY seq) AS items FROM r WHERE rn <= 60
+k AS (SELECT day, kind, min(seq) AS kseq, string_agg(item, '; ' ORDER BY seq) AS items FROM r
       GROUP BY day, kind)
 SELECT day AS doc_id, day || 'T00:00:00+00:00' AS timestamp, 'Activity on ' || day AS title,
        string_agg(kind || ': ' || items, chr(10) ORDER BY kseq) AS text
@@ -570,7 +570,7 @@ f AS (SELECT strftime(ts, '%Y-%m-%d') AS day,
              props AS item, feed, user_id, idx FROM e),
 d AS (SELECT day, kind, item, min((feed, user_id, idx)) AS seq FROM f GROUP BY day, kind, item),
 r AS (SELECT *, row_number() OVER (PARTITION BY day, kind ORDER BY seq, item) AS rn FROM d),
-k AS (SELECT day, kind, min(seq) AS kseq, string_agg(item, '; ' ORDER BY seq) AS items FROM r WHERE rn <= 60
+k AS (SELECT day, kind, min(seq) AS kseq, string_agg(item, '; ' ORDER BY seq) AS items FROM r
       GROUP BY day, kind)
 SELECT day AS doc_id, day || 'T00:00:00+00:00' AS timestamp, 'Activity on ' || day AS title,
        string_agg(kind || ': ' || items, chr(10) ORDER BY kseq) AS text

@@ -18,6 +18,7 @@ ORD = T.StructType([
     T.StructField("path", T.ArrayType(T.StringType())),
     T.StructField("block", T.LongType()),
     T.StructField("pos", T.LongType()),
+    T.StructField("sub", T.LongType()),
 ])
 
 MESSAGE = T.StructType([
@@ -65,13 +66,14 @@ SOURCE_RANK = {
 
 
 def make_ord(rank: int | Column, path: Column | None = None, block: Column | None = None,
-             pos: Column | None = None) -> Column:
+             pos: Column | None = None, sub: Column | None = None) -> Column:
     rank_c = rank if isinstance(rank, Column) else F.lit(rank)
     return F.struct(
         rank_c.cast("int").alias("src_rank"),
         (path if path is not None else F.array().cast("array<string>")).alias("path"),
         (block if block is not None else F.lit(0)).cast("long").alias("block"),
         (pos if pos is not None else F.lit(0)).cast("long").alias("pos"),
+        (sub if sub is not None else F.lit(0)).cast("long").alias("sub"),
     )
 
 

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,12 +42,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (spark.checkpoint.dir).
 
-    On a cluster this is set by the deployment and is only read here. A local
-    folder is chosen solely when the setting is absent (local tests)."""
+    On a cluster this is set by the deployment and is only read here; without
+    it the job is refused, since executors share no local folder. Only a local
+    master, where driver and executors are one process, gets a folder of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="lifecorpus-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -1,7 +1,7 @@
 """Owner identity and build limits (driver-side settings, no data work)."""
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -13,7 +13,8 @@ class Settings:
     min_chars: int = 2
     context_messages: int = 12
     max_chars_per_example: int = 6000
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    max_doc_chars: int | None = None  # None: whole documents
+    max_lifelog_items: int | None = None  # None: all items of a day
 
     @staticmethod
     def make(name: str, emails=(), names=(), skip_senders=(), **kw) -> "Settings":

@@ -21,17 +21,22 @@ def read_commits(spark: SparkSession, root: str) -> DataFrame:
     return file_lines(spark, root, "*.gitlog", line_sep=RECORD_SEP)
 
 
-def parse_commits(raw: DataFrame, root: str = "") -> DataFrame:
+def parse_commits(raw: DataFrame, root: str = "", s=None) -> DataFrame:
+    """Records of hash, date and message, or of hash, date, author's address and message;
+    of the latter only the owner's are kept (all of them without settings)."""
     parts = F.split(py_strip(F.col("value")), FIELD_SEP, -1)
-    x = raw.withColumn("p", parts).where((F.size("p") == 3) & (py_strip(F.col("p")[2]) != ""))
+    x = raw.withColumn("p", parts).where(F.size("p").isin(3, 4))
+    x = x.withColumn("message", F.element_at("p", -1)).where(py_strip("message") != "")
+    if s is not None:
+        x = x.where((F.size("p") == 3) | F.lower(py_strip(F.col("p")[2])).isin(list(s.emails)))
     repo = stem(F.col("path"))
     rel = relative(F.col("path"), root) if root else F.col("path")
     return conform_docs(x.select(
         F.lit("git").alias("source"), F.col("p")[0].alias("doc_id"), F.col("p")[1].alias("timestamp"),
-        F.concat(F.lit("Commit in "), repo).alias("title"), py_strip(F.col("p")[2]).alias("text"),
+        F.concat(F.lit("Commit in "), repo).alias("title"), py_strip(F.col("message")).alias("text"),
         F.lit(True).alias("authored_by_me"), F.create_map(F.lit("repo"), repo).alias("meta"),
         make_ord(SOURCE_RANK["git"], F.split(rel, "/"), F.col("block"), F.col("pos")).alias("ord")))
 
 
 def ingest_commits(spark: SparkSession, root: str, s=None) -> DataFrame:
-    return parse_commits(read_commits(spark, root), root)
+    return parse_commits(read_commits(spark, root), root, s)

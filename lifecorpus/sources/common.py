@@ -28,7 +28,7 @@ def file_path() -> Column:
 
 def relative(path: Column, root: str) -> Column:
     root = root.rstrip("/") + "/"
-    return F.when(path.startswith(root), F.substring(path, len(root) + 1, 1 << 30)).otherwise(path)
+    return F.when(path.startswith(root), F.substr(path, F.lit(len(root) + 1))).otherwise(path)
 
 
 def stem(path: Column) -> Column:

@@ -28,7 +28,6 @@ from lifecorpus.sources.common import exists_nonempty, file_path, relative
 TEXT_SUFFIXES = [".txt", ".md", ".markdown", ".org", ".csv"]
 HTML_SUFFIXES = [".html", ".htm"]
 DOCX_SUFFIX = ".docx"
-MAX_CHARS = 200_000
 MIN_DOC_CHARS = 20
 DRIVE_DIRS = ["drive", "dysk"]
 # End of fixed values
@@ -117,9 +116,11 @@ def _visible(rel: Column) -> Column:
     return ~F.exists(F.split(rel, "/"), lambda p: p.startswith("."))
 
 
-def parse_files(raw: DataFrame, root: str, source: str, authored_by_me: bool, drive: bool = False) -> DataFrame:
+def parse_files(raw: DataFrame, root: str, source: str, authored_by_me: bool, drive: bool = False,
+                max_chars: int | None = None) -> DataFrame:
     """raw: (path, modificationTime, content). For Drive, only files below a
-    folder named drive/dysk count, relative to the outermost such folder."""
+    folder named drive/dysk count, relative to the outermost such folder. Texts
+    are kept whole unless ``max_chars`` is given."""
     rel = relative(F.col("path"), root)
     x = raw.withColumn("rel", rel).where(_visible(F.col("rel")))
     if drive:
@@ -131,7 +132,8 @@ def parse_files(raw: DataFrame, root: str, source: str, authored_by_me: bool, dr
                                                     F.size(F.split("rel", "/"))), "/")).drop("_i")
     d = decode(x)
     ok = d.where(F.col("error").isNull())
-    text = F.substring(normalize(redact(F.col("text"))), 1, MAX_CHARS)
+    text = normalize(redact(F.col("text")))
+    text = text if max_chars is None else F.substring(text, 1, max_chars)
     ok = keep_if(ok.withColumn("text", text), F.length("text") >= MIN_DOC_CHARS)
     name = F.element_at(F.split("rel", "/"), -1)
     title = F.when(name.rlike(r"[^.]\.[^.]*$"), F.regexp_replace(name, r"\.[^.]*$", "")).otherwise(name)
@@ -147,8 +149,10 @@ def rejects(raw: DataFrame) -> DataFrame:
 
 
 def ingest_notes(spark: SparkSession, root: str, s=None) -> DataFrame:
-    return parse_files(read_files(spark, root), root, "notes", True)
+    return parse_files(read_files(spark, root), root, "notes", True,
+                       max_chars=s.max_doc_chars if s else None)
 
 
 def ingest_drive(spark: SparkSession, root: str, s=None) -> DataFrame:
-    return parse_files(read_files(spark, root), root, "drive", False, drive=True)
+    return parse_files(read_files(spark, root), root, "drive", False, drive=True,
+                       max_chars=s.max_doc_chars if s else None)

@@ -60,7 +60,7 @@ def parse_feeds(raw: dict[str, DataFrame], root: str = "") -> DataFrame:
     w = raw["watch"].select("path", F.posexplode(F.from_json("content", ENTRIES)).alias("i", "e"))
     title = F.coalesce(F.col("e.title"), F.lit(""))
     for p in WATCH_PREFIXES:
-        title = F.when(title.startswith(p), F.substring(title, len(p) + 1, 1 << 30)).otherwise(title)
+        title = F.when(title.startswith(p), F.substr(title, F.lit(len(p) + 1))).otherwise(title)
     w = w.withColumn("t", title).where((F.coalesce(F.col("e.time"), F.lit("")) != "") & (F.col("t") != "")
                                        & ~F.col("t").startswith(URL_PREFIX))
     out.append(w.select(F.substring("e.time", 1, 10).alias("day"), F.lit(KIND_WATCHED).alias("kind"),
@@ -92,4 +92,5 @@ def parse_feeds(raw: dict[str, DataFrame], root: str = "") -> DataFrame:
 
 
 def ingest_lifelog(spark: SparkSession, root: str, s=None) -> DataFrame:
-    return daily_rollup(parse_feeds(read_feeds(spark, root), root), SOURCE_RANK["lifelog"])
+    return daily_rollup(parse_feeds(read_feeds(spark, root), root), SOURCE_RANK["lifelog"],
+                        s.max_lifelog_items if s else None)

@@ -22,7 +22,6 @@ from lifecorpus.sources.common import relative, whole_files
 # FIXED VALUES (must equal the reference)
 RETWEET_PREFIX = "RT @"
 REDDIT_SKIP_BODIES = ["", "[deleted]", "[removed]"]
-POSITION_LINE = "{title} at {company} ({start} – {end}): {description}"
 POSITION_OPEN_END = "now"
 # End of fixed values
 # ---------------------------------------------------------------------------
@@ -34,7 +33,7 @@ def _nz(c: Column) -> Column:
 
 def js_array(content: Column) -> Column:
     """IO9: 'window.X = [ ... ]' -> the JSON text from the first '['."""
-    return F.substring(content, F.instr(content, "["), 1 << 30)
+    return F.substr(content, F.instr(content, "["))
 
 
 # --- X / Twitter -----------------------------------------------------------------
@@ -50,7 +49,7 @@ ACCOUNTS = "array<struct<account: struct<accountId: string>>>"
 def tweet_time(created_at: Column) -> Column:
     """'EEE MMM dd HH:mm:ss Z yyyy' -> ISO UTC (the weekday is skipped: Spark
     does not parse 'EEE')."""
-    return iso(F.try_to_timestamp(F.substring(created_at, 5, 1 << 30), F.lit("MMM dd HH:mm:ss Z yyyy")))
+    return iso(F.try_to_timestamp(F.substr(created_at, F.lit(5)), F.lit("MMM dd HH:mm:ss Z yyyy")))
 
 
 def read_twitter(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -104,6 +103,10 @@ def ingest_twitter(spark: SparkSession, root: str, s: Settings) -> tuple[DataFra
 
 # --- CSV exports (Reddit, LinkedIn) -------------------------------------------------
 
+#: Columns of a CSV export that are read.
+MOST_COLUMNS = 64
+
+
 def read_csv_rows(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
     """IO10: every file called ``name`` under root, header + quoted newlines + BOM.
     Returns (path, row, <columns>) with '' for empty cells and null for columns the
@@ -113,17 +116,21 @@ def read_csv_rows(spark: SparkSession, root: str, name: str, columns: list[str])
                           + [T.StructField(c, T.StringType()) for c in columns])
     if not exists_nonempty(spark, root):
         return spark.createDataFrame([], schema)
-    try:
-        df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
-              .option("header", True).option("multiLine", True).option("escape", '"')
-              .csv(root))
-    except Exception:
-        return spark.createDataFrame([], schema)
     from lifecorpus.sources.common import file_path
-    have = set(df.columns)
-    cols = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in have else F.lit(None).cast("string").alias(c)
-            for c in columns]
-    return df.select(file_path().alias("path"), F.monotonically_increasing_id().alias("row"), *cols)
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MOST_COLUMNS)])
+    rows = (spark.read.schema(wide).option("recursiveFileLookup", True).option("pathGlobFilter", name)
+            .option("header", False).option("multiLine", True).option("escape", '"').csv(root)
+            .select(file_path().alias("path"), F.monotonically_increasing_id().alias("row"),
+                    F.array(*[f"c{i}" for i in range(MOST_COLUMNS)]).alias("cells")))
+    # files of one name may order their columns differently: each has its own header
+    head = rows.groupBy("path").agg(F.min_by("cells", "row").alias("head"), F.min("row").alias("first"))
+    head = head.withColumn("head", F.transform("head", lambda c: F.regexp_replace(c, "^\ufeff", "")))
+
+    def cell(c: str) -> Column:
+        at = F.array_position("head", c)
+        return F.when(at > 0, F.coalesce(F.get("cells", (at - 1).cast("int")), F.lit(""))).alias(c)
+
+    return rows.join(head, "path").where(F.col("row") > F.col("first")).select("path", "row", *[cell(c) for c in columns])
 
 
 REDDIT_COLUMNS = ["id", "date", "subreddit", "title", "body"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lifecorpus.schema import DOC, MESSAGE, conform_docs, conform_messages
+from lifecorpus.schema import DOC, MESSAGE, conform_docs, conform_messages, empty
 from lifecorpus.sources.registry import owned_sources, run_sources
 from lifecorpus.settings import Settings
 
@@ -50,13 +50,12 @@ def write_table(spark: SparkSession, df: DataFrame, path: str, only: list[str] |
     partition overwrite) and also clears selected sources that produced no rows,
     so their old rows are gone as in the reference (quirk Q10)."""
     if not only:
-        df.write.mode("overwrite").partitionBy("source").parquet(path)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source").parquet(path)
         return
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     # the sources present are observed while writing (a set bounded by the registry)
     obs = Observation("sources")
     df.observe(obs, F.collect_set("source").alias("present")) \
-        .write.mode("overwrite").partitionBy("source").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path)
     present = set(obs.get["present"])
     fs, _ = _fs(spark, path)
     jvm = spark.sparkContext._jvm
@@ -81,8 +80,13 @@ def ingest(spark: SparkSession, raw_root: str, processed: str, s: Settings, only
 
 
 def read_table(spark: SparkSession, processed: str, name: str) -> DataFrame:
+    """A table of the corpus; one side may be empty or missing (IO5)."""
     schema = MESSAGE if name == "messages" else DOC
-    df = spark.read.parquet(os.path.join(processed, name))
+    path = os.path.join(processed, name)
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return empty(spark, schema)
+    df = spark.read.schema(schema).parquet(path)
     return conform_messages(df) if schema == MESSAGE else conform_docs(df)
 
 

@@ -123,7 +123,7 @@ def parse_whatsapp(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
     msgs = msgs.where(~system).join(parts, "path")
     thread = stem(F.col("path"))
     for p in TITLE_PREFIXES:
-        thread = F.when(thread.startswith(p), F.substring(thread, len(p) + 1, 1 << 30)).otherwise(thread)
+        thread = F.when(thread.startswith(p), F.substr(thread, F.lit(len(p) + 1))).otherwise(thread)
     rel = relative(F.col("path"), root) if root else F.col("path")
     return conform_messages(msgs.select(
         F.lit("whatsapp").alias("source"), thread.alias("thread_id"),
@@ -131,7 +131,7 @@ def parse_whatsapp(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
         "sender", is_me(F.col("sender"), s).alias("is_me"), clean_chat(F.col("text")).alias("text"),
         thread.alias("thread_title"), "participants",
         make_ord(SOURCE_RANK["whatsapp"], F.split(rel, "/"), F.col("first")["block"],
-                 F.col("first")["pos"] * 1024 + F.col("first")["sub"]).alias("ord")))
+                 F.col("first")["pos"], F.col("first")["sub"]).alias("ord")))
 
 
 def ingest_whatsapp(spark: SparkSession, root: str, s: Settings) -> DataFrame:

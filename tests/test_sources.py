@@ -176,7 +176,7 @@ def test_notes_and_drive(spark, tmp_path):
     assert rows["journal/day.md"].text == "Dziś był dobry dzień, hasło: [SECRET]"
     assert rows["report.docx"].text == "First paragraph of the report\nSecond one"
     assert rows["page.HTML"].text == "Notes in a web page body" and rows["page.HTML"].title == "page"
-    assert len(rows["big.txt"].text) == 200_000 and rows["big.txt"].authored_by_me
+    assert len(rows["big.txt"].text) == 250_000 and rows["big.txt"].authored_by_me
     rej = files.rejects(files.read_files(spark, str(notes))).collect()
     assert [os.path.basename(r.path) for r in rej] == ["broken.docx"]
     google = tmp_path / "google"
