@@ -9,12 +9,12 @@ segmented by (session, turn_no) like the thread scans:
 1. for sessions that cross a segment boundary, each boundary segment's
    transfer (end state and number of cuts, for every possible start state) is
    computed from its rows and the lengths just before it (its halo);
-2. transfers are composed along the session on the small carry table;
+2. transfers are composed along the session, one ordered pass over a row per segment;
 3. every (segment, session) group then runs the automaton once from its
    known start state and numbers its chunks.
 
-Steps 1 and 3 are Arrow-batched pandas functions per (segment, session), a
-group bounded by the segment size; everything else is JVM-side.
+The steps are Arrow-batched passes over sorted rows that hold one row's state; everything
+else is JVM-side.
 """
 from __future__ import annotations
 
@@ -101,11 +101,26 @@ TRANSFER = T.StructType([
     T.StructField("thread_id", T.StringType()), T.StructField("session_no", T.LongType()),
     T.StructField("t_state", T.ArrayType(T.LongType())), T.StructField("t_cuts", T.ArrayType(T.LongType()))])
 
+CARRY = T.StructType([*TRANSFER.fields[:4], T.StructField("c_state", T.LongType()), T.StructField("c_chunk", T.LongType())])
+
 CHUNKED = T.StructType([T.StructField("source", T.StringType()), T.StructField("thread_id", T.StringType()),
                         T.StructField("session_no", T.LongType()), T.StructField("turn_no", T.LongType()),
                         T.StructField("chunk_no", T.LongType())])
 
 
+def _compose(batches):
+    """Rows of transfers sorted by session and segment: the state and the cuts that reach each of them."""
+    session, state, cuts = None, 0, 0
+    for pdf in batches:
+        out = []
+        for row in pdf.itertuples(index=False):
+            if tuple(row[1:4]) != session:
+                session, state, cuts = tuple(row[1:4]), 0, 0
+            out.append((*row[:4], state, cuts))
+            state, cuts = int(row[4][state]), cuts + int(row[5][state])
+        yield pd.DataFrame(out, columns=CARRY.names)
+
+
 def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
     """(source, thread_id, session_no, turn_no, chunk_no) for every turn;
     ``turns`` needs is_me and text (or len)."""
@@ -114,8 +129,6 @@ def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = N
     lens = F.col("len") if "len" in turns.columns else F.length("text").cast("long")
     compact = turns.select(*GROUP, "turn_no", "is_me", lens.alias("len"))
     x = sg.add_segments(compact, GROUP, ["turn_no"], segments)
-    first_row = F.when(F.col(sg.POS) == 1, F.lit(1))
-    order = [sg.SEG, *GROUP, sg.POS]
     cols = [sg.SEG, *GROUP, "turn_no", "is_me", "len"]
 
     # Boundary groups with the lengths of their last H turns (bounded collect).
@@ -123,37 +136,37 @@ def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = N
     last = F.when(F.col(sg.POS) > F.col("_mx") - H, F.struct(sg.POS, "len"))
     edge = sg.boundary_summaries(x, GROUP, [
         F.transform(F.array_sort(F.collect_list(last)), lambda e: e["len"]).alias("tail")])
-    prev, _ = sg.carry_windows(GROUP)
-    empty = F.array().cast("array<long>")
 
     def last_h(a):
         return F.slice(a, F.greatest(F.size(a) - H + 1, F.lit(1)), H)
 
-    # halo = last H lengths of the session before this segment (a bounded fold)
-    edge = edge.withColumn("halo", F.aggregate(F.collect_list("tail").over(prev), empty,
-                                               lambda acc, t: last_h(F.concat(acc, t))))
-    # small (<= 2 rows per segment) and read by two joins: kept, not recomputed
+    # halo = last H lengths of the session before this segment: every segment of a session holds at
+    # least one of its turns, so the H segments before are enough
+    near = Window.partitionBy(*GROUP).orderBy(sg.SEG).rowsBetween(-H, -1)
+    edge = edge.withColumn("halo", last_h(F.flatten(F.collect_list("tail").over(near))))
+    # at most two rows per segment, read by two joins: kept, not recomputed
     edge = sg.keep(edge)
 
     # 1. transfer of every boundary group, for every start state
-    bkeys = F.broadcast(edge.select(sg.SEG, *GROUP, "halo"))
-    brows = (x.join(bkeys, [sg.SEG, *GROUP])
+    brows = (x.join(edge.select(sg.SEG, *GROUP, "halo"), [sg.SEG, *GROUP])
              .withColumn("halo", F.when(F.col(sg.POS) == 1, F.col("halo")))
              .withColumn("c_state", F.lit(None).cast("long")).withColumn("c_chunk", F.lit(None).cast("long"))
-             .select(*cols, sg.POS, "c_state", "c_chunk", "halo").sortWithinPartitions(*order))
-    tr = brows.mapInPandas(lambda it: _scan_groups(it, M, X, M + 2), TRANSFER)
-
-    # 2. compose transfers along the session: start state and chunk offset per group
-    c = tr.join(F.broadcast(edge.select(sg.SEG, *GROUP, "halo")), [sg.SEG, *GROUP])
-    comp = F.aggregate(
-        F.collect_list(F.struct("t_state", "t_cuts")).over(prev),
-        F.struct(F.lit(0).cast("long").alias("st"), F.lit(0).cast("long").alias("ck")),
-        lambda acc, t: F.struct(F.element_at(t["t_state"], (acc["st"] + 1).cast("int")).alias("st"),
-                                (acc["ck"] + F.element_at(t["t_cuts"], (acc["st"] + 1).cast("int"))).alias("ck")))
-    carry = c.withColumn("_c", comp).select(sg.SEG, *GROUP, F.col("_c.st").alias("c_state"),
-                                            F.col("_c.ck").alias("c_chunk"), "halo", F.lit(1).alias("_one"))
+             .select(*cols, sg.POS, "c_state", "c_chunk", "halo"))
+    tr = whole_groups(brows, [sg.SEG, *GROUP]).mapInPandas(lambda it: _scan_groups(it, M, X, M + 2), TRANSFER)
+
+    # 2. compose transfers along the session: start state and chunk offset per group, one pass over
+    # the session's segments (a row each) in order
+    carry = (whole_groups(tr, GROUP, [sg.SEG]).mapInPandas(_compose, CARRY)
+             .join(edge.select(sg.SEG, *GROUP, "halo"), [sg.SEG, *GROUP]))
 
     # 3. one pass over every group from its start state (carry on first rows only)
-    runs = (x.withColumn("_one", first_row).join(F.broadcast(carry), [sg.SEG, *GROUP, "_one"], "left")
-            .select(*cols, sg.POS, "c_state", "c_chunk", "halo").sortWithinPartitions(*order))
-    return runs.mapInPandas(lambda it: _scan_groups(it, M, X, None), CHUNKED)
+    first = F.col(sg.POS) == 1
+    runs = (x.join(carry, [sg.SEG, *GROUP], "left")
+            .select(*cols, sg.POS, *[F.when(first, F.col(c)).alias(c) for c in ("c_state", "c_chunk", "halo")]))
+    return whole_groups(runs, [sg.SEG, *GROUP]).mapInPandas(lambda it: _scan_groups(it, M, X, None), CHUNKED)
+
+
+def whole_groups(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Rows dealt by ``keys`` and sorted, so that a pass over a partition meets every group whole and in
+    order. The exchange is asked for: a join's own may be replaced, or split where it is skewed."""
+    return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [sg.POS]))

@@ -7,7 +7,7 @@ sums, last-non-null, lag) run per (segment, group) with ordinary window
 functions, and each segment's contribution is carried to the next through a
 summary table. Only groups that cross a segment boundary need a carry, and
 there are at most two per segment, so the carry table is bounded by twice the
-number of segments and is safe to broadcast.
+number of segments.
 """
 from __future__ import annotations
 
@@ -22,8 +22,6 @@ POS = "_pos"
 _PERSISTED: list[DataFrame] = []
 
 
-
-
 def add_segments(df: DataFrame, keys: list[str], order: list[str], n: int | None = None) -> DataFrame:
     """Range-partition by (keys, order) and tag rows with their segment id and
     their position inside (segment, group). (segment, position) orders a group
@@ -34,9 +32,8 @@ def add_segments(df: DataFrame, keys: list[str], order: list[str], n: int | None
     would sample with another seed and draw other bounds, so the branches share
     this one materialisation instead. Blocks lost with an executor are rebuilt
     through the same shuffle dependency, hence with the same bounds."""
-    # Without an explicit count the range exchange is sized by adaptive
-    # execution (spark.sql.adaptive.advisoryPartitionSizeInBytes): adjacent ranges
-    # are merged, which keeps every segment a contiguous range.
+    # Without an explicit count there are spark.sql.shuffle.partitions ranges, the most segments
+    # there can be: adaptive execution merges adjacent small ones, and never splits one.
     ranged = df.repartitionByRange(n, *keys, *order) if n else df.repartitionByRange(*keys, *order)
     out = ranged.withColumn(SEG, F.spark_partition_id())
     w = Window.partitionBy(SEG, *keys).orderBy(*order)
@@ -98,8 +95,9 @@ def boundary_carry(df: DataFrame, keys: list[str], summary: list[Column],
 
 
 def attach_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join the bounded carry table onto the rows (broadcast: <= 2 rows per segment)."""
-    return df.join(F.broadcast(carry), [SEG, *keys], "left")
+    """Left-join the carry table (<= 2 rows per segment) onto the rows. They lie by (segment, keys) already,
+    so only the carry moves; it is broadcast where its measured size is under Spark's own threshold."""
+    return df.join(carry, [SEG, *keys], "left")
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], flag: str, out: str,

@@ -77,8 +77,7 @@ def parse_tweets(raw: DataFrame, root: str = "") -> DataFrame:
 
 
 def parse_x_dms(dms: DataFrame, accounts: DataFrame, s: Settings, root: str = "") -> DataFrame:
-    """The owner's account ids (one per archive, a bounded table) are
-    broadcast and matched against sender ids."""
+    """The owner's account ids (one per archive) are matched against sender ids."""
     ids = accounts.select(F.explode(F.from_json(js_array(F.col("content")), ACCOUNTS)).alias("a")) \
         .select(F.col("a.account.accountId").alias("my_id")).where(F.col("my_id").isNotNull()).distinct()
     conv = dms.select("path", F.posexplode(F.from_json(js_array(F.col("content")), DMS)).alias("ci", "c"))
@@ -86,7 +85,7 @@ def parse_x_dms(dms: DataFrame, accounts: DataFrame, s: Settings, root: str = ""
                     F.posexplode("c.dmConversation.messages").alias("mi", "m")) \
         .where(F.col("m.messageCreate").isNotNull())
     m = m.select("path", "ci", "mi", "thread_id", F.col("m.messageCreate.*"))
-    m = m.join(F.broadcast(ids), F.col("senderId") == F.col("my_id"), "left")
+    m = m.join(ids, F.col("senderId") == F.col("my_id"), "left")
     rel = relative(F.col("path"), root) if root else F.col("path")
     return conform_messages(m.select(
         F.lit("twitter_dm").alias("source"), "thread_id", F.col("createdAt").alias("timestamp"),
