@@ -7,9 +7,9 @@ line's marginal probability of being good, and a document's score is their mean
 weighted by line length, passed through a fitted logistic curve.
 
 Lines carry no labels of their own, so a labelled document's lines all take its
-label in training. The model is fitted on the driver from a bounded sample:
+label in training. The model is fitted in one task on a bounded sample:
 ``sample_docs`` labelled documents drawn by a hash of the id, none longer than
-``sample_chars``. Scoring reads every whole text.
+``sample_chars``; only its weights come to the driver. Scoring reads every whole text.
 
 Defined cases: a null or empty text is one empty line and gets a score like any
 other; a null id belongs to the training side but never joins a label; several
@@ -18,6 +18,7 @@ only, every score is the share of good labels (0.5 without any).
 """
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -198,10 +199,19 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     pick = (labels.select(col(id_col).alias("id"), col(label_col).alias("y"))
             .where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("id"), mod) != held))
             .orderBy(F.xxhash64("id"), "id", "y").limit(sample_docs).groupBy("id").agg(F.max("y").alias("y")))
-    rows = (docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
-            .where(F.length(F.coalesce(F.col("text"), F.lit(""))) <= sample_chars)
-            .join(F.broadcast(pick), "id").orderBy(F.xxhash64("id"), "id", "text").limit(sample_docs).collect())
-    return fit(features([r["text"] for r in rows]), np.array([r["y"] for r in rows], dtype=float))
+    sample = (docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
+              .where(F.length(F.coalesce(F.col("text"), F.lit(""))) <= sample_chars)
+              .join(F.broadcast(pick), "id").orderBy(F.xxhash64("id"), "id", "text").limit(sample_docs))
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts, y = [], []
+        for b in batches:
+            texts += b["text"].tolist()
+            y += b["y"].tolist()
+        yield pd.DataFrame({"model": [pickle.dumps(fit(features(texts), np.array(y, dtype=float)))]})
+
+    found = sample.select("text", "y").coalesce(1).mapInPandas(fitted, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fit([], np.empty(0))
 
 
 def score(text: Column, model: Crf) -> Column:
