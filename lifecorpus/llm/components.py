@@ -12,8 +12,8 @@ def components(edges: DataFrame) -> DataFrame:
     of that label, which halves long chains. Every step is a join or an aggregation
     that combines on the map side, so a node with very many edges is no single task.
     Rounds are checkpointed; only a count of changes comes to the driver."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = both.checkpoint()
+    ways = F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.inline(ways)).distinct().checkpoint()  # the edges' own plan runs once
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")).checkpoint()
     while True:
         near = (both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near")))

@@ -164,7 +164,7 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     the rows of one id the smallest as a record stays, and a component without any id keeps
     its smallest record."""
     names = docs.columns
-    found = classes(docs, id_col=id_col, text_col=text_col, **how)
+    found = stored(classes(docs, id_col=id_col, text_col=text_col, **how), "simhash-classes")
     ids = stored(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max((F.col("doc_id") == F.col("component_id"))
                                              .cast("int")).alias("stays")), "simhash-stays")
     nameless = found.where("component_id is null").groupBy("fp").agg(F.min("root").alias("root")).checkpoint()
