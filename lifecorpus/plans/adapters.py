@@ -2,8 +2,8 @@
 
 ``conversations`` becomes chat Messages and ``documents`` becomes Docs, so the
 operators run unchanged over table data. The mapping rules are deterministic
-functions of each row (no row is dropped except system turns, which are not
-messages); the oracle SQL applies the same rules.
+functions of each row, and no row is dropped (system turns are messages of one
+more sender); the oracle SQL applies the same rules.
 """
 from __future__ import annotations
 
@@ -33,11 +33,16 @@ def _rank(source: F.Column) -> F.Column:
 
 
 def conversation_rows(conv: DataFrame) -> DataFrame:
-    """Non-system turns, each split at its first newline into two consecutive
-    messages of the same side (so turn collapsing has work to do)."""
+    """Turns, each split at its first newline into two consecutive messages of
+    the same side (so turn collapsing has work to do)."""
     parts = F.split(F.col("text"), "\n", 2)
-    return (conv.where(F.col("role") != "system")
-            .select("conv_id", "turn", "role", F.posexplode(parts).alias("part", "text")))
+    return conv.select("conv_id", "turn", "role", F.posexplode(parts).alias("part", "text"))
+
+
+def sender_of(role, turn) -> F.Column:
+    """Assistant turns are the owner's, system turns one more sender's; two people take the rest."""
+    return (F.when(role == "assistant", F.lit(OWNER.name)).when(role == "system", F.lit("System"))
+            .when(turn % 4 == 0, F.lit("Ana")).otherwise(F.lit("Ben")))
 
 
 def conversation_messages(conv: DataFrame) -> DataFrame:
@@ -48,8 +53,7 @@ def conversation_messages(conv: DataFrame) -> DataFrame:
     source = _pick(CHAT_SOURCES, F.col("conv_id") % 7)
     secs = (F.lit(BASE_EPOCH) + F.col("conv_id") * 86400 + F.col("turn") * 420
             + F.floor(F.col("turn") / 3) * 18000 + F.col("part") * 30)
-    sender = F.when(F.col("role") == "assistant", F.lit(OWNER.name)) \
-        .when(F.col("turn") % 4 == 0, F.lit("Ana")).otherwise(F.lit("Ben"))
+    sender = sender_of(F.col("role"), F.col("turn"))
     return conform_messages(r.select(
         source.alias("source"),
         F.col("conv_id").cast("string").alias("thread_id"),

@@ -2,15 +2,46 @@
 
 These are independent formulations: window functions, ordered string
 aggregates and a recursive CTE for chunking, instead of the Spark operators.
-DuckDB's regex engine is ASCII-only for \\b \\d \\w \\s, so the text queries
-fold non-ASCII characters to 'x' on both sides first.
+DuckDB's regex engine is ASCII-only for \\b \\d \\w \\s, so redactions put
+an ASCII letter on both sides of letters beyond ASCII (words then begin and end
+at the same places) and take it out afterwards.
 """
 from __future__ import annotations
 
-from lifecorpus.functions.text import REDACTIONS, REPLY_HEADERS
-from lifecorpus.operators.conversations import CHANNEL
-from lifecorpus.plans.adapters import CHAT_SOURCES, DOC_SOURCES
-from lifecorpus.schema import SOURCE_RANK
+# Fixed values, written out here so that a wrong constant of the engine shows as a difference.
+CHAT_SOURCES = ["whatsapp", "messenger", "telegram", "gmail", "instagram", "linkedin", "twitter_dm"]
+DOC_SOURCES = ["twitter", "reddit", "facebook", "linkedin", "notes"]
+SOURCE_RANK = {
+    "gmail": 0, "calendar": 1, "drive": 2, "lifelog": 3, "messenger": 4, "facebook": 5, "instagram": 6,
+    "whatsapp": 7, "telegram": 8, "twitter": 9, "twitter_dm": 9, "reddit": 10, "linkedin": 11, "notes": 12, "git": 13,
+}
+CHANNEL = {
+    "gmail": "email", "whatsapp": "WhatsApp", "messenger": "Messenger", "instagram": "Instagram DM",
+    "telegram": "Telegram", "linkedin": "LinkedIn messages", "twitter_dm": "X DMs",
+}
+REPLY_HEADERS = [
+    r"^On .{5,200}wrote:\s*$",
+    r"^W dniu .{5,200}(napisał|napisała|pisze)\S*:?\s*$",
+    r"^\S+ .{0,100}(napisał|napisała)\S*:\s*$",
+    r"^-{2,}\s*Original Message\s*-{2,}",
+    r"^-{2,}\s*Wiadomość oryginalna\s*-{2,}",
+    r"^-{2,}\s*Forwarded message\s*-{2,}",
+    r"^-{2,}\s*Przekazana wiadomość\s*-{2,}",
+    r"^From: .+$",
+    r"^Od: .+$",
+    r"^Sent from my \w+",
+    r"^Wysłano z (mojego )?\w+",
+    r"^_{10,}$",
+]
+REDACTIONS = [
+    ("card", r"\b(?:\d[ -]?){13,19}\b", "[CARD]"),
+    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}\b", "[IBAN]"),
+    ("pesel", r"\b\d{11}\b", "[PESEL]"),
+    ("secret", r"(?i)\b(password|hasło|haslo|pass|pwd|pin)\s*[:=]\s*\S+", "$1: [SECRET]"),
+    ("otp", r"(?i)\b(code|kod)\s*(is|to|:)?\s*\d{4,8}\b", "$1 [OTP]"),
+    ("api_key", r"\b(sk|pk|ghp|gho|xox[bap])[-_][A-Za-z0-9_-]{16,}\b", "[API_KEY]"),
+]
+# End of fixed values
 
 NL = "chr(10)"
 ISO = "'%Y-%m-%dT%H:%M:%S+00:00'"
@@ -31,16 +62,16 @@ MSGS = f"""
 conv_rows AS (
   SELECT conv_id, turn, role, 0 AS part,
          CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, 1, strpos(text, chr(10)) - 1) ELSE text END AS text
-  FROM conversations WHERE role <> 'system'
+  FROM conversations
   UNION ALL
   SELECT conv_id, turn, role, 1 AS part, substr(text, strpos(text, chr(10)) + 1)
-  FROM conversations WHERE role <> 'system' AND strpos(text, chr(10)) > 0),
+  FROM conversations WHERE strpos(text, chr(10)) > 0),
 msgs0 AS (
   SELECT {_list(CHAT_SOURCES)}[conv_id % 7 + 1] AS source,
          CAST(conv_id AS VARCHAR) AS thread_id,
          strftime(TIMESTAMP '2024-01-01 00:00:00'
                   + to_seconds(conv_id * 86400 + turn * 420 + (turn // 3) * 18000 + part * 30), {ISO}) AS timestamp,
-         CASE WHEN role = 'assistant' THEN 'Owner' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
+         CASE WHEN role = 'assistant' THEN 'Owner' WHEN role = 'system' THEN 'System' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
          role = 'assistant' AS is_me, text,
          'Conversation ' || CAST(conv_id AS VARCHAR) AS thread_title,
          conv_id AS ord_block, turn * 2 + part AS ord_pos
@@ -270,11 +301,10 @@ SELECT source, count(*) AS n_examples FROM bk GROUP BY source"""
 
 # --- text operators -------------------------------------------------------------
 
-FOLD = r"regexp_replace(text, '[^\x00-\x7f]', 'x', 'g')"
-SUFFIX = ("chr(10) || 'card 4111 1111 1111 ' || lpad(CAST(doc_id AS VARCHAR), 4, '0') "
-          "|| ' end' || chr(10) || 'iban PL61 1090 1014 0000 0712 1981 ' || lpad(CAST(doc_id AS VARCHAR), 4, '0') "
-          "|| ' end' || chr(10) || 'id 9' || lpad(CAST(doc_id AS VARCHAR), 10, '0') "
-          "|| ' end' || chr(10) || 'Haslo: x' || CAST(doc_id AS VARCHAR) || ' and pin=9' || CAST(doc_id AS VARCHAR) "
+SUFFIX = ("chr(10) || 'card 4111 1111 1111 ' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') "
+          "|| ' end' || chr(10) || 'iban PL61 1090 1014 0000 0712 1981 ' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') "
+          "|| ' end' || chr(10) || 'id 9' || lpad(CAST(doc_id % 10000000000 AS VARCHAR), 10, '0') "
+          "|| ' end' || chr(10) || 'Hasło: x' || CAST(doc_id AS VARCHAR) || ' and pin=9' || CAST(doc_id AS VARCHAR) "
           "|| chr(10) || 'your code is ' || CAST(100000 + doc_id AS VARCHAR) "
           "|| ' thanks' || chr(10) || 'key ghp_' || md5(CAST(doc_id AS VARCHAR)) || ' end'")
 
@@ -283,13 +313,21 @@ def _re2_repl(repl: str) -> str:
     return repl.replace("$1", "\\1")
 
 
-def _redact_sql(rules):
-    expr = "text"
+_LETTERS = r"([^\P{L}\x00-\x7fłŁ]+)"   # letters beyond ASCII, but for the one the patterns spell out
+
+
+def _redact_chain(expr, rules=None):
+    expr = f"regexp_replace({expr}, '{_LETTERS}', 'q' || chr(2) || '\\1' || chr(2) || 'q', 'g')"
     for name, pat, repl in REDACTIONS:
-        if name in rules:
+        if rules is None or name in rules:
             expr = f"regexp_replace({expr}, '{pat}', '{_re2_repl(repl)}', 'g')"
+    return f"replace(replace({expr}, chr(2) || 'q', ''), 'q' || chr(2), '')"
+
+
+def _redact_sql(rules):
+    expr = _redact_chain("text", rules)
     return f"""
-WITH x AS (SELECT doc_id, {FOLD} || {SUFFIX} AS text FROM documents)
+WITH x AS (SELECT doc_id, text || {SUFFIX} AS text FROM documents)
 SELECT doc_id, {expr} AS text FROM x"""
 
 
@@ -300,7 +338,7 @@ SQL["redact_all"] = _redact_sql({n for n, _, _ in REDACTIONS})
 _REPLY = "(?im)(?:" + "|".join(REPLY_HEADERS) + ")(?s:.*)"
 _STRIP_CLASS = r"[\s\x0b\x1c-\x1f]"
 SQL["strip_quotes"] = f"""
-WITH x AS (SELECT doc_id, {FOLD} || chr(10) || '> inline quote ' || CAST(doc_id AS VARCHAR) || chr(10)
+WITH x AS (SELECT doc_id, text || chr(10) || '> inline quote ' || CAST(doc_id AS VARCHAR) || chr(10)
                   || '  > indented quote' || chr(10) || 'after quote ' || CAST(doc_id AS VARCHAR) || chr(10)
                   || '-- ' || chr(10) || 'Signature ' || CAST(doc_id AS VARCHAR) || chr(10) || chr(10)
                   || 'On Mon, 4 Mar 2019 at 10:00, Ana Nowak <ana@example.com> wrote:' || chr(10) || '> old text'
@@ -373,12 +411,6 @@ FROM o WHERE role = 'assistant'"""
 
 # --- round trips --------------------------------------------------------------
 
-def _redact_chain(expr):
-    for name, pat, repl in REDACTIONS:
-        expr = f"regexp_replace({expr}, '{pat}', '{_re2_repl(repl)}', 'g')"
-    return expr
-
-
 def _normalize(expr):
     e = f"replace(replace({expr}, chr(13) || chr(10), chr(10)), chr(160), ' ')"
     e = f"regexp_replace(regexp_replace({e}, '[ \\t]+\\n', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')"
@@ -387,10 +419,10 @@ def _normalize(expr):
 
 CHAT_TURNS = """
 ct AS (SELECT conv_id, turn,
-              CASE WHEN role = 'assistant' THEN 'Owner' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
+              CASE WHEN role = 'assistant' THEN 'Owner' WHEN role = 'system' THEN 'System' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
               TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 86400 + turn * 420 + (turn // 3) * 18000) AS ts,
-              regexp_replace(text, '[^\\x00-\\x7f]', 'x', 'g') AS text
-       FROM conversations WHERE role <> 'system')"""
+              text
+       FROM conversations)"""
 
 SQL["parse_whatsapp"] = f"""
 WITH {CHAT_TURNS.strip()},
@@ -414,10 +446,10 @@ WHERE NOT (text LIKE '%<Media omitted>%' OR text LIKE '%<Multimedia pominięte>%
 
 SQL["parse_messenger"] = f"""
 WITH ct AS (SELECT conv_id, turn,
-              CASE WHEN role = 'assistant' THEN 'Owner' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
+              CASE WHEN role = 'assistant' THEN 'Owner' WHEN role = 'system' THEN 'System' WHEN turn % 4 = 0 THEN 'Ana' ELSE 'Ben' END AS sender,
               TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 86400 + turn * 420 + (turn // 3) * 18000) AS ts,
               text AS text
-       FROM conversations WHERE role <> 'system'),
+       FROM conversations),
 parts AS (SELECT conv_id, array_to_string(list_sort(list(DISTINCT sender)), ', ') AS participants FROM ct
           GROUP BY conv_id)
 SELECT 'messenger' AS source,
@@ -446,20 +478,21 @@ WITH {DOC_ROWS.strip()}
 SELECT 'twitter' AS source, CAST(doc_id AS VARCHAR) AS doc_id, strftime(ts, {ISO}) AS timestamp, 'Tweet' AS title,
        {_normalize('text')} AS text, true AS authored_by_me,
        'reply_to=' || CASE WHEN lang = 'de' THEN 'someone' ELSE '<null>' END AS meta
-FROM dr WHERE lang <> 'es' AND NOT starts_with(text, 'RT @')"""
+FROM dr WHERE NOT starts_with(text, 'RT @')"""
 
 SQL["parse_x_dm"] = f"""
 WITH {CHAT_TURNS.strip()}
 SELECT 'twitter_dm' AS source, 'dm-' || CAST(conv_id AS VARCHAR) AS thread_id,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.000Z') AS timestamp,
-       CASE WHEN sender = 'Owner' THEN '42' WHEN sender = 'Ana' THEN '1001' ELSE '1002' END AS sender,
+       CASE WHEN sender = 'Owner' THEN '42' WHEN sender = 'Ana' THEN '1001' WHEN sender = 'Ben' THEN '1002'
+                ELSE '1003' END AS sender,
        sender = 'Owner' AS is_me, {_normalize(_redact_chain('text'))} AS text, '' AS thread_title,
        '' AS participants
 FROM ct"""
 
 SQL["parse_reddit"] = f"""
 WITH {DOC_ROWS.strip()},
-r AS (SELECT doc_id, lang, ts, CASE WHEN lang = 'de' THEN '[deleted]' ELSE text END AS body,
+r AS (SELECT doc_id, lang, ts, text AS body,
              CASE WHEN lang = 'en' THEN '' ELSE 'Doc ' || CAST(doc_id AS VARCHAR) END AS title0 FROM dr),
 t AS (SELECT *, CASE WHEN title0 <> '' THEN title0
                      ELSE 'r/' || lang || CASE WHEN lang = 'fr' THEN ' post' ELSE ' comment' END END AS title
@@ -507,17 +540,12 @@ SELECT page_id, regexp_replace(regexp_replace(t, '\\n{{3,}}', chr(10) || chr(10)
                                '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') AS text FROM c"""
 
 
-_FOLDED_DOCS = """
-dr AS (SELECT doc_id, lang, regexp_replace(text, '[^\\x00-\\x7f]', 'x', 'g') AS text,
-              TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 3600) AS ts FROM documents)"""
-
-
 def _files_sql(source, authored, prefix_case):
     body = ("CASE WHEN lang = 'de' THEN " + "regexp_replace(regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g'), "
             f"'^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') ELSE text END")
     return f"""
-WITH {_FOLDED_DOCS.strip()},
-f AS (SELECT doc_id, lang, ts, substr({_normalize(_redact_chain(body))}, 1, 200000) AS text FROM dr)
+WITH {DOC_ROWS.strip()},
+f AS (SELECT doc_id, lang, ts, {_normalize(_redact_chain(body))} AS text FROM dr)
 SELECT '{source}' AS source,
        {prefix_case}lang || '/doc_' || CAST(doc_id AS VARCHAR)
          || CASE lang WHEN 'en' THEN '.md' WHEN 'fr' THEN '.txt' WHEN 'es' THEN '.org' ELSE '.html' END AS doc_id,
@@ -532,7 +560,7 @@ _PAGE = ("'<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><
 SQL["parse_drive"] = _files_sql("drive", "false", "") + f"""
 UNION ALL
 SELECT 'drive', 'archive/drive/kept.md', strftime(ts, {ISO}), 'kept', t, false, ''
-FROM (SELECT ts, substr({_normalize(_redact_chain("raw"))}, 1, 200000) AS t
+FROM (SELECT ts, {_normalize(_redact_chain("raw"))} AS t
       FROM (SELECT ts, CASE WHEN lang = 'de' THEN {_PAGE} ELSE text END AS raw FROM dr WHERE doc_id = 0))
 WHERE length(t) >= 20"""
 
@@ -548,13 +576,12 @@ SELECT 'calendar' AS source, 'ev' || CAST(event_id AS VARCHAR) AS doc_id,
                                || ' after a long walk through the onboarding flow'
             WHEN 'error' THEN chr(10) || 'With: user' || CAST(user_id AS VARCHAR) || '@example.com, MAILTO:ops@example.com'
             ELSE '' END AS text,
-       false AS authored_by_me, 'calendar=user_' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS meta
+       false AS authored_by_me, 'calendar=user_' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS meta
 FROM e"""
 
 SQL["parse_commits"] = f"""
 WITH {DOC_ROWS.strip()},
-c AS (SELECT doc_id, lang, ts, regexp_replace(text, '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') AS body FROM dr
-      WHERE lang <> 'es')
+c AS (SELECT doc_id, lang, ts, regexp_replace(text, '^{UNI_SPACE}+|{UNI_SPACE}+$', '', 'g') AS body FROM dr)
 SELECT 'git' AS source, sha1(CAST(doc_id AS VARCHAR)) AS doc_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00' AS timestamp,
        'Commit in repo-' || lang AS title, body AS text, true AS authored_by_me, 'repo=repo-' || lang AS meta
 FROM c WHERE body <> ''"""
@@ -602,7 +629,8 @@ SELECT 'gmail' AS source, CAST(conv_id AS VARCHAR) AS thread_id, strftime(ts, {I
               CASE WHEN conv_id % 2 = 0 THEN 'ana@example.com, ben@example.com, owner@example.com'
                    ELSE 'ana@example.com, owner@example.com' END
             WHEN sender = 'Ana' THEN 'ana@example.com, owner@example.com'
-            ELSE 'ben@example.com, owner@example.com' END AS participants
+            WHEN sender = 'Ben' THEN 'ben@example.com, owner@example.com'
+            ELSE 'owner@example.com, system@example.com' END AS participants
 FROM m WHERE length(clean) >= 2"""
 
 

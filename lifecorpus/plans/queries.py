@@ -156,26 +156,22 @@ def q_example_counts(spark, d):
 
 # --- text operators -----------------------------------------------------------
 
-def ascii_fold(c):
-    """Non-ASCII code points -> 'x' (the oracle's regex engine is ASCII-only)."""
-    return F.regexp_replace(c, r"[^\x{00}-\x{7f}]", "x")
-
-
 def secrets_suffix(doc_id):
     """Deterministic secrets appended to each document, kept apart by words."""
     i = doc_id.cast("string")
+    last4 = F.lpad((doc_id % 10000).cast("string"), 4, "0")
     return F.concat(
-        F.lit("\ncard 4111 1111 1111 "), F.lpad(i, 4, "0"),
-        F.lit(" end\niban PL61 1090 1014 0000 0712 1981 "), F.lpad(i, 4, "0"),
-        F.lit(" end\nid 9"), F.lpad(i, 10, "0"),
-        F.lit(" end\nHaslo: x"), i, F.lit(" and pin=9"), i,
+        F.lit("\ncard 4111 1111 1111 "), last4,
+        F.lit(" end\niban PL61 1090 1014 0000 0712 1981 "), last4,
+        F.lit(" end\nid 9"), F.lpad((doc_id % 10_000_000_000).cast("string"), 10, "0"),
+        F.lit(" end\nHasło: x"), i, F.lit(" and pin=9"), i,
         F.lit("\nyour code is "), (F.lit(100000) + doc_id).cast("string"),
         F.lit(" thanks\nkey ghp_"), F.md5(i), F.lit(" end"))
 
 
 def _redact_input(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return docs.select("doc_id", F.concat(ascii_fold(F.col("text")), secrets_suffix(F.col("doc_id"))).alias("text"))
+    return docs.select("doc_id", F.concat(F.col("text"), secrets_suffix(F.col("doc_id"))).alias("text"))
 
 
 def _redact_query(rule: str | None):
@@ -196,7 +192,7 @@ def quote_wrapped(doc_id, text):
 
 def q_strip_quotes(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    x = docs.select("doc_id", quote_wrapped(F.col("doc_id"), ascii_fold(F.col("text"))).alias("text"))
+    x = docs.select("doc_id", quote_wrapped(F.col("doc_id"), F.col("text")).alias("text"))
     return x.select("doc_id", tx.strip_quotes(F.col("text")).alias("text"))
 
 

@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifecorpus.plans.adapters import OWNER, BASE_EPOCH
-from lifecorpus.plans.queries import ascii_fold
+from lifecorpus.plans.adapters import OWNER, BASE_EPOCH, sender_of
 from lifecorpus.plans.tables import table
 from lifecorpus.sources import whatsapp
 
@@ -17,14 +16,17 @@ def message_output(m: DataFrame) -> DataFrame:
                     F.array_join("participants", ", ").alias("participants"))
 
 
-def chat_turns(spark: SparkSession, d: str, fold: bool = True) -> DataFrame:
-    """Non-system conversation turns with sender, time and (by default ASCII-folded) text."""
-    c = table(spark, d, "conversations").where(F.col("role") != "system")
+def chat_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Conversation turns with sender, time and text."""
+    c = table(spark, d, "conversations")
     secs = F.lit(BASE_EPOCH) + F.col("conv_id") * 86400 + F.col("turn") * 420 + F.floor(F.col("turn") / 3) * 18000
-    sender = F.when(F.col("role") == "assistant", F.lit(OWNER.name)) \
-        .when(F.col("turn") % 4 == 0, F.lit("Ana")).otherwise(F.lit("Ben"))
-    return c.select("conv_id", "turn", sender.alias("sender"), F.timestamp_seconds(secs).alias("ts"),
-                    (ascii_fold(F.col("text")) if fold else F.col("text")).alias("text"))
+    return c.select("conv_id", "turn", sender_of(F.col("role"), F.col("turn")).alias("sender"),
+                    F.timestamp_seconds(secs).alias("ts"), "text")
+
+
+def one_row(spark: SparkSession) -> DataFrame:
+    """A literal frame for decoy files, apart from the tables."""
+    return spark.range(1)
 
 
 def _wa_header(style, ts, sender):
@@ -47,10 +49,9 @@ def render_whatsapp(spark: SparkSession, d: str) -> DataFrame:
                    ).otherwise(F.array().cast("array<string>"))
     body = F.concat(F.array(first), F.slice(lines, 2, F.size(lines)), media)
     msgs = t.select(path.alias("path"), F.col("turn"), F.posexplode(body).alias("i", "value")) \
-        .select("path", F.lit(0).cast("long").alias("block"), (F.col("turn") * 100000 + F.col("i") + 1).alias("pos"),
-                "value")
+        .select("path", F.col("turn").cast("long").alias("block"), F.col("i").cast("long").alias("pos"), "value")
     pre = t.select(path.alias("path")).distinct().select(
-        "path", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("pos"),
+        "path", F.lit(-1).cast("long").alias("block"), F.lit(0).cast("long").alias("pos"),
         F.lit("Messages and calls are end-to-end encrypted. Tap to learn more.").alias("value"))
     return msgs.unionByName(pre)
 
@@ -69,7 +70,7 @@ def render_messenger(spark: SparkSession, d: str) -> DataFrame:
     use the classic shape under inbox/<thread>/message_1.json, odd ones the E2EE
     shape at e2ee/<conv>.json. Each file also holds an unsent message and an
     attachment notice, which the parser must drop."""
-    t = chat_turns(spark, d, fold=False).withColumn("ms", F.unix_millis("ts"))
+    t = chat_turns(spark, d).withColumn("ms", F.unix_millis("ts"))
     raw_text = F.col("text")
     msgs_classic = F.struct(F.col("sender").alias("sender_name"), F.col("ms").alias("timestamp_ms"),
                             mojibake(raw_text).alias("content"))
@@ -156,24 +157,25 @@ def doc_output(d: DataFrame) -> DataFrame:
     return d.select("source", "doc_id", "timestamp", "title", "text", "authored_by_me", meta.alias("meta"))
 
 
-def doc_rows(spark: SparkSession, d: str, fold: bool = False) -> DataFrame:
+def doc_rows(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "documents").select("doc_id", "lang", "text")
-    if fold:
-        x = x.withColumn("text", ascii_fold(F.col("text")))
     return x.withColumn("ts", F.timestamp_seconds(F.lit(BASE_EPOCH) + F.col("doc_id") * 3600))
 
 
 def render_tweets(spark: SparkSession, d: str) -> DataFrame:
-    """One tweet*.js per document; Spanish documents become retweets ('RT @...');
-    even ids use the {tweet: {...}} wrapper; German ones reply to someone."""
-    x = doc_rows(spark, d)
-    text = F.when(F.col("lang") == "es", F.concat(F.lit("RT @someone: "), F.col("text"))).otherwise(F.col("text"))
+    """One tweet*.js per document; Spanish documents are also retweeted ('RT @...',
+    in a file of their own); even ids use the {tweet: {...}} wrapper; German ones
+    reply to someone."""
+    x = doc_rows(spark, d).withColumn("retweet", F.explode(
+        F.when(F.col("lang") == "es", F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    text = F.when(F.col("retweet"), F.concat(F.lit("RT @someone: "), F.col("text"))).otherwise(F.col("text"))
     t = F.struct(F.col("doc_id").cast("string").alias("id_str"), text.alias("full_text"),
                  F.date_format("ts", "EEE MMM dd HH:mm:ss +0000 yyyy").alias("created_at"),
                  F.when(F.col("lang") == "de", F.lit("someone")).alias("in_reply_to_screen_name"))
     item = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.array(F.struct(t.alias("tweet"))))) \
         .otherwise(F.to_json(F.array(t)))
-    path = F.concat(F.lit("/exports/twitter/data/tweets-"), F.col("doc_id").cast("string"), F.lit(".js"))
+    path = F.concat(F.lit("/exports/twitter/data/tweets-"), F.col("doc_id").cast("string"),
+                    F.when(F.col("retweet"), F.lit("-rt.js")).otherwise(F.lit(".js")))
     return x.select(path.alias("path"), F.concat(F.lit("window.YTD.tweets.part0 = "), item).alias("content"))
 
 
@@ -185,7 +187,8 @@ def q_parse_tweets(spark, d):
 def render_x_dms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     t = chat_turns(spark, d)
     sid = F.when(F.col("sender") == OWNER.name, F.lit("42")).otherwise(
-        F.when(F.col("sender") == "Ana", F.lit("1001")).otherwise(F.lit("1002")))
+        F.when(F.col("sender") == "Ana", F.lit("1001")).when(F.col("sender") == "Ben", F.lit("1002"))
+        .otherwise(F.lit("1003")))
     mc = F.struct(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("createdAt"),
                            sid.alias("senderId"), F.col("text").alias("text")).alias("messageCreate"))
     g = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", mc.alias("m")))).alias("ms"))
@@ -196,7 +199,7 @@ def render_x_dms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
                    F.concat(F.lit("window.YTD.direct_messages.part0 = "), F.to_json(F.array(conv))).alias("content"))
     # reactions are not messages; one per conversation, spliced into the JSON
     dms = dms.withColumn("content", F.regexp_replace("content", r'"messages":\[', '"messages":[{"reactionCreate":{}},'))
-    acc = g.limit(1).select(F.lit("/exports/twitter/data/account.js").alias("path"),
+    acc = one_row(spark).select(F.lit("/exports/twitter/data/account.js").alias("path"),
                             F.lit('window.YTD.account.part0 = [{"account":{"accountId":"42"}}]').alias("content"))
     return dms, acc
 
@@ -208,18 +211,19 @@ def q_parse_x_dm(spark, d):
 
 
 def q_parse_reddit(spark, d):
-    """Documents as Reddit rows: French ones as posts, the rest as comments; a
-    German document's body is replaced by '[deleted]' (dropped as a comment);
-    English ones have no title (fallback 'r/<sub> <kind>')."""
+    """Documents as Reddit rows: French ones as posts, the rest as comments; beside
+    each German document lies a '[deleted]' comment (dropped); English ones have
+    no title (fallback 'r/<sub> <kind>')."""
     from lifecorpus.sources.social import parse_reddit
     x = doc_rows(spark, d)
+    x = x.unionByName(x.where(F.col("lang") == "de").withColumn("text", F.lit("[deleted]")))
     rows = x.select(F.lit("/exports/reddit/export.csv").alias("path"), F.col("doc_id").alias("row"),
                     F.concat(F.lit("t1_"), F.col("doc_id").cast("string")).alias("id"),
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("date"),
                     F.col("lang").alias("subreddit"),
                     F.when(F.col("lang") == "en", F.lit("")).otherwise(F.concat(F.lit("Doc "), F.col("doc_id")))
                     .alias("title"),
-                    F.when(F.col("lang") == "de", F.lit("[deleted]")).otherwise(F.col("text")).alias("body"),
+                    F.col("text").alias("body"),
                     "lang")
     return doc_output(parse_reddit(rows.where(F.col("lang") != "fr").drop("lang"),
                                    rows.where(F.col("lang") == "fr").drop("lang")))
@@ -244,7 +248,7 @@ def render_facebook_posts(spark: SparkSession, d: str) -> DataFrame:
         .otherwise(F.concat(F.lit("/exports/facebook/your_activity/comments/comments_"),
                             F.col("doc_id").cast("string"), F.lit(".json")))
     files = x.select(path.alias("path"), F.when(even, post).otherwise(com).alias("content"))
-    decoy = x.limit(1).select(F.lit("/exports/facebook/messages/inbox/a/your_posts_1.json").alias("path"),
+    decoy = one_row(spark).select(F.lit("/exports/facebook/messages/inbox/a/your_posts_1.json").alias("path"),
                               F.lit('[{"timestamp": 1, "data": [{"post": "not a post"}]}]').alias("content"))
     return files.unionByName(decoy)
 
@@ -259,8 +263,8 @@ def q_parse_linkedin(spark, d):
     subject only)."""
     from lifecorpus.sources.social import parse_linkedin_messages
     t = chat_turns(spark, d)
-    rows = t.select(F.lit("/exports/linkedin/messages.csv").alias("path"),
-                    (F.col("conv_id") * 1000 + F.col("turn")).alias("row"),
+    rows = t.select(F.concat(F.lit("/exports/linkedin/"), F.col("conv_id").cast("string"), F.lit("/messages.csv"))
+                    .alias("path"), F.col("turn").alias("row"),
                     F.concat(F.lit("li-"), F.col("conv_id").cast("string")).alias("CONVERSATION ID"),
                     F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("Conv "), F.col("conv_id").cast("string")))
                     .otherwise(F.lit("")).alias("CONVERSATION TITLE"),
@@ -285,14 +289,14 @@ def render_files(spark: SparkSession, d: str, base: str) -> DataFrame:
     """Documents as files <base>/<lang>/doc_<id>.<ext> (English .md, French .txt,
     Spanish .org, German .html), mtime 2024-01-01 + id hours, plus a hidden file
     and a PDF that must not produce documents."""
-    x = doc_rows(spark, d, fold=True)
+    x = doc_rows(spark, d)
     ext = _ext(F.col("lang"))
     body = F.when(F.col("lang") == "de", _html_page(F.col("text"))).otherwise(F.col("text"))
     files = x.select(F.concat(F.lit(base + "/"), F.col("lang"), F.lit("/doc_"), F.col("doc_id").cast("string"), ext)
                      .alias("path"), F.col("ts").alias("modificationTime"), F.encode(body, "UTF-8").alias("content"))
-    decoys = x.limit(1).select(
+    decoys = one_row(spark).select(
         F.explode(F.array(F.lit(base + "/.obsidian/workspace.md"), F.lit(base + "/scan.pdf"))).alias("path"),
-        F.col("ts").alias("modificationTime"),
+        F.timestamp_seconds(F.lit(BASE_EPOCH)).alias("modificationTime"),
         F.encode(F.lit("a hidden or undecodable file with enough characters"), "UTF-8").alias("content"))
     return files.unionByName(decoys)
 
@@ -324,7 +328,7 @@ def render_calendar(spark: SparkSession, d: str) -> DataFrame:
     folded description, errors two attendees."""
     e = table(spark, d, "events").select("event_id", "user_id", "event_type", "props", "ts")
     ts = F.col("ts").cast("timestamp")
-    uid = F.lpad(F.col("user_id").cast("string"), 4, "0")
+    uid = F.lpad(F.col("user_id").cast("string"), 12, "0")
     dt = (F.when(F.col("event_type") == "view", F.concat(F.lit("DTSTART;VALUE=DATE:"), F.date_format(ts, "yyyyMMdd")))
           .when(F.col("event_type") == "click", F.concat(F.lit("DTSTART:"), F.date_format(ts, "yyyyMMdd'T'HHmmss")))
           .otherwise(F.concat(F.lit("DTSTART:"), F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))))
@@ -332,7 +336,7 @@ def render_calendar(spark: SparkSession, d: str) -> DataFrame:
         .otherwise(F.concat(F.col("event_type"), F.lit(" "), F.col("props")))
     desc = F.concat(F.lit("DESCRIPTION:Signed up as user "), F.col("user_id").cast("string"),
                     F.lit(" after a long walk through the onboarding flow"))
-    desc = F.concat(F.substring(desc, 1, 30), F.lit("\r\n "), F.substring(desc, 31, 1 << 20))
+    desc = F.concat(F.substring(desc, 1, 30), F.lit("\r\n "), F.substr(desc, F.lit(31)))
     extra = (F.when(F.col("event_type") == "purchase", F.concat(F.lit("LOCATION:Shop "), F.col("user_id").cast("string"),
                                                                  F.lit("\r\n")))
              .when(F.col("event_type") == "signup", F.concat(desc, F.lit("\r\n")))
@@ -357,11 +361,12 @@ def q_parse_ics(spark, d):
 
 
 def q_parse_commits(spark, d):
-    """Documents as commit records of repo-<lang>.gitlog; Spanish ones have a
-    blank body and are skipped."""
+    """Documents as commit records of repo-<lang>.gitlog; beside each Spanish one
+    lies a commit with a blank body, which is skipped."""
     from lifecorpus.sources.commits import parse_commits
     x = doc_rows(spark, d)
-    body = F.when(F.col("lang") == "es", F.lit("   \n")).otherwise(F.col("text"))
+    x = x.unionByName(x.where(F.col("lang") == "es").withColumn("text", F.lit("   \n")))
+    body = F.col("text")
     rec = F.concat(F.lit("\n"), F.sha1(F.col("doc_id").cast("string")), F.lit("\x1f"),
                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00\x1f"), body, F.lit("\n"))
     raw = x.select(F.concat(F.lit("/exports/git/repo-"), F.col("lang"), F.lit(".gitlog")).alias("path"),
@@ -375,14 +380,14 @@ def render_feeds(spark: SparkSession, d: str) -> dict:
     new Timeline, errors -> legacy Timeline."""
     e = table(spark, d, "events").select("event_id", "user_id", "event_type", "props", "ts")
     ts = F.col("ts").cast("timestamp")
-    uid = F.lpad(F.col("user_id").cast("string"), 4, "0")
+    uid = F.lpad(F.col("user_id").cast("string"), 12, "0")
     base = "/exports/google/Takeout"
 
     def files(kind, path, item, wrap):
         x = e.where(F.col("event_type") == kind)
         g = x.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(ts.alias("ts"), "event_id", item.alias("it"))))
                                      .alias("xs"))
-        return g.select(F.concat(F.lit(base), F.lit(path), F.lpad(F.col("user_id").cast("string"), 4, "0"),
+        return g.select(F.concat(F.lit(base), F.lit(path), F.lpad(F.col("user_id").cast("string"), 12, "0"),
                                  F.lit(".json") if "Semantic" in path else F.lit("")).alias("path"),
                         wrap(F.transform("xs", lambda r: r["it"])).alias("content"))
 
@@ -430,7 +435,7 @@ def render_mbox(spark: SparkSession, d: str) -> DataFrame:
     owner = F.col("sender") == OWNER.name
     even = F.col("conv_id") % 2 == 0
     addr = F.when(owner, F.lit(MAIL_OWNER)).when(F.col("sender") == "Ana", F.lit("ana@example.com")) \
-        .otherwise(F.lit("ben@example.com"))
+        .when(F.col("sender") == "Ben", F.lit("ben@example.com")).otherwise(F.lit("system@example.com"))
     disp = F.when(F.col("sender") == "Ben", F.lit("=?utf-8?q?Ben?=")).otherwise(F.col("sender"))
     frm = F.concat(disp, F.lit(" <"), addr, F.lit(">"))
     to = F.when(owner, F.lit("Ana <ana@example.com>")).otherwise(F.lit("Owner <owner@example.com>"))
@@ -464,9 +469,8 @@ def render_mbox(spark: SparkSession, d: str) -> DataFrame:
                  F.lit("Your code was used")))
     recs = F.when(F.col("turn") == 1, F.concat(F.array(real), decoys)).otherwise(F.array(real))
     path = F.concat(F.lit("/exports/google/Takeout/Mail/conv_"), F.col("conv_id").cast("string"), F.lit(".mbox"))
-    return t.select(path.alias("path"), F.lit(0).cast("long").alias("block"), "turn",
-                    F.posexplode(recs).alias("i", "value")) \
-        .select("path", "block", (F.col("turn") * 10 + F.col("i")).alias("pos"), "value")
+    return t.select(path.alias("path"), F.col("turn").cast("long").alias("block"),
+                    F.posexplode(recs).alias("pos", "value"))
 
 
 def q_parse_mbox(spark, d):
