@@ -640,3 +640,37 @@ SELECT source, count(*) AS n_messages FROM msgs WHERE source NOT IN ('whatsapp',
 GROUP BY source
 UNION ALL
 SELECT 'whatsapp', count(*) FROM ({SQL["parse_whatsapp"]})"""
+
+SQL["parse_instagram"] = SQL["parse_messenger"].replace("SELECT 'messenger'", "SELECT 'instagram'")
+
+SQL["parse_linkedin_shares"] = f"""
+WITH {DOC_ROWS.strip()}
+SELECT 'linkedin' AS source, 'share/' || CAST(doc_id AS VARCHAR) AS doc_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp,
+       'LinkedIn post' AS title, {_normalize('text')} AS text, true AS authored_by_me, '' AS meta
+FROM dr WHERE text <> ''"""
+
+SQL["parse_linkedin_profile"] = """
+WITH c AS (SELECT c_custkey, 'First Name: ' || c_name AS n, 'Key: ' || CAST(c_custkey AS VARCHAR) AS k,
+                  CASE WHEN c_nationkey > 4 THEN chr(10) || 'Headline: ' || c_mktsegment ELSE '' END AS h FROM customer)
+SELECT 'linkedin' AS source, 'profile' AS doc_id, '' AS timestamp, 'LinkedIn profile' AS title,
+       CASE WHEN c_custkey % 2 = 0 THEN n || h || chr(10) || k ELSE k || h || chr(10) || n END AS text,
+       true AS authored_by_me, '' AS meta
+FROM c"""
+
+SQL["parse_linkedin_positions"] = """
+SELECT 'linkedin' AS source, 'positions' AS doc_id, '' AS timestamp, 'Career history' AS title,
+       string_agg(o_orderpriority || ' at Company ' || CAST(o_custkey AS VARCHAR) || ' ('
+                  || strftime(o_orderdate, '%Y-%m-%d') || ' – '
+                  || CASE WHEN o_orderstatus = 'O' THEN 'now' ELSE strftime(o_orderdate, '%Y-%m-%d') END
+                  || '): order ' || CAST(o_orderkey AS VARCHAR), chr(10) ORDER BY o_orderkey) AS text,
+       true AS authored_by_me, '' AS meta
+FROM orders GROUP BY o_custkey"""
+
+SQL["train_examples"] = SQL["sft_build"].rsplit("SELECT source, example_key, CASE", 1)[0] + """
+SELECT source, example_key, digest FROM bk WHERE bucket >= 30"""
+
+SQL["sft_sinks"] = f"WITH {DOCS}" + WRITING + f""",
+w AS (SELECT *, row_number() OVER (PARTITION BY digest ORDER BY ord_rank, ord_pos) AS rn FROM wdig)
+SELECT CASE WHEN {_bucket("source || '/' || example_key")} < 30 THEN 'val' ELSE 'train' END AS split, source,
+       sha1('system:' || system || '|user:' || prompt || '|assistant:' || text) AS body_sha1
+FROM w WHERE rn = 1"""

@@ -154,6 +154,11 @@ def q_example_counts(spark, d):
     return exm.per_source_counts(sft_examples(spark, d))
 
 
+def q_train_examples(spark, d):
+    """A5: the training split in its seeded order (the oracle compares the rows)."""
+    return exm.shuffled_train(sft_examples(spark, d)).select("source", "example_key", "digest")
+
+
 # --- text operators -----------------------------------------------------------
 
 def secrets_suffix(doc_id):

@@ -33,12 +33,16 @@ QUERIES = {
     "html_text": q.q_html_text,
     "parse_whatsapp": rt.q_parse_whatsapp,
     "parse_messenger": rt.q_parse_messenger,
+    "parse_instagram": rt.q_parse_instagram,
     "parse_telegram": rt.q_parse_telegram,
     "parse_tweets": rt.q_parse_tweets,
     "parse_x_dm": rt.q_parse_x_dm,
     "parse_reddit": rt.q_parse_reddit,
     "parse_facebook": rt.q_parse_facebook,
     "parse_linkedin": rt.q_parse_linkedin,
+    "parse_linkedin_shares": rt.q_parse_linkedin_shares,
+    "parse_linkedin_profile": rt.q_parse_linkedin_profile,
+    "parse_linkedin_positions": rt.q_parse_linkedin_positions,
     "parse_notes": rt.q_parse_notes,
     "parse_drive": rt.q_parse_drive,
     "parse_ics": rt.q_parse_ics,
@@ -46,6 +50,8 @@ QUERIES = {
     "parse_lifelog": rt.q_parse_lifelog,
     "parse_mbox": rt.q_parse_mbox,
     "reingest_only": rt.q_reingest_only,
+    "sft_sinks": rt.q_sft_sinks,
+    "train_examples": q.q_train_examples,
 }
 
 

@@ -3,11 +3,14 @@ export shape (lines or whole files), then parsed back by the source job. The
 oracle computes the expected records straight from the table."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifecorpus.plans.adapters import OWNER, BASE_EPOCH, sender_of
 from lifecorpus.plans.tables import table
+from lifecorpus.session import ensure_checkpoint_dir
 from lifecorpus.sources import whatsapp
 
 
@@ -24,6 +27,11 @@ def chat_turns(spark: SparkSession, d: str) -> DataFrame:
                     F.timestamp_seconds(secs).alias("ts"), "text")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder, for tables that a query writes and reads back."""
+    return f"{ensure_checkpoint_dir(spark)}/lifecorpus-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def one_row(spark: SparkSession) -> DataFrame:
     """A literal frame for decoy files, apart from the tables."""
     return spark.range(1)
@@ -65,7 +73,7 @@ def mojibake(c):
     return F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
 
 
-def render_messenger(spark: SparkSession, d: str) -> DataFrame:
+def render_messenger(spark: SparkSession, d: str, root: str = "/exports/facebook") -> DataFrame:
     """One JSON file per conversation, newest message first. Even conversations
     use the classic shape under inbox/<thread>/message_1.json, odd ones the E2EE
     shape at e2ee/<conv>.json. Each file also holds an unsent message and an
@@ -96,9 +104,9 @@ def render_messenger(spark: SparkSession, d: str) -> DataFrame:
         F.col("senders").alias("participants"),
         F.concat(extra_e, F.transform("e", lambda x: x["m"])).alias("messages")))
     even = F.col("conv_id") % 2 == 0
-    path = F.when(even, F.concat(F.lit("/exports/facebook/your_activity/messages/inbox/conv_"),
+    path = F.when(even, F.concat(F.lit(root + "/your_activity/messages/inbox/conv_"),
                                  F.col("conv_id").cast("string"), F.lit("/message_1.json"))) \
-        .otherwise(F.concat(F.lit("/exports/facebook/e2ee/conv_"), F.col("conv_id").cast("string"), F.lit(".json")))
+        .otherwise(F.concat(F.lit(root + "/e2ee/conv_"), F.col("conv_id").cast("string"), F.lit(".json")))
     return g.select(path.alias("path"), F.when(even, classic).otherwise(e2ee).alias("content"))
 
 
@@ -107,6 +115,12 @@ def q_parse_messenger(spark, d):
     return message_output(parse_meta_chats(render_messenger(spark, d), OWNER, "messenger", "/exports/facebook"))
 
 
+def q_parse_instagram(spark, d):
+    from lifecorpus.sources.meta_chats import parse_meta_chats
+    root = "/exports/instagram"
+    return message_output(parse_meta_chats(render_messenger(spark, d, root), OWNER, "instagram", root))
+
+
 def json_str(c):
     """A JSON string literal for ``c`` (quoted and escaped)."""
     j = F.to_json(F.array(c))
@@ -273,6 +287,46 @@ def q_parse_linkedin(spark, d):
     return message_output(parse_linkedin_messages(rows, OWNER))
 
 
+def q_parse_linkedin_shares(spark, d):
+    """Documents as LinkedIn shares; beside each Spanish one lies a share without
+    commentary (dropped)."""
+    from lifecorpus.sources.social import parse_linkedin_shares
+    x = doc_rows(spark, d)
+    x = x.unionByName(x.where(F.col("lang") == "es").withColumn("text", F.lit("")))
+    return doc_output(parse_linkedin_shares(x.select(
+        F.lit("/exports/linkedin/Shares.csv").alias("path"), F.col("doc_id").alias("row"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Date"),
+        F.concat(F.lit("share/"), F.col("doc_id").cast("string")).alias("ShareLink"),
+        F.col("text").alias("ShareCommentary"))))
+
+
+def q_parse_linkedin_profile(spark, d):
+    """Customers as profile files of their own; columns stand in two orders, and
+    those of the first nations have no segment."""
+    from lifecorpus.sources.social import parse_linkedin_profile
+    c = table(spark, d, "customer")
+    name, key, seg = F.col("c_name"), F.col("c_custkey").cast("string"), F.when(F.col("c_nationkey") > 4, F.col("c_mktsegment"))
+    even = F.col("c_custkey") % 2 == 0
+    names = [F.array(*[F.lit(x) for x in h]) for h in (["First Name", "Headline", "Key"], ["Key", "Headline", "First Name"])]
+    return doc_output(parse_linkedin_profile(c.select(
+        F.concat(F.lit("/exports/linkedin/"), key, F.lit("/Profile.csv")).alias("path"), F.lit(1).alias("row"),
+        F.when(even, F.array(name, seg, key)).otherwise(F.array(key, seg, name)).alias("cells"),
+        F.when(even, names[0]).otherwise(names[1]).alias("head"))))
+
+
+def q_parse_linkedin_positions(spark, d):
+    """Orders as career rows, one file per customer; open orders have no end."""
+    from lifecorpus.sources.social import parse_linkedin_positions
+    o = table(spark, d, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return doc_output(parse_linkedin_positions(o.select(
+        F.concat(F.lit("/exports/linkedin/"), F.col("o_custkey").cast("string"), F.lit("/Positions.csv")).alias("path"),
+        F.col("o_orderkey").alias("row"), F.col("o_orderpriority").alias("Title"),
+        F.concat(F.lit("Company "), F.col("o_custkey").cast("string")).alias("Company Name"), day.alias("Started On"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("")).otherwise(day).alias("Finished On"),
+        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("Description"))))
+
+
 def _ext(lang):
     return (F.when(lang == "en", F.lit(".md")).when(lang == "fr", F.lit(".txt"))
             .when(lang == "es", F.lit(".org")).otherwise(F.lit(".html")))
@@ -479,13 +533,31 @@ def q_parse_mbox(spark, d):
 
 
 def q_reingest_only(spark, d):
-    """IO6/A12: previous chat messages (all sources) merged with a fresh
-    WhatsApp ingest run as `--only whatsapp twitter`: WhatsApp, twitter and the
-    twitter-owned twitter_dm rows are replaced; counts per source."""
+    """IO6/A12: a table of chat messages (all sources), then a fresh WhatsApp
+    ingest written as `--only whatsapp twitter`: WhatsApp, twitter and the
+    twitter-owned twitter_dm rows are replaced; counts per source as read back."""
     from lifecorpus.plans.adapters import conversation_messages
-    from lifecorpus.sources.store import retain_for_reingest
-    from lifecorpus.sources import whatsapp as wa
-    old = conversation_messages(table(spark, d, "conversations"))
-    new = wa.parse_whatsapp(render_whatsapp(spark, d), OWNER)
-    merged = retain_for_reingest(old, ["whatsapp", "twitter"]).unionByName(new)
-    return merged.groupBy("source").agg(F.count(F.lit(1)).alias("n_messages"))
+    from lifecorpus.sources import store
+    folder = scratch(spark, "reingest")
+    store.write_table(spark, conversation_messages(table(spark, d, "conversations")), f"{folder}/messages")
+    new = whatsapp.parse_whatsapp(render_whatsapp(spark, d), OWNER)
+    store.write_table(spark, new, f"{folder}/messages", ["whatsapp", "twitter"])
+    return store.read_table(spark, folder, "messages").groupBy("source").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+def q_sft_sinks(spark, d):
+    """IO1/IO2/IO12/A5: writing examples through the training and validation
+    sinks, read back from their JSON lines."""
+    from lifecorpus.operators import examples as exm
+    from lifecorpus.plans.adapters import document_docs
+    from lifecorpus.schema import EXAMPLE
+    from lifecorpus.sources import store
+    ex = exm.assign_split(exm.dedup_examples(exm.writing_examples(document_docs(table(spark, d, "documents")), OWNER)))
+    folder = scratch(spark, "sft")
+    store.write_sft(ex, folder)
+
+    def back(split):
+        x = store.read_jsonl(spark, f"{folder}/sft_{split}", EXAMPLE)
+        body = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
+        return x.select(F.lit(split).alias("split"), "source", F.sha1(F.encode(body, "UTF-8")).alias("body_sha1"))
+    return back("train").unionByName(back("val"))

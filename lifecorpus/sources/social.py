@@ -106,16 +106,15 @@ def ingest_twitter(spark: SparkSession, root: str, s: Settings) -> tuple[DataFra
 MOST_COLUMNS = 64
 
 
-def read_csv_rows(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
-    """IO10: every file called ``name`` under root, header + quoted newlines + BOM.
-    Returns (path, row, <columns>) with '' for empty cells and null for columns the
-    file does not have (as a dict lookup in the reference would)."""
-    from lifecorpus.sources.common import exists_nonempty
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("row", T.LongType())]
-                          + [T.StructField(c, T.StringType()) for c in columns])
+CSV_RECORD = "path string, row long, cells array<string>, head array<string>"
+
+
+def read_csv_records(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """IO10: the records (path, row, cells, head) of every file called ``name`` under
+    root, beside its header; quoted newlines and BOM are read, empty cells are null."""
+    from lifecorpus.sources.common import exists_nonempty, file_path
     if not exists_nonempty(spark, root):
-        return spark.createDataFrame([], schema)
-    from lifecorpus.sources.common import file_path
+        return spark.createDataFrame([], CSV_RECORD)
     wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MOST_COLUMNS)])
     rows = (spark.read.schema(wide).option("recursiveFileLookup", True).option("pathGlobFilter", name)
             .option("header", False).option("multiLine", True).option("escape", '"').csv(root)
@@ -124,12 +123,17 @@ def read_csv_rows(spark: SparkSession, root: str, name: str, columns: list[str])
     # files of one name may order their columns differently: each has its own header
     head = rows.groupBy("path").agg(F.min_by("cells", "row").alias("head"), F.min("row").alias("first"))
     head = head.withColumn("head", F.transform("head", lambda c: F.regexp_replace(c, "^\ufeff", "")))
+    return rows.join(head, "path").where(F.col("row") > F.col("first")).select("path", "row", "cells", "head")
 
+
+def read_csv_rows(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
+    """(path, row, <columns>) with '' for empty cells and null for columns the file
+    does not have (as a dict lookup in the reference would)."""
     def cell(c: str) -> Column:
         at = F.array_position("head", c)
         return F.when(at > 0, F.coalesce(F.get("cells", (at - 1).cast("int")), F.lit(""))).alias(c)
 
-    return rows.join(head, "path").where(F.col("row") > F.col("first")).select("path", "row", *[cell(c) for c in columns])
+    return read_csv_records(spark, root, name).select("path", "row", *[cell(c) for c in columns])
 
 
 REDDIT_COLUMNS = ["id", "date", "subreddit", "title", "body"]
@@ -187,12 +191,12 @@ def parse_linkedin_shares(rows: DataFrame) -> DataFrame:
         make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(1), F.col("row")).alias("ord")))
 
 
-def parse_linkedin_profile(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One doc per profile row, 'column: value' for every non-empty cell in
-    header order."""
-    lines = [F.when(F.coalesce(F.col(f"`{c}`"), F.lit("")) != "", F.concat(F.lit(c + ": "), F.col(f"`{c}`")))
-             for c in columns]
-    text = F.concat_ws("\n", *lines) if lines else F.lit("")
+def parse_linkedin_profile(rows: DataFrame) -> DataFrame:
+    """One doc per profile row (path, row, cells, head), 'column: value' for
+    every non-empty cell in header order."""
+    pairs = F.filter(F.arrays_zip("head", "cells"),
+                     lambda p: p["head"].isNotNull() & (F.coalesce(p["cells"], F.lit("")) != ""))
+    text = F.array_join(F.transform(pairs, lambda p: F.concat(p["head"], F.lit(": "), p["cells"])), "\n")
     return conform_docs(rows.select(
         F.lit("linkedin").alias("source"), F.lit("profile").alias("doc_id"), F.lit("").alias("timestamp"),
         F.lit("LinkedIn profile").alias("title"), text.alias("text"), F.lit(True).alias("authored_by_me"),
@@ -217,13 +221,8 @@ def parse_linkedin_positions(rows: DataFrame) -> DataFrame:
 def ingest_linkedin(spark: SparkSession, root: str, s: Settings) -> tuple[DataFrame, DataFrame]:
     msgs = parse_linkedin_messages(read_csv_rows(spark, root, "messages.csv", LI_MESSAGES), s)
     docs = [parse_linkedin_shares(read_csv_rows(spark, root, "Shares.csv", LI_SHARES)),
-            parse_linkedin_positions(read_csv_rows(spark, root, "Positions.csv", LI_POSITIONS))]
-    # Profile.csv has free-form columns: read each file's header (metadata only).
-    prof = whole_files(spark, root, "Profile.csv").select("path")
-    for (p,) in prof.collect():
-        r = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(p)
-        r = r.select(F.lit(p).alias("path"), F.monotonically_increasing_id().alias("row"), *r.columns)
-        docs.append(parse_linkedin_profile(r, [c for c in r.columns if c not in ("path", "row")]))
+            parse_linkedin_positions(read_csv_rows(spark, root, "Positions.csv", LI_POSITIONS)),
+            parse_linkedin_profile(read_csv_records(spark, root, "Profile.csv"))]   # free-form columns
     return msgs, reduce(lambda a, b: a.unionByName(b), docs)
 
 
