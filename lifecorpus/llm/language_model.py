@@ -10,10 +10,11 @@ unknown word counts as one further member. All of it sums to one over what can c
 
 Training runs in rounds on all partitions of the training documents: windows of ``STEPS``
 tokens with truncated backpropagation, from the round's common weights; the weights that
-the partitions end with are averaged, weighted by tokens, in two steps of a tree. Every
-``stride``-th window of each document belongs to a round, with a phase of the document's
-own, so rounds use windows spread over all documents, and as many more as the corpus grows.
-Weights start where the model equals the word counts.
+the partitions end with are averaged, weighted by tokens, in two steps of a tree. A document
+belongs to one round, whole, so the rounds together train on every token of every document
+once. Lanes read documents one after the other; a window that is not full, at the end of a
+partition, moves the weights by its share of tokens. In training every window starts from a
+zero state. Weights start where the model equals the word counts.
 
 Scoring runs documents in lanes, window by window, with the state carried from one to the
 next, so a document of any length is scored as a whole. Counts of rare words are joined by
@@ -232,38 +233,54 @@ class Model:
         return logp[back].astype(np.float64), None if d_states is None else d_states[back]
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, grad: Model) -> float:
-        """Adds the gradient of the mean loss over a (steps x lanes) window; NONE targets do not count."""
-        steps, lanes = inputs.shape
-        h, kept = np.zeros((lanes, HIDDEN), np.float32), []
-        states = np.empty((steps, lanes, HIDDEN), np.float32)
+        """Adds the gradient of the mean loss over a (steps x lanes) window; NONE targets do not count.
+
+        The state begins anew where the end (0) is read, as in scoring."""
+        (steps, lanes), kind = inputs.shape, self.flat.dtype
+        keep = (inputs != 0).astype(kind)[:, :, None]
+        x = self.x[inputs]
+        h = np.zeros((lanes, HIDDEN), kind)
+        before, states, z, r, n = (np.empty((steps, lanes, HIDDEN), kind) for _ in range(5))
         for t in range(steps):
-            before = h
-            h, z, r, rh, n = self.step(inputs[t], h)
-            kept.append((before, z, r, rh, n))
-            states[t] = h
+            h = np.multiply(h, keep[t], out=before[t])
+            zr = h @ self.u
+            zr += x[t, :, :2 * HIDDEN]
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            z[t], r[t] = zr[:, :HIDDEN], zr[:, HIDDEN:]
+            a = (r[t] * h) @ self.un
+            a += x[t, :, 2 * HIDDEN:]
+            np.tanh(a, out=n[t])
+            h = np.add(h, z[t] * (n[t] - h), out=states[t])
         ok = targets.ravel() != NONE
         count = max(int(ok.sum()), 1)
         logp, d = self.outputs(states.reshape(-1, HIDDEN)[ok], targets.ravel()[ok].astype(np.int64), grad)
-        d_states = np.zeros((steps * lanes, HIDDEN), np.float32)
+        d_states = np.zeros((steps * lanes, HIDDEN), kind)
         d_states[ok] = d
         d_states = d_states.reshape(steps, lanes, HIDDEN)
-        dh = np.zeros((lanes, HIDDEN), np.float32)
-        dx = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+        to_n, to_z, to_r, stay = z * (1 - n * n), (n - before) * z * (1 - z), before * r * (1 - r), 1 - z
+        dh = np.zeros((lanes, HIDDEN), kind)
+        dx = np.empty((steps, lanes, 3 * HIDDEN), kind)
         for t in range(steps - 1, -1, -1):
-            before, z, r, rh, n = kept[t]
             dh += d_states[t]
-            dn = dh * z * (1 - n * n)
-            dz = dh * (n - before) * z * (1 - z)
+            dn = np.multiply(dh, to_n[t], out=dx[t, :, 2 * HIDDEN:])
             drh = dn @ self.un.T
-            dr = drh * before * r * (1 - r)
-            dx[t] = np.hstack([dz, dr, dn])
-            grad.un += rh.T @ dn
-            grad.u += before.T @ dx[t][:, :2 * HIDDEN]
-            dh = dh * (1 - z) + drh * r + dx[t][:, :2 * HIDDEN] @ self.u.T
+            np.multiply(dh, to_z[t], out=dx[t, :, :HIDDEN])
+            np.multiply(drh, to_r[t], out=dx[t, :, HIDDEN:2 * HIDDEN])
+            dh *= stay[t]
+            drh *= r[t]
+            dh += drh
+            dh += dx[t, :, :2 * HIDDEN] @ self.u.T
+            dh *= keep[t]
+        flat = dx.reshape(-1, 3 * HIDDEN)
+        grad.un += (r * before).reshape(-1, HIDDEN).T @ flat[:, 2 * HIDDEN:]
+        grad.u += before.reshape(-1, HIDDEN).T @ flat[:, :2 * HIDDEN]
         order = np.argsort(inputs, axis=None, kind="stable")
         ids = inputs.ravel()[order]
         first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        grad.x[ids[first]] += np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], first)
+        grad.x[ids[first]] += np.add.reduceat(flat[order], first)
         grad.flat /= count
         return -float(logp.sum()) / count
 
@@ -271,43 +288,85 @@ class Model:
 class Adam:
     def __init__(self, model: Model, rate: float):
         self.model, self.rate, self.t = model, rate, 0
-        self.m, self.v = np.zeros_like(model.flat), np.zeros_like(model.flat)
+        self.m, self.v, self.work = (np.zeros_like(model.flat) for _ in range(3))
 
-    def update(self, g: np.ndarray) -> None:
+    def update(self, g: np.ndarray, share: float = 1.0) -> None:
+        """One step along ``g``, which is overwritten; ``share``: of a full window's tokens."""
         self.t += 1
-        norm = float(np.sqrt((g.astype(np.float64) ** 2).sum()))
+        norm = float(np.linalg.norm(g))
         if norm > 1:
-            g = g / np.float32(norm)
-        self.m += np.float32(0.1) * (g - self.m)
-        self.v += np.float32(0.01) * (g * g - self.v)
-        rate = np.float32(self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t))
-        self.model.flat -= rate * self.m / (np.sqrt(self.v) + np.float32(1e-7))
+            g /= norm
+        work = self.work
+        self.m *= 0.9
+        self.m += np.multiply(g, 0.1, out=work)
+        np.multiply(g, g, out=work)
+        work *= 0.01
+        self.v *= 0.99
+        self.v += work
+        if self.t % 128 == 0:  # numbers near the least float are slow
+            for x in (self.m, self.v):
+                x[np.abs(x) < 1e-30] = 0
+        np.sqrt(self.v, out=work)
+        work += 1e-7
+        np.divide(self.m, work, out=work)
+        work *= self.rate * share * float(np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t))
+        self.model.flat -= work
         for w in (self.model.wc, self.model.ww):
             np.clip(w, -LIMIT, LIMIT, out=w)
 
 
-def training_windows(docs: DataFrame, v, rounds: int, stride: int) -> DataFrame:
-    """(round, ids): per row many windows of STEPS + 1 ids, the first only read. ``v``: broadcast."""
+def training_documents(docs: DataFrame, v, rounds: int) -> DataFrame:
+    """(round, ids): per row the ids of many whole documents, each with its end. ``v``: broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Ids(v.value).of
+        ids_of, turn = Ids(v.value).of, TaskContext.get().partitionId()
         for b in batches:
             found: list[list[bytes]] = [[] for _ in range(rounds)]
             for t in b.column(0):
-                ids = ids_of(t.as_py())
-                n = -(-len(ids) // STEPS)
-                phase = zlib.crc32(ids.tobytes()) % stride
-                for r in range(rounds):
-                    for i in range((r - phase) % stride, n, stride):
-                        w = np.full(STEPS + 1, NONE, "<u2")
-                        some = ids[i * STEPS:(i + 1) * STEPS]
-                        w[0], w[1:len(some) + 1] = ids[i * STEPS - 1] if i else 0, some
-                        found[r].append(w.tobytes())
+                found[turn % rounds].append(ids_of(t.as_py()).astype("<u2").tobytes())
+                turn += 1
             yield pa.RecordBatch.from_arrays([pa.array(range(rounds), pa.int32()),
                                               pa.array([b"".join(x) for x in found], pa.binary())], ["round", "ids"])
     return docs.mapInArrow(run, "round int, ids binary")
 
 
-def averaged(spark, windows: DataFrame, model: Model, lanes: int, rate: float) -> Model:
+def dealt(docs: Iterator[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(inputs, targets) of windows (STEPS x lanes). A lane reads a document from window to window,
+    then the next one; every token is a target once, and NONE stands where no document is left."""
+    none = np.empty(0, np.uint16)
+    left, last = [none] * lanes, np.zeros(lanes, np.int32)
+    while True:
+        w = np.full((lanes, STEPS), NONE, np.int32)
+        for k in range(lanes):
+            at = 0
+            while at < STEPS:
+                if not len(left[k]):
+                    left[k] = next(docs, none)
+                    if not len(left[k]):
+                        break
+                some, left[k] = left[k][:STEPS - at], left[k][STEPS - at:]
+                w[k, at:at + len(some)] = some
+                at += len(some)
+        targets = np.ascontiguousarray(w.T)
+        if (targets[0] == NONE).all():
+            return
+        inputs = np.vstack([last, targets[:-1]])
+        last = targets[-1]
+        yield np.where(inputs == NONE, 0, inputs), targets
+
+
+def learn(m: Model, docs: Iterator[np.ndarray], lanes: int, rate: float) -> tuple[int, float]:
+    """Trains ``m`` on all documents (ids with the end last); (tokens, sum of their losses)."""
+    best, g, seen, loss = Adam(m, rate), Model(m.size), 0, 0.0
+    for inputs, targets in dealt(docs, lanes):
+        n = int((targets != NONE).sum())
+        g.flat[:] = 0
+        loss += n * m.gradient(inputs, targets, g)
+        best.update(g.flat, n / targets.size)
+        seen += n
+    return seen, loss
+
+
+def averaged(spark, texts: DataFrame, model: Model, lanes: int, rate: float) -> Model:
     """One round: every partition trains a copy; the copies' mean by tokens."""
     shared = spark.sparkContext.broadcast((model.size, model.flat))  # the model's size is fixed
     schema = "chunk int, lane int, task int, weight double, values binary"
@@ -316,21 +375,16 @@ def averaged(spark, windows: DataFrame, model: Model, lanes: int, rate: float) -
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, flat = shared.value
         m = Model(size, flat.copy())
-        best, seen, held = Adam(m, rate), 0, np.empty((0, STEPS + 1), np.uint16)
-
-        def learn(w: np.ndarray) -> int:
-            ids = w.T.astype(np.int32)
-            g = Model(size)
-            m.gradient(np.where(ids[:-1] == NONE, 0, ids[:-1]), ids[1:], g)
-            best.update(g.flat)
-            return int((ids[1:] != NONE).sum())
-        for b in batches:
-            for x in b.column(0):
-                held = np.concatenate([held, np.frombuffer(x.as_py(), "<u2").reshape(-1, STEPS + 1)])
-                while len(held) >= lanes:
-                    seen, held = seen + learn(held[:lanes]), held[lanes:]
-        if len(held):
-            seen += learn(held)
+
+        def read() -> Iterator[np.ndarray]:
+            for b in batches:
+                for x in b.column(0):
+                    ids = np.frombuffer(x.as_py(), "<u2")
+                    at = 0
+                    for end in (np.flatnonzero(ids == 0) + 1).tolist():
+                        yield ids[at:end]
+                        at = end
+        seen, _ = learn(m, read(), lanes, rate)
         if seen:
             task = TaskContext.get().partitionId()
             chunks = [m.flat[i:i + CHUNK].astype("<f4").tobytes() for i in range(0, len(m.flat), CHUNK)]
@@ -350,7 +404,7 @@ def averaged(spark, windows: DataFrame, model: Model, lanes: int, rate: float) -
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([lane], pa.int32()), pa.array([0], pa.int32()),
                                               pa.array([w]), pa.array([(x / w).astype("<f4").tobytes()], pa.binary())], names)
 
-    own = windows.mapInArrow(train, schema)
+    own = texts.mapInArrow(train, schema)
     by_lane = own.repartition("chunk", "lane").sortWithinPartitions("chunk", "lane", "task").mapInArrow(mean, schema)
     by_chunk = (by_lane.withColumn("task", F.col("lane")).withColumn("lane", F.lit(0))
                 .repartition("chunk").sortWithinPartitions("chunk", "task").mapInArrow(mean, schema))
@@ -358,7 +412,7 @@ def averaged(spark, windows: DataFrame, model: Model, lanes: int, rate: float) -
     return Model(model.size, np.frombuffer(b"".join(x for _, x in got), "<f4").copy()) if got else model
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", rounds: int = 3, stride: int = 24, lanes: int = 64,
+def fit(docs: DataFrame, *, text_col: str = "text", rounds: int = 3, lanes: int = 64,
         rate: float = 0.02) -> tuple[DataFrame, Vocabulary, Model]:
     """(word counts, vocabulary, weights) from the documents given."""
     spark = docs.sparkSession
@@ -366,10 +420,10 @@ def fit(docs: DataFrame, *, text_col: str = "text", rounds: int = 3, stride: int
     texts = docs.select(col(text_col).alias("text"))
     counts = stored(word_counts(texts), "words")
     v = vocabulary(counts)
-    windows = stored(training_windows(texts, spark.sparkContext.broadcast(v), rounds, stride), "windows")
+    ids = stored(training_documents(texts, spark.sparkContext.broadcast(v), rounds), "training")
     model = Model.first(v)
     for r in range(rounds):
-        model = averaged(spark, windows.where(F.col("round") == r).select("ids"), model, lanes, rate / (1 + r))
+        model = averaged(spark, ids.where(F.col("round") == r).select("ids"), model, lanes, rate / (1 + r))
     return counts, v, model
 
 

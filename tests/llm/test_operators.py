@@ -576,6 +576,26 @@ def test_counts_beyond_the_common_words_are_joined(docs, rows, monkeypatch):
         assert whole[k][0] == few[k][0] and whole[k][1] == pytest.approx(few[k][1])
 
 
+def test_training_reads_every_document(spark):
+    rows = [(i, f"w{i} w{i}") for i in range(300)] + [(300, " ".join(f"v{i}" for i in range(500)))]
+    _, v, m = language_model.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    moved = np.abs(m.x - language_model.Model.first(v).x).max(1)[:len(v.words)]
+    assert len(v.words) == 801 and (moved > 1e-6).all()  # a word no window holds keeps its first weights
+
+
+def test_lanes_deal_every_token_once():
+    r = np.random.default_rng(5)
+    docs = [np.r_[r.integers(1, 50, n), 0].astype(np.uint16) for n in (0, 3, 200, 70, 31, 32, 33, 500, 1) * 3]
+    got = list(language_model.dealt(iter(docs), 4))
+    x, y = (np.vstack([w[i] for w in got]) for i in (0, 1))
+    found = Counter()
+    for k in range(4):
+        mine = y[:, k][y[:, k] != language_model.NONE]
+        assert (x[:len(mine), k] == np.r_[0, mine[:-1]]).all()
+        found.update(tuple(d) for d in np.split(mine, np.flatnonzero(mine == 0) + 1)[:-1])
+    assert found == Counter(tuple(d) for d in docs)
+
+
 def small_model():
     c = np.array([50, 30, 20, 5, 1] + [-1] * (language_model.CLASS_SIZE - 5))
     v = language_model.Vocabulary([language_model.END, b"a", b"b", b"c", b"d"], c, {}, np.arange(16.0), np.arange(16.0), 300, 30)
