@@ -12,9 +12,10 @@ Training runs in rounds on all partitions of the training documents: windows of
 tokens with truncated backpropagation, from the round's common weights; the weights that
 the partitions end with are averaged, weighted by tokens, in two steps of a tree. A document
 belongs to one round, whole, so the rounds together train on every token of every document
-once. Lanes read documents one after the other; a window that is not full, at the end of a
-partition, moves the weights by its share of tokens. In training every window starts from a
-zero state. Weights start where the model equals the word counts.
+once. Lanes read documents one after the other, window after window, with the state handed
+on as in scoring and the gradient cut at the window; a window that is not full, at the end
+of a partition, moves the weights by its share of tokens. Weights start where the model
+equals the word counts.
 
 Scoring runs documents in lanes, window by window, with the state carried from one to the
 next, so a document of any length is scored as a whole. Counts of rare words are joined by
@@ -232,14 +233,15 @@ class Model:
         back[order] = rows
         return logp[back].astype(np.float64), None if d_states is None else d_states[back]
 
-    def gradient(self, inputs: np.ndarray, targets: np.ndarray, grad: Model) -> float:
+    def gradient(self, inputs: np.ndarray, targets: np.ndarray, grad: Model, state: np.ndarray | None = None) -> float:
         """Adds the gradient of the mean loss over a (steps x lanes) window; NONE targets do not count.
 
-        The state begins anew where the end (0) is read, as in scoring."""
+        ``state``: what the window before left, replaced by what this one leaves (None: zero). The
+        state begins anew where the end (0) is read, as in scoring."""
         (steps, lanes), kind = inputs.shape, self.flat.dtype
         keep = (inputs != 0).astype(kind)[:, :, None]
         x = self.x[inputs]
-        h = np.zeros((lanes, HIDDEN), kind)
+        h = np.zeros((lanes, HIDDEN), kind) if state is None else state
         before, states, z, r, n = (np.empty((steps, lanes, HIDDEN), kind) for _ in range(5))
         for t in range(steps):
             h = np.multiply(h, keep[t], out=before[t])
@@ -254,6 +256,8 @@ class Model:
             a += x[t, :, 2 * HIDDEN:]
             np.tanh(a, out=n[t])
             h = np.add(h, z[t] * (n[t] - h), out=states[t])
+        if state is not None:
+            state[:] = h
         ok = targets.ravel() != NONE
         count = max(int(ok.sum()), 1)
         logp, d = self.outputs(states.reshape(-1, HIDDEN)[ok], targets.ravel()[ok].astype(np.int64), grad)
@@ -357,10 +361,11 @@ def dealt(docs: Iterator[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarray,
 def learn(m: Model, docs: Iterator[np.ndarray], lanes: int, rate: float) -> tuple[int, float]:
     """Trains ``m`` on all documents (ids with the end last); (tokens, sum of their losses)."""
     best, g, seen, loss = Adam(m, rate), Model(m.size), 0, 0.0
+    state = np.zeros((lanes, HIDDEN), np.float32)
     for inputs, targets in dealt(docs, lanes):
         n = int((targets != NONE).sum())
         g.flat[:] = 0
-        loss += n * m.gradient(inputs, targets, g)
+        loss += n * m.gradient(inputs, targets, g, state)
         best.update(g.flat, n / targets.size)
         seen += n
     return seen, loss

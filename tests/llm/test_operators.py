@@ -625,6 +625,15 @@ def test_state_is_carried_over_windows_and_lanes():
         assert x == pytest.approx(total, rel=1e-4)
 
 
+def test_training_carries_the_state_as_scoring_does():
+    v, m = small_model()
+    r = np.random.default_rng(4)
+    docs = [np.concatenate([r.integers(1, 5, n), [0]]).astype(np.uint16) for n in (0, 3, 200, 70, 31, 32, 33, 400)]
+    want = language_model.lane_log_likelihood(m, [d.astype(np.int32) for d in docs]).sum()
+    seen, loss = language_model.learn(m, iter(docs), 3, 0.0)
+    assert seen == sum(map(len, docs)) and -loss == pytest.approx(want, rel=1e-5)
+
+
 def test_gradient_is_the_loss_slope():
     v, m = small_model()
     m = language_model.Model(m.size, m.flat.astype(np.float64))
