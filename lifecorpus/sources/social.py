@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,11 +102,24 @@ def ingest_twitter(spark: SparkSession, root: str, s: Settings) -> tuple[DataFra
 
 # --- CSV exports (Reddit, LinkedIn) -------------------------------------------------
 
-#: Columns of a CSV export that are read.
-MOST_COLUMNS = 64
+CSV_RECORD = "path string, row long, cells array<string>, head array<string>"
 
+#: A quoted cell, with the comma before it.
+QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 
-CSV_RECORD = "path string, row long, cells array<string>, head array<string>"
+
+def csv_files(spark: SparkSession, name: str) -> DataFrameReader:
+    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
+            .option("header", False).option("multiLine", True).option("escape", '"'))
+
+
+def csv_width(spark: SparkSession, root: str, name: str) -> int:
+    """The cells of the widest record of every file called ``name`` (at least; more where quotes are not closed)."""
+    # records of more cells than the schema has are kept as text
+    rows = csv_files(spark, name).schema("c0 string, record string").option("columnNameOfCorruptRecord", "record").csv(root)
+    bare = F.regexp_replace("record", QUOTED_CELL, "$1")
+    cells = F.length(bare) - F.length(F.translate(bare, ",", "")) + 1
+    return rows.agg(F.max(F.greatest(cells, F.when(F.col("c0").isNotNull(), 1)))).first()[0] or 1
 
 
 def read_csv_records(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -115,11 +128,11 @@ def read_csv_records(spark: SparkSession, root: str, name: str) -> DataFrame:
     from lifecorpus.sources.common import exists_nonempty, file_path
     if not exists_nonempty(spark, root):
         return spark.createDataFrame([], CSV_RECORD)
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MOST_COLUMNS)])
-    rows = (spark.read.schema(wide).option("recursiveFileLookup", True).option("pathGlobFilter", name)
-            .option("header", False).option("multiLine", True).option("escape", '"').csv(root)
+    width = csv_width(spark, root, name)
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    rows = (csv_files(spark, name).schema(wide).csv(root)
             .select(file_path().alias("path"), F.monotonically_increasing_id().alias("row"),
-                    F.array(*[f"c{i}" for i in range(MOST_COLUMNS)]).alias("cells")))
+                    F.array(*[f"c{i}" for i in range(width)]).alias("cells")))
     # files of one name may order their columns differently: each has its own header
     head = rows.groupBy("path").agg(F.min_by("cells", "row").alias("head"), F.min("row").alias("first"))
     head = head.withColumn("head", F.transform("head", lambda c: F.regexp_replace(c, "^\ufeff", "")))

@@ -111,6 +111,17 @@ def test_every_csv_file_has_its_own_header(spark, tmp_path):
         ("x1", "2024-01-01", "one\nline", None), ("x2", "2024-01-02", "two", None), ("x3", "", "three", None)]
 
 
+def test_csv_cells_of_any_column_are_read(spark, tmp_path):
+    names = [f"n{i}" for i in range(150)]
+    put(tmp_path / "a/Profile.csv", ",".join(names) + "\n" + ",".join(f'"v{i}, ""{i}""\n"' for i in range(150)) + ',more,"and, more"\n')
+    put(tmp_path / "b/Profile.csv", 'x,y\n5" by 7,3" by 4\n\n"' + "a, " * 3000 + '",z\n')
+    assert social.csv_width(spark, str(tmp_path), "Profile.csv") == 152
+    got = {r.x or r.n149: (r.n0, r.y) for r in social.read_csv_rows(spark, str(tmp_path), "Profile.csv", ["n0", "n149", "x", "y"]).collect()}
+    assert got == {'v149, "149"\n': ('v0, "0"\n', None), '5" by 7': (None, '3" by 4'), "a, " * 3000: (None, "z")}
+    texts = [r.text for r in social.parse_linkedin_profile(social.read_csv_records(spark, str(tmp_path), "Profile.csv")).collect()]
+    assert any('n149: v149, "149"' in t for t in texts)
+
+
 def test_commits_of_others_are_left_out(spark, tmp_path):
     rec = "\x1e".join(["h1\x1f2024-01-01T00:00:00Z\x1fIda@example.org\x1fmine", "h2\x1f2024-01-01T00:00:00Z\x1fbo@example.org\x1ftheirs",
                        "h3\x1f2024-01-01T00:00:00Z\x1fwithout an author", ""])
