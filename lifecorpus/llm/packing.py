@@ -19,8 +19,9 @@ together. Only the last sequence can be short: it is padded to ``length``, unles
 length is a power of two.
 
 Defined cases: a null or empty text is the end id alone; a null source is a queue of its
-own; repeated rows are packed each; more than ``MOST_QUEUES`` sources share as many queues
-by hash; a queue without a weight counts 1; an empty table gives no piece.
+own; repeated rows are packed each; a source without a weight counts 1; an empty table gives
+no piece. Of more than ``MOST_QUEUES`` sources, those with a weight and the largest keep a
+queue of their own; the others share queues by hash, each of the weight of its sources together.
 
 Ids are those of the byte-level BPE vocabulary whose rank file is given.
 """
@@ -35,7 +36,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lifecorpus.llm.common import bounded, col, prepare, rows_in, stored
@@ -123,12 +124,30 @@ class RoundRobin:
                 at, g = at + take, g + take
 
 
+def queues_of(docs: DataFrame, source_col: str, weights: dict[str | None, int] | None) -> tuple[Column, dict[str, int]]:
+    """The queue of a row, and the weights of queues that do not count 1."""
+    own = F.when(col(source_col).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), col(source_col).cast("string")))
+    shares = {"-" if s is None else f"+{s}": w for s, w in (weights or {}).items()}
+    if docs.select(col(source_col)).distinct().count() <= MOST_QUEUES:
+        return own, shares
+    # half of the queues, and more for weights, are single sources'; the others are shared
+    sizes = docs.groupBy(own.alias("queue")).agg(F.count("*").alias("n"))
+    apart = set(shares)
+    for r in sizes.orderBy(F.desc("n"), "queue").limit(MOST_QUEUES // 2).collect():
+        if len(apart) < max(len(shares), MOST_QUEUES // 2):
+            apart.add(r["queue"])
+    shared = F.concat(F.lit("#"), F.pmod(F.xxhash64(own), F.lit(max(MOST_QUEUES - len(apart), 1))).cast("string"))
+    queue = F.when(own.isin(sorted(apart)), own).otherwise(shared)
+    if not weights:
+        return queue, {}
+    # "#..." is no single source's: those are "-" or begin with "+"
+    sources = docs.select(own.alias("own"), queue.alias("queue")).where(F.col("queue").startswith("#")).distinct()
+    return queue, shares | {r["queue"]: r["count"] for r in sources.groupBy("queue").count().collect()}
+
+
 def tokens(docs: DataFrame, ranks: bytes, pattern: str, end_id: int, id_col: str, text_col: str,
-           source_col: str) -> tuple[DataFrame, np.dtype]:
+           queue: Column) -> tuple[DataFrame, np.dtype]:
     """doc_id, queue, part, place (tokens of the queue before it in the partition), n, ids."""
-    queue = F.when(col(source_col).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), col(source_col).cast("string")))
-    if docs.select(col(source_col)).distinct().count() > MOST_QUEUES:
-        queue = F.concat(F.lit("#"), F.pmod(F.xxhash64(queue), F.lit(MOST_QUEUES)).cast("string"))
     src = docs.select(col(id_col).alias("doc_id"), queue.alias("queue"), col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     dtype = id_type(ranks)
@@ -157,14 +176,15 @@ def pack(docs: DataFrame, *, ranks: bytes, pattern: str, end_id: int = 1, length
     """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
     sequence_id, offset, window_id. ``weights``: target shares by source, else the sources' own."""
     prepare(docs.sparkSession)
-    found, dtype = tokens(docs, ranks, pattern, end_id, id_col, text_col, source_col)
+    queue, weight = queues_of(docs, source_col, weights)
+    found, dtype = tokens(docs, ranks, pattern, end_id, id_col, text_col, queue)
     rows = stored(found, "packing-tokens")
     parts = rows.groupBy("queue", "part").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("base", F.coalesce(F.sum("n").over(upto), F.lit(0))).checkpoint()
     queues = {r["queue"]: r["n"] for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).orderBy("queue").collect()}
-    number = {q: i for i, q in enumerate(queues)}  # at most MOST_QUEUES
-    shares = [weights.get(None if q == "-" else q[1:], 1) for q in queues] if weights else None
+    number = {q: i for i, q in enumerate(queues)}  # at most MOST_QUEUES, or one more than the weights
+    shares = [weight.get(q, 1) for q in queues] if weights else None
     plan = (list(queues.values()), shares, window * length)
     src = (rows.join(bounded(parts.select("queue", "part", "base")), ["queue", "part"])
            .select("doc_id", "queue", (F.col("base") + F.col("place")).alias("begin"), "n", "ids"))

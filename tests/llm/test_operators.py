@@ -494,6 +494,27 @@ def test_many_sources_share_queues(docs, rows, monkeypatch):
     check_pieces(packing.pack(docs, **how).collect(), rows, 128)
 
 
+def test_weighted_and_large_sources_keep_queues_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_QUEUES", 6)
+    many = [(i, "one two three four five", f"{i % 12}") for i in range(240)]
+    many += [(1000 + i, "one two three four five", s) for i in range(240) for s in ("big", None)]
+    d = spark.createDataFrame(many, "doc_id long, text string, source string").repartition(3)
+    queue, weight = packing.queues_of(d, "source", {"5": 40, "gone": 9})
+    of = {r["source"]: r["queue"] for r in d.select("source", queue.alias("queue")).distinct().collect()}
+    assert of["5"] == "+5" and of["big"] == "+big" and weight["+5"] == 40
+    shared = Counter(q for q in of.values() if q.startswith("#"))
+    assert len(set(of.values())) <= 6 and sum(shared.values()) == 12 and {q: weight[q] for q in shared} == dict(shared)
+    how = dict(ranks=queries.tokenizer_file("byte_bpe_50k.tiktoken"), pattern=queries.split_pattern(), length=16, window=4)
+    pieces = packing.pack(d, weights={"5": 40, "gone": 9}, **how).collect()
+    check_pieces(pieces, many, 16)
+    first = Counter()
+    for p in pieces:
+        if p["window_id"] == 0:
+            first[dict((i, s) for i, _, s in many)[p["doc_id"]]] += p["length"]
+    # of weights 40 to 13 others of 1 (12 of them behind shared queues), source 5 has 40 of 53 shares
+    assert abs(first["5"] - 64 * 40 / 53) <= 2
+
+
 # ---- search
 
 def topk_slowly(vectors, k, every):
