@@ -258,11 +258,9 @@ def q_render_chat(spark, d):
 
 
 def q_loss_spans(spark, d):
-    x = _conversation_chats(spark, d)
-    sp = x.select("conv_id", F.posexplode(chatml.loss_spans(F.col("messages"))).alias("span_no", "s"))
-    return sp.select("conv_id", F.col("span_no").cast("long").alias("span_no"),
-                     F.col("s.start").cast("long").alias("span_start"),
-                     F.col("s.end").cast("long").alias("span_end"))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", F.col("text").alias("content"))
+    sp = chatml.loss_span_rows(turns, ["conv_id"], ["turn", "role", "content"])
+    return sp.select("conv_id", "span_no", F.col("start").alias("span_start"), F.col("end").alias("span_end"))
 
 
 def q_html_text(spark, d):
