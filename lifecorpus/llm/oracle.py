@@ -78,4 +78,65 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(q.e, x.e)::BIGINT
       FROM v q JOIN v x ON q.vec_id % 50 = 0 AND x.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_turn_repair": r"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (  -- CRC-32, bit by bit
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+                lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                         lambda a, z: xor(a // 2, 3988292384 * (a % 2)))), 4294967295) % 20 AS fate FROM k),
+d AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM h WHERE fate <> 0),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM d),
+r AS (
+  SELECT *, left(role, 1) AS a, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN seen > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM n),
+ways(state, price, word, lines, after) AS (  -- grammar states: 0 nothing, 1 after s, 2 after u, 3 after a
+  SELECT s, 0, '', []::VARCHAR[], s FROM range(4) x(s)
+  UNION ALL SELECT s, 5, 'I', [CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END], CASE WHEN s = 2 THEN 3 ELSE 2 END FROM range(4) x(s)
+  UNION ALL SELECT s, 10, 'II', CASE WHEN s = 2 THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END,
+                   CASE WHEN s = 2 THEN 2 ELSE 3 END FROM range(4) x(s)),
+edits(state, letter, cost, after, a) AS (
+  SELECT s, 'D', 2, s, NULL::VARCHAR FROM range(4) x(s)
+  UNION ALL SELECT s, 'R', 1, CASE WHEN s = 2 THEN 3 ELSE 2 END, NULL FROM range(4) x(s)
+  UNION ALL VALUES (0, 'K', 0, 1, 's'), (0, 'K', 0, 2, 'u'), (1, 'K', 0, 2, 'u'), (3, 'K', 0, 2, 'u'), (2, 'K', 0, 3, 'a')),
+p(conv_id, i, state, cost, audit, lines) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, 0, '', []::VARCHAR[] FROM r
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, lines FROM (
+    SELECT r.conv_id, r.i, e.after AS state,
+           p.cost + w.price + e.cost + CASE WHEN r.fault = 't' AND e.letter <> 'D' THEN 5 ELSE 0 END AS cost,
+           p.audit || w.word || e.letter AS audit,
+           list_concat(p.lines, w.lines, CASE e.letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [r.role || ':' || r.text]
+                       ELSE [CASE WHEN w.after = 2 THEN 'assistant:' ELSE 'user:' END || r.text] END) AS lines,
+           row_number() OVER (PARTITION BY r.conv_id, e.after ORDER BY
+             p.cost + w.price + e.cost + CASE WHEN r.fault = 't' AND e.letter <> 'D' THEN 5 ELSE 0 END,
+             p.audit || w.word || e.letter) AS place
+    FROM p JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+    JOIN ways w ON w.state = p.state
+    JOIN edits e ON e.state = w.after AND (e.a IS NULL OR e.a = r.a) AND (e.letter = 'D' OR r.fault NOT IN ('b', 'd'))) q
+  WHERE place = 1),
+f AS (
+  SELECT p.conv_id, p.cost + w.price AS cost, p.audit || w.word AS audit, list_concat(p.lines, w.lines) AS lines,
+         row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + w.price, p.audit || w.word) AS place
+  FROM p JOIN (SELECT conv_id, max(i) AS i FROM r GROUP BY conv_id) z ON p.conv_id IS NOT DISTINCT FROM z.conv_id AND p.i = z.i
+  JOIN ways w ON w.state = p.state WHERE w.after IN (0, 3)),
+s AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || a NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+LEFT JOIN f ON c.conv_id IS NOT DISTINCT FROM f.conv_id AND f.place = 1""",
 }

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifecorpus.llm import (chat_format, exact_dedup, language_model, mixing, packing, quality, simhash, token_count,
-                            topk, warc)
+                            topk, turn_repair, warc)
 from lifecorpus.llm.common import prepare, read
 
 #: Where the public tokenizers' files are; None: the installed package's own folder.
@@ -109,10 +109,33 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(read(spark, sf_dir, "documents"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with planted faults, by a hash of conversation and turn: dropped, emptied, cut of their
+    stops, repeated or given to the user. Nulls count as one space."""
+    def spaced(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    case = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(case == 1, "").when(case == 2, F.translate(spaced("text"), ".!?", "")).otherwise(spaced("text"))
+    role = F.when(case == 4, "user").otherwise(spaced("role"))
+    return turns.where(case != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                                         F.explode(F.when(case == 3, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")) \
+        .drop("copy")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    found = turn_repair.summary(turn_repair.repair(damaged(turns))).withColumnRenamed("conv_id", "id")
+    every = turns.select("conv_id").distinct()
+    out = every.join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    zeros = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mix_sources, op3_exact_dedup, op4_revisits, op5_simhash, op6_token_counts,
-                                   op7_chat_format, op8_packing, op9_exact_topk, op10_lm_scoring, pipeline)}
+                                   op7_chat_format, op8_packing, op9_exact_topk, op10_lm_scoring, op11_turn_repair, pipeline)}
