@@ -139,4 +139,17 @@ SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank
 FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
 LEFT JOIN f ON c.conv_id IS NOT DISTINCT FROM f.conv_id AND f.place = 1""",
+    "op12_substring_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+v AS (SELECT k, doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS words
+      FROM (SELECT k, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d) x),
+m AS (SELECT words, min(doc_id) AS least FROM v GROUP BY words),
+g AS (SELECT DISTINCT k, j FROM (
+        SELECT k, unnest(range(i, i + 50)) AS j FROM v JOIN m USING (words) WHERE doc_id > least OR (doc_id IS NULL AND least IS NOT NULL)) x),
+u AS (SELECT k, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM d),
+s AS (SELECT u.k, count(g.j) AS gone, string_agg(u.word, ' ' ORDER BY u.j) FILTER (g.j IS NULL) AS kept
+      FROM u LEFT JOIN g ON u.k = g.k AND u.j = g.j GROUP BY u.k)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON d.k = s.k""",
 }

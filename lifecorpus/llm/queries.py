@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifecorpus.llm import (chat_format, exact_dedup, language_model, mixing, packing, quality, simhash, token_count,
-                            topk, turn_repair, warc)
+from lifecorpus.llm import (chat_format, exact_dedup, language_model, mixing, packing, quality, simhash, substring_dedup,
+                            token_count, topk, turn_repair, warc)
 from lifecorpus.llm.common import prepare, read
 
 #: Where the public tokenizers' files are; None: the installed package's own folder.
@@ -132,10 +132,15 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), width=50)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mix_sources, op3_exact_dedup, op4_revisits, op5_simhash, op6_token_counts,
-                                   op7_chat_format, op8_packing, op9_exact_topk, op10_lm_scoring, op11_turn_repair, pipeline)}
+                                   op7_chat_format, op8_packing, op9_exact_topk, op10_lm_scoring, op11_turn_repair, op12_substring_dedup, pipeline)}
