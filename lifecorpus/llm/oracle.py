@@ -152,4 +152,21 @@ s AS (SELECT u.k, count(g.j) AS gone, string_agg(u.word, ' ' ORDER BY u.j) FILTE
       FROM u LEFT JOIN g ON u.k = g.k AND u.j = g.j GROUP BY u.k)
 SELECT d.doc_id, len(ws) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN s ON d.k = s.k""",
+    "op13_lexical_search": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+d AS (SELECT *, len(ts) AS n FROM t WHERE len(ts) > 0),
+z AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+f AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(ts) AS term FROM d) x GROUP BY k, term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term) x, z),
+s AS (SELECT item_id, k, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN d USING (k), z GROUP BY item_id, k),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM s JOIN d USING (k) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 50""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifecorpus.llm import (chat_format, exact_dedup, language_model, mixing, packing, quality, simhash, substring_dedup,
+from lifecorpus.llm import (chat_format, exact_dedup, language_model, lexical, mixing, packing, quality, simhash, substring_dedup,
                             token_count, topk, turn_repair, warc)
 from lifecorpus.llm.common import prepare, read
 
@@ -137,10 +137,15 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mix_sources, op3_exact_dedup, op4_revisits, op5_simhash, op6_token_counts,
-                                   op7_chat_format, op8_packing, op9_exact_topk, op10_lm_scoring, op11_turn_repair, op12_substring_dedup, pipeline)}
+                                   op7_chat_format, op8_packing, op9_exact_topk, op10_lm_scoring, op11_turn_repair, op12_substring_dedup, op13_lexical_search,
+                                   pipeline)}
