@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from lifecorpus.schema import conform_docs, make_ord
 
 
+def distinct_items(feed: DataFrame) -> DataFrame:
+    """feed: (day string, kind string, item string, seq) with seq the feed order. Distinct
+    (day, kind, item) keep their first seq (pre-aggregated map-side)."""
+    return feed.groupBy("day", "kind", "item").agg(F.min("seq").alias("seq"))
+
+
 def daily_rollup(feed: DataFrame, rank: int = 3, max_items: int | None = None) -> DataFrame:
-    """feed: (day string, kind string, item string, seq) with seq the feed order.
+    return rollup(distinct_items(feed), rank, max_items)
+
 
-    Distinct (day, kind, item) keep their first seq (pre-aggregated map-side);
-    nothing is cut by default. With ``max_items`` a rank limit, applied per
-    partition before the shuffle, keeps that many items per day and kind."""
-    first = feed.groupBy("day", "kind", "item").agg(F.min("seq").alias("seq"))
+def rollup(first: DataFrame, rank: int = 3, max_items: int | None = None) -> DataFrame:
+    """Daily documents of distinct items; nothing is cut by default. With ``max_items`` a rank
+    limit, applied per partition before the shuffle, keeps that many items per day and kind."""
     w = Window.partitionBy("day", "kind").orderBy("seq", "item")
     capped = first if max_items is None else (
         first.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_items))

@@ -641,6 +641,50 @@ GROUP BY source
 UNION ALL
 SELECT 'whatsapp', count(*) FROM ({SQL["parse_whatsapp"]})"""
 
+def _broken(n):
+    return f"({n} % 25 = 2 OR {n} % 5 = 1)"
+
+
+SQL["ingest_rejects"] = f"""
+WITH c AS (SELECT *, {_broken("conv_id")} AS bad FROM conversations),
+cs AS (SELECT DISTINCT conv_id FROM c WHERE bad),
+d AS (SELECT *, {_broken("doc_id")} AS bad FROM documents),
+e AS (SELECT *, {_broken("user_id")} AS bad, lpad(CAST(user_id AS VARCHAR), 12, '0') AS u FROM events)
+SELECT 'messenger' AS source, CASE WHEN conv_id % 2 = 0 THEN '/exports/facebook/your_activity/messages/inbox/conv_' || conv_id || '/message_1.json'
+                                   ELSE '/exports/facebook/e2ee/conv_' || conv_id || '.json' END AS path,
+       'not valid JSON' AS reason, 1::BIGINT AS n FROM cs
+UNION ALL SELECT 'telegram', '/exports/telegram/conv_' || conv_id || '/result.json', 'not valid JSON', 1 FROM cs
+UNION ALL SELECT 'twitter_dm', '/exports/twitter/data/direct-messages-' || conv_id || '.js', 'not valid JSON', 1 FROM cs
+UNION ALL SELECT 'twitter', '/exports/twitter/data/tweets-' || doc_id || s || '.js', 'not valid JSON', 1
+          FROM d, (VALUES (''), ('-rt')) x(s) WHERE bad AND (s = '' OR lang = 'es')
+UNION ALL SELECT 'facebook', CASE WHEN doc_id % 2 = 0 THEN '/exports/facebook/your_activity/posts/your_posts_'
+                                  ELSE '/exports/facebook/your_activity/comments/comments_' END || doc_id || '.json', 'not valid JSON', 1
+          FROM d WHERE bad
+UNION ALL SELECT 'reddit', 'file=' || doc_id // 100, 'a quote is not closed', 1 FROM (SELECT DISTINCT doc_id // 100 * 100 AS doc_id FROM documents) x
+          WHERE doc_id // 100 % 2 = 1
+UNION ALL SELECT DISTINCT 'lifelog', CASE event_type
+              WHEN 'view' THEN '/exports/google/Takeout/YouTube/watch/' || u || '/watch-history.json'
+              WHEN 'click' THEN '/exports/google/Takeout/YouTube/search/' || u || '/search-history.json'
+              WHEN 'purchase' THEN '/exports/google/Takeout/Chrome/' || u || '/History.json'
+              WHEN 'signup' THEN '/exports/google/Takeout/Timeline/' || u || '/Timeline.json'
+              ELSE '/exports/google/Takeout/Location History/Semantic Location History/2024/user_' || u || '.json' END, 'not valid JSON', 1
+          FROM e WHERE bad
+UNION ALL SELECT 'notes', '/exports/notes/' || lang || '/doc_' || doc_id
+              || CASE lang WHEN 'en' THEN '.md' WHEN 'fr' THEN '.txt' WHEN 'es' THEN '.org' ELSE '.html' END
+              || CASE WHEN doc_id % 10 = 3 THEN '.docx' ELSE '' END,
+              CASE WHEN doc_id % 10 = 3 THEN 'not a readable .docx file' ELSE 'larger than a document can be' END, 1
+          FROM d WHERE doc_id % 10 IN (3, 4)
+UNION ALL SELECT 'messenger', 'messages', '', count(*) FROM c
+          WHERE NOT bad AND text <> '' AND NOT text LIKE '% sent an attachment.' AND NOT text LIKE '% to your message%' HAVING count(*) > 0
+UNION ALL SELECT 'telegram', 'messages', '', count(*) FROM c WHERE NOT bad AND text <> '' HAVING count(*) > 0
+UNION ALL SELECT 'twitter_dm', 'messages', '', count(*) FROM c WHERE NOT bad HAVING count(*) > 0
+UNION ALL SELECT 'twitter', 'docs', '', count(*) FROM d WHERE NOT bad AND NOT starts_with(text, 'RT @') HAVING count(*) > 0
+UNION ALL SELECT 'facebook', 'docs', '', count(*) FROM d WHERE NOT bad AND text <> '' HAVING count(*) > 0
+UNION ALL SELECT 'reddit', 'docs', '', count(*) FROM d WHERE text NOT IN ('', '[deleted]', '[removed]') HAVING count(*) > 0
+UNION ALL SELECT 'lifelog', 'docs', '', count(DISTINCT strftime(ts, '%Y-%m-%d')) FROM e WHERE NOT bad AND props <> '' HAVING count(*) > 0
+UNION ALL SELECT 'notes', 'docs', '', count(*) FROM ({SQL["parse_notes"]}) x
+          WHERE regexp_extract(doc_id, 'doc_([0-9]+)', 1)::BIGINT % 10 NOT IN (3, 4) HAVING count(*) > 0"""
+
 SQL["parse_instagram"] = SQL["parse_messenger"].replace("SELECT 'messenger'", "SELECT 'instagram'")
 
 SQL["parse_linkedin_shares"] = f"""

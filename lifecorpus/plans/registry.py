@@ -50,6 +50,7 @@ QUERIES = {
     "parse_lifelog": rt.q_parse_lifelog,
     "parse_mbox": rt.q_parse_mbox,
     "reingest_only": rt.q_reingest_only,
+    "ingest_rejects": rt.q_ingest_rejects,
     "sft_sinks": rt.q_sft_sinks,
     "train_examples": q.q_train_examples,
 }

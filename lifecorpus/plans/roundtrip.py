@@ -537,14 +537,72 @@ def q_reingest_only(spark, d):
     ingest written as `--only whatsapp twitter`: WhatsApp, twitter and the
     twitter-owned twitter_dm rows are replaced; counts per source as read back."""
     from lifecorpus.plans.adapters import conversation_messages
+    from lifecorpus.schema import MESSAGES, records
     from lifecorpus.sources import store
     folder = scratch(spark, "reingest")
-    store.write_table(spark, conversation_messages(table(spark, d, "conversations")), f"{folder}/messages")
+    store.write_records(spark, records(conversation_messages(table(spark, d, "conversations")), MESSAGES), folder)
     new = whatsapp.parse_whatsapp(render_whatsapp(spark, d), OWNER)
-    store.write_table(spark, new, f"{folder}/messages", ["whatsapp", "twitter"])
+    store.write_records(spark, records(new, MESSAGES), folder, ["whatsapp", "twitter"])
     return store.read_table(spark, folder, "messages").groupBy("source").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
+def damaged(files: DataFrame, number: str) -> DataFrame:
+    """Files (path, content), some emptied and some cut in half, by the number in their name."""
+    n = F.regexp_extract("path", number, 1).try_cast("long")
+    half = F.substr("content", F.lit(1), F.floor(F.length("content") / 2).cast("int"))
+    return files.withColumn("content", F.when(n % 25 == 2, F.lit("")).when(n % 5 == 1, half).otherwise(F.col("content")))
+
+
+def write_comment_files(spark: SparkSession, d: str, folder: str) -> None:
+    """Documents as CSV files of 100 comments each; every second file ends in a record whose last
+    quote is not closed."""
+    x = table(spark, d, "documents").select("doc_id", "lang", "text", F.floor(F.col("doc_id") / 100).alias("file"))
+    body = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.concat(F.lit("t1_"), "doc_id"), F.lit("2024-01-01"), "lang", F.lit('"a, ""title"""'), body)
+    files = x.select("file").distinct()
+    head = files.select("file", F.lit(-1).cast("long").alias("k"), F.lit("id,date,subreddit,title,body").alias("value"))
+    tail = files.where("file % 2 = 1").select("file", F.lit(2**62).alias("k"),
+                                              F.lit('t1_x,2024-01-01,en,t,"open, and, never closed').alias("value"))
+    rows = x.select("file", F.col("doc_id").alias("k"), line.alias("value")).unionByName(head).unionByName(tail)
+    rows.repartition("file").sortWithinPartitions("file", "k").select("file", "value").write.partitionBy("file").text(folder)
+
+
+def q_ingest_rejects(spark, d):
+    """IO13, IO5: conversations, documents and events as files of every whole-file format, some of
+    them broken, through one ingest write: the rejected files with their reasons, and the rows
+    that the other files gave per table and source."""
+    from functools import reduce
+
+    from lifecorpus.schema import DOCS, MESSAGES, REJECTS
+    from lifecorpus.sources import files, lifelog, meta_chats, social, store, telegram
+    conv, any_id = r"conv_(\d+)", r"(\d+)\D*$"
+    dms, accounts = render_x_dms(spark, d)
+    folder = scratch(spark, "rejects")
+    write_comment_files(spark, d, f"{folder}/csv")
+    comments = social.read_csv_rows(spark, f"{folder}/csv", "*.txt", social.REDDIT_COLUMNS)
+    notes = render_files(spark, d, "/exports/notes")
+    n = F.regexp_extract("path", any_id, 1).try_cast("long")
+    broken, large = n % 10 == 3, n % 10 == 4  # a file over the size limit comes without its bytes
+    notes = notes.withColumn("content", F.when(~F.coalesce(large, F.lit(False)), F.col("content"))) \
+        .withColumn("path", F.when(broken, F.concat("path", F.lit(".docx"))).otherwise(F.col("path")))
+    parts = [
+        meta_chats.meta_chat_records(damaged(render_messenger(spark, d), conv), OWNER, "messenger", "/exports/facebook"),
+        telegram.telegram_records(damaged(render_telegram(spark, d), conv), OWNER),
+        social.twitter_records(damaged(render_tweets(spark, d), any_id), damaged(dms, any_id), accounts, OWNER),
+        social.facebook_post_records(damaged(render_facebook_posts(spark, d), any_id), "/exports/facebook"),
+        social.reddit_records(comments, comments.where(F.lit(False))),
+        lifelog.lifelog_records({k: damaged(f, r"(\d{12})") for k, f in render_feeds(spark, d).items()}, "/exports/google"),
+        files.file_records(notes, "/exports/notes", "notes", True),
+    ]
+    store.write_records(spark, reduce(DataFrame.unionByName, parts), f"{folder}/corpus")
+    path = F.when(F.col("path").contains("/file="), F.regexp_extract("path", r"/(file=\d+)/", 1)).otherwise(F.col("path"))
+    one = F.lit(1).cast("long").alias("n")
+    bad = store.read_table(spark, f"{folder}/corpus", REJECTS).select("source", path.alias("path"), "reason", one)
+    good = [store.read_table(spark, f"{folder}/corpus", t).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+            .select("source", F.lit(t).alias("path"), F.lit("").alias("reason"), "n") for t in (MESSAGES, DOCS)]
+    return reduce(DataFrame.unionByName, good, bad)
+
+
 def q_sft_sinks(spark, d):
     """IO1/IO2/IO12/A5: writing examples through the training and validation
     sinks, read back from their JSON lines."""

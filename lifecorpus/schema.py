@@ -44,6 +44,19 @@ DOC = T.StructType([
     T.StructField("ord", ORD),
 ])
 
+REJECT = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
+
+# What a source job gives: messages, docs and rejected files in one frame, told apart by
+# ``tag``, so that one pass over the files and one write serve all three tables.
+MESSAGES, DOCS, REJECTS = TAGS = ("messages", "docs", "rejects")
+SCHEMAS = {MESSAGES: MESSAGE, DOCS: DOC, REJECTS: REJECT}
+RECORD = T.StructType([T.StructField("tag", T.StringType())]
+                      + list({f.name: f for t in TAGS for f in SCHEMAS[t].fields}.values()))
+
 CHAT_MESSAGE = T.StructType([
     T.StructField("role", T.StringType()),
     T.StructField("content", T.StringType()),
@@ -86,9 +99,9 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def conform_messages(df: DataFrame) -> DataFrame:
-    """Select Message columns in order, filling the dataclass defaults."""
-    return df.select(
+def _message_columns() -> list[Column]:
+    """The Message columns in order, with the dataclass defaults."""
+    return [
         F.col("source").cast("string"),
         F.coalesce(F.col("thread_id").cast("string"), F.lit("")).alias("thread_id"),
         F.coalesce(F.col("timestamp").cast("string"), F.lit("")).alias("timestamp"),
@@ -98,13 +111,12 @@ def conform_messages(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("thread_title"), F.lit("")).alias("thread_title"),
         F.coalesce(F.col("participants"), F.array().cast("array<string>")).alias("participants"),
         F.col("ord").cast(ORD).alias("ord"),
-    )
+    ]
 
 
-def conform_docs(df: DataFrame) -> DataFrame:
-    cols = set(df.columns)
-    meta = F.col("meta") if "meta" in cols else F.create_map().cast("map<string,string>")
-    return df.select(
+def _doc_columns(df: DataFrame) -> list[Column]:
+    meta = F.col("meta") if "meta" in df.columns else F.create_map().cast("map<string,string>")
+    return [
         F.col("source").cast("string"),
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id"),
         F.coalesce(F.col("timestamp").cast("string"), F.lit("")).alias("timestamp"),
@@ -113,7 +125,34 @@ def conform_docs(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("authored_by_me"), F.lit(False)).alias("authored_by_me"),
         F.coalesce(meta, F.create_map().cast("map<string,string>")).alias("meta"),
         F.col("ord").cast(ORD).alias("ord"),
-    )
+    ]
+
+
+def conform_messages(df: DataFrame) -> DataFrame:
+    """Select Message columns in order, filling the dataclass defaults."""
+    return df.select(*_message_columns())
+
+
+def conform_docs(df: DataFrame) -> DataFrame:
+    return df.select(*_doc_columns(df))
+
+
+def records(df: DataFrame, tag: str) -> DataFrame:
+    """Rows of one kind as records. Where ``df`` has an ``error``, a row with one is a
+    rejected file: its ``path`` and the error are kept, the rest is the kind's defaults."""
+    columns = _message_columns() if tag == MESSAGES else _doc_columns(df) if tag == DOCS else [F.col("source")]
+    failed = F.col("error").isNotNull() if "error" in df.columns else F.lit(False)
+    path, reason = (F.when(failed, F.col(c)) if c in df.columns else F.lit(None) for c in ("path", "error"))
+    named = [F.when(failed, F.lit(REJECTS)).otherwise(F.lit(tag)).alias("tag"), *columns,
+             path.cast("string").alias("path"), reason.cast("string").alias("reason")]
+    got = df.select(*named)
+    return got.select(*[F.col(f.name) if f.name in got.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in RECORD.fields])
+
+
+def of_kind(recs: DataFrame, tag: str) -> DataFrame:
+    """The records of one kind, with that kind's columns."""
+    return recs.where(F.col("tag") == tag).select(*SCHEMAS[tag].fieldNames())
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -37,6 +37,29 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
+def glob_of(suffixes: list[str]) -> str:
+    """A listing pattern for file names that end in one of ``suffixes``, in any case."""
+    def any_case(c: str) -> str:
+        return f"[{c.lower()}{c.upper()}]" if c.isalpha() else c
+    return "*{" + ",".join("".join(any_case(c) for c in x) for x in suffixes) + "}"
+
+
+#: Reasons of rejected files.
+BAD_JSON = "not valid JSON"
+
+
+def json_body(content: Column) -> Column:
+    """The text of a JSON file without the white space before it."""
+    return F.ltrim(F.coalesce(content, F.lit("")), F.lit(" \t\r\n"))
+
+
+def json_error(parsed: Column, found: Column) -> Column:
+    """The reject reason of a file read with ``from_json`` into a struct that has a
+    ``_corrupt_record``: nothing was ``found`` in it and it is no valid JSON. Fields that are
+    only of another type than expected do not reject a file."""
+    return F.when(~found & (parsed.isNull() | parsed["_corrupt_record"].isNotNull()), F.lit(BAD_JSON))
+
+
 def whole_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """One row per file: (path, content). For formats that are one document
     per file (JSON, JS, ICS, CSV with quoted newlines)."""

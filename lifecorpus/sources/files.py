@@ -1,9 +1,11 @@
-"""Documents from folders: notes (S4, the owner's) and Drive exports (S3),
-read as binary files (IO11) and turned into text by suffix.
-
-Text suffixes are decoded in the JVM; .html/.htm go through the HTML UDF (T3);
-.docx through a small Arrow UDF (stdlib zipfile + ElementTree). A file that
-fails to decode is skipped and listed in a rejects table (IO13)."""
+"""Documents from folders: notes (S4, the owner's) and Drive exports (S3), turned
+into text by suffix (IO11).
+
+Only files with a suffix that has text are listed; media beside them are never
+opened. Sizes come from the listing, and the bytes of a file over ``MAX_BYTES``
+are not read. Text suffixes are decoded in the JVM; .html/.htm go through the HTML
+UDF (T3); .docx through a small Arrow UDF (stdlib zipfile + ElementTree). A file
+that is too large or fails to decode becomes a reject (IO13)."""
 from __future__ import annotations
 
 import io
@@ -20,8 +22,8 @@ from lifecorpus.functions.html import html_to_text_py
 from lifecorpus.functions.text import normalize, redact
 from lifecorpus.functions.times import iso
 from lifecorpus.operators.filters import keep_if
-from lifecorpus.schema import SOURCE_RANK, conform_docs, make_ord
-from lifecorpus.sources.common import exists_nonempty, file_path, relative
+from lifecorpus.schema import DOCS, SOURCE_RANK, make_ord, of_kind, records
+from lifecorpus.sources.common import exists_nonempty, file_path, glob_of, relative
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference)
@@ -33,6 +35,10 @@ DRIVE_DIRS = ["drive", "dysk"]
 # End of fixed values
 # ---------------------------------------------------------------------------
 
+#: A document is one row, and a row holds less than 2 GB: larger files are rejects.
+MAX_BYTES = 1 << 30
+TOO_LARGE = "larger than a document can be"
+BAD_DOCX = "not a readable .docx file"
 BINARY = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
                        T.StructField("content", T.BinaryType())])
 DECODED = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
@@ -42,7 +48,7 @@ _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 def docx_text_py(data: bytes | None) -> tuple[str | None, str | None]:
     """Body paragraphs' text joined by newlines (runs: text, tabs, breaks)."""
     if data is None:
-        return None, "no content"
+        return None, BAD_DOCX
     try:
         with zipfile.ZipFile(io.BytesIO(data)) as z:
             root = ET.fromstring(z.read("word/document.xml"))
@@ -61,8 +67,8 @@ def docx_text_py(data: bytes | None) -> tuple[str | None, str | None]:
                     out.append("-")
             paras.append("".join(out))
         return "\n".join(paras), None
-    except Exception as e:  # corrupt archives are common in old exports
-        return None, f"{type(e).__name__}: {e}"
+    except Exception:  # corrupt archives are common in old exports
+        return None, BAD_DOCX
 
 
 def _py_decode_batch(sfx: pd.Series, data: pd.Series) -> pd.DataFrame:
@@ -75,7 +81,8 @@ def _py_decode_batch(sfx: pd.Series, data: pd.Series) -> pd.DataFrame:
         elif x == DOCX_SUFFIX:
             rows.append(docx_text_py(b))
         else:
-            rows.append((html_to_text_py(bytes(b).decode("utf-8", errors="replace")), None))
+            page = bytes(b).decode("utf-8", errors="replace").replace("\r\n", "\n").replace("\r", "\n")
+            rows.append((html_to_text_py(page), None))
     return pd.DataFrame(rows, columns=["text", "error"])
 
 
@@ -83,15 +90,21 @@ def py_decode(sfx: Column, content: Column) -> Column:
     return F.pandas_udf(_py_decode_batch, DECODED)(sfx, content)
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, modificationTime, content) for every visible file under root."""
+def read_files(spark: SparkSession, root: str, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """(path, modificationTime, content) of every file under root whose suffix has text; the
+    content of one over ``max_bytes`` is null. The suffixes are part of the listing, and the
+    size is a filter that the scan applies before it opens a file."""
     if not exists_nonempty(spark, root):
         return spark.createDataFrame([], BINARY)
     try:
-        df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .option("pathGlobFilter", glob_of(TEXT_SUFFIXES + HTML_SUFFIXES + [DOCX_SUFFIX])).load(root))
     except AnalysisException:
         return spark.createDataFrame([], BINARY)
-    return df.select(file_path().alias("path"), "modificationTime", "content")
+    small = df.where(F.col("length") <= max_bytes).select(file_path().alias("path"), "modificationTime", "content")
+    large = df.where(F.col("length") > max_bytes).select(file_path().alias("path"), "modificationTime",
+                                                         F.lit(None).cast("binary").alias("content"))
+    return small.unionByName(large)
 
 
 def suffix(path: Column) -> Column:
@@ -106,20 +119,22 @@ def decode(df: DataFrame) -> DataFrame:
     sfx = suffix(F.col("path"))
     needs_py = sfx.isin(HTML_SUFFIXES + [DOCX_SUFFIX])
     d = df.withColumn("_py", py_decode(sfx, F.when(needs_py, F.col("content"))))
-    text = (F.when(sfx.isin(TEXT_SUFFIXES), F.make_valid_utf8(F.col("content").cast("string")))
+    plain = F.make_valid_utf8(F.col("content").cast("string"))
+    text = (F.when(sfx.isin(TEXT_SUFFIXES), F.regexp_replace(plain, "\r\n?", "\n"))
             .when(needs_py, F.col("_py.text"))
             .otherwise(F.lit("")))
-    return d.withColumn("text", text).withColumn("error", F.col("_py.error")).drop("_py")
+    error = F.when(F.col("content").isNull(), F.lit(TOO_LARGE)).otherwise(F.col("_py.error"))
+    return d.withColumn("text", text).withColumn("error", error).drop("_py")
 
 
 def _visible(rel: Column) -> Column:
     return ~F.exists(F.split(rel, "/"), lambda p: p.startswith("."))
 
 
-def parse_files(raw: DataFrame, root: str, source: str, authored_by_me: bool, drive: bool = False,
-                max_chars: int | None = None) -> DataFrame:
-    """raw: (path, modificationTime, content). For Drive, only files below a
-    folder named drive/dysk count, relative to the outermost such folder. Texts
+def file_records(raw: DataFrame, root: str, source: str, authored_by_me: bool, drive: bool = False,
+                 max_chars: int | None = None) -> DataFrame:
+    """Documents and rejects of raw (path, modificationTime, content). For Drive, only files
+    below a folder named drive/dysk count, relative to the outermost such folder. Texts
     are kept whole unless ``max_chars`` is given."""
     rel = relative(F.col("path"), root)
     x = raw.withColumn("rel", rel).where(_visible(F.col("rel")))
@@ -131,28 +146,34 @@ def parse_files(raw: DataFrame, root: str, source: str, authored_by_me: bool, dr
             .withColumn("rel", F.array_join(F.slice(F.split("rel", "/"), (F.col("_i") + 1).cast("int"),
                                                     F.size(F.split("rel", "/"))), "/")).drop("_i")
     d = decode(x)
-    ok = d.where(F.col("error").isNull())
     text = normalize(redact(F.col("text")))
     text = text if max_chars is None else F.substring(text, 1, max_chars)
-    ok = keep_if(ok.withColumn("text", text), F.length("text") >= MIN_DOC_CHARS)
+    d = keep_if(d.withColumn("text", text), F.col("error").isNotNull() | (F.length("text") >= MIN_DOC_CHARS))
     name = F.element_at(F.split("rel", "/"), -1)
     title = F.when(name.rlike(r"[^.]\.[^.]*$"), F.regexp_replace(name, r"\.[^.]*$", "")).otherwise(name)
-    return conform_docs(ok.select(
+    return records(d.select(
         F.lit(source).alias("source"), F.col("rel").alias("doc_id"), iso(F.col("modificationTime")).alias("timestamp"),
         title.alias("title"), "text", F.lit(authored_by_me).alias("authored_by_me"),
-        make_ord(SOURCE_RANK[source], F.split("path", "/"), F.lit(0), F.lit(0)).alias("ord")))
+        make_ord(SOURCE_RANK[source], F.split("path", "/"), F.lit(0), F.lit(0)).alias("ord"), "path", "error"), DOCS)
+
+
+def parse_files(raw: DataFrame, root: str, source: str, authored_by_me: bool, drive: bool = False,
+                max_chars: int | None = None) -> DataFrame:
+    return of_kind(file_records(raw, root, source, authored_by_me, drive, max_chars), DOCS)
+
+
+def notes_job(spark: SparkSession, root: str, s=None) -> DataFrame:
+    return file_records(read_files(spark, root), root, "notes", True, max_chars=s.max_doc_chars if s else None)
 
 
-def rejects(raw: DataFrame) -> DataFrame:
-    """IO13 side table: files that could not be decoded, with the reason."""
-    return decode(raw).where(F.col("error").isNotNull()).select("path", "error")
+def drive_job(spark: SparkSession, root: str, s=None) -> DataFrame:
+    return file_records(read_files(spark, root), root, "drive", False, drive=True,
+                        max_chars=s.max_doc_chars if s else None)
 
 
 def ingest_notes(spark: SparkSession, root: str, s=None) -> DataFrame:
-    return parse_files(read_files(spark, root), root, "notes", True,
-                       max_chars=s.max_doc_chars if s else None)
+    return of_kind(notes_job(spark, root, s), DOCS)
 
 
 def ingest_drive(spark: SparkSession, root: str, s=None) -> DataFrame:
-    return parse_files(read_files(spark, root), root, "drive", False, drive=True,
-                       max_chars=s.max_doc_chars if s else None)
+    return of_kind(drive_job(spark, root, s), DOCS)

@@ -12,9 +12,9 @@ from lifecorpus.functions.identity import is_me
 from lifecorpus.functions.text import clean_chat, fix_mojibake
 from lifecorpus.functions.times import iso_epoch
 from lifecorpus.operators.filters import keep_if
-from lifecorpus.schema import SOURCE_RANK, conform_messages, make_ord
+from lifecorpus.schema import MESSAGES, SOURCE_RANK, make_ord, of_kind, records
 from lifecorpus.settings import Settings
-from lifecorpus.sources.common import relative, stem, whole_files
+from lifecorpus.sources.common import BAD_JSON, json_body, json_error, relative, stem, whole_files
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference)
@@ -39,6 +39,7 @@ THREAD = T.StructType([
         T.StructField("is_unsent", T.BooleanType()),
         T.StructField("isUnsent", T.BooleanType()),
     ]))),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 
@@ -50,12 +51,17 @@ def read_meta_chats(spark: SparkSession, root: str) -> DataFrame:
     return whole_files(spark, root, "*.json")
 
 
-def parse_meta_chats(raw: DataFrame, s: Settings, source: str, root: str) -> DataFrame:
-    """raw: (path, content). Files that are not a JSON object with a
-    'messages' array are skipped (malformed JSON too)."""
-    data = raw.where(F.ltrim("content").startswith("{")) \
-        .select("path", F.from_json("content", THREAD, {"mode": "PERMISSIVE"}).alias("d"))
-    data = data.where(F.col("d.messages").isNotNull())
+def meta_chat_records(raw: DataFrame, s: Settings, source: str, root: str) -> DataFrame:
+    """raw: (path, content). Objects without a 'messages' array and lists are skipped; what is
+    no valid JSON is a reject."""
+    body = json_body(F.col("content"))
+    data = raw.select("path", body.substr(1, 1).alias("first"), body.alias("body"))
+    # a list is no thread, whatever it holds: another job's file
+    data = data.where(F.col("first") != "[") \
+        .select("path", "first", F.when(F.col("first") == "{", F.from_json("body", THREAD, {"mode": "PERMISSIVE"})).alias("d"))
+    found = F.coalesce(F.col("d.messages").isNotNull(), F.lit(False))
+    error = F.when(F.col("first") == "{", json_error(F.col("d"), found)).otherwise(F.lit(BAD_JSON))
+    data = data.withColumn("error", error).where(found | F.col("error").isNotNull())
     rel = relative(F.col("path"), root)
     parts = F.split(rel, "/")
     tid = F.when(F.size(parts) == 1, stem(rel)).otherwise(
@@ -67,27 +73,36 @@ def parse_meta_chats(raw: DataFrame, s: Settings, source: str, root: str) -> Dat
                             F.when(F.ltrim(p).startswith("{"), F.coalesce(F.get_json_object(p, "$.name"), F.lit(""))),
                             p)))
     th = data.select("path", tid.alias("thread_id"), title.alias("thread_title"), plist.alias("participants"),
-                     F.posexplode("d.messages").alias("i", "m"))
+                     F.posexplode_outer("d.messages").alias("i", "m"), "error")
     m = F.col("m")
     text = F.coalesce(_nz(m["content"]), _nz(m["text"]), F.lit(""))
     sender = F.coalesce(_nz(m["sender_name"]), _nz(m["senderName"]), F.lit(""))
     ts = F.coalesce(F.when(m["timestamp_ms"] != 0, m["timestamp_ms"]), m["timestamp"])
     unsent = F.coalesce(m["is_unsent"], F.lit(False)) | F.coalesce(m["isUnsent"], F.lit(False))
-    x = th.where((text != "") & ~unsent).select(
+    failed = F.col("error").isNotNull()
+    x = th.where(failed | (text != "") & ~unsent).select(
         "path", "thread_id", "thread_title", "participants", "i",
-        fix_mojibake(text).alias("text"), fix_mojibake(sender).alias("sender"), ts.alias("ts"))
-    x = keep_if(x, ~F.col("text").endswith(ATTACHMENT_SUFFIX) & ~F.col("text").contains(REACTION_MARK))
-    return conform_messages(x.select(
+        fix_mojibake(text).alias("text"), fix_mojibake(sender).alias("sender"), ts.alias("ts"), "error")
+    x = keep_if(x, failed | ~F.col("text").endswith(ATTACHMENT_SUFFIX) & ~F.col("text").contains(REACTION_MARK))
+    return records(x.select(
         F.lit(source).alias("source"), "thread_id",
         F.when(F.col("ts").isNull(), F.lit("")).otherwise(iso_epoch(F.col("ts"))).alias("timestamp"),
         "sender", is_me(F.col("sender"), s).alias("is_me"), clean_chat(F.col("text")).alias("text"),
         "thread_title", "participants",
-        make_ord(SOURCE_RANK[source], F.split(rel, "/"), F.lit(0), F.col("i")).alias("ord")))
+        make_ord(SOURCE_RANK[source], F.split(rel, "/"), F.lit(0), F.col("i")).alias("ord"), "path", "error"), MESSAGES)
+
+
+def parse_meta_chats(raw: DataFrame, s: Settings, source: str, root: str) -> DataFrame:
+    return of_kind(meta_chat_records(raw, s, source, root), MESSAGES)
+
+
+def messenger_job(spark: SparkSession, root: str, s: Settings) -> DataFrame:
+    return meta_chat_records(read_meta_chats(spark, root), s, "messenger", root)
 
 
-def ingest_messenger(spark: SparkSession, root: str, s: Settings) -> DataFrame:
-    return parse_meta_chats(read_meta_chats(spark, root), s, "messenger", root)
+def instagram_job(spark: SparkSession, root: str, s: Settings) -> DataFrame:
+    return meta_chat_records(read_meta_chats(spark, root), s, "instagram", root)
 
 
 def ingest_instagram(spark: SparkSession, root: str, s: Settings) -> DataFrame:
-    return parse_meta_chats(read_meta_chats(spark, root), s, "instagram", root)
+    return of_kind(instagram_job(spark, root, s), MESSAGES)

@@ -1,51 +1,42 @@
 """IO3-IO5: the source registry (name -> export folder, job), skipping of
-missing or empty folders, and routing of records into the message and
-document tables."""
+missing or empty folders, and routing of records: every job gives one frame of
+messages, docs and rejected files, told apart by a tag."""
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lifecorpus.schema import DOC, MESSAGE, empty
+from lifecorpus.schema import DOCS, MESSAGES, RECORD, empty, of_kind, records
 from lifecorpus.settings import Settings
 from lifecorpus.sources import calendar, commits, files, lifelog, mail, meta_chats, social, telegram, whatsapp
 from lifecorpus.sources.common import exists_nonempty
 
 
-def _msgs(fn):
-    return lambda spark, root, s: {"messages": fn(spark, root, s)}
-
-
-def _docs(fn):
-    return lambda spark, root, s: {"docs": fn(spark, root, s)}
-
-
-def _both(fn):
-    def run(spark, root, s):
-        m, d = fn(spark, root, s)
-        return {"messages": m, "docs": d}
-    return run
+def _as(tag: str, fn: Callable) -> Callable:
+    """The job of a source that is read record by record and rejects no file."""
+    return lambda spark, root, s: records(fn(spark, root, s), tag)
 
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference): registry order and export folders.
 SOURCES = {
-    "gmail": ("google", _msgs(mail.ingest_mail)),
-    "calendar": ("google", _docs(calendar.ingest_calendar)),
-    "drive": ("google", _docs(files.ingest_drive)),
-    "lifelog": ("google", _docs(lifelog.ingest_lifelog)),
-    "messenger": ("facebook", _msgs(meta_chats.ingest_messenger)),
-    "facebook": ("facebook", _docs(social.ingest_facebook_posts)),
-    "instagram": ("instagram", _msgs(meta_chats.ingest_instagram)),
-    "whatsapp": ("whatsapp", _msgs(whatsapp.ingest_whatsapp)),
-    "telegram": ("telegram", _msgs(telegram.ingest_telegram)),
-    "twitter": ("twitter", _both(social.ingest_twitter)),
-    "reddit": ("reddit", _docs(social.ingest_reddit)),
-    "linkedin": ("linkedin", _both(social.ingest_linkedin)),
-    "notes": ("notes", _docs(files.ingest_notes)),
-    "git": ("git", _docs(commits.ingest_commits)),
+    "gmail": ("google", _as(MESSAGES, mail.ingest_mail)),
+    "calendar": ("google", _as(DOCS, calendar.ingest_calendar)),
+    "drive": ("google", files.drive_job),
+    "lifelog": ("google", lifelog.lifelog_job),
+    "messenger": ("facebook", meta_chats.messenger_job),
+    "facebook": ("facebook", social.facebook_job),
+    "instagram": ("instagram", meta_chats.instagram_job),
+    "whatsapp": ("whatsapp", _as(MESSAGES, whatsapp.ingest_whatsapp)),
+    "telegram": ("telegram", telegram.telegram_job),
+    "twitter": ("twitter", social.twitter_job),
+    "reddit": ("reddit", social.reddit_job),
+    "linkedin": ("linkedin", social.linkedin_job),
+    "notes": ("notes", files.notes_job),
+    "git": ("git", _as(DOCS, commits.ingest_commits)),
 }
 # A source that also owns records under another name.
 OWNED = {"twitter": ["twitter_dm"]}
@@ -53,22 +44,23 @@ OWNED = {"twitter": ["twitter_dm"]}
 # ---------------------------------------------------------------------------
 
 
-def run_sources(spark: SparkSession, raw_root: str, s: Settings, only: list[str] | None = None
-                ) -> tuple[DataFrame, DataFrame]:
-    """Build the message and document frames of the selected sources (all when
-    ``only`` is empty). Missing or empty folders contribute nothing (IO4)."""
+def run_records(spark: SparkSession, raw_root: str, s: Settings, only: list[str] | None = None) -> DataFrame:
+    """The records of the selected sources (all when ``only`` is empty). Missing or empty folders
+    contribute nothing (IO4)."""
     selected = set(only or SOURCES)
-    msgs, docs = [empty(spark, MESSAGE)], [empty(spark, DOC)]
+    jobs = [empty(spark, RECORD)]
     for name, (folder, job) in SOURCES.items():
         root = os.path.join(raw_root, folder)
-        if name not in selected or not exists_nonempty(spark, root):
-            continue
-        out = job(spark, root, s)
-        if "messages" in out:
-            msgs.append(out["messages"])
-        if "docs" in out:
-            docs.append(out["docs"])
-    return (reduce(DataFrame.unionByName, msgs), reduce(DataFrame.unionByName, docs))
+        if name in selected and exists_nonempty(spark, root):
+            jobs.append(job(spark, root, s))
+    return reduce(DataFrame.unionByName, jobs)
+
+
+def run_sources(spark: SparkSession, raw_root: str, s: Settings, only: list[str] | None = None
+                ) -> tuple[DataFrame, DataFrame]:
+    """The message and document frames of the selected sources."""
+    recs = run_records(spark, raw_root, s, only)
+    return of_kind(recs, MESSAGES), of_kind(recs, DOCS)
 
 
 def owned_sources(only: list[str]) -> list[str]:

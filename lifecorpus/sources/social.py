@@ -7,16 +7,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lifecorpus.functions.identity import is_me
 from lifecorpus.functions.text import clean_chat, fix_mojibake, normalize
 from lifecorpus.functions.times import iso, iso_epoch
-from lifecorpus.schema import SOURCE_RANK, conform_docs, conform_messages, make_ord
+from lifecorpus.schema import DOCS, MESSAGES, REJECTS, SOURCE_RANK, make_ord, of_kind, records
 from lifecorpus.settings import Settings
-from lifecorpus.sources.common import relative, whole_files
+from lifecorpus.sources.common import BAD_JSON, exists_nonempty, file_path, json_body, json_error, relative, whole_files
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference)
@@ -36,6 +35,15 @@ def js_array(content: Column) -> Column:
     return F.substr(content, F.instr(content, "["))
 
 
+def js_items(content: Column, schema: str) -> Column:
+    """The items of an IO9 file; null if it holds no valid JSON array."""
+    return F.when(F.instr(content, "[") > 0, F.from_json(js_array(content), schema))
+
+
+def list_error(items: Column) -> Column:
+    return F.when(items.isNull(), F.lit(BAD_JSON))
+
+
 # --- X / Twitter -----------------------------------------------------------------
 
 TWEET_FIELDS = ("id_str: string, full_text: string, text: string, created_at: string, "
@@ -57,109 +65,169 @@ def read_twitter(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame,
             whole_files(spark, root, "account.js"))
 
 
-def parse_tweets(raw: DataFrame, root: str = "") -> DataFrame:
+def tweet_records(raw: DataFrame, root: str = "") -> DataFrame:
     files = raw.where(~F.element_at(F.split("path", "/"), -1).contains("deleted"))
-    items = files.select("path", F.posexplode(F.from_json(js_array(F.col("content")), TWEETS)).alias("i", "it"))
-
+    files = files.select("path", js_items(F.col("content"), TWEETS).alias("items"))
+    items = files.select("path", list_error(F.col("items")).alias("error"), F.posexplode_outer("items").alias("i", "it"))
+    failed = F.col("error").isNotNull()
     has_tweet = F.col("it.tweet").isNotNull()
     g = (lambda n: F.when(has_tweet, F.col(f"it.tweet.{n}")).otherwise(F.col(f"it.{n}")))
     text = F.coalesce(_nz(g("full_text")), g("text"), F.lit(""))
-    x = items.select("path", "i", text.alias("text"), g("id_str").alias("id_str"),
-                     g("created_at").alias("created_at"), g("in_reply_to_screen_name").alias("reply_to"))
-    x = x.where(~F.col("text").startswith(RETWEET_PREFIX))
+    x = items.select("path", "i", "it", text.alias("text"), g("id_str").alias("id_str"),
+                     g("created_at").alias("created_at"), g("in_reply_to_screen_name").alias("reply_to"), "error")
+    x = x.where(failed | F.col("it").isNotNull() & ~F.col("text").startswith(RETWEET_PREFIX))
     rel = relative(F.col("path"), root) if root else F.col("path")
-    return conform_docs(x.select(
+    return records(x.select(
         F.lit("twitter").alias("source"), F.coalesce("id_str", F.lit("")).alias("doc_id"),
         tweet_time(F.col("created_at")).alias("timestamp"), F.lit("Tweet").alias("title"),
         normalize(F.col("text")).alias("text"), F.lit(True).alias("authored_by_me"),
         F.create_map(F.lit("reply_to"), F.col("reply_to")).alias("meta"),
-        make_ord(SOURCE_RANK["twitter"], F.split(rel, "/"), F.lit(0), F.col("i")).alias("ord")))
+        make_ord(SOURCE_RANK["twitter"], F.split(rel, "/"), F.lit(0), F.col("i")).alias("ord"), "path", "error"), DOCS)
 
 
-def parse_x_dms(dms: DataFrame, accounts: DataFrame, s: Settings, root: str = "") -> DataFrame:
+def parse_tweets(raw: DataFrame, root: str = "") -> DataFrame:
+    return of_kind(tweet_records(raw, root), DOCS)
+
+
+def x_dm_records(dms: DataFrame, accounts: DataFrame, s: Settings, root: str = "") -> DataFrame:
     """The owner's account ids (one per archive) are matched against sender ids."""
-    ids = accounts.select(F.explode(F.from_json(js_array(F.col("content")), ACCOUNTS)).alias("a")) \
+    ids = accounts.select(F.explode(js_items(F.col("content"), ACCOUNTS)).alias("a")) \
         .select(F.col("a.account.accountId").alias("my_id")).where(F.col("my_id").isNotNull()).distinct()
-    conv = dms.select("path", F.posexplode(F.from_json(js_array(F.col("content")), DMS)).alias("ci", "c"))
-    m = conv.select("path", "ci", F.col("c.dmConversation.conversationId").alias("thread_id"),
-                    F.posexplode("c.dmConversation.messages").alias("mi", "m")) \
-        .where(F.col("m.messageCreate").isNotNull())
-    m = m.select("path", "ci", "mi", "thread_id", F.col("m.messageCreate.*"))
+    conv = dms.select("path", js_items(F.col("content"), DMS).alias("items"))
+    conv = conv.select("path", list_error(F.col("items")).alias("error"), F.posexplode_outer("items").alias("ci", "c"))
+    m = conv.select("path", "ci", F.col("c.dmConversation.conversationId").alias("thread_id"), "error",
+                    F.posexplode_outer("c.dmConversation.messages").alias("mi", "m")) \
+        .where(F.col("error").isNotNull() | F.col("m.messageCreate").isNotNull())
+    m = m.select("path", "ci", "mi", "thread_id", "error", F.col("m.messageCreate.*"))
     m = m.join(ids, F.col("senderId") == F.col("my_id"), "left")
     rel = relative(F.col("path"), root) if root else F.col("path")
-    return conform_messages(m.select(
+    return records(m.select(
         F.lit("twitter_dm").alias("source"), "thread_id", F.col("createdAt").alias("timestamp"),
         F.col("senderId").alias("sender"), F.col("my_id").isNotNull().alias("is_me"),
         clean_chat(F.coalesce(F.col("text"), F.lit(""))).alias("text"),
         F.lit("").alias("thread_title"), F.array().cast("array<string>").alias("participants"),
-        make_ord(SOURCE_RANK["twitter_dm"], F.split(rel, "/"), F.col("ci"), F.col("mi")).alias("ord")))
+        make_ord(SOURCE_RANK["twitter_dm"], F.split(rel, "/"), F.col("ci"), F.col("mi")).alias("ord"), "path", "error"), MESSAGES)
 
 
-def ingest_twitter(spark: SparkSession, root: str, s: Settings) -> tuple[DataFrame, DataFrame]:
-    tw, dm, acc = read_twitter(spark, root)
-    return parse_x_dms(dm, acc, s, root), parse_tweets(tw, root)
+def parse_x_dms(dms: DataFrame, accounts: DataFrame, s: Settings, root: str = "") -> DataFrame:
+    return of_kind(x_dm_records(dms, accounts, s, root), MESSAGES)
 
 
-# --- CSV exports (Reddit, LinkedIn) -------------------------------------------------
+def account_rejects(accounts: DataFrame) -> DataFrame:
+    """Account files (one per archive, a few hundred bytes) that cannot be read: without one the
+    owner's messages are not recognised."""
+    bad = accounts.select(F.lit("twitter").alias("source"), "path",
+                          list_error(js_items(F.col("content"), ACCOUNTS)).alias("error"))
+    return records(bad.where(F.col("error").isNotNull()), REJECTS)
 
-CSV_RECORD = "path string, row long, cells array<string>, head array<string>"
 
-#: A quoted cell, with the comma before it.
-QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+def twitter_records(tweets: DataFrame, dms: DataFrame, accounts: DataFrame, s: Settings, root: str = "") -> DataFrame:
+    return x_dm_records(dms, accounts, s, root).unionByName(tweet_records(tweets, root)).unionByName(account_rejects(accounts))
 
 
-def csv_files(spark: SparkSession, name: str) -> DataFrameReader:
-    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
-            .option("header", False).option("multiLine", True).option("escape", '"'))
+def twitter_job(spark: SparkSession, root: str, s: Settings) -> DataFrame:
+    return twitter_records(*read_twitter(spark, root), s, root)
 
 
-def csv_width(spark: SparkSession, root: str, name: str) -> int:
-    """The cells of the widest record of every file called ``name`` (at least; more where quotes are not closed)."""
-    # records of more cells than the schema has are kept as text
-    rows = csv_files(spark, name).schema("c0 string, record string").option("columnNameOfCorruptRecord", "record").csv(root)
-    bare = F.regexp_replace("record", QUOTED_CELL, "$1")
-    cells = F.length(bare) - F.length(F.translate(bare, ",", "")) + 1
-    return rows.agg(F.max(F.greatest(cells, F.when(F.col("c0").isNotNull(), 1)))).first()[0] or 1
+def ingest_twitter(spark: SparkSession, root: str, s: Settings) -> tuple[DataFrame, DataFrame]:
+    job = twitter_job(spark, root, s)
+    return of_kind(job, MESSAGES), of_kind(job, DOCS)
+
+
+# --- CSV exports (Reddit, LinkedIn) -------------------------------------------------
+
+CSV_RECORD = "path string, row long, cells array<string>, head array<string>, error string"
+UNCLOSED = "a quote is not closed"
+#: The reader's array of cells, 8 bytes each in every task; a wider record stops the read.
+MOST_CELLS = 1 << 20
+
+#: Where the reader of a record stands: outside quotes, inside, or just after a closing quote.
+OUTSIDE, INSIDE, CLOSED = 0, 1, 2
+
+
+def split_record(record: Column) -> Column:
+    """A CSV record of any width as struct(cells, open): quotes open only at the start of a cell,
+    double inside one, and are letters elsewhere; ``open`` if the last one is not closed.
+
+    A fold over the pieces between quotes. Commas outside quotes are split off a piece at a
+    time, so the fold has as many steps as the record has quotes."""
+    piece = "struct<k: int, t: string>"
+    pieces = F.transform(F.split(record, '"', -1), lambda t, k: F.struct(k.alias("k"), t.alias("t"))).cast(f"array<{piece}>")
+
+    def step(at: Column, p: Column) -> Column:
+        quoted = p["k"] > 0  # a quote comes before this piece
+        fresh = at["cell"] == ""
+        mode = (F.when(~quoted, at["mode"]).when(at["mode"] == INSIDE, F.lit(CLOSED)).when(at["mode"] == CLOSED, F.lit(INSIDE))
+                .when(fresh, F.lit(INSIDE)).otherwise(F.lit(OUTSIDE)))
+        letter = quoted & ((at["mode"] == CLOSED) | ((at["mode"] == OUTSIDE) & ~fresh))
+        cell = F.concat(at["cell"], F.when(letter, F.lit('"')).otherwise(F.lit("")))
+        cut = F.split(p["t"], ",", -1)
+        stays = (mode == INSIDE) | (p["t"] == "") | (F.size(cut) == 1)
+        cells = F.when(stays, at["cells"]).otherwise(F.concat(at["cells"], F.array(F.concat(cell, F.element_at(cut, 1))),
+                                                              F.slice(cut, 2, F.greatest(F.size(cut) - 2, F.lit(0)))))
+        rest = F.when(stays, F.concat(cell, p["t"])).otherwise(F.element_at(cut, -1))
+        after = F.when((mode == INSIDE) | (p["t"] == ""), mode).otherwise(F.lit(OUTSIDE))
+        return F.struct(cells.alias("cells"), rest.alias("cell"), after.alias("mode"))
+
+    begin = F.struct(F.array().cast("array<string>").alias("cells"), F.lit("").alias("cell"), F.lit(OUTSIDE).alias("mode"))
+    return F.aggregate(pieces, begin, step, lambda at: F.struct(
+        F.concat(at["cells"], F.array(at["cell"])).alias("cells"), (at["mode"] == INSIDE).alias("open")))
+
+
+def csv_records(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(path, row, record) of every file called ``name`` under root: the text of each record, with its
+    quoted line breaks. The reader finds where records end; it is not told their width."""
+    # a record of more cells than the schema has is kept as text, a single cell is read without its quotes
+    rows = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
+            .option("header", False).option("multiLine", True).option("escape", '"').option("maxColumns", MOST_CELLS)
+            .schema("cell string, record string").option("columnNameOfCorruptRecord", "record").csv(root))
+    quoted = F.concat(F.lit('"'), F.replace("cell", F.lit('"'), F.lit('""')), F.lit('"'))
+    return rows.select(file_path().alias("path"), F.monotonically_increasing_id().alias("row"),
+                       F.coalesce("record", quoted).alias("record")).where(F.col("record").isNotNull())
 
 
 def read_csv_records(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """IO10: the records (path, row, cells, head) of every file called ``name`` under
-    root, beside its header; quoted newlines and BOM are read, empty cells are null."""
-    from lifecorpus.sources.common import exists_nonempty, file_path
+    """IO10: the records (path, row, cells, head, error) of every file called ``name`` under root,
+    beside its header; quoted newlines and BOM are read, empty cells are null. A record with a
+    quote that is not closed (it takes the rest of its file) has an error and no cells."""
     if not exists_nonempty(spark, root):
         return spark.createDataFrame([], CSV_RECORD)
-    width = csv_width(spark, root, name)
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    rows = (csv_files(spark, name).schema(wide).csv(root)
-            .select(file_path().alias("path"), F.monotonically_increasing_id().alias("row"),
-                    F.array(*[f"c{i}" for i in range(width)]).alias("cells")))
+    read = csv_records(spark, root, name).withColumn("r", split_record(F.regexp_replace("record", "^\ufeff", "")))
+    rows = read.select("path", "row", F.when(F.col("r.open"), F.lit(UNCLOSED)).alias("error"),
+                       F.when(~F.col("r.open"), F.transform("r.cells", _nz)).alias("cells"))
     # files of one name may order their columns differently: each has its own header
     head = rows.groupBy("path").agg(F.min_by("cells", "row").alias("head"), F.min("row").alias("first"))
-    head = head.withColumn("head", F.transform("head", lambda c: F.regexp_replace(c, "^\ufeff", "")))
-    return rows.join(head, "path").where(F.col("row") > F.col("first")).select("path", "row", "cells", "head")
+    return rows.join(head, "path").where((F.col("row") > F.col("first")) | F.col("error").isNotNull()) \
+        .select("path", "row", "cells", "head", "error")
 
 
 def read_csv_rows(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
-    """(path, row, <columns>) with '' for empty cells and null for columns the file
+    """(path, row, error, <columns>) with '' for empty cells and null for columns the file
     does not have (as a dict lookup in the reference would)."""
     def cell(c: str) -> Column:
         at = F.array_position("head", c)
         return F.when(at > 0, F.coalesce(F.get("cells", (at - 1).cast("int")), F.lit(""))).alias(c)
 
-    return read_csv_records(spark, root, name).select("path", "row", *[cell(c) for c in columns])
+    return read_csv_records(spark, root, name).select("path", "row", "error", *[cell(c) for c in columns])
+
+
+def with_error(rows: DataFrame) -> DataFrame:
+    """Rows that a reader has not checked have no error."""
+    return rows if "error" in rows.columns else rows.withColumn("error", F.lit(None).cast("string"))
 
 
 REDDIT_COLUMNS = ["id", "date", "subreddit", "title", "body"]
 
 
-def parse_reddit(comments: DataFrame, posts: DataFrame) -> DataFrame:
+def reddit_records(comments: DataFrame, posts: DataFrame) -> DataFrame:
     """Rows (path, row, id, date, subreddit, title, body)."""
     def docs(rows, kind, k):
+        rows = with_error(rows)
         body = F.coalesce(F.col("body"), F.lit(""))
         title = F.coalesce(_nz(F.col("title")), F.concat(F.lit("r/"), F.coalesce("subreddit", F.lit("")),
                                                           F.lit(" " + kind)))
         if kind == "comment":
-            rows = rows.where(~body.isin(REDDIT_SKIP_BODIES))
+            rows = rows.where(F.col("error").isNotNull() | ~body.isin(REDDIT_SKIP_BODIES))
             text = body
         else:
             text = F.concat(title, F.lit("\n\n"), body)
@@ -168,13 +236,21 @@ def parse_reddit(comments: DataFrame, posts: DataFrame) -> DataFrame:
             F.coalesce("date", F.lit("")).alias("timestamp"), title.alias("title"), normalize(text).alias("text"),
             F.lit(True).alias("authored_by_me"),
             F.create_map(F.lit("subreddit"), F.col("subreddit"), F.lit("kind"), F.lit(kind)).alias("meta"),
-            make_ord(SOURCE_RANK["reddit"], F.split("path", "/"), F.lit(k), F.col("row")).alias("ord"))
-    return conform_docs(docs(comments, "comment", 0).unionByName(docs(posts, "post", 1)))
+            make_ord(SOURCE_RANK["reddit"], F.split("path", "/"), F.lit(k), F.col("row")).alias("ord"), "path", "error")
+    return records(docs(comments, "comment", 0).unionByName(docs(posts, "post", 1)), DOCS)
+
+
+def parse_reddit(comments: DataFrame, posts: DataFrame) -> DataFrame:
+    return of_kind(reddit_records(comments, posts), DOCS)
+
+
+def reddit_job(spark: SparkSession, root: str, s: Settings) -> DataFrame:
+    return reddit_records(read_csv_rows(spark, root, "comments.csv", REDDIT_COLUMNS),
+                          read_csv_rows(spark, root, "posts.csv", REDDIT_COLUMNS))
 
 
 def ingest_reddit(spark: SparkSession, root: str, s: Settings) -> DataFrame:
-    return parse_reddit(read_csv_rows(spark, root, "comments.csv", REDDIT_COLUMNS),
-                        read_csv_rows(spark, root, "posts.csv", REDDIT_COLUMNS))
+    return of_kind(reddit_job(spark, root, s), DOCS)
 
 
 LI_MESSAGES = ["CONVERSATION ID", "CONVERSATION TITLE", "FROM", "DATE", "SUBJECT", "CONTENT"]
@@ -182,61 +258,82 @@ LI_SHARES = ["Date", "ShareLink", "ShareCommentary"]
 LI_POSITIONS = ["Company Name", "Title", "Description", "Started On", "Finished On"]
 
 
-def parse_linkedin_messages(rows: DataFrame, s: Settings) -> DataFrame:
+def linkedin_message_records(rows: DataFrame, s: Settings) -> DataFrame:
     """DATE kept verbatim; title = conversation title, else subject."""
     sender = F.coalesce(F.col("FROM"), F.lit(""))
-    return conform_messages(rows.select(
+    return records(with_error(rows).select(
         F.lit("linkedin").alias("source"), F.coalesce("`CONVERSATION ID`", F.lit("")).alias("thread_id"),
         F.coalesce("DATE", F.lit("")).alias("timestamp"), sender.alias("sender"),
         is_me(sender, s).alias("is_me"), clean_chat(F.coalesce("CONTENT", F.lit(""))).alias("text"),
         F.coalesce(_nz(F.col("`CONVERSATION TITLE`")), F.col("SUBJECT"), F.lit("")).alias("thread_title"),
         F.array().cast("array<string>").alias("participants"),
-        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(0), F.col("row")).alias("ord")))
+        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(0), F.col("row")).alias("ord"), "path", "error"), MESSAGES)
 
 
-def parse_linkedin_shares(rows: DataFrame) -> DataFrame:
+def parse_linkedin_messages(rows: DataFrame, s: Settings) -> DataFrame:
+    return of_kind(linkedin_message_records(rows, s), MESSAGES)
+
+
+def linkedin_share_records(rows: DataFrame) -> DataFrame:
     """Posts with non-empty commentary."""
-    r = rows.where(F.coalesce(F.col("ShareCommentary"), F.lit("")) != "")
-    return conform_docs(r.select(
+    r = with_error(rows).where(F.col("error").isNotNull() | (F.coalesce(F.col("ShareCommentary"), F.lit("")) != ""))
+    return records(r.select(
         F.lit("linkedin").alias("source"), F.coalesce("ShareLink", F.lit("")).alias("doc_id"),
         F.coalesce("Date", F.lit("")).alias("timestamp"), F.lit("LinkedIn post").alias("title"),
         normalize(F.col("ShareCommentary")).alias("text"), F.lit(True).alias("authored_by_me"),
-        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(1), F.col("row")).alias("ord")))
+        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(1), F.col("row")).alias("ord"), "path", "error"), DOCS)
 
 
-def parse_linkedin_profile(rows: DataFrame) -> DataFrame:
+def parse_linkedin_shares(rows: DataFrame) -> DataFrame:
+    return of_kind(linkedin_share_records(rows), DOCS)
+
+
+def linkedin_profile_records(rows: DataFrame) -> DataFrame:
     """One doc per profile row (path, row, cells, head), 'column: value' for
     every non-empty cell in header order."""
     pairs = F.filter(F.arrays_zip("head", "cells"),
                      lambda p: p["head"].isNotNull() & (F.coalesce(p["cells"], F.lit("")) != ""))
     text = F.array_join(F.transform(pairs, lambda p: F.concat(p["head"], F.lit(": "), p["cells"])), "\n")
-    return conform_docs(rows.select(
+    return records(with_error(rows).select(
         F.lit("linkedin").alias("source"), F.lit("profile").alias("doc_id"), F.lit("").alias("timestamp"),
         F.lit("LinkedIn profile").alias("title"), text.alias("text"), F.lit(True).alias("authored_by_me"),
-        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(2), F.col("row")).alias("ord")))
+        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(2), F.col("row")).alias("ord"), "path", "error"), DOCS)
 
 
-def parse_linkedin_positions(rows: DataFrame) -> DataFrame:
-    """One doc per file, its rows folded in file order."""
+def parse_linkedin_profile(rows: DataFrame) -> DataFrame:
+    return of_kind(linkedin_profile_records(rows), DOCS)
+
+
+def linkedin_position_records(rows: DataFrame) -> DataFrame:
+    """One doc per file, its rows folded in file order; a rejected record is a row of its own."""
     def cell(c):
         return F.coalesce(F.col(f"`{c}`"), F.lit("None"))
     line = F.concat(cell("Title"), F.lit(" at "), cell("Company Name"), F.lit(" ("), cell("Started On"),
                     F.lit(" – "), F.coalesce(_nz(F.col("`Finished On`")), F.lit(POSITION_OPEN_END)), F.lit("): "),
                     F.coalesce(F.col("Description"), F.lit("")))
-    g = rows.groupBy("path").agg(F.array_join(F.transform(
+    g = with_error(rows).groupBy("path", "error").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("row", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
-    return conform_docs(g.select(
+    return records(g.select(
         F.lit("linkedin").alias("source"), F.lit("positions").alias("doc_id"), F.lit("").alias("timestamp"),
         F.lit("Career history").alias("title"), "text", F.lit(True).alias("authored_by_me"),
-        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(3), F.lit(0)).alias("ord")))
+        make_ord(SOURCE_RANK["linkedin"], F.split("path", "/"), F.lit(3), F.lit(0)).alias("ord"), "path", "error"), DOCS)
+
+
+def parse_linkedin_positions(rows: DataFrame) -> DataFrame:
+    return of_kind(linkedin_position_records(rows), DOCS)
+
+
+def linkedin_job(spark: SparkSession, root: str, s: Settings) -> DataFrame:
+    parts = [linkedin_message_records(read_csv_rows(spark, root, "messages.csv", LI_MESSAGES), s),
+             linkedin_share_records(read_csv_rows(spark, root, "Shares.csv", LI_SHARES)),
+             linkedin_position_records(read_csv_rows(spark, root, "Positions.csv", LI_POSITIONS)),
+             linkedin_profile_records(read_csv_records(spark, root, "Profile.csv"))]   # free-form columns
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ingest_linkedin(spark: SparkSession, root: str, s: Settings) -> tuple[DataFrame, DataFrame]:
-    msgs = parse_linkedin_messages(read_csv_rows(spark, root, "messages.csv", LI_MESSAGES), s)
-    docs = [parse_linkedin_shares(read_csv_rows(spark, root, "Shares.csv", LI_SHARES)),
-            parse_linkedin_positions(read_csv_rows(spark, root, "Positions.csv", LI_POSITIONS)),
-            parse_linkedin_profile(read_csv_records(spark, root, "Profile.csv"))]   # free-form columns
-    return msgs, reduce(lambda a, b: a.unionByName(b), docs)
+    job = linkedin_job(spark, root, s)
+    return of_kind(job, MESSAGES), of_kind(job, DOCS)
 
 
 # --- Facebook posts and comments --------------------------------------------------------
@@ -248,7 +345,7 @@ def read_facebook_posts(spark: SparkSession, root: str) -> DataFrame:
     return whole_files(spark, root, "*.json")
 
 
-def parse_facebook_posts(raw: DataFrame, root: str = "") -> DataFrame:
+def facebook_post_records(raw: DataFrame, root: str = "") -> DataFrame:
     """your_posts*.json (top-level list) and comments*.json ({comments_v2:
     [...]}), outside any 'messages' folder. kind = post when the item has a
     'post' key (presence, even if null), else comment."""
@@ -257,24 +354,35 @@ def parse_facebook_posts(raw: DataFrame, root: str = "") -> DataFrame:
     f = raw.where(~F.array_contains(F.split(rel, "/"), "messages")
                   & (name.startswith("your_posts") | name.startswith("comments")))
     as_list = F.from_json("content", f"array<{FB_ITEM}>")
-    as_obj = F.from_json("content", f"struct<comments_v2: array<{FB_ITEM}>>")["comments_v2"]
-    items = f.select("path", F.posexplode(F.when(F.ltrim("content").startswith("["), as_list)
-                                          .otherwise(as_obj)).alias("ii", "it"))
-    d = items.select("path", "ii", "it.timestamp", "it.title", F.posexplode("it.data").alias("di", "d"))
+    as_obj = F.from_json("content", f"struct<comments_v2: array<{FB_ITEM}>, _corrupt_record: string>")
+    is_list = json_body(F.col("content")).startswith("[")
+    f = f.select("path", is_list.alias("is_list"), F.when(is_list, as_list).alias("l"), F.when(~is_list, as_obj).alias("o"))
+    error = F.when(F.col("is_list"), list_error(F.col("l"))).otherwise(json_error(F.col("o"), F.col("o.comments_v2").isNotNull()))
+    f = f.select("path", F.coalesce("l", "o.comments_v2").alias("items"), error.alias("error"))
+    items = f.select("path", "error", F.posexplode_outer("items").alias("ii", "it"))
+    d = items.select("path", "ii", "it.timestamp", "it.title", "error", F.posexplode_outer("it.data").alias("di", "d"))
     has_post = F.map_contains_key("d", "post")
     text = F.coalesce(_nz(F.col("d")["post"]), F.get_json_object(F.col("d")["comment"], "$.comment"))
     kind = F.when(has_post, F.lit("post")).otherwise(F.lit("comment"))
-    x = d.select("path", "ii", "di", "timestamp", "title", text.alias("text"), kind.alias("kind")) \
-        .where(F.coalesce(F.col("text"), F.lit("")) != "")
-    return conform_docs(x.select(
+    x = d.select("path", "ii", "di", "timestamp", "title", text.alias("text"), kind.alias("kind"), "error") \
+        .where(F.col("error").isNotNull() | (F.coalesce(F.col("text"), F.lit("")) != ""))
+    return records(x.select(
         F.lit("facebook").alias("source"),
         F.concat(F.col("kind"), F.lit("-"), F.coalesce(F.col("timestamp").cast("string"), F.lit("None"))).alias("doc_id"),
         F.when(F.col("timestamp").isNull(), F.lit("")).otherwise(iso_epoch(F.col("timestamp"))).alias("timestamp"),
         fix_mojibake(F.coalesce(F.col("title"), F.concat(F.lit("Facebook "), F.col("kind")))).alias("title"),
         normalize(fix_mojibake(F.col("text"))).alias("text"), F.lit(True).alias("authored_by_me"),
         F.create_map(F.lit("kind"), F.col("kind")).alias("meta"),
-        make_ord(SOURCE_RANK["facebook"], F.split(rel, "/"), F.col("ii"), F.col("di")).alias("ord")))
+        make_ord(SOURCE_RANK["facebook"], F.split(rel, "/"), F.col("ii"), F.col("di")).alias("ord"), "path", "error"), DOCS)
+
+
+def parse_facebook_posts(raw: DataFrame, root: str = "") -> DataFrame:
+    return of_kind(facebook_post_records(raw, root), DOCS)
+
+
+def facebook_job(spark: SparkSession, root: str, s: Settings) -> DataFrame:
+    return facebook_post_records(read_facebook_posts(spark, root), root)
 
 
 def ingest_facebook_posts(spark: SparkSession, root: str, s: Settings) -> DataFrame:
-    return parse_facebook_posts(read_facebook_posts(spark, root), root)
+    return of_kind(facebook_job(spark, root, s), DOCS)

@@ -11,14 +11,14 @@ from lifecorpus.functions.identity import is_me
 from lifecorpus.functions.text import clean_chat
 from lifecorpus.functions.times import iso_epoch
 from lifecorpus.operators.filters import keep_if
-from lifecorpus.schema import SOURCE_RANK, conform_messages, make_ord
+from lifecorpus.schema import MESSAGES, SOURCE_RANK, make_ord, of_kind, records
 from lifecorpus.settings import Settings
-from lifecorpus.sources.common import relative, whole_files
+from lifecorpus.sources.common import json_error, relative, whole_files
 
 MSG = "array<struct<type: string, `from`: string, from_id: string, date: string, date_unixtime: string, text: variant>>"
 CHAT = f"struct<id: variant, name: string, messages: {MSG}>"
 EXPORT = (f"struct<personal_information: struct<user_id: variant>, chats: struct<list: array<{CHAT}>>,"
-          f" id: variant, name: string, messages: {MSG}>")
+          f" id: variant, name: string, messages: {MSG}, _corrupt_record: string>")
 
 
 def flatten_text(t: Column) -> Column:
@@ -40,32 +40,39 @@ def read_telegram(spark: SparkSession, root: str) -> DataFrame:
     return whole_files(spark, root, "result.json")
 
 
-def parse_telegram(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
+def telegram_records(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
     d = raw.select("path", F.from_json("content", EXPORT).alias("d"))
+    found = F.coalesce(F.col("d.chats.list").isNotNull() | F.col("d.messages").isNotNull(), F.lit(False))
+    d = d.withColumn("error", json_error(F.col("d"), found))
+    failed = F.col("error").isNotNull()
     me_id = F.concat(F.lit("user"), F.coalesce(F.try_variant_get("d.personal_information.user_id", "$", "string"),
                                                F.lit("")))
     single = F.array(F.struct(F.col("d.id").alias("id"), F.col("d.name").alias("name"),
                               F.col("d.messages").alias("messages")))
     chats = F.when(F.coalesce(F.size("d.chats.list"), F.lit(0)) > 0, F.col("d.chats.list")).otherwise(single)
-    c = d.select("path", me_id.alias("me_id"), F.posexplode(chats).alias("ci", "chat"))
+    c = d.select("path", me_id.alias("me_id"), F.posexplode(chats).alias("ci", "chat"), "error")
     m = c.select("path", "me_id", "ci", F.col("chat.id").alias("cid"), F.col("chat.name").alias("cname"),
-                 F.posexplode("chat.messages").alias("mi", "m"))
+                 F.posexplode_outer("chat.messages").alias("mi", "m"), "error")
     text = flatten_text(F.col("m.text"))
-    m = keep_if(m.withColumn("flat", text), (F.col("m.type") == "message") & (F.col("flat") != ""))
+    m = keep_if(m.withColumn("flat", text), failed | (F.col("m.type") == "message") & (F.col("flat") != ""))
     sender = F.coalesce(F.col("m.from"), F.lit(""))
     unix = F.col("m.date_unixtime")
     ts = F.when(F.coalesce(unix, F.lit("")) != "", iso_epoch(unix.try_cast("long"))) \
         .otherwise(F.coalesce(F.col("m.date"), F.lit("")))
     title = F.coalesce(F.when(F.col("cname") != "", F.col("cname")), _vstr(F.col("cid")))
     rel = relative(F.col("path"), root) if root else F.col("path")
-    return conform_messages(m.select(
+    return records(m.select(
         F.lit("telegram").alias("source"), _vstr(F.col("cid")).alias("thread_id"), ts.alias("timestamp"),
         sender.alias("sender"),
         ((F.coalesce(F.col("m.from_id"), F.lit("")) == F.col("me_id")) | is_me(sender, s)).alias("is_me"),
         clean_chat(F.col("flat")).alias("text"), title.alias("thread_title"),
         F.array().cast("array<string>").alias("participants"),
-        make_ord(SOURCE_RANK["telegram"], F.split(rel, "/"), F.col("ci"), F.col("mi")).alias("ord")))
+        make_ord(SOURCE_RANK["telegram"], F.split(rel, "/"), F.col("ci"), F.col("mi")).alias("ord"), "path", "error"), MESSAGES)
+
+
+def parse_telegram(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
+    return of_kind(telegram_records(raw, s, root), MESSAGES)
 
 
-def ingest_telegram(spark: SparkSession, root: str, s: Settings) -> DataFrame:
-    return parse_telegram(read_telegram(spark, root), s, root)
+def telegram_job(spark: SparkSession, root: str, s: Settings) -> DataFrame:
+    return telegram_records(read_telegram(spark, root), s, root)

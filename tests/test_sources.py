@@ -10,8 +10,8 @@ from pathlib import Path
 
 from lifecorpus.sources import calendar, commits, files, lifelog, mail, meta_chats, social, whatsapp
 from lifecorpus.sources.registry import run_sources
-from lifecorpus.sources.store import read_jsonl, retain_for_reingest, write_jsonl, write_table
-from lifecorpus.schema import MESSAGE
+from lifecorpus.sources.store import read_jsonl, read_table, write_jsonl, write_records
+from lifecorpus.schema import MESSAGE, MESSAGES, REJECTS, of_kind, records
 
 from exports import ME
 
@@ -177,8 +177,8 @@ def test_notes_and_drive(spark, tmp_path):
     assert rows["report.docx"].text == "First paragraph of the report\nSecond one"
     assert rows["page.HTML"].text == "Notes in a web page body" and rows["page.HTML"].title == "page"
     assert len(rows["big.txt"].text) == 250_000 and rows["big.txt"].authored_by_me
-    rej = files.rejects(files.read_files(spark, str(notes))).collect()
-    assert [os.path.basename(r.path) for r in rej] == ["broken.docx"]
+    rej = of_kind(files.notes_job(spark, str(notes)), REJECTS).collect()
+    assert [(os.path.basename(r.path), r.reason) for r in rej] == [("broken.docx", files.BAD_DOCX)]
     google = tmp_path / "google"
     w(google / "Takeout/Dysk/Moje/plan.txt", "Plan na wakacje w górach")
     w(google / "Takeout/Mail/x.txt", "not a drive document at all")
@@ -226,11 +226,9 @@ def test_jsonl_roundtrip_and_reingest(spark, tmp_path):
     assert write_jsonl(df, str(tmp_path / "m")) == 3
     back = read_jsonl(spark, str(tmp_path / "m"), MESSAGE)
     assert sorted(r.source for r in back.collect()) == ["gmail", "twitter_dm", "whatsapp"]
-    kept = retain_for_reingest(back, ["twitter"]).collect()
-    assert sorted(r.source for r in kept) == ["gmail", "whatsapp"]
-    write_table(spark, df, str(tmp_path / "t"))
-    write_table(spark, df.where("source = 'gmail'"), str(tmp_path / "t"), only=["gmail", "twitter"])
-    assert sorted(r.source for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["gmail", "whatsapp"]
+    write_records(spark, records(df, MESSAGES), str(tmp_path / "t"))
+    write_records(spark, records(df.where("source = 'gmail'"), MESSAGES), str(tmp_path / "t"), only=["gmail", "twitter"])
+    assert sorted(r.source for r in read_table(spark, str(tmp_path / "t"), MESSAGES).collect()) == ["gmail", "whatsapp"]
 
 
 def test_missing_folders_are_skipped(spark, tmp_path):
