@@ -124,18 +124,19 @@ class Item:
 
 
 class Best:
-    """The k best (score, id) of an item so far, and the score that others must reach."""
+    """The k best (score, id) of an item so far, and the score that others must reach; at that
+    score itself only ids up to ``last`` count."""
 
-    def __init__(self, k: int, threshold: int) -> None:
-        self.k, self.threshold = k, threshold
+    def __init__(self, k: int, threshold: int, last: int) -> None:
+        self.k, self.threshold, self.last = k, threshold, last
         self.scores, self.ids, self.none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
 
     def add(self, scores: np.ndarray, ids: np.ndarray, none: np.ndarray) -> None:
         s, i, z = (np.concatenate(x) for x in ((self.scores, scores), (self.ids, ids), (self.none, none)))
         order = np.lexsort((i, z, -s))[:self.k]
         self.scores, self.ids, self.none = s[order], i[order], z[order]
-        if len(order) == self.k:
-            self.threshold = max(self.threshold, int(self.scores[-1]))
+        if len(order) == self.k and (int(self.scores[-1]), -int(self.ids[-1])) >= (self.threshold, -self.last):
+            self.threshold, self.last = int(self.scores[-1]), int(self.ids[-1])
 
 
 class Bucket:
@@ -182,13 +183,13 @@ class Bucket:
 
 
 def search(rows: DataFrame, items: list[list[int]], ids: list, kind: pa.DataType, kind_sql: str, weights: np.ndarray,
-           thresholds: list[int], k: int) -> DataFrame:
+           thresholds: list[tuple[int, int]], k: int) -> DataFrame:
     """(item_id, doc_id, score): every task's best k of each item, from its rows, longest first."""
     ordered = rows.repartitionByRange(F.col("length").desc(), "doc_id").sortWithinPartitions(F.col("length").desc(), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = [Item(t, weights) for t in items]
-        best = [Best(k, t) for t in thresholds]
+        best = [Best(k, *t) for t in thresholds]
         table = np.zeros(len(weights), np.int64)
         for b in batches:
             if not b.num_rows:
@@ -202,7 +203,7 @@ def search(rows: DataFrame, items: list[list[int]], ids: list, kind: pa.DataType
                 found = bucket.reach(item, top.threshold)
                 if len(found):
                     scores = bucket.scores(item, found, table)
-                    good = (scores > 0) & (scores >= top.threshold)
+                    good = (scores > 0) & ((scores > top.threshold) | (scores == top.threshold) & (doc[found] <= top.last))
                     if good.any():
                         top.add(scores[good], doc[found[good]], none[found[good]])
         for start in range(0, len(best), 1000):
@@ -263,7 +264,8 @@ def ranked_block(src: DataFrame, block: DataFrame, k: int) -> DataFrame:
     first = rows.approxQuantile("length", [1 - FIRST], 0.005)
     cut = first[0] if first else 0.0
     args = (items, ids, kind, kind_sql, weights)
-    long = stored(best_of(search(rows.where(F.col("length") >= cut), *args, [0] * len(ids), k), k), "longest")
-    reached = {r.item_id: r.score for r in long.where(F.col("rank") == k).collect()}  # a row an item of the block
-    rest = search(rows.where(F.col("length") < cut), *args, [reached.get(i, 0) for i in ids], k)
+    long = stored(best_of(search(rows.where(F.col("length") >= cut), *args, [(0, LAST)] * len(ids), k), k), "longest")
+    # a row an item of the block; a null id is the last
+    reached = {r.item_id: (r.score, LAST if r.doc_id is None else r.doc_id) for r in long.where(F.col("rank") == k).collect()}
+    rest = search(rows.where(F.col("length") < cut), *args, [reached.get(i, (0, LAST)) for i in ids], k)
     return best_of(rest.unionByName(long.drop("rank")), k)

@@ -63,7 +63,7 @@ def test_stages_against_plain_python(spark, tmp_path):
 
     five = stage(4, four)
     total = sum(x["length"] for x in five.collect())
-    enc = packing.Encoder(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern())
+    enc = packing.Encoder(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern(), queries.special_tokens())
     assert total == sum(len(enc.encode(x["text"] or "")) // enc.dtype.itemsize + 1 for x in four.collect())
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == five.count()
 
@@ -77,7 +77,7 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "embeddings"):
+    for t in ("documents", "pages", "conversations", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     cols = sorted(got.columns)
