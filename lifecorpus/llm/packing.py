@@ -20,18 +20,25 @@ length is a power of two.
 
 Defined cases: a null or empty text is the end id alone; a null source is a queue of its
 own; repeated rows are packed each; a source without a weight counts 1; an empty table gives
-no piece. Of more than ``MOST_QUEUES`` sources, those with a weight and the largest keep a
+no piece; a text that spells out a special token has that token's id there; a run of white
+space of any length is one piece of the vocabulary. Of more than ``MOST_QUEUES`` sources, those with a weight and the largest keep a
 queue of their own; the others share queues by hash, each of the weight of its sources together.
 
-Ids are those of the byte-level BPE vocabulary whose rank file is given.
+At most so many queues share a window: of 131,072 tokens (64 sequences of 2048) each of 4,096
+queues still gets 32 in the mean; more queues would cut documents into single tokens.
+
+Ids are those of the byte-level BPE vocabulary whose rank file and special tokens are given.
 """
 from __future__ import annotations
 
 import base64
+import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +51,8 @@ from lifecorpus.llm.common import bounded, col, prepare, rows_in, stored
 MOST_QUEUES = 4096
 SPACE_BEFORE_SPACE = re.compile(r"\s(?:\s|\Z)")
 LOOK_AHEAD = r"|\s+(?!\S)"
+#: A run of Unicode white space that is cut out before the pattern sees it.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 
 def id_type(ranks: bytes) -> np.dtype:
@@ -53,9 +62,10 @@ def id_type(ranks: bytes) -> np.dtype:
 
 
 class Encoder:
-    """Texts to ids, packed as little-endian integers of ``dtype``."""
+    """Texts to ids, packed as little-endian integers of ``dtype``. ``special``: tokens that a text
+    may spell out, and their ids."""
 
-    def __init__(self, ranks: bytes, pattern: str):
+    def __init__(self, ranks: bytes, pattern: str, special: dict[str, int] | None = None):
         import tiktoken
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.full = tiktoken.Encoding("full", pat_str=pattern, mergeable_ranks=table, special_tokens={})
@@ -63,41 +73,75 @@ class Encoder:
         # matches; without it the pattern is a plain automaton, twice as fast
         self.plain = tiktoken.Encoding("plain", pat_str=pattern.replace(LOOK_AHEAD, ""), mergeable_ranks=table,
                                        special_tokens={})
-        self.dtype = id_type(ranks)
+        self.special = special or {}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.spelled = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
+        self.dtype = np.dtype("<u4") if max(self.special.values(), default=0) >= 1 << 16 else id_type(ranks)
 
-    def encode(self, text: str) -> bytes:
+    def _plain_ids(self, text: str) -> list[int]:
         how = self.full if SPACE_BEFORE_SPACE.search(text) else self.plain
-        return np.array(how.encode_ordinary(text), dtype=self.dtype).tobytes()
+        return how.encode_ordinary(text)
+
+    def _ids(self, text: str) -> list[int]:
+        """Of a text without special tokens. The look-ahead tries a run of white space again and again,
+        on a stack of its own: a long run's piece, all but its last character before other text, goes
+        straight to the vocabulary."""
+        out, at = [], 0
+        for run in LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self._plain_ids(text[at:run.start()])
+            out += self.full._encode_single_piece(text[run.start():end].encode())
+            at = end
+        return out + self._plain_ids(text[at:] if at else text)
+
+    def encode(self, text: str) -> bytes:
+        if self.spelled and any(s in text for s in self.special):
+            ids = [i for part in self.spelled.split(text) if part
+                   for i in ([self.special[part]] if part in self.special else self._ids(part))]
+        else:
+            ids = self._ids(text)
+        return np.array(ids, dtype=self.dtype).tobytes()
 
 
 class RoundRobin:
-    """What every queue has been served by the end of any window."""
+    """What every queue has been served by the end of any window. While queues are served by their
+    shares, a queue has ``share * time`` tokens until it runs out at ``total / share``; the times at
+    which queues run out are the phases, kept as numbers only, so many queues stay cheap."""
 
     def __init__(self, totals: list[int], weights: list[int] | None, window: int):
         self.totals, self.window, self.total = totals, window, sum(totals)
         self.windows = -(-self.total // window)
-        self.phases: list[tuple[Fraction, list[Fraction], list[Fraction]]] = []
-        share = [Fraction(w) for w in (weights or totals)]
-        v, served = Fraction(0), [Fraction(0)] * len(totals)
-        live = {q for q, n in enumerate(totals) if n}
-        while live:  # until the first live queue runs out, shares stay as they are
-            all_ = sum(share[q] for q in live)
-            rate = [share[q] / all_ if q in live else Fraction(0) for q in range(len(totals))]
-            self.phases.append((v, served, rate))
-            step = min((totals[q] - served[q]) / rate[q] for q in live)
-            v, served = v + step, [s + step * r for s, r in zip(served, rate)]
-            live = {q for q in live if served[q] < totals[q]}
+        exact = [Fraction(w) for w in (weights or totals)]
+        scale = math.lcm(*(w.denominator for w in exact)) if exact else 1
+        self.share = [int(w * scale) for w in exact]
+        self.starts: list[Fraction] = []  # tokens served of all queues when a phase begins
+        self.phases: list[tuple[Fraction, int]] = []  # its time, and the shares still served
+        time, over, live = Fraction(0), 0, sum(s for s, n in zip(self.share, totals) if n)
+        for end, q in sorted((Fraction(n, self.share[q]), q) for q, n in enumerate(totals) if n):
+            if end > time:
+                self.starts.append(over + time * live)
+                self.phases.append((time, live))
+                time = end
+            over, live = over + totals[q], live - self.share[q]
         self.at = lru_cache(maxsize=max(16, 200_000 // max(len(totals), 1)))(self._at)
+        self.upto = lru_cache(maxsize=max(16, 200_000 // max(len(totals), 1)))(self._upto)
 
     def _at(self, w: int) -> tuple[list[int], int]:
         """Tokens served of every queue before window ``w``, and their sum."""
         if w >= self.windows:
             return self.totals, self.total
-        v = Fraction(w * self.window)
-        v0, served, rate = next(p for p in reversed(self.phases) if p[0] <= v)
-        q = [min(n, int(s + (v - v0) * r + Fraction(1, 2))) for n, s, r in zip(self.totals, served, rate)]
+        v = w * self.window
+        k = bisect_right(self.starts, v) - 1
+        time, live = self.phases[k]
+        t = time + (v - self.starts[k]) / live
+        a, b = 2 * t.numerator, 2 * t.denominator
+        q = [min(n, (s * a + b // 2) // b) for n, s in zip(self.totals, self.share)]
         return q, sum(q)
 
+    def _upto(self, w: int) -> list[int]:
+        """Tokens served of all queues before each queue, before window ``w``."""
+        return list(accumulate(self.at(w)[0], initial=0))
+
     def window_of(self, queue: int, token: int, guess: int) -> int:
         """The window that serves a queue's token."""
         for w in (guess, guess + 1):
@@ -116,7 +160,7 @@ class RoundRobin:
             w = self.window_of(queue, at, w)
             before, total = self.at(w)
             after, _ = self.at(w + 1)
-            g = total + sum(after[:queue]) - sum(before[:queue]) + at - before[queue]
+            g = total + self.upto(w + 1)[queue] - self.upto(w)[queue] + at - before[queue]
             end = min(start + n, after[queue])
             while at < end:
                 take = min(end - at, length - g % length)
@@ -145,16 +189,16 @@ def queues_of(docs: DataFrame, source_col: str, weights: dict[str | None, int] |
     return queue, shares | {r["queue"]: r["count"] for r in sources.groupBy("queue").count().collect()}
 
 
-def tokens(docs: DataFrame, ranks: bytes, pattern: str, end_id: int, id_col: str, text_col: str,
-           queue: Column) -> tuple[DataFrame, np.dtype]:
+def tokens(docs: DataFrame, ranks: bytes, pattern: str, special: dict[str, int] | None, end_id: int, id_col: str,
+           text_col: str, queue: Column) -> tuple[DataFrame, np.dtype]:
     """doc_id, queue, part, place (tokens of the queue before it in the partition), n, ids."""
     src = docs.select(col(id_col).alias("doc_id"), queue.alias("queue"), col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    dtype = id_type(ranks)
+    dtype = np.dtype("<u4") if max((special or {}).values(), default=0) >= 1 << 16 else id_type(ranks)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, placed = Encoder(shared.value, pattern), TaskContext.get().partitionId(), {}
+        enc, part, placed = Encoder(shared.value, pattern, special), TaskContext.get().partitionId(), {}
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for b in rows_in(batches, 256):
             ids = [enc.encode(t.as_py() or "") + end for t in b.column(2)]
@@ -170,14 +214,14 @@ def tokens(docs: DataFrame, ranks: bytes, pattern: str, end_id: int, id_col: str
     return src.mapInArrow(run, f"doc_id {kind}, queue string, part int, place long, n long, ids binary"), dtype
 
 
-def pack(docs: DataFrame, *, ranks: bytes, pattern: str, end_id: int = 1, length: int = 2048, window: int = 64,
+def pack(docs: DataFrame, *, ranks: bytes, pattern: str, special: dict[str, int] | None = None, end_id: int = 1, length: int = 2048, window: int = 64,
          weights: dict[str | None, int] | None = None, id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source") -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
     sequence_id, offset, window_id. ``weights``: target shares by source, else the sources' own."""
     prepare(docs.sparkSession)
     queue, weight = queues_of(docs, source_col, weights)
-    found, dtype = tokens(docs, ranks, pattern, end_id, id_col, text_col, queue)
+    found, dtype = tokens(docs, ranks, pattern, special, end_id, id_col, text_col, queue)
     rows = stored(found, "packing-tokens")
     parts = rows.groupBy("queue", "part").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

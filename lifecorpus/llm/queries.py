@@ -1,6 +1,8 @@
 """The registered queries of this subpackage: each operator over its whole table."""
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def special_tokens() -> dict[str, int]:
+    """The tokens that the vocabulary's tokenizer finds as they are written, and their ids."""
+    return {t["content"]: t["id"] for t in json.loads(tokenizer_file("byte_bpe_50k.json"))["added_tokens"]}
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = read(spark, sf_dir, "documents")
@@ -93,7 +100,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    pieces = packing.pack(docs, ranks=tokenizer_file("byte_bpe_50k.tiktoken"), pattern=split_pattern(), end_id=1, length=2048)
+    pieces = packing.pack(docs, ranks=tokenizer_file("byte_bpe_50k.tiktoken"), pattern=split_pattern(), special=special_tokens(),
+                          end_id=1, length=2048)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -16,7 +16,8 @@ candidate block to the next; the k best per task are merged by rank.
 Defined cases: a vector that is null, or holds a null or a non-finite component, takes no
 part, nor does a row without an id; vectors meet only those of their own length; a query's
 own id is no candidate; of rows that repeat a queried id the smallest vector asks, and all
-rows are candidates; ties go to the smaller id; fewer candidates than k give all.
+rows are candidates; ties go to the smaller id; fewer candidates than k give all; a vector
+whose scaled length may pass 2^31 ends the search with an error, as scores could leave 64 bits.
 """
 from __future__ import annotations
 
@@ -39,6 +40,18 @@ def quantised(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
 
 
+#: The largest length of a quantised vector: two such have an inner product within 64 bits.
+LONGEST = float(1 << 31)
+
+
+def checked(vector: Column, scale: int) -> Column:
+    """The quantised vector, or an error for one that may be longer than ``LONGEST``."""
+    largest = F.coalesce(F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double") * scale))), F.lit(0.0))
+    fits = (largest + 1) * F.sqrt(F.size(vector)) <= LONGEST
+    return F.when(fits, quantised(vector, scale)).otherwise(
+        F.raise_error(F.lit("a vector is too long for 64-bit scores")).cast("array<long>"))
+
+
 def usable(vector: Column) -> Column:
     ok = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")))
     return vector.isNotNull() & F.coalesce(ok, F.lit(False))
@@ -161,7 +174,7 @@ def search(vectors: DataFrame, *, k: int = 5, every: int = 50, scale: int = 256,
     prepare(spark)
     groups = groups or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (vectors.select(col(id_col).cast("long").alias("id"), col(vector_col).alias("v"))
-            .where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", quantised(F.col("v"), scale).alias("v")))
+            .where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", checked(F.col("v"), scale).alias("v")))
     asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
     asked = asked.repartitionByRange("id")
     q = _packed(asked, QUERY_BLOCK, "q").withColumn("block", F.monotonically_increasing_id()).checkpoint()

@@ -17,8 +17,9 @@ if either has none, if both have equal Last-Modified values. Without such a pair
 payload digest decides; with nothing to compare the revisit is unverified.
 
 Defined cases: a null URL or time, or no earlier response, is ``no_response``; a response of
-the same time counts as earlier if its record id is smaller (null first); repeated rows are
-resolved each; header names are compared in lower case, null headers are none; an empty
+the same time counts as earlier if its record id is smaller (null first); of responses equal
+in URL, time and id the one with the largest digest, then headers as sorted pairs, is taken;
+repeated rows are resolved each; header names are compared in lower case, null headers are none; an empty
 table gives an empty result.
 """
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lifecorpus.llm.common import bounded, col, prepare, stored
+from lifecorpus.llm.common import col, prepare, stored
 
 #: Headers that a 304 response may carry (RFC 9110, section 15.4.5).
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
@@ -84,27 +85,28 @@ def resolve(captures: DataFrame, *, id_col: str = "record_id", url_col: str = "u
         col(id_col).alias("id"), canonical_url(col(url_col)).alias("url"), col(time_col).alias("time"),
         (col(kind_col) == "response").alias("full"), _names_lower(col(headers_col)).alias("headers"),
         col(digest_col).alias("digest"))
-    c = stored(c.repartitionByRange("url", "time", "id").withColumn("seg", F.spark_partition_id()), "captures")
+    pairs = F.array_sort(F.map_entries("headers"))
+    c = stored(c.withColumn("pairs", pairs).repartitionByRange("url", "time", "id").withColumn("seg", F.spark_partition_id()),
+               "captures")
     known = F.col("full") & F.col("url").isNotNull() & F.col("time").isNotNull()
-    page = F.when(known, F.struct("id", "headers", "digest"))
-    before = Window.partitionBy("seg", "url").orderBy("time", "id").rowsBetween(Window.unboundedPreceding, -1)
+    page = F.when(known, F.struct("id", "pairs", "digest"))
+    # rows equal in URL, time and id share a segment; of these, revisits come before responses
+    order = ["time", "id", "full", "digest", "pairs"]
+    before = Window.partitionBy("seg", "url").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     near = c.withColumn("near", F.last(page, ignorenulls=True).over(before))
     edge = c.groupBy("seg").agg(F.min("url").alias("lo"), F.max("url").alias("hi"))
-    ends = (c.select("seg", "url", "time", "id", known.alias("known")).join(bounded(edge), "seg")
+    ends = (c.withColumn("known", known).join(edge, "seg")
             .where((F.col("url") == F.col("lo")) | (F.col("url") == F.col("hi")))
-            .groupBy("seg", "url").agg(F.max(F.when(F.col("known"), F.struct("time", "id"))).alias("end")))
+            .groupBy("seg", "url").agg(F.max(F.when(F.col("known"), F.struct("time", "id", "digest", "pairs"))).alias("end")))
     earlier = Window.partitionBy("url").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.withColumn("far", F.last("end", ignorenulls=True).over(earlier)).where(F.col("far").isNotNull())
-    carried = carried.select(F.col("seg").alias("s"), F.col("url").alias("u"), "far")
-    pages = c.where(known).select(F.col("url").alias("pu"), F.col("time").alias("pt"), F.col("id").alias("pid"),
-                                  F.struct("id", "headers", "digest").alias("page")).dropDuplicates(["pu", "pt", "pid"])
-    far = carried.join(pages, (carried["u"] == pages["pu"]) & (carried["far.time"] == pages["pt"])
-                       & carried["far.id"].eqNullSafe(pages["pid"])).select("s", "u", F.col("page").alias("far_page"))
-    far = far.checkpoint()
+    far = stored(carried.select(F.col("seg").alias("s"), F.col("url").alias("u"),
+                                F.struct("far.id", "far.pairs", "far.digest").alias("far_page")), "captures-carried")
     asked = near.where(~F.col("full"))
-    out = asked.join(bounded(far), (asked["seg"] == far["s"]) & (asked["url"] == far["u"]), "left")
+    out = asked.join(far, (asked["seg"] == far["s"]) & (asked["url"] == far["u"]), "left")
     old = F.when(F.col("time").isNotNull(), F.coalesce("near", "far_page"))
-    out = out.withColumn("old", old)
+    out = out.withColumn("old", F.when(old.isNotNull(), F.struct(old["id"].alias("id"), F.map_from_entries(old["pairs"]).alias("headers"),
+                                                                 old["digest"].alias("digest"))))
     status = (F.when(F.col("old").isNull(), "no_response")
               .otherwise(_verdict(F.col("old.headers"), F.col("headers"), F.col("old.digest"), F.col("digest"))))
     out = out.withColumn("status", status)

@@ -432,15 +432,42 @@ def test_ids_are_the_tokenizers_ids(rows):
     from tokenizers import Tokenizer
     import public_tokenizers
     slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    slow.encode_special_tokens = True
-    enc = packing.Encoder(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern())
-    odd = ["", " ", "  a  b ", "a\n b", "it's 'tis", "　 x", "a b ", "tab\t\tx", "<|endoftext|>", "é\x85 b\x1c c", "don't 12 ,,"]
+    enc = packing.Encoder(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern(), queries.special_tokens())
+    odd = ["", " ", "  a  b ", "a\n b", "it's 'tis", "　 x", "a b ", "tab\t\tx", "<|endoftext|>", "é\x85 b\x1c c", "don't 12 ,,",
+           "a <|endoftext|>  b", "<|endoftext|><|endoftext|>", "x<|endoftext|", " <|endoftext|> \n"]
+    r = random.Random(8)
+    odd += ["".join(r.choices(["<|endoftext|>", " ", "a", "\n", "<|", "|>", "Ü", "endoftext", "\u2003"], k=r.randint(1, 12))) for _ in range(3000)]
     for t in odd + [x[1] for x in rows[:80] if x[1]]:
         assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == slow.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_long_runs_of_white_space():
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    enc = packing.Encoder(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern(), queries.special_tokens())
+    for space in (" ", "\n", "\t", "\u3000", " \n"):
+        for text in ("a{}b", "{}x", "a{}", "{}<|endoftext|>{}", "{},{}'s", "{}\x1c{}a"):
+            t = text.replace("{}", space * 1500)
+            assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == slow.encode(t, add_special_tokens=False).ids, repr((space, text))
+    for n, space in ((3_000_000, "\n"), (1_200_000, " ")):
+        t = "a" + space * n + "b"
+        assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == slow.encode(t, add_special_tokens=False).ids
+
+
+def test_many_weighted_queues_are_linear():
+    import time
+    r = random.Random(6)
+    totals, shares = [r.randint(0, 10**6) for _ in range(4096)], [r.randint(1, 9) for _ in range(4096)]
+    began = time.process_time()
+    robin = packing.RoundRobin(totals, shares, 1 << 17)
+    served, total = robin.at(robin.windows // 2)
+    assert time.process_time() - began < 5 and abs(total - robin.windows // 2 * (1 << 17)) <= 4096
+    assert all(a <= n for a, n in zip(served, totals))
+
+
 def check_pieces(pieces, rows, length):
-    enc = packing.Encoder(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern())
+    enc = packing.Encoder(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern(), queries.special_tokens())
     want = Counter((i, tuple(np.frombuffer(enc.encode(t or ""), enc.dtype).tolist() + [1])) for i, t, *_ in rows)
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for p in pieces:
@@ -463,7 +490,7 @@ def check_pieces(pieces, rows, length):
 
 
 def test_packing(docs, rows, nothing):
-    how = dict(ranks=queries.tokenizer_file("byte_bpe_50k.tiktoken"), pattern=queries.split_pattern(), length=128, window=4)
+    how = dict(ranks=queries.tokenizer_file("byte_bpe_50k.tiktoken"), pattern=queries.split_pattern(), special=queries.special_tokens(), length=128, window=4)
     pieces = packing.pack(docs, **how).collect()
     check_pieces(pieces, rows, 128)
     source = {(i): s for i, _, _, s, *_ in rows}
@@ -490,7 +517,7 @@ def test_sequences_are_padded_but_at_powers_of_two(spark):
 
 def test_many_sources_share_queues(docs, rows, monkeypatch):
     monkeypatch.setattr(packing, "MOST_QUEUES", 2)
-    how = dict(ranks=queries.tokenizer_file("byte_bpe_50k.tiktoken"), pattern=queries.split_pattern(), length=128, window=4)
+    how = dict(ranks=queries.tokenizer_file("byte_bpe_50k.tiktoken"), pattern=queries.split_pattern(), special=queries.special_tokens(), length=128, window=4)
     check_pieces(packing.pack(docs, **how).collect(), rows, 128)
 
 
@@ -504,7 +531,7 @@ def test_weighted_and_large_sources_keep_queues_of_their_own(spark, monkeypatch)
     assert of["5"] == "+5" and of["big"] == "+big" and weight["+5"] == 40
     shared = Counter(q for q in of.values() if q.startswith("#"))
     assert len(set(of.values())) <= 6 and sum(shared.values()) == 12 and {q: weight[q] for q in shared} == dict(shared)
-    how = dict(ranks=queries.tokenizer_file("byte_bpe_50k.tiktoken"), pattern=queries.split_pattern(), length=16, window=4)
+    how = dict(ranks=queries.tokenizer_file("byte_bpe_50k.tiktoken"), pattern=queries.split_pattern(), special=queries.special_tokens(), length=16, window=4)
     pieces = packing.pack(d, weights={"5": 40, "gone": 9}, **how).collect()
     check_pieces(pieces, many, 16)
     first = Counter()
@@ -545,6 +572,17 @@ def test_topk(spark, dim):
     assert topk.search(d.limit(0)).count() == 0
 
 
+def test_vectors_beyond_64_bits_are_refused(spark):
+    for v in ([1e30, 0.0], [0.0, -4e16], [float(2**31) / 256, 1.0]):
+        d = spark.createDataFrame([(0, v), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="64-bit"):
+            topk.search(d, groups=2).collect()
+    far = float(2**22)
+    d = spark.createDataFrame([(0, [far, far]), (1, [-far, far]), (2, [far, far - 1])], "vec_id long, embedding array<double>")
+    got = [(x["vec_id"], x["score"]) for x in topk.search(d, groups=2).collect()]
+    assert sorted(got) == [(1, 0), (2, 2**60 + 2**30 * (2**30 - 256))]
+
+
 def test_bounds_hold():
     r = np.random.default_rng(1)
     q, x = r.normal(size=(20, 32)), r.normal(size=(30, 32)) + 1
@@ -693,7 +731,8 @@ def revisits_slowly(rows):
         if not old:
             out[(i, "no_response", None, None)] += 1
             continue
-        o = max(old, key=lambda p: (p[2], -1 if p[0] is None else p[0]))
+        o = max(old, key=lambda p: (p[2], -1 if p[0] is None else p[0], p[5] is not None, p[5] or "",
+                                    sorted((k.lower(), v) for k, v in (p[4] or {}).items())))
         have = {k.lower(): v for k, v in (o[4] or {}).items()}
         if "etag" in have and "etag" in new:
             status = "resolved" if have["etag"].removeprefix("W/") == new["etag"].removeprefix("W/") else "validator_mismatch"
@@ -720,8 +759,10 @@ def test_revisits(spark, partitions):
                      r.randint(0, 60) if r.random() < 0.97 else None, r.choice(["response", "revisit", "revisit", "request"]),
                      h if r.random() < 0.9 else None, r.choice(["d1", "d2", None])))
     rows = [x for k, x in enumerate(rows) if x[0] is not None or k < 60] + [rows[1]]
-    keys = [(x[1], x[2], x[0]) for x in rows if x[3] == "response"]
-    rows = [x for x in rows if x[3] != "response" or keys.count((x[1], x[2], x[0])) == 1]
+    rows += [(None, "tie/a", 5, "response", {"ETag": "e", "Server": s}, d) for s, d in (("one", "d1"), ("two", "d1"), ("zwei", None))]
+    rows += [(7, "tie/b", 5, "response", {"Server": s}, None) for s in ("one", "two")] + [(7, "tie/b", 5, "revisit", {}, None)]
+    rows += [(1000 + k, u, 6, "revisit", {"etag": "e"} if u == "tie/a" else {}, None) for k, u in enumerate(["tie/a", "tie/b"] * 2)]
+    r.shuffle(rows)
     d = spark.createDataFrame([(*x, "clash") for x in rows], "record_id long, url string, time long, kind string, "
                               "headers map<string,string>, digest string, status string")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
