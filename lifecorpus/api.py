@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lifecorpus.operators import conversations, examples, report, segmented
-from lifecorpus.session import ensure_checkpoint_dir
 from lifecorpus.settings import Settings
 from lifecorpus.sources import store
 
@@ -18,10 +17,8 @@ def require_utc(spark: SparkSession) -> None:
 
 def ingest(spark: SparkSession, raw_root: str, processed: str, s: Settings, only: list[str] | None = None):
     require_utc(spark)
-    try:
+    with segmented.job():
         return store.ingest(spark, raw_root, processed, s, only)
-    finally:
-        segmented.release()
 
 
 def stats(spark: SparkSession, processed: str) -> dict[str, DataFrame]:
@@ -44,9 +41,7 @@ def build(spark: SparkSession, processed: str, s: Settings, val_fraction: float
           seed: int = 0) -> tuple[int, int, DataFrame]:
     """Write sft_train/ and sft_val/ JSON lines; returns counts and per-source counts."""
     require_utc(spark)
-    ex = build_examples(spark, processed, s, val_fraction)
-    ensure_checkpoint_dir(spark)   # the cluster's shared spark.checkpoint.dir
-    ex = ex.checkpoint()           # one computation feeds both sinks and the counts
-    segmented.release()            # the checkpoint holds the examples now
+    with segmented.job():
+        ex = build_examples(spark, processed, s, val_fraction)  # written examples, read by both sinks and the counts
     n_train, n_val = store.write_sft(ex, processed, seed)
     return n_train, n_val, examples.per_source_counts(ex)

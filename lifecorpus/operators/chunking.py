@@ -90,7 +90,7 @@ def _scan_groups(batches, max_turns: int, max_chars: int, n_states: int | None):
                 yield pd.DataFrame(out, columns=[sg.SEG, "source", "thread_id", "session_no", "t_state", "t_cuts"])
         else:
             yield pd.DataFrame({"source": src, "thread_id": tid, "session_no": sess, "turn_no": turn,
-                                "chunk_no": chunk})
+                                "is_me": me, "chunk_no": chunk})
     if n_states and cur is not None:
         yield pd.DataFrame([pending + (n.tolist(), cuts.tolist())],
                            columns=[sg.SEG, "source", "thread_id", "session_no", "t_state", "t_cuts"])
@@ -105,7 +105,7 @@ CARRY = T.StructType([*TRANSFER.fields[:4], T.StructField("c_state", T.LongType(
 
 CHUNKED = T.StructType([T.StructField("source", T.StringType()), T.StructField("thread_id", T.StringType()),
                         T.StructField("session_no", T.LongType()), T.StructField("turn_no", T.LongType()),
-                        T.StructField("chunk_no", T.LongType())])
+                        T.StructField("is_me", T.BooleanType()), T.StructField("chunk_no", T.LongType())])
 
 
 def _compose(batches):
@@ -122,8 +122,8 @@ def _compose(batches):
 
 
 def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
-    """(source, thread_id, session_no, turn_no, chunk_no) for every turn;
-    ``turns`` needs is_me and text (or len)."""
+    """(source, thread_id, session_no, turn_no, is_me, chunk_no) for every turn;
+    ``turns`` needs is_me and len (or text)."""
     M, X = s.max_turns, s.max_chars_per_example
     H = M + 1
     lens = F.col("len") if "len" in turns.columns else F.length("text").cast("long")

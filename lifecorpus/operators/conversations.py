@@ -1,6 +1,10 @@
 """Messages -> conversation examples: thread attributes (A1, P4, W9), sessions
 (W1, W2), turns (W3, W4), chunks (W5-W8) and their assembly (A16, T10-T14).
 
+Everything up to the assembly is decided on narrow rows: who spoke, when, and how
+long the text is. Texts are joined once, by the message's ``ord``, to the messages
+of turns that stay, and move twice: to that join and to their chunk.
+
 Thread-order scans run on range segments (see ``segmented``), so a single huge
 thread is spread over many tasks. Thread-wide attributes that the scans need
 (does the owner speak, is it a group chat, first-seen order) are decomposable
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lifecorpus.functions.times import parse_iso_micros
 from lifecorpus.operators import segmented as sg
+from lifecorpus.schema import ORD
 from lifecorpus.settings import Settings
 
 # ---------------------------------------------------------------------------
@@ -57,29 +62,27 @@ def system_prompt(name: str | Column, channel: Column, others: Column, when: Col
 
 
 def prepare_messages(msgs: DataFrame, s: Settings) -> DataFrame:
-    """P3 min length and T7 parsed time (epoch micros, null when not ISO)."""
+    """The narrow rows of messages that are long enough (P3): keys, order, speaker, the text's length,
+    and the parsed time (T7: epoch micros, null when not ISO). ``ord`` is a message's identity:
+    it must be there and be unique."""
+    known = F.coalesce("ord", F.raise_error(F.lit("messages need an order key (ord)")).cast(ORD))
     return (msgs.where(F.length("text") >= s.min_chars)
-            .withColumn("t", parse_iso_micros(F.col("timestamp"))))
+            .select(*KEYS, "timestamp", known.alias("ord"), "sender", "is_me", "thread_title",
+                    F.length("text").cast("long").alias("len"), parse_iso_micros(F.col("timestamp")).alias("t")))
 
 
-def thread_others(prepared: DataFrame, limit: int | None = PROMPT_OTHERS) -> DataFrame:
+def thread_others(rows: DataFrame, limit: int | None = PROMPT_OTHERS) -> DataFrame:
     """A1: per thread, the sorted distinct senders that are not the owner
     (the first ``limit`` of them; the prompt never shows more). Distinct pairs are
     pre-aggregated map-side; the rank limit is applied per partition before the
     shuffle (WindowGroupLimit), so a thread with many senders stays cheap."""
-    pairs = prepared.where(~F.col("is_me")).select(*KEYS, "sender").distinct()
+    pairs = rows.where(~F.col("is_me")).select(*KEYS, "sender").distinct()
     if limit is not None:
         w = Window.partitionBy(*KEYS).orderBy("sender")
         pairs = pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit)
     return pairs.groupBy(*KEYS).agg(F.array_sort(F.collect_list("sender")).alias("others"))
 
 
-def my_threads(prepared: DataFrame) -> DataFrame:
-    """Threads in which the owner wrote at least one (long enough) message."""
-    return prepared.groupBy(*KEYS).agg(F.max(F.col("is_me").cast("int")).alias("_m")) \
-        .where(F.col("_m") == 1).drop("_m")
-
-
 def scan_threads(prepared: DataFrame, segments: int | None = None) -> DataFrame:
     """W1-W4 numbering: order each thread by (timestamp string, ord), keep threads
     with the owner (P4), and number sessions (W2) and turns (W4) thread-wide.
@@ -164,64 +167,95 @@ def scan_threads(prepared: DataFrame, segments: int | None = None) -> DataFrame:
                     *carry.columns[len(KEYS) + 1:])
 
 
-def collapse_turns(scanned: DataFrame) -> DataFrame:
-    """One row per turn. Role = assistant when the owner speaks; in group
-    chats other people's text is prefixed 'sender: '; consecutive messages of one
-    side are joined by newlines in thread order."""
+def piece_length() -> Column:
+    """Length of a message in its turn: with 'sender: ' before other people's text in a group chat."""
+    return F.col("len") + F.when(F.col("grp") & ~F.col("is_me"), F.length("sender") + 2).otherwise(F.lit(0))
+
+
+def turn_rows(scanned: DataFrame) -> DataFrame:
+    """W3/W4 without texts: one row per turn with its speaker, the length of its text (messages
+    joined by newlines), and its first message."""
+    return scanned.groupBy(*KEYS, "turn_no").agg(
+        F.min("session_no").alias("session_no"), F.max("is_me").alias("is_me"),
+        (F.sum(piece_length()) + F.count(F.lit(1)) - 1).alias("len"),
+        F.min(F.struct(F.col(sg.SEG), F.col(sg.POS), F.col("timestamp"), F.col("thread_title"))).alias("first_msg"),
+        F.min("thread_first").alias("thread_first"))
+
+
+def with_texts(rows: DataFrame, msgs: DataFrame) -> DataFrame:
+    """Narrow message rows with their text, each as it stands in its turn (``piece``)."""
+    texts = msgs.select(F.col("ord").alias("_id"), "text")
     piece = F.when(F.col("grp") & ~F.col("is_me"),
                    F.concat(F.col("sender"), F.lit(": "), F.col("text"))).otherwise(F.col("text"))
-    pieces = F.array_sort(F.collect_list(F.struct(F.col(sg.SEG), F.col(sg.POS), piece.alias("p"))))
-    return scanned.groupBy(*KEYS, "turn_no").agg(
-        F.min("session_no").alias("session_no"),
-        F.max("is_me").alias("is_me"),
-        F.array_join(F.transform(pieces, lambda x: x["p"]), "\n").alias("text"),
-        F.min(F.struct(F.col(sg.SEG), F.col(sg.POS), F.col("timestamp"), F.col("thread_title"))
-              ).alias("first_msg"),
-        F.min("thread_first").alias("thread_first"),
-        F.array_sort(F.collect_set(F.when(~F.col("is_me"), F.col("sender")))).alias("senders"),
-    )
-
-
-def others_from_turns(turns: DataFrame, limit: int = PROMPT_OTHERS) -> DataFrame:
-    """A1 from collapsed turns (each carries its distinct non-owner senders):
-    the thread's first ``limit`` sorted distinct other speakers."""
-    pairs = turns.where(~F.col("is_me")).select(*KEYS, F.explode("senders").alias("sender")).distinct()
-    w = Window.partitionBy(*KEYS).orderBy("sender")
-    pairs = pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit)
-    return pairs.groupBy(*KEYS).agg(F.array_sort(F.collect_list("sender")).alias("others"))
+    return rows.join(texts, rows["ord"] == texts["_id"]).withColumn("piece", piece).drop("_id", "text")
+
+
+def joined(pieces: Column, sep: str = "\n") -> Column:
+    """The texts of an array of (order, piece) structs, in order."""
+    return F.array_join(F.transform(F.array_sort(pieces), lambda x: x["piece"]), sep)
+
+
+def turn_texts(pieces: DataFrame, by: list[str], keep: list[Column]) -> DataFrame:
+    """One row per turn with its text. Messages are joined per (turn, segment) first, then the
+    segments' parts, so no list is longer than a segment or than the number of segments, and the
+    work is linear in the text. Rows must lie by ``by``, all levels then share that exchange."""
+    turn = [*by, "turn_no"] if "turn_no" not in by else by
+    parts = pieces.groupBy(*turn, sg.SEG).agg(
+        joined(F.collect_list(F.struct(F.col(sg.POS), "piece"))).alias("piece"), *keep)
+    return parts.groupBy(*turn).agg(joined(F.collect_list(F.struct(F.col(sg.SEG), "piece"))).alias("text"), *keep)
+
+
+def first(name: str) -> Column:
+    return F.first(name, ignorenulls=True).alias(name)
+
+
+def collapse_turns(scanned: DataFrame, msgs: DataFrame) -> DataFrame:
+    """One row per turn with its text. Role = assistant when the owner speaks; in group
+    chats other people's text is prefixed 'sender: '; consecutive messages of one
+    side are joined by newlines in thread order."""
+    rows = scanned.select(*KEYS, "turn_no", "session_no", sg.SEG, sg.POS, "ord", "is_me", "grp", "sender")
+    by = [*KEYS, "turn_no"]
+    return turn_texts(with_texts(rows, msgs).repartition(*by), by, [first("session_no"), first("is_me")])
 
 
 def assign_chunks(turns: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
-    """Chunk number (0-based within the session) for every turn; the
+    """Chunk number (0-based within the session) for every turn row; the
     chunking automaton runs on range segments (see ``chunking``), so a huge
     session is spread over many tasks."""
     from lifecorpus.operators.chunking import assign_chunk_numbers
     nums = assign_chunk_numbers(turns, s, segments)
-    return turns.join(nums.drop("session_no"), [*KEYS, "turn_no"])
+    return turns.join(nums.drop("session_no", "is_me"), [*KEYS, "turn_no"])
+
+
+CHUNK = [*KEYS, "session_no", "chunk_no"]
 
 
-def chunk_info(turns: DataFrame, others: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
-    """Compact per-turn map: chunk number plus what every chunk of the session
-    shares (W8: the session's first message; the thread's first-seen order and
-    other speakers). All joins here are on small rows, not on texts."""
+def kept_turns(turns: DataFrame, others: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
+    """W5, W6, P5 on lengths alone: the turns that examples show, with their chunk. Chunks without
+    the owner go, and so does a user turn at the end of one. The first turn of a chunk carries
+    what all chunks of a session share in ``head`` (W8: the session's first message; the
+    thread's first-seen order and other speakers)."""
     from lifecorpus.operators.chunking import assign_chunk_numbers
     nums = assign_chunk_numbers(turns, s, segments)
+    w = Window.partitionBy(*CHUNK)  # at most max_turns + 1 rows
+    chunks = (nums.withColumn("_mine", F.max(F.col("is_me").cast("int")).over(w))
+              .withColumn("_first", F.min("turn_no").over(w)).withColumn("_last", F.max("turn_no").over(w))
+              .where((F.col("_mine") == 1) & (F.col("is_me") | (F.col("turn_no") < F.col("_last")))))
     sess = turns.groupBy(*KEYS, "session_no").agg(
         F.min("first_msg").alias("first_msg"), F.min("thread_first").alias("thread_first"))
-    return nums.join(sess, [*KEYS, "session_no"]).join(others, KEYS, "left")
+    heads = (chunks.where(F.col("turn_no") == F.col("_first")).select(*CHUNK, "turn_no")
+             .join(sess, [*KEYS, "session_no"]).join(others, KEYS, "left")
+             .select(*KEYS, "turn_no", F.struct("first_msg", "thread_first", "others").alias("head")))
+    return chunks.select(*CHUNK, "turn_no").join(heads, [*KEYS, "turn_no"], "left")
 
 
-def assemble_examples(chunked: DataFrame, s: Settings) -> DataFrame:
-    """One example per chunk that contains an owner turn, with
-    trailing user turns trimmed and a placeholder user turn when the owner starts.
-    ``chunked``: turns with chunk_no, first_msg, thread_first and others."""
+def assemble_examples(pieces: DataFrame, s: Settings) -> DataFrame:
+    """One example per chunk, with a placeholder user turn when the owner
+    starts. ``pieces``: the messages of kept turns, with their text and the chunk's head."""
+    dealt = pieces.repartition(*CHUNK)  # one exchange: (turn, segment) parts, turns and chunks lie together
+    turns = turn_texts(dealt, CHUNK, [first("is_me"), first("head")])
     ts = F.array_sort(F.collect_list(F.struct("turn_no", "is_me", "text")))
-    ch = chunked.groupBy(*KEYS, "session_no", "chunk_no").agg(
-        ts.alias("ts"), F.first("first_msg").alias("first_msg"), F.first("thread_first").alias("thread_first"),
-        F.first("others").alias("others"))
-    ch = ch.where(F.exists("ts", lambda t: t["is_me"]))
-    ch = ch.withColumn("ts", F.when(~F.element_at("ts", -1)["is_me"],
-                                    F.slice("ts", 1, F.size("ts") - 1)).otherwise(F.col("ts")))
+    ch = turns.groupBy(*CHUNK).agg(ts.alias("ts"), first("head")).select(*CHUNK, "ts", "head.*")
     title = F.col("first_msg")["thread_title"]
     topic = F.when((F.col("source") == "gmail") & (F.coalesce(title, F.lit("")) != ""),
                    F.concat(F.lit(' Subject: "'), title, F.lit('"'))).otherwise(F.lit(""))
@@ -246,15 +280,11 @@ def assemble_examples(chunked: DataFrame, s: Settings) -> DataFrame:
 def conversation_examples(msgs: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
     """Messages -> chat examples (source, example_key, messages, priority).
 
-    Text moves through three shuffles: the thread segments, the turn
-    aggregation and the chunk aggregation (the turn texts are kept, and the chunk
-    map is joined to them on their own partitioning)."""
-    prepared = prepare_messages(msgs, s)
-    scanned = scan_threads(prepared, segments)
-    # turns feed both the chunk numbering and the chunk assembly: keep them
-    # rather than repeat the thread scan and the text shuffle
-    turns = sg.keep(collapse_turns(scanned))
-    # other speakers from the kept turns: no second read of the source or the scan
-    info = chunk_info(turns, others_from_turns(turns), s, segments)
-    chunked = turns.select(*KEYS, "turn_no", "is_me", "text").join(info, [*KEYS, "turn_no"])
-    return assemble_examples(chunked, s)
+    Sessions, turns, chunks and what each example shows are settled on narrow rows,
+    which are kept for the branches that read them. Texts move to the join by ``ord``
+    and to their chunk, those of kept turns only."""
+    scanned = sg.keep(scan_threads(prepare_messages(msgs, s), segments))
+    turns = sg.keep(turn_rows(scanned))
+    kept = kept_turns(turns, thread_others(scanned), s, segments)
+    rows = scanned.select(*KEYS, "turn_no", sg.SEG, sg.POS, "ord", "is_me", "grp", "sender").join(kept, [*KEYS, "turn_no"])
+    return assemble_examples(with_texts(rows, msgs), s)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lifecorpus.functions.hashing import example_digest, md5_mod_1000
 from lifecorpus.operators.conversations import system_prompt
+from lifecorpus.session import written
 from lifecorpus.settings import Settings
 
 # ---------------------------------------------------------------------------
@@ -58,13 +59,18 @@ def writing_examples(docs: DataFrame, s: Settings) -> DataFrame:
 
 
 def dedup_examples(examples: DataFrame) -> DataFrame:
-    """A2: keep the first example (by priority) of every digest. A min_by
-    aggregate is combined map-side, so a digest with a huge number of copies
-    never gathers them in one task."""
-    d = examples.withColumn("digest", example_digest(F.col("messages")))
-    kept = d.groupBy("digest").agg(
-        F.min_by(F.struct("source", "example_key", "messages", "priority"), F.col("priority")).alias("e"))
-    return kept.select("e.source", "e.example_key", "e.messages", "e.priority", "digest")
+    """A2: keep the first example (by priority) of every digest.
+
+    Examples are written once, with their digest. The first ones are elected on
+    (digest, priority) alone, a minimum that is combined map-side, and only the others'
+    pairs are matched with the examples, to leave those out: where few examples repeat,
+    Spark broadcasts the pairs and no text moves; otherwise rows are dealt by digest and
+    priority together, so copies of one example lie apart. Priorities are unique."""
+    d = written(examples.withColumn("digest", example_digest(F.col("messages"))), "examples")
+    pairs = d.select("digest", "priority")
+    repeated = pairs.groupBy("digest").agg(F.min("priority").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = pairs.join(repeated, "digest").where(F.col("priority") != F.col("first")).select("digest", "priority")
+    return d.join(later, ["digest", "priority"], "left_anti").select("source", "example_key", "messages", "priority", "digest")
 
 
 def assign_split(examples: DataFrame, val_fraction: float = VAL_FRACTION) -> DataFrame:

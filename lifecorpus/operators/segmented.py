@@ -11,6 +11,9 @@ number of segments.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -19,7 +22,21 @@ from pyspark.storagelevel import StorageLevel
 
 SEG = "_seg"
 POS = "_pos"
-_PERSISTED: list[DataFrame] = []
+#: The tables kept by the job that is running (see ``job``), or by calls outside of any.
+_KEPT: ContextVar[list[DataFrame]] = ContextVar("kept", default=[])
+
+
+@contextmanager
+def job() -> Iterator[list[DataFrame]]:
+    """Tables kept inside are released at its end, and no others: jobs of one process, also on
+    other threads, do not drop each other's."""
+    own: list[DataFrame] = []
+    token = _KEPT.set(own)
+    try:
+        yield own
+    finally:
+        release()
+        _KEPT.reset(token)
 
 
 def add_segments(df: DataFrame, keys: list[str], order: list[str], n: int | None = None) -> DataFrame:
@@ -37,24 +54,22 @@ def add_segments(df: DataFrame, keys: list[str], order: list[str], n: int | None
     ranged = df.repartitionByRange(n, *keys, *order) if n else df.repartitionByRange(*keys, *order)
     out = ranged.withColumn(SEG, F.spark_partition_id())
     w = Window.partitionBy(SEG, *keys).orderBy(*order)
-    out = out.withColumn(POS, F.row_number().over(w)).persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
-    return out
+    return keep(out.withColumn(POS, F.row_number().over(w)))
 
 
 def keep(df: DataFrame) -> DataFrame:
     """Persist an intermediate that several branches consume (released with
     the segment tables by ``release``)."""
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
+    _KEPT.get().append(out)
     return out
 
 
-def release(spark=None) -> int:
-    """Unpersist the segment tables built so far (call after the job's action)."""
-    n = 0
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+def release() -> int:
+    """Unpersist the tables that the running job kept so far (call after its action)."""
+    kept, n = _KEPT.get(), 0
+    while kept:
+        kept.pop().unpersist()
         n += 1
     return n
 

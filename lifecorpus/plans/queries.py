@@ -81,13 +81,9 @@ def q_session_unknown_ts(spark, d):
     return _session_summary(x)
 
 
-def _turns(spark, d, s=OWNER):
-    prepared = cv.prepare_messages(_msgs(spark, d), s)
-    return cv.collapse_turns(cv.scan_threads(prepared))
-
-
 def q_collapse_turns(spark, d):
-    t = _turns(spark, d)
+    msgs = _msgs(spark, d)
+    t = cv.collapse_turns(cv.scan_threads(cv.prepare_messages(msgs, OWNER)), msgs)
     return t.select("source", "thread_id", "session_no", "turn_no",
                     F.when(F.col("is_me"), F.lit("assistant")).otherwise(F.lit("user")).alias("role"),
                     "text")
@@ -95,8 +91,9 @@ def q_collapse_turns(spark, d):
 
 def q_chunk_turns(spark, d):
     s = SMALL_CHUNKS
-    ch = cv.assign_chunks(sg.keep(_turns(spark, d, s)), s)
-    ts = F.array_sort(F.collect_list(F.struct("turn_no", "is_me", F.length("text").alias("len"))))
+    turns = cv.turn_rows(cv.scan_threads(cv.prepare_messages(_msgs(spark, d), s)))
+    ch = cv.assign_chunks(sg.keep(turns), s)
+    ts = F.array_sort(F.collect_list(F.struct("turn_no", "is_me", "len")))
     g = ch.groupBy("source", "thread_id", "session_no", "chunk_no").agg(ts.alias("ts"))
     last_me = F.element_at("ts", -1)["is_me"]
     return g.select(
@@ -117,10 +114,9 @@ def q_thread_others(spark, d):
 
 
 def q_my_threads(spark, d):
-    prepared = cv.prepare_messages(_msgs(spark, d), OWNER)
-    mine = cv.my_threads(prepared)
-    return prepared.join(mine, cv.KEYS, "left_semi").groupBy(*cv.KEYS) \
-        .agg(F.count(F.lit(1)).alias("n_messages"))
+    """P4 as the thread scan decides it: the messages of threads in which the owner wrote."""
+    scanned = cv.scan_threads(cv.prepare_messages(_msgs(spark, d), OWNER))
+    return scanned.groupBy(*cv.KEYS).agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 def q_system_prompt(spark, d):

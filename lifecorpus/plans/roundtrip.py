@@ -3,14 +3,12 @@ export shape (lines or whole files), then parsed back by the source job. The
 oracle computes the expected records straight from the table."""
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifecorpus.plans.adapters import OWNER, BASE_EPOCH, sender_of
 from lifecorpus.plans.tables import table
-from lifecorpus.session import ensure_checkpoint_dir
+from lifecorpus.session import scratch
 from lifecorpus.sources import whatsapp
 
 
@@ -27,11 +25,6 @@ def chat_turns(spark: SparkSession, d: str) -> DataFrame:
                     F.timestamp_seconds(secs).alias("ts"), "text")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder, for tables that a query writes and reads back."""
-    return f"{ensure_checkpoint_dir(spark)}/lifecorpus-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 def one_row(spark: SparkSession) -> DataFrame:
     """A literal frame for decoy files, apart from the tables."""
     return spark.range(1)

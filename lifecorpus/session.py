@@ -4,8 +4,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Configuration the jobs assume. UTC is required: ISO strings are produced in UTC
 # and epoch arithmetic must not shift with the driver's zone.
@@ -57,6 +58,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """The path of a new table in the shared checkpoint folder, which is the cluster's to clean."""
+    return f"{ensure_checkpoint_dir(spark)}/lifecorpus-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared checkpoint folder: written once, read by every later branch
+    with the columns that it needs. A lost executor repeats a scan of it, not the work above."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
