@@ -19,15 +19,19 @@ def daily_rollup(feed: DataFrame, rank: int = 3, max_items: int | None = None) -
 
 
 def rollup(first: DataFrame, rank: int = 3, max_items: int | None = None) -> DataFrame:
-    """Daily documents of distinct items; nothing is cut by default. With ``max_items`` a rank
-    limit, applied per partition before the shuffle, keeps that many items per day and kind."""
+    """Daily documents of distinct items, whose lists are joined in two levels: per range segment
+    of (day, kind, seq), then the segments' parts. Nothing is cut by default. With ``max_items`` a rank limit, applied per partition before the shuffle, keeps that many items per day and kind."""
     w = Window.partitionBy("day", "kind").orderBy("seq", "item")
     capped = first if max_items is None else (
         first.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_items))
-    kinds = capped.groupBy("day", "kind").agg(
+    # a day's items are joined per range segment first, so a day with a third of all items is many tasks
+    ranged = capped.repartitionByRange("day", "kind", "seq", "item").withColumn("_seg", F.spark_partition_id())
+    parts = ranged.groupBy("day", "kind", "_seg").agg(
+        F.min("seq").alias("seq"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "item"))), lambda x: x["item"]), "; ").alias("items"))
+    kinds = parts.groupBy("day", "kind").agg(
         F.min("seq").alias("kseq"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "item"))),
-                                 lambda x: x["item"]), "; ").alias("items"))
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_seg", "items"))), lambda x: x["items"]), "; ").alias("items"))
     days = kinds.groupBy("day").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("kseq", F.concat(F.col("kind"), F.lit(": "), F.col("items"))
                                              .alias("line")))),

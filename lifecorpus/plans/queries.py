@@ -54,7 +54,7 @@ def q_sft_build(spark, d):
 
 def _events(spark, d, unknown_kind: str | None = None):
     e = table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
-    ts = iso(F.col("ts"))
+    ts = iso(F.col("ts").cast("timestamp"))
     if unknown_kind:
         ts = F.when(F.col("event_type") == unknown_kind, F.lit("")).otherwise(ts)
     return e.select("user_id", "event_id", ts.alias("timestamp")) \
@@ -222,7 +222,7 @@ def q_fix_mojibake(spark, d):
 
 def q_lifelog_daily(spark, d):
     e = table(spark, d, "events")
-    feed = e.select(F.substring(iso(F.col("ts")), 1, 10).alias("day"), F.col("event_type").alias("kind"),
+    feed = e.select(F.substring(iso(F.col("ts").cast("timestamp")), 1, 10).alias("day"), F.col("event_type").alias("kind"),
                     F.col("props").alias("item"), F.col("event_id").alias("seq"))
     return daily_rollup(feed).select("doc_id", "timestamp", "title", "text")
 

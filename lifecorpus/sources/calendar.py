@@ -64,8 +64,9 @@ def dtstart(ev: Column, zones: list[str]) -> Column:
     named = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
     tzid = F.coalesce(F.try_element_at(named, tzid), tzid)
     zone = F.when(tzid.isin(zones), tzid).otherwise("UTC")
-    date_only = F.try_to_timestamp(v, F.lit("yyyyMMdd"))
-    local = F.try_to_timestamp(F.regexp_replace(v, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss"))
+    # read as UTC, whatever the session's zone is
+    date_only = F.try_to_timestamp(F.concat(v, F.lit("T000000Z")), F.lit("yyyyMMdd'T'HHmmssX"))
+    local = F.try_to_timestamp(F.concat(F.regexp_replace(v, "Z$", ""), F.lit("Z")), F.lit("yyyyMMdd'T'HHmmssX"))
     return (F.when(v.rlike(r"^\d{8}$"), date_only)
             .when(v.endswith("Z"), local)
             .otherwise(F.to_utc_timestamp(local, zone)))

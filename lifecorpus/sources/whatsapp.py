@@ -87,7 +87,7 @@ def parse_chat_datetime(d: Column, t: Column) -> Column:
     candidates = []
     for fmt in DATE_FORMATS:
         m, y, mo, dd = _date_parts(fmt, d)
-        candidates.append(F.when(m & ok_time, F.try_make_timestamp(y, mo, dd, hour, mi, sec)))
+        candidates.append(F.when(m & ok_time, F.try_make_timestamp(y, mo, dd, hour, mi, sec, F.lit("UTC"))))
     return reduce(lambda a, b: F.coalesce(a, b), candidates)
 
 

@@ -138,13 +138,3 @@ def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
         conf = type("C", (), {"get": staticmethod(lambda *a: None)})
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session)
-
-
-def test_sessions_of_another_zone_are_refused(spark, tmp_path):
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        with pytest.raises(ValueError, match="timeZone"):
-            api.ingest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), OWNER)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
