@@ -24,20 +24,6 @@ def render(messages: Column) -> Column:
     return F.array_join(F.transform(messages, _piece), "")
 
 
-def loss_spans(messages: Column) -> Column:
-    """(start, end) character offsets, 0-based and end-exclusive, of every
-    assistant content inside ``render(messages)``: a running sum of piece lengths."""
-    lens = F.transform(messages, lambda m: F.length(_piece(m)))
-    offs = F.transform(lens, lambda _, i: F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda a, b: a + b))
-    spans = F.transform(messages, lambda m, i: F.struct(
-        m["role"].alias("role"),
-        (offs[i] + F.length(F.concat(F.lit(IM_START), m["role"], F.lit("\n")))).alias("start"),
-        (offs[i] + F.length(F.concat(F.lit(IM_START), m["role"], F.lit("\n"))) + F.length(m["content"])
-         ).alias("end")))
-    return F.transform(F.filter(spans, lambda s: s["role"] == "assistant"),
-                       lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-
-
 def loss_span_rows(turns: DataFrame, keys: list[str], order: list[str], segments: int | None = None) -> DataFrame:
     """A18 over rows (role, content) that make one text per group: (keys..., span_no, start, end) of
     every assistant row. Lengths and spans are summed per segment plus the carried prefix."""
@@ -58,6 +44,14 @@ def loss_span_rows(turns: DataFrame, keys: list[str], order: list[str], segments
                     start.cast("long").alias("start"), (start + F.col("_n")).cast("long").alias("end"))
 
 
-def render_examples(examples: DataFrame) -> DataFrame:
-    return examples.withColumn("text", render(F.col("messages"))) \
-        .withColumn("loss_spans", loss_spans(F.col("messages")))
+def render_rows(turns: DataFrame, keys: list[str], order: list[str], segments: int | None = None) -> DataFrame:
+    """A17 over rows (role, content): (keys..., text, n_turns). Turns are rendered and joined per
+    range segment, then the segments' parts, so no list is longer than a segment or than the
+    number of segments."""
+    x = sg.add_segments(turns.select(*keys, *[c for c in order if c not in keys], "role", "content"), keys, order, segments)
+    piece = _piece({"role": F.col("role"), "content": F.col("content")})
+    parts = x.groupBy(*keys, sg.SEG).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(sg.POS), piece.alias("p")))), lambda e: e["p"]), "").alias("p"),
+        F.count(F.lit(1)).alias("n"))
+    whole = F.array_sort(F.collect_list(F.struct(F.col(sg.SEG), "p")))
+    return parts.groupBy(*keys).agg(F.array_join(F.transform(whole, lambda e: e["p"]), "").alias("text"), F.sum("n").alias("n_turns"))

@@ -240,17 +240,10 @@ def q_unknown_senders(spark, d):
         "sender", "n_messages", F.col("rank").cast("long").alias("rank"))
 
 
-def _conversation_chats(spark, d):
-    c = table(spark, d, "conversations")
-    msgs = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
-                       lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")))
-    return c.groupBy("conv_id").agg(msgs.alias("messages"))
-
-
 def q_render_chat(spark, d):
-    x = _conversation_chats(spark, d)
-    r = chatml.render(F.col("messages"))
-    return x.select("conv_id", r.alias("text"), F.length(r).cast("long").alias("n_chars"))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", F.col("text").alias("content"))
+    x = chatml.render_rows(turns, ["conv_id"], ["turn", "role", "content"])
+    return x.select("conv_id", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def q_loss_spans(spark, d):

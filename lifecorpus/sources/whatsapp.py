@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lifecorpus.functions.identity import is_me
 from lifecorpus.functions.text import clean_chat
 from lifecorpus.functions.times import iso
-from lifecorpus.operators.segmented import running_sum
+from lifecorpus.operators.segmented import POS, SEG, running_sum
 from lifecorpus.schema import SOURCE_RANK, conform_messages, make_ord
 from lifecorpus.settings import Settings
 from lifecorpus.sources.common import file_lines, relative, stem
@@ -41,6 +41,16 @@ HEADER_RE = "(?U)" + HEADER
 # Line breaks that str.splitlines() honours beyond the \n, \r, \r\n the text reader splits on.
 EXTRA_BREAKS = r"[\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
 
+#: Header fields of a line, told apart from other lines by marks that no chat line begins with.
+MARK = "\x01\x02"
+
+
+def header_fields(line: Column) -> Column:
+    """array(date, time, sender, text) of a header line, null for other lines: one match a line."""
+    parts = F.split(F.regexp_replace(line, HEADER_RE, f"{MARK}$1{MARK}$2{MARK}$3{MARK}$4"), MARK, 5)
+    return F.when(~line.startswith(MARK) & (F.size(parts) == 5) & (parts[0] == ""), F.slice(parts, 2, 4))
+
+
 _DAY = r"(3[01]|[12]\d|0[1-9]|[1-9])"
 _MONTH = r"(1[0-2]|0[1-9]|[1-9])"
 
@@ -100,27 +110,29 @@ def parse_whatsapp(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
     # str.splitlines() also breaks on a few separators the line reader keeps.
     lines = raw.select("path", "block", "pos",
                        F.posexplode(F.split("value", EXTRA_BREAKS, -1)).alias("sub", "line"))
-    lines = lines.withColumn("_hdr", F.col("line").rlike(HEADER_RE).cast("int"))
+    lines = lines.withColumn("h", header_fields(F.col("line"))).withColumn("_hdr", F.col("h").isNotNull().cast("int"))
+    lines = lines.withColumn("line", F.coalesce(F.col("h")[3], "line"))
     numbered = running_sum(lines, ["path"], ["block", "pos", "sub"], "_hdr", "msg_no")
-    body = numbered.where(F.col("msg_no") > 0).withColumn(
-        "piece", F.when(F.col("_hdr") == 1, F.regexp_extract("line", HEADER_RE, 4)).otherwise(F.col("line")))
+    body = numbered.where(F.col("msg_no") > 0)
     hdr = F.col("_hdr") == 1
-    msgs = body.groupBy("path", "msg_no").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "pos", "sub", "piece"))),
-                                 lambda x: x["piece"]), "\n").alias("text"),
-        F.max(F.when(hdr, F.regexp_extract("line", HEADER_RE, 1))).alias("d"),
-        F.max(F.when(hdr, F.regexp_extract("line", HEADER_RE, 2))).alias("t"),
-        F.max(F.when(hdr, F.regexp_extract("line", HEADER_RE, 3))).alias("sender_raw"),
-        F.min(F.struct("block", "pos", "sub")).alias("first"))
+    # lines are joined per (message, segment), then the segments' parts: no list outgrows a segment
+    pieces = F.array_sort(F.collect_list(F.struct(F.col(POS), "line")))
+    parts = body.groupBy("path", "msg_no", SEG).agg(
+        F.array_join(F.transform(pieces, lambda x: x["line"]), "\n").alias("piece"),
+        F.max(F.when(hdr, F.col("h"))).alias("h"), F.min(F.struct("block", "pos", "sub")).alias("first"))
+    whole = F.array_sort(F.collect_list(F.struct(F.col(SEG), "piece")))
+    msgs = parts.groupBy("path", "msg_no").agg(
+        F.array_join(F.transform(whole, lambda x: x["piece"]), "\n").alias("text"),
+        F.max("h").alias("h"), F.min("first").alias("first"))
+    msgs = msgs.select("path", "text", "first", F.col("h")[0].alias("d"), F.col("h")[1].alias("t"), F.col("h")[2].alias("sender_raw"))
     msgs = msgs.withColumn("sender", F.trim(F.col("sender_raw"), F.lit(SENDER_STRIP)))
     # A10: participants = sorted distinct senders of the file, before system
     # lines go; taken from the header lines (distinct, combined map-side) so
     # the per-message texts are aggregated only once.
-    senders = numbered.where(hdr).select(
-        "path", F.trim(F.regexp_extract("line", HEADER_RE, 3), F.lit(SENDER_STRIP)).alias("sender")).distinct()
-    parts = senders.groupBy("path").agg(F.array_sort(F.collect_list("sender")).alias("participants"))
+    senders = numbered.where(hdr).select("path", F.trim(F.col("h")[2], F.lit(SENDER_STRIP)).alias("sender")).distinct()
+    people = senders.groupBy("path").agg(F.array_sort(F.collect_list("sender")).alias("participants"))
     system = reduce(lambda a, b: a | b, [F.col("text").contains(x) for x in SYSTEM])
-    msgs = msgs.where(~system).join(parts, "path")
+    msgs = msgs.where(~system).join(people, "path")
     thread = stem(F.col("path"))
     for p in TITLE_PREFIXES:
         thread = F.when(thread.startswith(p), F.substr(thread, F.lit(len(p) + 1))).otherwise(thread)

@@ -31,11 +31,20 @@ def test_strip_quotes(spark):
 
 
 SAMPLES = [
-    "pay 4111 1111 1111 1111 now", "to PL61109010140000071219812874 ok", "id 85010112345 x",
-    "hasło: abc123 and Password=xyz", "HASŁO = tajne!", "your code is 123456.", "kod: 9876 ok",
-    "key sk-abcdefghijklmnop1234 end", "xoxb_ABCDEFGHIJKLMNOPQRST", "PL61 1090 1014 0000 0712 1981 2874",
-    "12345678901 4111-1111-1111-1111", "pin 1234", "numer 123456789012345678901234 długi",
-    "zażółć 12345678901 gęślą", "code\u00a0is 12345", "token = 'deadbeefdeadbeef'",
+    # cards: groups of any size, glued and too short ones
+    "charged to 5500-0000-0000-0004 on Friday", "old card 30 0000000000 04, new one 6011000990139424.", "12 34 56 78 90 12 is too short",
+    "ref 98765432109876543210987 goes on",
+    # accounts, spaced and plain
+    "transfer to DE89370400440532013000 today", "GB29 NWBK 6016 1331 9268 19 is mine", "xPL27114020040000300201355387",
+    # eleven digits, alone and inside longer numbers
+    "her number: 90090515836", "90090515836x 900905158361", "żółw 44051401359 ćma",
+    # secrets in either language, any case, with what follows up to a blank
+    "Pass: korekt-koń-42 and more", "PIN=0000;PWD:x y", "haslo  :  zimowy\tsen", "password is not given here", "my passport: none",
+    # one-time codes
+    "Kod to 55512 i już", "CODE: 12345678", "code 123", "decode 4444", "kod\u2003is 90210",
+    # keys
+    "use ghp_abcdefABCDEF0123456789xyz please", "pk-live_0000-1111-2222-3333", "sk-tooshort", "xoxp-1234567890-abcdefghij", "ask-abcdefghijklmnopqrstuvwxyz",
+    "", "nothing to hide here",
 ]
 
 
