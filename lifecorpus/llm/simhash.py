@@ -31,7 +31,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lifecorpus.llm.common import bounded, col, prepare, stored, word_blocks
@@ -108,33 +108,60 @@ def _other_half_variants() -> Column:
     return F.concat(_wildcards(rest.bitwiseAND(half), 16, 1), _wildcards(F.shiftright(rest, 16).bitwiseAND(half), 16, 2))
 
 
-def links(fps: DataFrame, most: int) -> DataFrame:
-    """(a, b) pairs of distinct fingerprints within ``most`` bits that join up every
-    component: not all pairs within one."""
+def _close(most: int) -> Column:
+    return hamming(F.col("a"), F.col("b")) <= most
+
+
+def stars(fps: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b) of distinct fingerprints that share a variant: the pair, or each with the
+    smallest; (key, fp) of the variants with more than two)."""
     if not 0 <= most <= 3:
         raise ValueError("two segments with one wildcard find distances up to 3")
-    index = variants(fps)
-    shared = (index.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.count("*").alias("n"))
-              .where("n > 1")).checkpoint()
-    pairs = shared.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    members = index.join(shared.where("n > 2").select("key", "lo"), "key").checkpoint()
-    star = members.where("fp != lo").select(F.col("lo").alias("a"), F.col("fp").alias("b"))
-    close = hamming(F.col("a"), F.col("b")) <= most
-    first = pairs.unionByName(star).where(close).distinct().checkpoint()
-    roots = components(first)
-    joined = (members.select("key", "fp").join(roots, members["fp"] == roots["node"], "left")
+    # one exchange of the index, at every size: each variant's smallest fingerprint and their number beside every row
+    w = Window.partitionBy("key")
+    shared = stored(variants(fps).withColumn("lo", F.min("fp").over(w)).withColumn("n", F.count("*").over(w)).where("n > 1"),
+                    "simhash-keys")
+    star = shared.where("fp != lo").select(F.col("lo").alias("a"), F.col("fp").alias("b"))
+    return star.where(_close(most)), shared.where("n > 2").select("key", "fp")
+
+
+def between(members: DataFrame, roots: DataFrame, most: int) -> DataFrame:
+    """(a, b, ra, rb): links of fingerprints that share a variant and have different roots."""
+    joined = (members.join(roots, members["fp"] == roots["node"], "left")
               .select("key", "fp", F.coalesce("root", "fp").alias("root")))
     split = (joined.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
              .where("r0 != r1").select("key", "n"))
-    open_ = joined.join(split, "key").checkpoint()
+    open_ = stored(joined.join(split, "key"), "simhash-open")
     whole = open_.where(F.col("n") <= CUT_AGAIN).select("key", F.lit(0).cast("long").alias("sub"), "fp", "root")
     cut = open_.where(F.col("n") > CUT_AGAIN).select("key", F.explode(_other_half_variants()).alias("sub"), "fp", "root")
     fine = whole.unionByName(cut)
     left = fine.select("key", "sub", F.col("fp").alias("a"), F.col("root").alias("ra"))
     right = fine.select(F.col("key").alias("k"), F.col("sub").alias("s"), F.col("fp").alias("b"), F.col("root").alias("rb"))
-    near = (F.col("key") == F.col("k")) & (F.col("sub") == F.col("s")) & (F.col("ra") < F.col("rb")) & close
-    late = left.join(right, near).select("a", "b").distinct()
-    return first.unionByName(late)
+    near = (F.col("key") == F.col("k")) & (F.col("sub") == F.col("s")) & (F.col("ra") < F.col("rb")) & _close(most)
+    return left.join(right, near).select("a", "b", "ra", "rb")
+
+
+def links(fps: DataFrame, most: int) -> DataFrame:
+    """(a, b) pairs of distinct fingerprints within ``most`` bits that join up every
+    component: not all pairs within one."""
+    first, members = stars(fps, most)
+    first = stored(first.distinct(), "simhash-links")
+    return first.unionByName(between(members, components(first), most).select("a", "b").distinct())
+
+
+def roots_of(fps: DataFrame, most: int) -> DataFrame:
+    """(node, root) of every fingerprint that is within ``most`` bits of another one: root is the
+    smallest fingerprint of its component. Components of the first links are formed, then, of the
+    links between those, components with a node for each of them."""
+    first, members = stars(fps, most)
+    roots = components(first)
+    late = stored(between(members, roots, most).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "simhash-late")
+    if late.isEmpty():
+        return roots
+    above = components(late).select(F.col("node").alias("below"), F.col("root").alias("top"))
+    ends = late.select(F.explode(F.array("a", "b")).alias("node"))  # a fingerprint without first links is its own component
+    nodes = roots.unionByName(ends.select("node", F.col("node").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+    return nodes.join(above, nodes["root"] == above["below"], "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -144,9 +171,9 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     rows = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     spread = nodes.select("fp").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    roots = components(links(spread.checkpoint(), most)).checkpoint()
-    known = (nodes.join(roots, nodes["fp"] == roots["node"], "left")
-             .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))).checkpoint()
+    roots = roots_of(spread.checkpoint(), most)
+    known = stored(nodes.join(roots, nodes["fp"] == roots["node"], "left")
+                   .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     smallest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
     table = known.join(smallest, "root").select("fp", "component_id", "root")
     return rows.join(table, "fp").select("doc_id", "fp", "component_id", "root")
