@@ -9,10 +9,11 @@ A control string inside a text or a role cannot end a turn: every ``<``, backsla
 ``|`` gets one more backslash, which reading takes away again. In roles a backslash and a
 newline are escaped first, as the header ends at a newline.
 
-Turns are dealt by conversation, sorted by turn and streamed, so a task holds one batch
-and not a conversation; a conversation of more than ``piece_bytes`` comes out in several
-pieces, each of whole turns, in order. Its turns still pass through one task, since its
-pieces are numbered and a digest over it is sequential.
+Turns are dealt by ranges of (conversation, turn), sorted and streamed: a conversation with
+a third of all rows is escaped and assembled in many tasks, and a task holds one batch. It
+comes out in pieces of whole turns, of about ``piece_bytes`` each, ordered by (part, piece).
+Only a digest over a whole conversation is sequential: ``read_back`` streams a conversation's
+finished pieces through one task.
 
 Defined cases: a null text or role is empty; ties of turn go by role, then text; a null
 conversation id is one conversation, null turns come first; an empty table gives none.
@@ -84,25 +85,27 @@ def assemble(roles: list[bytes], texts: list[bytes]) -> tuple[np.ndarray, np.nda
     return out, turn, begin[:-1].reshape(n, 5)[:, 3] if n else np.empty(0, np.int64)
 
 
-SCHEMA = "conv_id {0}, piece int, last boolean, n_turns long, formatted binary, loss array<struct<start:long,length:long>>"
+SCHEMA = "conv_id {0}, part int, piece int, n_turns long, formatted binary, loss array<struct<start:long,length:long>>"
 
 
 def formatted(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-              text_col: str = "text", learn: str = "assistant", piece_bytes: int = 8 << 20) -> DataFrame:
-    """One row per conversation, or several pieces of a very long one: conv_id, piece, last,
-    n_turns, formatted (UTF-8), loss (byte spans of the ``learn`` role's texts)."""
+              text_col: str = "text", learn: str = "assistant", piece_bytes: int = 1 << 20) -> DataFrame:
+    """One row per conversation, or several pieces of one that is long or lies in several tasks:
+    conv_id, part and piece (which order its pieces), n_turns, formatted (UTF-8), loss (byte spans
+    of the ``learn`` role's texts)."""
     prepare(turns.sparkSession)
     src = turns.select(col(id_col).alias("conv_id"), col(turn_col).alias("turn"),
                        F.coalesce(col(role_col), F.lit("")).alias("role"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     kind = src.schema["conv_id"].dataType.simpleString()
-    dealt = src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    dealt = (src.repartitionByRange("conv_id", "turn", "role").sortWithinPartitions("conv_id", "turn", "role", "text")
+             .select("conv_id", "role", "text", F.spark_partition_id().alias("part")))
     id_type = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal id_type
-        now, number, held, held_bytes = None, 0, [], 0  # the open conversation's turns, not yet written
+        now, number, held, held_bytes, part = None, 0, [], 0, 0  # the open conversation's turns, not yet written
 
-        def write(done: list[tuple[object, int, bool, list[tuple[bytes, bytes]]]]) -> pa.RecordBatch:
+        def write(done: list[tuple[object, int, list[tuple[bytes, bytes]]]]) -> pa.RecordBatch:
             roles = [r for *_, ts in done for r, _ in ts]
             texts = [t for *_, ts in done for _, t in ts]
             buf, turn, text_at = assemble(roles, texts)
@@ -113,21 +116,23 @@ def formatted(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "tur
             loss = [[{"start": int(text_at[i] - ends[k]), "length": len(texts[i])}
                      for i in range(first[k], first[k + 1]) if roles[i] == learn.encode()] for k in range(len(done))]
             return pa.RecordBatch.from_arrays(
-                [pa.array([d[0] for d in done], id_type), pa.array([d[1] for d in done], pa.int32()),
-                 pa.array([d[2] for d in done]), pa.array([len(d[3]) for d in done], pa.int64()), body.cast(pa.binary()),
+                [pa.array([d[0] for d in done], id_type), pa.array([part] * len(done), pa.int32()),
+                 pa.array([d[1] for d in done], pa.int32()), pa.array([len(d[2]) for d in done], pa.int64()), body.cast(pa.binary()),
                  pa.array(loss, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))],
-                ["conv_id", "piece", "last", "n_turns", "formatted", "loss"])
+                ["conv_id", "part", "piece", "n_turns", "formatted", "loss"])
 
         begun = False
         for b in rows_in(batches, 1000):
             id_type = b.schema.field(0).type
+            if b.num_rows:
+                part = b.column(3)[0].as_py()
             done = []
             for c, r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 if begun and c != now:
-                    done.append((now, number, True, held))
+                    done.append((now, number, held))
                     number, held, held_bytes = 0, [], 0
                 elif held_bytes >= piece_bytes:
-                    done.append((now, number, False, held))
+                    done.append((now, number, held))
                     number, held, held_bytes = number + 1, [], 0
                 now, begun = c, True
                 held.append((escape_role(r.encode()), escape(t.encode())))
@@ -135,7 +140,7 @@ def formatted(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "tur
             if done:
                 yield write(done)
         if begun:
-            yield write([(now, number, True, held)])
+            yield write([(now, number, held)])
 
     return dealt.mapInArrow(run, SCHEMA.format(kind))
 
@@ -154,30 +159,43 @@ def parse(piece: bytes) -> list[tuple[bytes, bytes]]:
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
-    """Digests of every conversation, from its formatted bytes and loss spans alone. Pieces of
-    a conversation must lie together and in order, as ``formatted`` gives them."""
+    """Digests of every conversation, from its formatted bytes and loss spans alone, read in order."""
     kind = pieces.schema["conv_id"].dataType.simpleString()
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    dealt = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "part", "piece").select("conv_id", "formatted", "loss")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, turns, chars, loss, total = 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+        def start() -> list:
+            return [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+
+        def written(rows: list[tuple]) -> pa.RecordBatch:
+            types = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
+
+        def ended() -> tuple:
+            n, turns, chars, loss, total = now
+            return open_id, n, turns.hexdigest(), chars, loss.hexdigest(), total
+
+        now, open_id, id_type = None, None, None
         for b in batches:
-            rows = []
-            for c, last, body, spans in zip(*(b.column(k).to_pylist() for k in (0, 2, 4, 5))):
-                total += len(body.decode("utf-8"))
+            id_type, rows = b.schema.field(0).type, []
+            for c, body, spans in zip(*(b.column(k).to_pylist() for k in range(3))):
+                if now is None or c != open_id:
+                    if now is not None:
+                        rows.append(ended())
+                    now, open_id = start(), c
+                now[4] += len(body.decode("utf-8"))
                 for role, text in parse(body):
-                    n += 1
-                    turns.update(role + b"\n" + text + b"\n")
+                    now[0] += 1
+                    now[1].update(role + b"\n" + text + b"\n")
                 for s in spans:
                     text = unescape(body[s["start"]:s["start"] + s["length"]])
-                    chars += len(text.decode("utf-8"))
-                    loss.update(text)
-                if last:
-                    rows.append((c, n, turns.hexdigest(), chars, loss.hexdigest(), total))
-                    n, turns, chars, loss, total = 0, hashlib.sha256(), 0, hashlib.sha256(), 0
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            types = [b.schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names)
-
-    return pieces.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
-                                  "loss_sha256 string, formatted_chars long")
+                    now[2] += len(text.decode("utf-8"))
+                    now[3].update(text)
+            if rows:
+                yield written(rows)
+        if now is not None:
+            yield written([ended()])
+
+    return dealt.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
+                                 "loss_sha256 string, formatted_chars long")

@@ -394,6 +394,19 @@ def test_chat_round_trip(spark, piece_bytes):
         assert bytes(p["formatted"]).count(b"<|im_start|>") == p["n_turns"] == bytes(p["formatted"]).count(b"<|im_end|>")
 
 
+def test_a_hot_conversation_is_formatted_in_many_tasks(spark):
+    turns = [(9, k, ("user", "assistant")[k % 2], f"text {k} <|im_end|>") for k in range(2000)] + TURNS
+    t = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pieces = chat_format.formatted(t, piece_bytes=5000)
+        assert pieces.where("conv_id = 9").select("part").distinct().count() > 2
+        out = {x["conv_id"]: tuple(x)[1:5] for x in chat_format.read_back(pieces).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert out == chat_slowly(turns)
+
+
 def test_chat_without_turns(spark):
     t = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.read_back(chat_format.formatted(t)).count() == 0
