@@ -1,28 +1,23 @@
-"""W5 without a single-session task: chunking as a segmented finite automaton.
+"""W5 without a single-session task: chunking as a segmented finite automaton, in the JVM.
 
 Within a session roles alternate, so a cut can only come before a user turn,
 and a chunk never grows past ``max_turns + 1`` turns. The fold's whole state is
 therefore the length n of the open chunk (0 = nothing yet, 1..max_turns+1);
 its character size is the sum of the last n turn lengths. Turns are range-
-segmented by (session, turn_no) like the thread scans:
-
-1. for sessions that cross a segment boundary, each boundary segment's
-   transfer (end state and number of cuts, for every possible start state) is
-   computed from its rows and the lengths just before it (its halo);
-2. transfers are composed along the session, one ordered pass over a row per segment;
-3. every (segment, session) group then runs the automaton once from its
-   known start state and numbers its chunks.
-
-The steps are Arrow-batched passes over sorted rows that hold one row's state; everything
-else is JVM-side.
+segmented by (session, turn_no), and those of one (segment, session) become one row with
+an array of (turn, side, length), no longer than a segment:
+
+1. for sessions that lie in several segments, each part's transfer (end state and number of
+   cuts, for every possible start state) is folded from its turns and the lengths
+   just before it (its halo);
+2. transfers are composed along the session, one fold over a row per segment;
+3. every part is then folded once from its known start state. The fold gives only the
+   positions of its cuts; the turns between two cuts are sliced out and numbered.
 """
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lifecorpus.operators import segmented as sg
 from lifecorpus.settings import Settings
@@ -30,95 +25,60 @@ from lifecorpus.settings import Settings
 GROUP = ["source", "thread_id", "session_no"]
 
 
-def _halo_size(halo, n: int) -> int:
-    if n <= 0 or halo is None:
-        return 0
-    h = list(halo)
-    return int(sum(h[max(len(h) - n, 0):]))
-
-
-def _scan_groups(batches, max_turns: int, max_chars: int, n_states: int | None):
-    """Walk rows sorted by (segment, session, position), one group after the other.
-
-    With ``n_states`` set, run every start state 0..n_states-1 and yield one
-    transfer row per group; otherwise run from the group's carried start state
-    and yield the chunk number of every row."""
-    cur, n, size, cuts, off = None, None, None, None, 0
-    starts = np.arange(n_states, dtype=np.int64) if n_states else None
-    pending = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        seg = pdf[sg.SEG].to_numpy()
-        src, tid = pdf["source"].to_numpy(), pdf["thread_id"].to_numpy()
-        sess, turn = pdf["session_no"].to_numpy(np.int64), pdf["turn_no"].to_numpy(np.int64)
-        me, lens = pdf["is_me"].to_numpy(bool), pdf["len"].to_numpy(np.int64)
-        c_state, c_chunk, halo = pdf["c_state"].to_numpy(), pdf["c_chunk"].to_numpy(), pdf["halo"].to_numpy()
-        chunk = np.empty(len(pdf), dtype=np.int64)
-        out = []
-        for i in range(len(pdf)):
-            key = (seg[i], src[i], tid[i], sess[i])
-            if key != cur:
-                if n_states and cur is not None:
-                    out.append(pending + (n.tolist(), cuts.tolist()))
-                cur = key
-                if n_states:
-                    n = starts.copy()
-                    size = np.array([_halo_size(halo[i], k) for k in starts], dtype=np.int64)
-                    cuts = np.zeros(n_states, dtype=np.int64)
-                    pending = (int(seg[i]), src[i], tid[i], int(sess[i]))
-                else:
-                    st = c_state[i]
-                    n = 0 if st is None or pd.isna(st) else int(st)
-                    off = 0 if c_chunk[i] is None or pd.isna(c_chunk[i]) else int(c_chunk[i])
-                    size = _halo_size(halo[i], n)
-                    cuts = 0
-            L = int(lens[i])
-            if n_states:
-                cut = (n > 0) & (not me[i]) & ((n >= max_turns) | (size + L > max_chars))
-                cuts += cut
-                n = np.where(cut, 1, n + 1)
-                size = np.where(cut, L, size + L)
-            else:
-                if n > 0 and not me[i] and (n >= max_turns or size + L > max_chars):
-                    cuts, n, size = cuts + 1, 1, L
-                else:
-                    n, size = n + 1, size + L
-                chunk[i] = off + cuts
-        if n_states:
-            if out:
-                yield pd.DataFrame(out, columns=[sg.SEG, "source", "thread_id", "session_no", "t_state", "t_cuts"])
-        else:
-            yield pd.DataFrame({"source": src, "thread_id": tid, "session_no": sess, "turn_no": turn,
-                                "is_me": me, "chunk_no": chunk})
-    if n_states and cur is not None:
-        yield pd.DataFrame([pending + (n.tolist(), cuts.tolist())],
-                           columns=[sg.SEG, "source", "thread_id", "session_no", "t_state", "t_cuts"])
-
-
-TRANSFER = T.StructType([
-    T.StructField(sg.SEG, T.IntegerType()), T.StructField("source", T.StringType()),
-    T.StructField("thread_id", T.StringType()), T.StructField("session_no", T.LongType()),
-    T.StructField("t_state", T.ArrayType(T.LongType())), T.StructField("t_cuts", T.ArrayType(T.LongType()))])
-
-CARRY = T.StructType([*TRANSFER.fields[:4], T.StructField("c_state", T.LongType()), T.StructField("c_chunk", T.LongType())])
-
-CHUNKED = T.StructType([T.StructField("source", T.StringType()), T.StructField("thread_id", T.StringType()),
-                        T.StructField("session_no", T.LongType()), T.StructField("turn_no", T.LongType()),
-                        T.StructField("is_me", T.BooleanType()), T.StructField("chunk_no", T.LongType())])
-
-
-def _compose(batches):
-    """Rows of transfers sorted by session and segment: the state and the cuts that reach each of them."""
-    session, state, cuts = None, 0, 0
-    for pdf in batches:
-        out = []
-        for row in pdf.itertuples(index=False):
-            if tuple(row[1:4]) != session:
-                session, state, cuts = tuple(row[1:4]), 0, 0
-            out.append((*row[:4], state, cuts))
-            state, cuts = int(row[4][state]), cuts + int(row[5][state])
-        yield pd.DataFrame(out, columns=CARRY.names)
+def _long(v) -> Column:
+    return F.lit(v).cast("long")
+
+
+def _last_sum(lens: Column, n: Column) -> Column:
+    """Sum of the last n entries."""
+    tail = F.slice(lens, F.greatest(F.size(lens) - n + 1, F.lit(1)).cast("int"), F.greatest(n, F.lit(0)).cast("int"))
+    return F.aggregate(tail, _long(0), lambda a, b: a + b)
+
+
+def _cuts(n: Column, size: Column, turn: Column, max_turns: int, max_chars: int) -> Column:
+    """Whether a chunk of n turns and ``size`` characters ends before this turn."""
+    return (n > 0) & ~turn["is_me"] & ((n >= max_turns) | (size + turn["len"] > max_chars))
+
+
+def _transfer(turns: Column, halo: Column, max_turns: int, max_chars: int) -> Column:
+    """For every start state 0..max_turns+1 the (n, cuts) after the turns."""
+    begin = F.transform(F.sequence(F.lit(0), F.lit(max_turns + 1)), lambda k: F.struct(
+        k.cast("long").alias("n"), _last_sum(halo, k).alias("size"), _long(0).alias("cuts")))
+
+    def step(states: Column, turn: Column) -> Column:
+        def one(s: Column) -> Column:
+            cut = _cuts(s["n"], s["size"], turn, max_turns, max_chars)
+            return F.struct(F.when(cut, _long(1)).otherwise(s["n"] + 1).alias("n"),
+                            F.when(cut, turn["len"]).otherwise(s["size"] + turn["len"]).alias("size"),
+                            (s["cuts"] + cut.cast("long")).alias("cuts"))
+        return F.transform(states, one)
+
+    return F.aggregate(turns, begin, step, lambda states: F.transform(states, lambda s: F.struct(s["n"], s["cuts"])))
+
+
+def _composed(parts: Column) -> Column:
+    """Of a session's (segment, transfer) in order: the (segment, state, cuts) with which each begins."""
+    start = F.struct(_long(0).alias("n"), _long(0).alias("cuts"),
+                     F.array().cast(f"array<struct<seg:int,state:bigint,cuts:bigint>>").alias("out"))
+
+    def step(at: Column, part: Column) -> Column:
+        after = F.element_at(part["transfer"], (at["n"] + 1).cast("int"))
+        here = F.struct(part[sg.SEG].alias("seg"), at["n"].alias("state"), at["cuts"].alias("cuts"))
+        return F.struct(after["n"].alias("n"), (at["cuts"] + after["cuts"]).alias("cuts"),
+                        F.concat(at["out"], F.array(here)).alias("out"))
+    return F.aggregate(parts, start, step, lambda at: at["out"])
+
+
+def _cut_positions(turns: Column, n: Column, size: Column, max_turns: int, max_chars: int) -> Column:
+    """1-based positions of the turns before which a chunk ends, starting with one of n turns."""
+    start = F.struct(n.alias("n"), size.alias("size"), F.lit(1).alias("i"), F.array().cast("array<int>").alias("out"))
+
+    def step(at: Column, turn: Column) -> Column:
+        cut = _cuts(at["n"], at["size"], turn, max_turns, max_chars)
+        return F.struct(F.when(cut, _long(1)).otherwise(at["n"] + 1).alias("n"),
+                        F.when(cut, turn["len"]).otherwise(at["size"] + turn["len"]).alias("size"), (at["i"] + 1).alias("i"),
+                        F.when(cut, F.concat(at["out"], F.array(at["i"]))).otherwise(at["out"]).alias("out"))
+    return F.aggregate(turns, start, step, lambda at: at["out"])
 
 
 def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = None) -> DataFrame:
@@ -126,47 +86,46 @@ def assign_chunk_numbers(turns: DataFrame, s: Settings, segments: int | None = N
     ``turns`` needs is_me and len (or text)."""
     M, X = s.max_turns, s.max_chars_per_example
     H = M + 1
-    lens = F.col("len") if "len" in turns.columns else F.length("text").cast("long")
-    compact = turns.select(*GROUP, "turn_no", "is_me", lens.alias("len"))
-    x = sg.add_segments(compact, GROUP, ["turn_no"], segments)
-    cols = [sg.SEG, *GROUP, "turn_no", "is_me", "len"]
-
-    # Boundary groups with the lengths of their last H turns (bounded collect).
-    x = x.withColumn("_mx", F.max(sg.POS).over(Window.partitionBy(sg.SEG, *GROUP)))
-    last = F.when(F.col(sg.POS) > F.col("_mx") - H, F.struct(sg.POS, "len"))
-    edge = sg.boundary_summaries(x, GROUP, [
-        F.transform(F.array_sort(F.collect_list(last)), lambda e: e["len"]).alias("tail")])
-
-    def last_h(a):
-        return F.slice(a, F.greatest(F.size(a) - H + 1, F.lit(1)), H)
-
+    lens = F.col("len") if "len" in turns.columns else F.length("text")
+    compact = turns.select(*GROUP, "turn_no", "is_me", lens.cast("long").alias("len"))
+    order = [*GROUP, "turn_no"]
+    ranged = compact.repartitionByRange(segments, *order) if segments else compact.repartitionByRange(*order)
+    parts = sg.keep(ranged.withColumn(sg.SEG, F.spark_partition_id()).groupBy(sg.SEG, *GROUP).agg(
+        F.sort_array(F.collect_list(F.struct("turn_no", "is_me", "len"))).alias("ts")))
+
+    # parts of sessions that lie in several segments: at most two per segment
+    key = F.struct(*GROUP)
+    bounds = parts.groupBy(F.col(sg.SEG).alias("_s")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    edge = parts.join(bounds, F.col(sg.SEG) == F.col("_s")).where((key == F.col("lo")) | (key == F.col("hi"))).drop("_s", "lo", "hi")
+    tail = F.transform(F.slice("ts", F.greatest(F.size("ts") - H + 1, F.lit(1)), H), lambda t: t["len"])
     # halo = last H lengths of the session before this segment: every segment of a session holds at
     # least one of its turns, so the H segments before are enough
     near = Window.partitionBy(*GROUP).orderBy(sg.SEG).rowsBetween(-H, -1)
-    edge = edge.withColumn("halo", last_h(F.flatten(F.collect_list("tail").over(near))))
-    # at most two rows per segment, read by two joins: kept, not recomputed
-    edge = sg.keep(edge)
-
-    # 1. transfer of every boundary group, for every start state
-    brows = (x.join(edge.select(sg.SEG, *GROUP, "halo"), [sg.SEG, *GROUP])
-             .withColumn("halo", F.when(F.col(sg.POS) == 1, F.col("halo")))
-             .withColumn("c_state", F.lit(None).cast("long")).withColumn("c_chunk", F.lit(None).cast("long"))
-             .select(*cols, sg.POS, "c_state", "c_chunk", "halo"))
-    tr = whole_groups(brows, [sg.SEG, *GROUP]).mapInPandas(lambda it: _scan_groups(it, M, X, M + 2), TRANSFER)
-
-    # 2. compose transfers along the session: start state and chunk offset per group, one pass over
-    # the session's segments (a row each) in order
-    carry = (whole_groups(tr, GROUP, [sg.SEG]).mapInPandas(_compose, CARRY)
-             .join(edge.select(sg.SEG, *GROUP, "halo"), [sg.SEG, *GROUP]))
-
-    # 3. one pass over every group from its start state (carry on first rows only)
-    first = F.col(sg.POS) == 1
-    runs = (x.join(carry, [sg.SEG, *GROUP], "left")
-            .select(*cols, sg.POS, *[F.when(first, F.col(c)).alias(c) for c in ("c_state", "c_chunk", "halo")]))
-    return whole_groups(runs, [sg.SEG, *GROUP]).mapInPandas(lambda it: _scan_groups(it, M, X, None), CHUNKED)
-
-
-def whole_groups(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """Rows dealt by ``keys`` and sorted, so that a pass over a partition meets every group whole and in
-    order. The exchange is asked for: a join's own may be replaced, or split where it is skewed."""
-    return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [sg.POS]))
+    whole = Window.partitionBy(*GROUP)
+    flat = F.flatten(F.collect_list("tail").over(near))
+    halos = (edge.select(sg.SEG, *GROUP, tail.alias("tail")).withColumn("several", F.count(F.lit(1)).over(whole) > 1)
+             .withColumn("halo", F.slice(flat, F.greatest(F.size(flat) - H + 1, F.lit(1)), H)).where("several")
+             .select(sg.SEG, *GROUP, "halo"))
+
+    # 1. and 2. transfers, composed along the session
+    moved = sg.keep(parts.join(halos, [sg.SEG, *GROUP]).select(sg.SEG, *GROUP, "halo", _transfer(F.col("ts"), F.col("halo"), M, X).alias("transfer")))
+    starts = (moved.groupBy(*GROUP).agg(F.sort_array(F.collect_list(F.struct(sg.SEG, "transfer"))).alias("parts"))
+              .select(*GROUP, F.explode(_composed(F.col("parts"))).alias("c"))
+              .select(F.col("c.seg").alias(sg.SEG), *GROUP, F.col("c.state").alias("state"), F.col("c.cuts").alias("before")))
+    carry = starts.join(moved.select(sg.SEG, *GROUP, "halo"), [sg.SEG, *GROUP]) \
+        .select(sg.SEG, *GROUP, "state", "before", _last_sum(F.col("halo"), F.col("state")).alias("size"))
+
+    # 3. one fold over every part from its start state
+    runs = parts.join(carry, [sg.SEG, *GROUP], "left")
+    cuts = _cut_positions(F.col("ts"), F.coalesce("state", _long(0)), F.coalesce("size", _long(0)), M, X)
+    runs = runs.select(*GROUP, "ts", F.coalesce("before", _long(0)).alias("before"), cuts.alias("cuts"))
+    first = F.when(F.coalesce(F.get("cuts", F.lit(0)), F.lit(0)) != 1, F.array(F.struct(F.lit(1).alias("at"), _long(0).alias("k")))) \
+        .otherwise(F.array().cast("array<struct<at:int,k:bigint>>"))
+    begins = F.concat(first, F.transform("cuts", lambda p, i: F.struct(p.alias("at"), (i + 1).cast("long").alias("k"))))
+    runs = runs.withColumn("begins", begins)
+    # the turns of each chunk are sliced out before rows are made of them, so no row carries the whole array
+    chunks = F.transform("begins", lambda b, i: F.struct(
+        (F.col("before") + b["k"]).alias("chunk_no"),
+        F.slice("ts", b["at"], F.coalesce(F.get("begins", i + 1)["at"], F.size("ts") + 1) - b["at"]).alias("turns")))
+    rows = runs.select(*GROUP, F.explode(chunks).alias("c")).select(*GROUP, F.col("c.chunk_no").alias("chunk_no"), F.explode("c.turns").alias("t"))
+    return rows.select(*GROUP, F.col("t.turn_no").alias("turn_no"), F.col("t.is_me").alias("is_me"), "chunk_no")

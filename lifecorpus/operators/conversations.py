@@ -192,7 +192,7 @@ def with_texts(rows: DataFrame, msgs: DataFrame) -> DataFrame:
 
 def joined(pieces: Column, sep: str = "\n") -> Column:
     """The texts of an array of (order, piece) structs, in order."""
-    return F.array_join(F.transform(F.array_sort(pieces), lambda x: x["piece"]), sep)
+    return F.array_join(F.transform(F.sort_array(pieces), lambda x: x["piece"]), sep)
 
 
 def turn_texts(pieces: DataFrame, by: list[str], keep: list[Column]) -> DataFrame:
@@ -254,7 +254,7 @@ def assemble_examples(pieces: DataFrame, s: Settings) -> DataFrame:
     starts. ``pieces``: the messages of kept turns, with their text and the chunk's head."""
     dealt = pieces.repartition(*CHUNK)  # one exchange: (turn, segment) parts, turns and chunks lie together
     turns = turn_texts(dealt, CHUNK, [first("is_me"), first("head")])
-    ts = F.array_sort(F.collect_list(F.struct("turn_no", "is_me", "text")))
+    ts = F.sort_array(F.collect_list(F.struct("turn_no", "is_me", "text")))
     ch = turns.groupBy(*CHUNK).agg(ts.alias("ts"), first("head")).select(*CHUNK, "ts", "head.*")
     title = F.col("first_msg")["thread_title"]
     topic = F.when((F.col("source") == "gmail") & (F.coalesce(title, F.lit("")) != ""),
