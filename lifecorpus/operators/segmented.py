@@ -115,14 +115,20 @@ def attach_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(carry, [SEG, *keys], "left")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], flag: str, out: str,
-                segments: int | None = None) -> DataFrame:
-    """``out`` = running sum of the integer column ``flag`` over each group in
-    ``order`` (inclusive), computed per segment plus the carried prefix."""
+def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column],
+                 segments: int | None = None) -> DataFrame:
+    """For each name in ``sums`` the running sum of an integer expression over each group in
+    ``order`` (inclusive), all from one scan: computed per segment plus the carried prefixes."""
     x = add_segments(df, keys, order, segments)
     w = local_window(keys, [POS]).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("_rs", F.sum(flag).over(w))
-    c = boundary_carry(x, keys, [F.sum(flag).alias("_s")],
-                       {"_c": lambda prev, all_: F.sum("_s").over(prev)})
-    x = attach_carry(x, c, keys)
-    return x.withColumn(out, (F.col("_rs") + F.coalesce(F.col("_c"), F.lit(0))).cast("long")).drop("_rs", "_c")
+    c = boundary_carry(x, keys, [F.sum(v).alias(f"_s_{n}") for n, v in sums.items()],
+                       {f"_c_{n}": (lambda prev, all_, n=n: F.sum(f"_s_{n}").over(prev)) for n in sums})
+    x = attach_carry(x.withColumns({f"_r_{n}": F.sum(v).over(w) for n, v in sums.items()}), c, keys)
+    x = x.withColumns({n: (F.col(f"_r_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0))).cast("long") for n in sums})
+    return x.drop(*[f"{p}{n}" for p in ("_r_", "_c_") for n in sums])
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str], flag: str, out: str,
+                segments: int | None = None) -> DataFrame:
+    """``out`` = running sum of the integer column ``flag``."""
+    return running_sums(df, keys, order, {out: F.col(flag)}, segments)

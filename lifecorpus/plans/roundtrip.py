@@ -152,9 +152,57 @@ def render_telegram(spark: SparkSession, d: str) -> DataFrame:
     return g.select(path.alias("path"), doc.alias("content"))
 
 
+def render_telegram_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The same exports as Telegram lays them out, as lines (path, block, pos, sub, value): all even
+    conversations in one export of all chats, each odd one as a single chat's."""
+    t = chat_turns(spark, d)
+    even = F.col("conv_id") % 2 == 0
+    all_path, conv = "/exports/telegram/all/result.json", F.col("conv_id").cast("string")
+    path = F.when(even, F.lit(all_path)).otherwise(F.concat(F.lit("/exports/telegram/conv_"), conv, F.lit("/result.json")))
+
+    def lines(df, block, pos, texts, indent=None):
+        return df.select("path", block.cast("long").alias("block"), pos.cast("long").alias("pos"), F.posexplode(texts).alias("sub", "value"),
+                         *([] if indent is None else [indent.alias("_i")])).select(
+            "path", "block", "pos", F.col("sub").cast("long").alias("sub"), (F.col("value") if indent is None else F.concat("_i", "value")).alias("value"))
+
+    def lit(*texts):
+        return F.array(*[F.lit(x) for x in texts])
+
+    x = t.withColumn("path", path)
+    owner = F.col("sender") == OWNER.name
+    frm = F.when(owner & even, F.lit("Me Alias")).otherwise(F.col("sender"))
+    from_id = F.when(owner, F.lit("user42")).otherwise(F.concat(F.lit("user"), (F.col("turn") % 4 + 7).cast("string")))
+    parts = F.split("text", "\n", 2)
+    body = F.when(F.size(parts) > 1, F.array(
+        F.lit(' "text": ['), F.concat(F.lit("  "), json_str(parts[0]), F.lit(",")), F.lit("  {"), F.lit('   "type": "bold",'),
+        F.concat(F.lit('   "text": '), json_str(F.concat(F.lit("\n"), parts[1]))), F.lit("  }"), F.lit(" ]"))) \
+        .otherwise(F.array(F.concat(F.lit(' "text": '), json_str(F.col("text")))))
+    head = F.array(F.lit("{"), F.concat(F.lit(' "id": '), F.col("turn").cast("string"), F.lit(",")), F.lit(' "type": "message",'),
+                   F.concat(F.lit(' "date": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('",')),
+                   F.concat(F.lit(' "date_unixtime": "'), F.unix_timestamp("ts").cast("string"), F.lit('",')),
+                   F.concat(F.lit(' "from": '), json_str(frm), F.lit(",")), F.concat(F.lit(' "from_id": "'), from_id, F.lit('",')))
+    deep = F.when(even, F.lit("     ")).otherwise(F.lit("  "))
+    msgs = lines(x, F.col("conv_id"), F.col("turn"), F.concat(head, body, lit("},")), deep)
+    chats = x.select("path", "conv_id").distinct()
+    name = F.concat(F.lit('"name": "Conv '), conv, F.lit('",'))
+    service = ["{", ' "type": "service",', ' "action": "create_group",', ' "text": ""', "}"]  # the last message of each chat
+    at = F.when(even, F.lit("    ")).otherwise(F.lit(" "))
+    opens = F.concat(F.when(even, lit("   {")).otherwise(lit("{")),
+                     F.array(F.concat(at, name), F.concat(at, F.lit('"id": '), conv, F.lit(",")), F.concat(at, F.lit('"messages": ['))))
+    closes = F.concat(F.transform(lit(*service), lambda v: F.concat(F.when(even, F.lit("     ")).otherwise(F.lit("  ")), v)),
+                      F.when(even, lit("    ]", "   },")).otherwise(lit(" ]", "}")))
+    first, last = F.lit(-(2**62)), F.lit(2**62)
+    around = one_row(spark).select(F.lit(all_path).alias("path"))
+    return (msgs.unionByName(lines(chats, F.col("conv_id"), first, opens)).unionByName(lines(chats, F.col("conv_id"), last, closes))
+            .unionByName(lines(around, first, first, lit("{", ' "personal_information": {', '  "user_id": 42', " },", ' "chats": {', '  "list": [')))
+            .unionByName(lines(around, last, last, lit("   {", '    "name": "Saved Messages",', '    "id": 0,', '    "messages": []', "   }", "  ]", " }", "}"))))
+
+
 def q_parse_telegram(spark, d):
-    from lifecorpus.sources.telegram import parse_telegram
-    return message_output(parse_telegram(render_telegram(spark, d), OWNER))
+    from lifecorpus.sources.telegram import telegram_line_records
+    from lifecorpus.schema import MESSAGES, of_kind
+    recs = telegram_line_records(render_telegram_lines(spark, d), OWNER, order=("block", "pos", "sub"))
+    return message_output(of_kind(recs, MESSAGES))
 
 
 def doc_output(d: DataFrame) -> DataFrame:
