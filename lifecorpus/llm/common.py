@@ -23,8 +23,7 @@ BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> None:
-    """What every job here needs: UTC, the shared checkpoint folder, the package on the executors."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """What every job here needs: small batches, the shared checkpoint folder, the package on the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     ensure_checkpoint_dir(spark)
     ship_package(spark)
