@@ -10,11 +10,17 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lifecorpus.operators import segmented  # noqa: E402
+from lifecorpus.operators import conversations  # noqa: E402
+from lifecorpus.plans.adapters import OWNER, conversation_messages  # noqa: E402
 from lifecorpus.plans.registry import QUERIES  # noqa: E402
+from lifecorpus.plans.tables import table  # noqa: E402
 from lifecorpus.session import get_spark  # noqa: E402
 
-HEADLINE = ["sft_build", "sessionize", "collapse_turns", "chunk_turns", "lifelog_daily", "redact_all", "html_text",
-            "corpus_stats", "dedup_examples", "unknown_senders", "parse_mbox", "parse_whatsapp"]
+# sft_build writes its examples once, then reads them: their plan stands apart
+EXAMPLES = "conversation examples, as sft_build writes them"
+PLANS = {**QUERIES, EXAMPLES: lambda spark, d: conversations.conversation_examples(conversation_messages(table(spark, d, "conversations")), OWNER)}
+HEADLINE = [EXAMPLES, "sft_build", "sessionize", "collapse_turns", "chunk_turns", "lifelog_daily", "redact_all", "html_text",
+            "corpus_stats", "dedup_examples", "unknown_senders", "parse_mbox", "parse_whatsapp", "parse_telegram"]
 
 
 def details(txt: str) -> list[tuple[str, str, dict]]:
@@ -69,7 +75,7 @@ def summarize(name: str, txt: str) -> list[str]:
         lines.append(f"- shuffles building cached tables ({len(inner)}, computed once): "
                      + "; ".join(f"`{a[:100]}`" for a in inner))
     nb = sum(1 for _, n, _ in nodes if n.startswith("BroadcastExchange"))
-    lines.append(f"- broadcasts: {nb} (carry tables: at most two rows per segment)" if nb else "- broadcasts: 0")
+    lines.append(f"- broadcasts: {nb} (chosen by Spark from measured sizes)" if nb else "- broadcasts: 0")
     for i, n, f in nodes:
         if n.startswith("Scan") and i not in cached:
             lines.append(f"- scan `{f.get('ReadSchema', '')[:150]}`, pushed filters `{f.get('PushedFilters', '[]')[:150]}`")
@@ -90,7 +96,7 @@ def main():
     out = ["# Executed plans of the headline queries", "",
            f"Generated by `python tools/plan_report.py` on `{sf}` (adaptive final plans after execution).", ""]
     for name in HEADLINE:
-        df = QUERIES[name](spark, sf)
+        df = PLANS[name](spark, sf)
         df.write.format("noop").mode("overwrite").save()
         out += summarize(name, df._jdf.queryExecution().explainString(mode))
         segmented.release()
