@@ -115,9 +115,9 @@ def parse_whatsapp(raw: DataFrame, s: Settings, root: str = "") -> DataFrame:
     numbered = running_sum(lines, ["path"], ["block", "pos", "sub"], "_hdr", "msg_no")
     body = numbered.where(F.col("msg_no") > 0)
     hdr = F.col("_hdr") == 1
-    # lines are joined per (message, segment), then the segments' parts: no list outgrows a segment
+    # lines are joined per (message, segment), then the segments' parts, in one exchange: no list outgrows a segment
     pieces = F.array_sort(F.collect_list(F.struct(F.col(POS), "line")))
-    parts = body.groupBy("path", "msg_no", SEG).agg(
+    parts = body.repartition("path", "msg_no").groupBy("path", "msg_no", SEG).agg(
         F.array_join(F.transform(pieces, lambda x: x["line"]), "\n").alias("piece"),
         F.max(F.when(hdr, F.col("h"))).alias("h"), F.min(F.struct("block", "pos", "sub")).alias("first"))
     whole = F.array_sort(F.collect_list(F.struct(F.col(SEG), "piece")))
