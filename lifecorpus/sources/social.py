@@ -14,6 +14,7 @@ from lifecorpus.functions.identity import is_me
 from lifecorpus.functions.text import clean_chat, fix_mojibake, normalize
 from lifecorpus.functions.times import iso, iso_epoch
 from lifecorpus.schema import DOCS, MESSAGES, REJECTS, SOURCE_RANK, make_ord, of_kind, records
+from lifecorpus.session import written
 from lifecorpus.settings import Settings
 from lifecorpus.sources.common import BAD_JSON, exists_nonempty, file_path, json_body, json_error, relative, whole_files
 
@@ -141,37 +142,26 @@ UNCLOSED = "a quote is not closed"
 #: The reader's array of cells, 8 bytes each in every task; a wider record stops the read.
 MOST_CELLS = 1 << 20
 
-#: Where the reader of a record stands: outside quotes, inside, or just after a closing quote.
-OUTSIDE, INSIDE, CLOSED = 0, 1, 2
+#: Inside quotes, where a quote is doubled; and a cell with the comma before it: in quotes, then with
+#: what stands between the closing one and the next comma, or without. Possessive: no way back, no stack.
+QUOTED = r'"(?:[^"]++|"")*+'
+CELL = rf',(?:{QUOTED}(?:"[^,]*+|\z)|(?:[^,"][^,]*+)?+)'
 
 
 def split_record(record: Column) -> Column:
     """A CSV record of any width as struct(cells, open): quotes open only at the start of a cell,
     double inside one, and are letters elsewhere; ``open`` if the last one is not closed.
 
-    A fold over the pieces between quotes. Commas outside quotes are split off a piece at a
-    time, so the fold has as many steps as the record has quotes."""
-    piece = "struct<k: int, t: string>"
-    pieces = F.transform(F.split(record, '"', -1), lambda t, k: F.struct(k.alias("k"), t.alias("t"))).cast(f"array<{piece}>")
-
-    def step(at: Column, p: Column) -> Column:
-        quoted = p["k"] > 0  # a quote comes before this piece
-        fresh = at["cell"] == ""
-        mode = (F.when(~quoted, at["mode"]).when(at["mode"] == INSIDE, F.lit(CLOSED)).when(at["mode"] == CLOSED, F.lit(INSIDE))
-                .when(fresh, F.lit(INSIDE)).otherwise(F.lit(OUTSIDE)))
-        letter = quoted & ((at["mode"] == CLOSED) | ((at["mode"] == OUTSIDE) & ~fresh))
-        cell = F.concat(at["cell"], F.when(letter, F.lit('"')).otherwise(F.lit("")))
-        cut = F.split(p["t"], ",", -1)
-        stays = (mode == INSIDE) | (p["t"] == "") | (F.size(cut) == 1)
-        cells = F.when(stays, at["cells"]).otherwise(F.concat(at["cells"], F.array(F.concat(cell, F.element_at(cut, 1))),
-                                                              F.slice(cut, 2, F.greatest(F.size(cut) - 2, F.lit(0)))))
-        rest = F.when(stays, F.concat(cell, p["t"])).otherwise(F.element_at(cut, -1))
-        after = F.when((mode == INSIDE) | (p["t"] == ""), mode).otherwise(F.lit(OUTSIDE))
-        return F.struct(cells.alias("cells"), rest.alias("cell"), after.alias("mode"))
-
-    begin = F.struct(F.array().cast("array<string>").alias("cells"), F.lit("").alias("cell"), F.lit(OUTSIDE).alias("mode"))
-    return F.aggregate(pieces, begin, step, lambda at: F.struct(
-        F.concat(at["cells"], F.array(at["cell"])).alias("cells"), (at["mode"] == INSIDE).alias("open")))
+    One pass of a pattern finds the cells, each is unquoted on its own: linear in the record."""
+    def value(t: Column) -> Column:
+        inside = F.replace(F.regexp_extract(t, r'^,"((?:[^"]++|"")*+)', 1), F.lit('""'), F.lit('"'))
+        return F.when(t.startswith(',"'), F.concat(inside, F.regexp_extract(t, rf'^,{QUOTED}"([^,]*+)', 1))) \
+            .otherwise(F.substr(t, F.lit(2)))
+
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(CELL), F.lit(0))
+    # through an array of one: found once, though both fields are taken from it
+    return F.transform(F.array(found), lambda ts: F.struct(
+        F.transform(ts, value).alias("cells"), F.element_at(ts, -1).rlike(rf"^,{QUOTED}\z").alias("open")))[0]
 
 
 def csv_records(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -192,11 +182,18 @@ def read_csv_records(spark: SparkSession, root: str, name: str) -> DataFrame:
     quote that is not closed (it takes the rest of its file) has an error and no cells."""
     if not exists_nonempty(spark, root):
         return spark.createDataFrame([], CSV_RECORD)
-    read = csv_records(spark, root, name).withColumn("r", split_record(F.regexp_replace("record", "^\ufeff", "")))
-    rows = read.select("path", "row", F.when(F.col("r.open"), F.lit(UNCLOSED)).alias("error"),
-                       F.when(~F.col("r.open"), F.transform("r.cells", _nz)).alias("cells"))
-    # files of one name may order their columns differently: each has its own header
-    head = rows.groupBy("path").agg(F.min_by("cells", "row").alias("head"), F.min("row").alias("first"))
+    read = written(csv_records(spark, root, name), "csv")  # the reader's pass over the files is made once
+
+    def split(records: DataFrame) -> DataFrame:
+        r = records.withColumn("r", split_record(F.regexp_replace("record", "^\ufeff", "")))
+        return r.select("path", "row", F.when(F.col("r.open"), F.lit(UNCLOSED)).alias("error"),
+                        F.when(~F.col("r.open"), F.transform("r.cells", _nz)).alias("cells"))
+
+    # files of one name may order their columns differently: each has its own header, found by one
+    # number a file, of the files that the driver has listed: only their first records are split for it
+    first = read.groupBy("path").agg(F.min("row").alias("row")).select("row")
+    head = split(read.join(F.broadcast(first), "row")).select("path", F.col("row").alias("first"), F.col("cells").alias("head"))
+    rows = split(read)
     return rows.join(head, "path").where((F.col("row") > F.col("first")) | F.col("error").isNotNull()) \
         .select("path", "row", "cells", "head", "error")
 

@@ -116,6 +116,22 @@ def test_records_split_as_the_csv_module_does(spark):
         assert got[i].cells == want, line
 
 
+def test_a_record_of_many_quotes_splits_in_linear_time(spark):
+    n = 300_000
+    df = spark.range(1).select(F.concat(F.lit('"'), F.repeat(F.lit('q""'), n), F.lit('",z,"'), F.repeat(F.lit('""'), n)).alias("record"))
+    began = time.monotonic()
+    r = df.select(social.split_record(F.col("record")).alias("r")).first().r
+    assert time.monotonic() - began < 30
+    assert r.open and r.cells == ['q"' * n, "z", '"' * n]
+
+
+def test_csv_files_are_parsed_once(spark, tmp_path):
+    put(tmp_path / "comments.csv", "id,body\n1,one\n")
+    rows = social.read_csv_rows(spark, str(tmp_path), "comments.csv", ["id", "body"])
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 0  # read from what one pass wrote
+    assert [(r.id, r.body) for r in rows.collect()] == [("1", "one")]
+
+
 def state(line):
     """Whether a quote is open at the end of a record."""
     now, cell = "out", ""
