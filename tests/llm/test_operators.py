@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -668,6 +669,71 @@ def test_lanes_deal_every_token_once():
     assert found == Counter(tuple(d) for d in docs)
 
 
+def test_lanes_end_together():
+    docs = [np.r_[np.ones(n), 0].astype(np.uint16) for n in [100] * 200 + [900]]  # a long one comes last
+    got = list(language_model.dealt(iter(docs), 4))
+    assert len(got) <= sum(map(len, docs)) / 4 / language_model.STEPS + 5  # a short one takes over 3 windows
+
+
+def test_weights_move_by_tokens_not_by_windows(monkeypatch):
+    v, m = small_model()
+    counts, update = [], language_model.Adam.update
+    monkeypatch.setattr(language_model.Adam, "update", lambda self, g, n, share: (counts.append((n, share)), update(self, g, n, share)))
+    docs = [np.r_[np.ones(n), 0].astype(np.uint16) for n in [3200] + [31] * 12]  # most windows have one lane
+    seen, _ = language_model.learn(m, iter(docs), 4, 0.01)
+    full = 4 * language_model.STEPS * 4
+    assert sum(n for n, _ in counts) == seen == sum(map(len, docs))
+    assert len(counts) <= 2 * seen / full + 1 and all(s == min(n / full, 1) for n, s in counts)
+
+
+def test_pieces_hold_the_words_of_python(monkeypatch):
+    r = random.Random(2)
+    some = ["a", "B", "\u00e9", "\u0130", " ", "  ", *"\t\n\v\f\r\x1c\x1f\x85\xa0\0.?", "\U0001f600"]
+    texts = [None, "", " ", "\n\n", *("".join(r.choices(some, k=r.randrange(60))) for _ in range(500)), None]
+    want = [[w.encode() for w in words((t or "").translate(LOWER))] for t in texts]
+    for size in (1 << 22, 50, 7):
+        monkeypatch.setattr(language_model, "PIECE", size)
+        for at in (0, 3):
+            got = [[] for _ in texts]
+            for row, n, found in language_model.pieces(pa.array(texts).slice(at)):
+                assert language_model.shapes(found).tolist() == [language_model.shape(w) for w in found.to_pylist()]
+                found = iter(found.to_pylist())
+                for k, c in zip(row, n):
+                    got[at + k] += [next(found) for _ in range(c)]
+            assert got[at:] == want[at:]
+    assert [language_model.shape(w) for w in (b"abcd", b"abcde", b"abcdefg!", b"twelve_bytes", "\u00e9.".encode())] == [0, 1, 6, 3, 12]
+
+
+def test_classes_of_all_sizes_are_scored_alone():
+    r, size = np.random.default_rng(6), 5 * language_model.CLASS_SIZE
+    m = language_model.Model(size)
+    m.flat = r.normal(0, 0.5, len(m.flat))
+    m = language_model.Model(size, m.flat)
+    targets = np.r_[r.integers(0, 40, 90), r.integers(64, 128, 20), [130, 200, 201], r.integers(size, size + language_model.TAILS, 30)]
+    r.shuffle(targets)
+    states = r.uniform(-1, 1, (len(targets), language_model.HIDDEN))
+    g = language_model.Model(size, np.zeros_like(m.flat))
+    logp, d = m.outputs(states, targets, g)
+    want, slope = language_model.Model(size, np.zeros_like(m.flat)), np.zeros_like(states)
+    for k, (h, t) in enumerate(zip(states, targets)):
+        c = t // language_model.CLASS_SIZE if t < size else t - size + m.classes
+        p = np.exp(h @ m.wc + m.bc)
+        p /= p.sum()
+        total, e = np.log(p[c]), p - np.eye(len(p))[c]
+        want.wc[:] += np.outer(h, e)
+        want.bc[:] += e
+        slope[k] += m.wc @ e
+        if t < size:
+            q = np.exp(h @ m.ww[c] + m.bw[c])
+            q /= q.sum()
+            total, e = total + np.log(q[t % language_model.CLASS_SIZE]), q - np.eye(len(q))[t % language_model.CLASS_SIZE]
+            want.ww[c] += np.outer(h, e)
+            want.bw[c] += e
+            slope[k] += m.ww[c] @ e
+        assert logp[k] == pytest.approx(total)
+    assert np.allclose(g.flat, want.flat) and np.allclose(d, slope)
+
+
 def small_model():
     c = np.array([50, 30, 20, 5, 1] + [-1] * (language_model.CLASS_SIZE - 5))
     v = language_model.Vocabulary([language_model.END, b"a", b"b", b"c", b"d"], c, {}, np.arange(16.0), np.arange(16.0), 300, 30)
