@@ -43,15 +43,15 @@ from pyspark.sql import functions as F
 
 from lifecorpus.llm.common import SPACE, col, fold, prepare, stored
 
-VOCABULARY, CLASS_SIZE, TAILS, COMMON = 4096, 64, 16, 65_536
+VOCABULARY, CLASS_SIZE, TAILS, COMMON = 4096, 64, 16, 262_144
 HIDDEN, STEPS, LANES = 16, 32, 128
 #: Bytes of text cut into words at a time, words a task counts before it hands them on, and tokens it
 #: scores at a time.
-PIECE, COUNTED, SCORED = 1 << 22, 2_000_000, 1_500_000
+PIECE, COUNTED, SCORED = 1 << 22, 2_000_000, 3_000_000
 #: Tokens of whole documents dealt to lanes at a time in training.
 HELD = 4_000_000
-#: Weights in one row of the averaging, and those moved at a time, which a core's cache holds.
-CHUNK, MOVED = 16_384, 32_768
+#: Weights in one row of the averaging or moved at a time, and rows of a product over all classes: a core's cache holds them.
+CHUNK, ROWS = 16_384, 512
 #: Classes of at most so many rows, and those of up to twice, four times as many, are a product each.
 BLOCK_ROWS = 16
 END = b" "  # no word holds a space
@@ -162,8 +162,8 @@ def common_words(counts: DataFrame) -> list[tuple[bytes, int, int]]:
         level = r["c"]
     if level is None:
         return []
-    rows = counts.where(F.col("c") >= level).select("word", "tail", "c").collect()
-    return sorted(((bytes(r["word"]), r["tail"], r["c"]) for r in rows), key=lambda x: (-x[2], x[0]))
+    rows = counts.where(F.col("c") >= level).select("word", "tail", "c").toArrow()
+    return sorted(zip(*(c.to_pylist() for c in rows.columns)), key=lambda x: (-x[2], x[0]))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -192,16 +192,17 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 class Ids:
     """Words to ids; words without one have their tail class's."""
 
-    def __init__(self, v: Vocabulary):
+    def __init__(self, v: Vocabulary, common: bool = False):
         self.base, self.n = v.size, len(v.words)
-        self.words = pa.array([*v.words, *v.common], pa.binary())
+        self.words, self.common = pa.array(v.words, pa.binary()), pa.array(v.common if common else (), pa.binary())
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, place among the vocabulary and then the common words; -1: in neither)."""
-        place = pc.index_in(words, self.words).fill_null(-1).to_numpy()
-        ids = place.astype(np.int32)
-        tail = np.flatnonzero((place < 0) | (place >= self.n))
-        ids[tail] = self.base + shapes(words.take(pa.array(tail)))
+        """(ids, place among the vocabulary and then, if asked for, the common words; -1: in neither)."""
+        ids = pc.index_in(words, self.words).fill_null(-1).to_numpy().copy()
+        tail, place = np.flatnonzero(ids < 0), ids.copy()
+        words = words.take(pa.array(tail))
+        place[tail] = pc.add(pc.index_in(words, self.common), self.n).fill_null(-1).to_numpy()
+        ids[tail] = self.base + shapes(words)
         return ids, place
 
     def documents(self, texts: pa.Array) -> list[np.ndarray]:
@@ -268,19 +269,23 @@ class Model:
         which, rows = np.where(targets < self.size, targets // CLASS_SIZE, targets - self.size + self.classes), np.arange(len(targets))
         x = self.room("x", len(targets), HIDDEN + 1)
         x[:, :HIDDEN], x[:, HIDDEN] = states, 1
-        a = np.matmul(x, np.vstack([self.wc, self.bc]), out=self.room("a", len(targets), self.classes + TAILS))
-        own = a[rows, which]
-        np.exp(a, out=a)
-        s = a @ np.ones(a.shape[1], a.dtype)
-        logp = own - np.log(s)
-        d_states = None
-        if grad is not None:
-            a *= np.reciprocal(s, out=s)[:, None]
-            a[rows, which] -= 1
-            d = x.T @ a
-            grad.wc += d[:HIDDEN]
-            grad.bc += d[HIDDEN]
-            d_states = np.matmul(a, self.wc.T, out=self.room("d_states", *states.shape))
+        w, one, logp = np.vstack([self.wc, self.bc]), np.ones(self.classes + TAILS, x.dtype), np.empty(len(targets), x.dtype)
+        d_states = None if grad is None else self.room("d_states", *states.shape)
+        for i in range(0, len(targets), ROWS):
+            mine, y, k = x[i:i + ROWS], which[i:i + ROWS], rows[:len(targets[i:i + ROWS])]
+            a = np.matmul(mine, w, out=self.room("a", len(mine), len(one)))
+            own = a[k, y]
+            np.exp(a, out=a)
+            s = a @ one
+            np.subtract(own, np.log(s), out=logp[i:i + ROWS])
+            if grad is not None:
+                a[k, y] -= s  # the narrow arrays beside it are divided by s
+                share = 1 / s[:, None]
+                d = (mine * share).T @ a
+                grad.wc += d[:HIDDEN]
+                grad.bc += d[HIDDEN]
+                np.matmul(a, self.wc.T, out=d_states[i:i + ROWS])
+                d_states[i:i + ROWS] *= share
         n = np.bincount(which, minlength=self.classes)[:self.classes]
         c = np.flatnonzero(n)
         if not len(c):
@@ -309,16 +314,16 @@ class Model:
         s = b @ np.ones(CLASS_SIZE, a.dtype)
         logp[order] += own - np.log(s[at])
         if grad is not None:
-            share = np.zeros_like(s)
-            share[at] = 1 / s[at]
-            b *= share[:, None]
-            b[at, inside] -= 1
+            b[at, inside] -= s[at]
+            s = 1 / s[:, None]
+            block *= s
             d, back = self.room("d", *w.shape), self.room("back", *block.shape)
             for i, r, like in products:
                 np.matmul(block[r].reshape(like).transpose(0, 2, 1), b[r].reshape(like), out=d[i])
                 np.matmul(b[r].reshape(like), w[i].transpose(0, 2, 1), out=back[r].reshape(like))
             grad.ww[c] += d[:, :HIDDEN]
             grad.bw[c] += d[:, HIDDEN]
+            back *= s
             d_states[order] += back[at, :HIDDEN]
         return logp.astype(np.float64), d_states
 
@@ -334,8 +339,9 @@ class Model:
         over = (inputs == 0).any(1).tolist()
         own = np.take(self.x, inputs, axis=0, out=self.room("own", steps, lanes, 3 * HIDDEN), mode="clip")
         x = self.room("inputs", steps, 3, lanes, HIDDEN)
-        x[:] = own.reshape(steps, lanes, 3, HIDDEN).transpose(0, 2, 1, 3)
-        np.negative(x[:, :2], out=x[:, :2])
+        own = own.reshape(steps, lanes, 3, HIDDEN).transpose(0, 2, 1, 3)
+        np.negative(own[:, :2], out=x[:, :2])
+        x[:, 2] = own[:, 2]
         u, un, more = -self.gates(), self.un, np.empty((lanes, HIDDEN), kind)
         states, rh, n = (self.room(k, steps, lanes, HIDDEN) for k in ("states", "rh", "n"))
         zr, h = self.room("zr", steps, 2, lanes, HIDDEN), state
@@ -427,8 +433,8 @@ class Adam:
         if norm > 1:
             scale /= norm
         rate = self.rate * share * float(np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t))
-        for i in range(0, len(g), MOVED):
-            x, m, v, w = (a[i:i + MOVED] for a in (g, self.m, self.v, self.model.flat))
+        for i in range(0, len(g), CHUNK):
+            x, m, v, w = (a[i:i + CHUNK] for a in (g, self.m, self.v, self.model.flat))
             x *= scale
             m *= 0.9
             m += x
@@ -623,7 +629,7 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: Model, *, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, size, flat = shared.value
-        m, ids = Model(size, flat), Ids(vocab)
+        m, ids = Model(size, flat), Ids(vocab, common=True)
         norm = np.log10(vocab.tokens + vocab.kinds + 1)
         # by id: log count, counted or not, log norm of the tail class; by place: log count
         log_c = np.r_[np.log10(np.maximum(vocab.counts, 0) + 1.0), np.zeros(TAILS)]
